@@ -51,30 +51,71 @@ def delete_by_ids(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
 
 # --- E1 core: consecutive numbering without a single-partition window ------------------
 
-def with_row_index(df: DataFrame, order_by: list[str | Column], index_col: str = "row_index",
+_SAMPLE_PER_RANGE = 20
+
+
+def range_bounds(df: DataFrame, order_by: list[str], ranges: int) -> list[tuple]:
+    """Up to ``ranges - 1`` key values cutting ``df`` into ranges of about
+    equal size, from a fixed-seed sample of the key columns (at most
+    ``20 * ranges`` keys reach the driver, however large ``df`` is)."""
+    total = df.count()
+    if total == 0 or ranges <= 1:
+        return []
+    fraction = min(1.0, _SAMPLE_PER_RANGE * ranges / total)
+    keys = df.select(*order_by).sample(False, fraction, seed=7).dropna()
+    sample = sorted(tuple(r) for r in keys.collect())
+    if not sample:
+        return []
+    step = len(sample) / ranges
+    cuts = sorted({sample[min(len(sample) - 1, int(step * i))] for i in range(1, ranges)})
+    return cuts
+
+
+def range_of(df: DataFrame, order_by: list[str], bounds: list[tuple]) -> Column:
+    """Range number of a row: how many bounds are <= its key, found by a
+    binary search written as nested CASE (log2(len(bounds)) comparisons,
+    codegen'd). Monotone in the key, so ranges are ordered like the keys."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    key = F.struct(*[F.col(c) for c in order_by])
+
+    def literal(bound):
+        return F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order_by, bound)])
+
+    def search(lo: int, hi: int) -> Column:
+        # number of bounds <= key, knowing it lies in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(key >= literal(bounds[mid - 1]), search(mid, hi)).otherwise(search(lo, mid - 1))
+
+    return search(0, len(bounds))
+
+
+def with_row_index(df: DataFrame, order_by: list[str], index_col: str = "row_index",
                    num_partitions: int | None = None) -> DataFrame:
     """Add a 0-based consecutive index in ``order_by`` order.
 
     ``order_by`` must be a unique key (ties would be numbered arbitrarily).
-    Rows are range-partitioned and sorted within partitions; a partition's
-    rows get ``offset(partition) + position``. The offsets come from a count
-    per partition (one row per partition, so the broadcast is bounded by the
-    partition count, not by the data). No step moves all rows to one task.
-    Range bounds are sampled deterministically and the order key is unique,
-    so a recomputed partition gets the same numbers.
+    Rows are cut into key ranges of about equal size at sampled bounds (so
+    one hot key value cannot overload a task), numbered within their range by
+    a window partitioned by range, and shifted by the size of all earlier
+    ranges. The range sizes come from a partial-aggregated count (one row per
+    range, so their broadcast is bounded by the range count, not the data).
+    Bounds are literals in the plan: a recomputed task numbers its rows the
+    same way.
     """
     n = num_partitions or default_partitions(df.sparkSession)
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    parted = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
-    counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_pid", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+    bounds = range_bounds(df, order_by, n)
+    ranged = df.withColumn("_range", range_of(df, order_by, bounds))
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_range", F.coalesce(
+        F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_offset"))
-    return (parted.join(F.broadcast(offsets), "_pid")
-            .withColumn(index_col, F.col("_offset") + F.col("_pos"))
-            .drop("_pid", "_pos", "_offset"))
+    position = F.row_number().over(Window.partitionBy("_range").orderBy(*order_by)) - 1
+    return (ranged.withColumn("_pos", position)
+            .join(F.broadcast(offsets), "_range")
+            .withColumn(index_col, (F.col("_offset") + F.col("_pos")).cast("bigint"))
+            .drop("_range", "_pos", "_offset"))
 
 
 def assign_batches(df: DataFrame, order_by: list[str | Column], size: int,
