@@ -166,8 +166,13 @@ def title_case(c: ColumnOrName) -> Column:
     """Python ``str.title()``: a letter after a non-letter is upper-cased,
     other letters lower-cased (``initcap`` only restarts after spaces)."""
     runs = F.regexp_extract_all(_col(c), F.lit(r"\p{L}+|\P{L}+"), 0)
+
+    def first_upper(ch):
+        # title case of one letter; U+00DF has no one-letter upper case
+        return F.when(ch == "\u00df", F.lit("Ss")).otherwise(F.upper(ch))
+
     titled = F.transform(runs, lambda w: F.when(
-        w.rlike(r"^\p{L}"), F.concat(F.upper(w.substr(1, 1)), F.lower(w.substr(F.lit(2), F.length(w))))
+        w.rlike(r"^\p{L}"), F.concat(first_upper(w.substr(1, 1)), F.lower(w.substr(F.lit(2), F.length(w))))
     ).otherwise(w))
     return F.array_join(titled, "")
 

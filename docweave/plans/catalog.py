@@ -438,3 +438,378 @@ FROM (SELECT conv_id * 100 + turn AS id, text AS context FROM conversations)
 def q_embedding_requests(spark, d):
     emb = X.spark_fixture(spark, d, "conversations", X.CONV_EMBEDDINGS).select("id", "context")
     return files.embedding_requests(tables.assign_batches(emb, ["id"], 1000))
+
+
+# --- E2 / E3 / E5 / E6 / E4 ---------------------------------------------------------------------
+
+def _spark_keyword_rows(spark, d):
+    return T(spark, d, "conversations").selectExpr(
+        "conv_id * 100 + turn AS id", "conv_id AS content_id_id", "turn",
+        "'{\"keywords\": ' || " + X.SPARK_KEYWORDS + " || '}' AS metadata")
+
+
+def _spark_tags(spark, d):
+    words = (T(spark, d, "benchmark")
+             .select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0)).alias("key"))
+             .distinct())
+    indexed = tables.with_row_index(words, ["key"], "row")
+    return indexed.select((F.col("row") + 1).alias("id"), "key", F.col("key").alias("name"))
+
+
+DUCK_KEYWORDS = ("SELECT conv_id * 100 + turn AS id, conv_id AS content_id, turn, unnest(" + X.DUCK_KEYWORDS
+                 + "::JSON::VARCHAR[]) AS keyword FROM conversations")
+DUCK_TAGS = ("SELECT row_number() OVER (ORDER BY key) AS id, key, key AS name FROM "
+             "(SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS key FROM benchmark)")
+_TAG_NAME = D.title("replace(key, '-', ' ')")
+DUCK_NEW_TAGS = (f"SELECT (SELECT max(id) FROM ({DUCK_TAGS})) + row_number() OVER (ORDER BY key) AS id, key, "
+                 f"{_TAG_NAME} AS name FROM (SELECT DISTINCT replace(lower(keyword), ' ', '-') AS key "
+                 f"FROM ({DUCK_KEYWORDS}) WHERE replace(lower(keyword), ' ', '-') NOT IN (SELECT key FROM ({DUCK_TAGS})))")
+DUCK_ALL_TAGS = f"SELECT id, key, name FROM ({DUCK_TAGS}) UNION ALL SELECT id, key, name FROM ({DUCK_NEW_TAGS})"
+DUCK_STORED_PAIRS = (f"SELECT DISTINCT k.content_id, t.id AS tag_id FROM ({DUCK_KEYWORDS}) k "
+                     f"JOIN ({DUCK_TAGS}) t ON t.key = replace(lower(k.keyword), ' ', '-') WHERE k.turn = 0")
+
+
+def _spark_stored_pairs(spark, d, tag_ids):
+    rows = _spark_keyword_rows(spark, d).where("turn = 0")
+    exploded = tags.explode_keywords(rows, id_col="content_id_id", out_id="content_id")
+    existing = _spark_tags(spark, d).select("key", F.col("id").alias("tag_id"))
+    return tags.embedding_tag_pairs(exploded.withColumnRenamed("content_id", "embedding_id"), existing) \
+        .select(F.col("embedding_id").alias("content_id"), "tag_id").distinct()
+
+
+@register("explode_keywords", f"SELECT id AS embedding_id, keyword FROM ({DUCK_KEYWORDS})")
+def q_explode_keywords(spark, d):
+    return tags.explode_keywords(_spark_keyword_rows(spark, d))
+
+
+@register("tags_get_or_create", DUCK_ALL_TAGS)
+def q_tags_get_or_create(spark, d):
+    existing = _spark_tags(spark, d)
+    created, _ = tags.tags_get_or_create(tags.explode_keywords(_spark_keyword_rows(spark, d)), existing)
+    return existing.unionByName(created.select("id", "key", "name"))
+
+
+@register("embedding_tags", f"""
+SELECT k.id AS embedding_id, t.id AS tag_id FROM ({DUCK_KEYWORDS}) k
+JOIN ({DUCK_ALL_TAGS}) t ON t.key = replace(lower(k.keyword), ' ', '-')
+""")
+def q_embedding_tags(spark, d):
+    exploded = tags.explode_keywords(_spark_keyword_rows(spark, d))
+    _, tag_ids = tags.tags_get_or_create(exploded, _spark_tags(spark, d))
+    return tags.embedding_tag_pairs(exploded, tag_ids)
+
+
+@register("new_content_tags", f"""
+SELECT DISTINCT k.content_id, t.id AS tag_id FROM ({DUCK_KEYWORDS}) k
+JOIN ({DUCK_ALL_TAGS}) t ON t.key = replace(lower(k.keyword), ' ', '-')
+WHERE (k.content_id, t.id) NOT IN (SELECT (content_id, tag_id) FROM ({DUCK_STORED_PAIRS}))
+""")
+def q_new_content_tags(spark, d):
+    rows = _spark_keyword_rows(spark, d)
+    exploded = tags.explode_keywords(rows)
+    _, tag_ids = tags.tags_get_or_create(exploded, _spark_tags(spark, d))
+    merged = enrichment.merge_metadata_by_content(rows.select(F.col("content_id_id").alias("content_id"), "id", "metadata"))
+    return tags.new_content_tag_pairs(merged, tag_ids, _spark_stored_pairs(spark, d, tag_ids))
+
+
+DUCK_TYPE_NAMES = ("SELECT p_type AS name FROM part UNION ALL SELECT event_type FROM events "
+                   "UNION ALL SELECT r_name FROM region")
+DUCK_TYPES = "SELECT r_regionkey + 1 AS id, replace(lower(r_name), ' ', '_') AS key, r_name AS name FROM region"
+
+
+@register("types_get_or_create", f"""
+SELECT id, key, name FROM ({DUCK_TYPES})
+UNION ALL
+SELECT (SELECT max(id) FROM ({DUCK_TYPES})) + row_number() OVER (ORDER BY key) AS id, key, name
+FROM (SELECT replace(lower(name), ' ', '_') AS key, min(name) AS name FROM ({DUCK_TYPE_NAMES})
+      WHERE name IS NOT NULL GROUP BY 1) WHERE key NOT IN (SELECT key FROM ({DUCK_TYPES}))
+""")
+def q_types_get_or_create(spark, d):
+    names = (T(spark, d, "part").select(F.col("p_type").alias("name"))
+             .unionByName(T(spark, d, "events").select(F.col("event_type").alias("name")))
+             .unionByName(T(spark, d, "region").select(F.col("r_name").alias("name"))))
+    existing = T(spark, d, "region").select((F.col("r_regionkey") + 1).cast("bigint").alias("id"),
+                                            type_key("r_name").alias("key"), F.col("r_name").alias("name"))
+    created, _ = tags.types_get_or_create(names, existing)
+    return existing.unionByName(created.select("id", "key", "name"))
+
+
+# --- A8 / A9 / A10 / A11 ---------------------------------------------------------------------------------
+
+def _customers(spark, d):
+    return X.spark_fixture(spark, d, "customer", X.CUSTOMERS)
+
+
+DUCK_CUSTOMERS = X.duck_fixture("customer", X.CUSTOMERS)
+
+
+@register("append_rows", f"""
+SELECT id, name, acctbal, segment FROM ({DUCK_CUSTOMERS})
+UNION ALL
+SELECT (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY s_suppkey), s_name, s_acctbal, 'SUPPLIER'
+FROM supplier
+""")
+def q_append_rows(spark, d):
+    rows = T(spark, d, "supplier").select("s_suppkey", F.col("s_name").alias("name"),
+                                          F.col("s_acctbal").alias("acctbal"), F.lit("SUPPLIER").alias("segment"))
+    return tables.append_rows(_customers(spark, d), rows, ["s_suppkey"])
+
+
+CUSTOMER_UPDATES = [
+    "SELECT o_custkey AS id, o_orderkey AS ord, o_totalprice AS acctbal, o_orderpriority AS segment FROM orders",
+    "SELECT o_custkey + 1000000 AS id, o_orderkey AS ord, o_totalprice AS acctbal, 'GHOST' AS segment "
+    "FROM orders WHERE o_orderstatus = 'P'",
+]
+
+
+@register("update_by_key", f"""
+WITH u AS ({CUSTOMER_UPDATES[0]} UNION ALL {CUSTOMER_UPDATES[1]}),
+l AS (SELECT id, arg_max(acctbal, ord) AS acctbal, arg_max(segment, ord) AS segment FROM u GROUP BY id)
+SELECT c.id, CASE WHEN l.id IS NOT NULL THEN l.acctbal ELSE c.acctbal END AS acctbal,
+       CASE WHEN l.id IS NOT NULL THEN l.segment ELSE c.segment END AS segment
+FROM ({DUCK_CUSTOMERS}) c LEFT JOIN l ON l.id = c.id
+""")
+def q_update_by_key(spark, d):
+    orders = T(spark, d, "orders")
+    orders.createOrReplaceTempView("orders")
+    updates = spark.sql(CUSTOMER_UPDATES[0]).unionByName(spark.sql(CUSTOMER_UPDATES[1]))
+    return tables.update_by_key(_customers(spark, d), updates, order_col="ord").select("id", "acctbal", "segment")
+
+
+@register("update_by_content", f"""
+SELECT e.id, e.content_id_id, CASE WHEN o.o_orderkey IS NOT NULL THEN 'batch ' || o.o_orderstatus ELSE e.status END AS status
+FROM ({X.duck_fixture(X.DUCK_LINES, X.LINE_EMBEDDINGS)}) e LEFT JOIN orders o ON o.o_orderkey = e.content_id_id
+""")
+def q_update_by_content(spark, d):
+    values = T(spark, d, "orders").selectExpr("o_orderkey AS content_id_id", "'batch ' || o_orderstatus AS status")
+    return tables.update_by_content(_line_embeddings(spark, d), values).select("id", "content_id_id", "status")
+
+
+@register("delete_by_ids", f"""
+SELECT id, name FROM ({DUCK_CUSTOMERS})
+WHERE id NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')
+""")
+def q_delete_by_ids(spark, d):
+    ids = T(spark, d, "orders").where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'").select("o_custkey")
+    return tables.delete_by_ids(_customers(spark, d), ids).select("id", "name")
+
+
+# --- B2 / B3 / G2 / F1 / G5 / G6 / G7 / G8 / G4 ------------------------------------------------------------
+
+DUCK_ORDER_BATCHES = X.duck_fixture("orders", X.ORDER_BATCHES)
+
+
+@register("pending_batches", f"""
+SELECT id, batch_id, type FROM ({DUCK_ORDER_BATCHES}) WHERE is_complete = false AND type = 'embeddings'
+""")
+def q_pending_batches(spark, d):
+    return lifecycle.pending_batches(_order_batches(spark, d), embeddings_only=True).select("id", "batch_id", "type")
+
+
+@register("completed_batches", f"""
+SELECT b.id, b.batch_id FROM ({DUCK_ORDER_BATCHES}) b JOIN ({X.duck_fixture('orders', X.PROVIDER_STATUS)}) p
+  ON p.batch_id = b.batch_id
+WHERE b.is_complete = false AND b.type = 'embeddings' AND p.status = 'completed'
+""")
+def q_completed_batches(spark, d):
+    pending = lifecycle.pending_batches(_order_batches(spark, d), embeddings_only=True)
+    status = X.spark_fixture(spark, d, "orders", X.PROVIDER_STATUS)
+    return lifecycle.completed_at_provider(pending, status).select("id", "batch_id")
+
+
+DUCK_FLAGGED_ORDERS = "SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'O'"
+
+
+@register("batch_complete", f"""
+SELECT id, CASE WHEN id IN ({DUCK_FLAGGED_ORDERS}) THEN true ELSE is_complete END AS is_complete
+FROM ({DUCK_ORDER_BATCHES})
+""")
+def q_batch_complete(spark, d):
+    ids = T(spark, d, "lineitem").where("l_returnflag = 'R' AND l_linestatus = 'O'").select("l_orderkey").distinct()
+    return lifecycle.mark_batch_complete(_order_batches(spark, d), ids).select("id", "is_complete")
+
+
+def _event_embeddings(spark, d):
+    return X.spark_fixture(spark, d, "events", X.EVENT_EMBEDDINGS)
+
+
+DUCK_EVENT_EMB = X.duck_fixture("events", X.EVENT_EMBEDDINGS)
+DUCK_COMPLETED = f"""
+SELECT content_id_id AS id FROM ({DUCK_EVENT_EMB}) WHERE event_type <> 'click' AND content_id_id IS NOT NULL
+GROUP BY content_id_id HAVING count(CASE WHEN status <> 'complete' THEN 1 END) = 0
+"""
+
+
+@register("completed_contents", DUCK_COMPLETED)
+def q_completed_contents(spark, d):
+    emb = _event_embeddings(spark, d)
+    return lifecycle.completed_contents(emb, emb.where("event_type <> 'click'").select("id"))
+
+
+@register("completed_contents_strict", f"""
+SELECT content_id_id AS id FROM ({DUCK_EVENT_EMB})
+WHERE content_id_id IN (SELECT content_id_id FROM ({DUCK_EVENT_EMB}) WHERE event_type <> 'click')
+GROUP BY content_id_id HAVING count(CASE WHEN status <> 'complete' THEN 1 END) = 0
+""")
+def q_completed_contents_strict(spark, d):
+    emb = _event_embeddings(spark, d)
+    return lifecycle.completed_contents(emb, emb.where("event_type <> 'click'").select("id"), strict=True)
+
+
+@register("content_complete", f"""
+SELECT id, CASE WHEN id IN ({DUCK_COMPLETED}) THEN true ELSE is_complete END AS is_complete FROM ({DUCK_CONTENT})
+""")
+def q_content_complete(spark, d):
+    emb = _event_embeddings(spark, d)
+    done = lifecycle.completed_contents(emb, emb.where("event_type <> 'click'").select("id"))
+    return lifecycle.mark_content_complete(content(spark, d), done).select("id", "is_complete")
+
+
+DUCK_F_LINES = (f"SELECT * FROM ({X.duck_fixture(X.DUCK_LINES, X.LINE_EMBEDDINGS)}) "
+                "WHERE content_id_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+DUCK_ATTACHED = (f"SELECT file_id_id AS file_id, link_id_id AS link_id, product_id_id AS product_id, "
+                 f"place_id_id AS place_id FROM ({DUCK_F_LINES}) WHERE status = 'complete'")
+
+
+def _spark_attached(spark, d):
+    emb = _line_embeddings(spark, d)
+    f_orders = T(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("content_id_id"))
+    ids = emb.join(f_orders, "content_id_id", "left_semi").select("id")
+    return lifecycle.attachments(emb, ids)
+
+
+@register("attachments", DUCK_ATTACHED)
+def q_attachments(spark, d):
+    return _spark_attached(spark, d)
+
+
+@register("links_processed", f"""
+SELECT s_suppkey AS id, CASE WHEN s_suppkey IN (SELECT link_id FROM ({DUCK_ATTACHED}) WHERE link_id IS NOT NULL
+  AND link_id <> 0) THEN 'Processed' ELSE 'pending' END AS status FROM supplier
+""")
+def q_links_processed(spark, d):
+    links = T(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.lit("pending").alias("status"))
+    return lifecycle.mark_processed(links, _spark_attached(spark, d), "link_id")
+
+
+@register("files_processed", f"""
+SELECT p_partkey AS id, CASE WHEN p_partkey IN (SELECT file_id FROM ({DUCK_ATTACHED}) WHERE file_id IS NOT NULL
+  AND file_id <> 0) THEN 'Processed' ELSE 'pending' END AS status FROM part
+""")
+def q_files_processed(spark, d):
+    parts = T(spark, d, "part").select(F.col("p_partkey").alias("id"), F.lit("pending").alias("status"))
+    return lifecycle.mark_processed(parts, _spark_attached(spark, d), "file_id")
+
+
+@register("content_status", f"""
+SELECT id, CASE WHEN id IN (SELECT doc_id FROM labels WHERE toxic = 1) THEN 'pending' ELSE status END AS status
+FROM ({DUCK_CONTENT})
+""")
+def q_content_status(spark, d):
+    ids = T(spark, d, "labels").where("toxic = 1").select("doc_id")
+    return lifecycle.set_content_status(content(spark, d), ids).select("id", "status")
+
+
+def _vector_summary(df, vec="embedding"):
+    return df.select("id", "status", F.size(vec).cast("bigint").alias("dims"),
+                     F.floor(F.get(vec, 0).cast("double") * 1000000).cast("bigint").alias("first_e6"))
+
+
+@register("apply_embeddings", f"""
+WITH v AS (SELECT vec_id AS id, embedding, 0 AS ord FROM embeddings
+           UNION ALL SELECT vec_id, list_reverse(embedding), 1 FROM embeddings WHERE label = 0),
+l AS (SELECT id, arg_max(embedding, ord) AS embedding FROM v GROUP BY id)
+SELECT e.vec_id AS id, CASE WHEN l.id IS NOT NULL THEN 'complete' ELSE 'embedding content' END AS status,
+  CAST(len(l.embedding) AS BIGINT) AS dims, CAST(floor(CAST(l.embedding[1] AS DOUBLE) * 1000000) AS BIGINT) AS first_e6
+FROM embeddings e LEFT JOIN l ON l.id = e.vec_id
+""")
+def q_apply_embeddings(spark, d):
+    emb = T(spark, d, "embeddings")
+    target = emb.select(F.col("vec_id").alias("id"), F.lit(None).cast("array<float>").alias("embedding"),
+                        F.lit("embedding content").alias("status"), F.lit(None).cast("timestamp").alias("updated_at"))
+    ts = F.lit(AS_OF).cast("timestamp")
+    vectors = (emb.select(F.col("vec_id").alias("id"), "embedding", F.lit(0).alias("ord"))
+               .unionByName(emb.where("label = 0").select(F.col("vec_id").alias("id"),
+                                                          F.reverse("embedding").alias("embedding"), F.lit(1).alias("ord")))
+               .withColumn("status", F.lit("complete")).withColumn("updated_at", ts))
+    return _vector_summary(lifecycle.apply_embeddings(target, vectors, order_col="ord"))
+
+
+# --- A5 / A6 / A6b: result lines (built from the tables, parsed as files would be) ----------------------------
+
+def _json_str(x: str, dialect: str) -> str:
+    if dialect == "spark":
+        return f"regexp_extract(to_json(array({x})), '^\\\\[(.*)\\\\]$', 1)"
+    return f"to_json({x})::VARCHAR"
+
+
+def _enrichment_line(dialect: str) -> str:
+    resp = "'{\"content\": \"' || role || '\", \"keywords\": [\"' || role || '\", \"k' || turn || '\"]}'"
+    ok = ("'{\"custom_id\": \"request-' || (conv_id * 100 + turn) || '\", \"response\": {\"status_code\": 200, "
+          "\"body\": {\"choices\": [{\"message\": {\"content\": ' || " + _json_str(resp, dialect) + " || '}}]}}, "
+          "\"error\": null}'")
+    return ("CASE WHEN turn = 3 THEN 'not json' WHEN turn = 6 THEN '' "
+            "WHEN turn = 4 THEN '{\"custom_id\": \"request-x' || conv_id || '\", \"response\": {\"body\": "
+            "{\"choices\": [{\"message\": {\"content\": \"{}\"}}]}}}' "
+            "WHEN turn = 1 AND conv_id % 2 = 0 THEN '{\"custom_id\": \"request-' || (conv_id * 100 + turn) || "
+            "'\", \"response\": null, \"error\": {\"message\": \"failed\"}}' "
+            "WHEN turn = 2 THEN replace(" + ok + ", '\"request-', '\"request-7-') "
+            "ELSE " + ok + " END")
+
+
+@register("parse_enrichment_output", f"""
+SELECT CAST(tail AS BIGINT) AS embedding_id, content AS response FROM (
+  SELECT regexp_extract(json_extract_string(line, '$.custom_id'), '[^-]*$') AS tail,
+         json_extract_string(line, '$.response.body.choices[0].message.content') AS content
+  FROM (SELECT {_enrichment_line('duck')} AS line FROM conversations) WHERE line <> '' AND json_valid(line))
+WHERE regexp_matches(tail, '^[0-9]+$') AND content IS NOT NULL AND json_valid(content) AND json_type(content) = 'OBJECT'
+""")
+def q_parse_enrichment_output(spark, d):
+    lines = T(spark, d, "conversations").selectExpr(f"{_enrichment_line('spark')} AS line", "'conversations' AS file_path")
+    good, _ = files.parse_enrichment_lines(lines.where("line <> ''"))
+    return good
+
+
+def _embedding_line(dialect: str) -> str:
+    vec = "to_json(embedding)" + ("" if dialect == "spark" else "::VARCHAR")
+    body = lambda v, cid: ("'{\"custom_id\": \"request-' || " + cid + " || '\", \"response\": {\"status_code\": 200, "
+                           "\"body\": {\"data\": [{\"embedding\": ' || " + v + " || '}]}}}'")
+    return ("CASE WHEN label = 9 THEN '{\"custom_id\": \"request-' || vec_id || '\", \"response\": null, "
+            "\"error\": {\"message\": \"x\"}}' "
+            f"WHEN label = 3 THEN {body(_json_str(vec, dialect), 'vec_id')} "
+            f"WHEN label = 7 THEN {body(vec, 'vec_id || ' + repr('-9').replace(chr(39), chr(39)))} "
+            f"ELSE {body(vec, 'vec_id')} END")
+
+
+def _duck_vectors(piece: str) -> str:
+    line = _embedding_line("duck")
+    return f"""
+SELECT CAST(tail AS BIGINT) AS id, CAST(CASE WHEN json_type(v) = 'VARCHAR' THEN json_extract_string(v, '$')::JSON
+                                             ELSE v END AS FLOAT[]) AS embedding
+FROM (SELECT {piece} AS tail, json_extract(line, '$.response.body.data[0].embedding') AS v
+      FROM (SELECT {line} AS line FROM embeddings))
+WHERE regexp_matches(tail, '^[0-9]+$') AND v IS NOT NULL
+"""
+
+
+@register("parse_embedding_output", f"""
+SELECT id, 'complete' AS status, CAST(len(embedding) AS BIGINT) AS dims,
+       CAST(floor(CAST(embedding[1] AS DOUBLE) * 1000000) AS BIGINT) AS first_e6
+FROM ({_duck_vectors("regexp_extract(json_extract_string(line, '$.custom_id'), '[^-]*$')")})
+""")
+def q_parse_embedding_output(spark, d):
+    lines = T(spark, d, "embeddings").selectExpr(f"{_embedding_line('spark')} AS line", "'embeddings' AS file_path")
+    good, _ = files.parse_embedding_lines(lines, AS_OF)
+    return _vector_summary(good)
+
+
+@register("parse_embedding_output_table", f"""
+SELECT id, true AS is_complete, CAST(len(embedding) AS BIGINT) AS dims,
+       CAST(floor(CAST(embedding[1] AS DOUBLE) * 1000000) AS BIGINT) AS first_e6
+FROM ({_duck_vectors("string_split(json_extract_string(line, '$.custom_id'), '-')[2]")})
+""")
+def q_parse_embedding_output_table(spark, d):
+    lines = T(spark, d, "embeddings").selectExpr(f"{_embedding_line('spark')} AS line", "'embeddings' AS file_path")
+    good, _ = files.parse_embedding_lines_table(lines)
+    return good.select("id", "is_complete", F.size("embedding").cast("bigint").alias("dims"),
+                       F.floor(F.get("embedding", 0).cast("double") * 1000000).cast("bigint").alias("first_e6"))

@@ -95,7 +95,7 @@ def window_chunks(toks: str = "toks", size: int = CHUNK_SIZE, overlap: int = CHU
 
 def title(x: str) -> str:
     return (f"array_to_string(list_transform(regexp_extract_all({x}, '\\p{{L}}+|\\P{{L}}+'), lambda w: "
-            f"CASE WHEN regexp_matches(w, '^\\p{{L}}') THEN upper(substr(w, 1, 1)) || lower(substr(w, 2)) "
+            f"CASE WHEN regexp_matches(w, '^\\p{{L}}') THEN CASE WHEN substr(w, 1, 1) = chr(223) THEN 'Ss' ELSE upper(substr(w, 1, 1)) END || lower(substr(w, 2)) "
             f"ELSE w END), '')")
 
 
