@@ -116,8 +116,9 @@ def _scalar_piece(e: Column) -> Column:
             .otherwise(""))
 
 
-def metadata_text_v1(c) -> Column:
-    """First metadata rendering (used when embedding rows are made)."""
+def metadata_text_v1(c=None, entries: Column | None = None) -> Column:
+    """First metadata rendering (used when embedding rows are made).
+    Pass ``entries`` when the metadata is already parsed."""
     def piece(e):
         def element(x):
             return F.when(x.type == "dict", F.concat(e.key, F.lit(":\n"), _nested_pairs(x.raw))) \
@@ -125,12 +126,14 @@ def metadata_text_v1(c) -> Column:
         as_list = F.array_join(F.transform(json_elements(e.raw), element), "")
         return F.when(e.type == "list", as_list).otherwise(_scalar_piece(e))
 
+    if entries is not None:
+        return F.concat(F.array_join(F.transform(entries, piece), ""), F.lit("\n\n"))
     c = _c(c)
     text = F.concat(F.array_join(F.transform(json_entries(c), piece), ""), F.lit("\n\n"))
     return F.when(c.isNotNull(), text)
 
 
-def metadata_text_v2(c) -> Column:
+def metadata_text_v2(c=None, entries: Column | None = None) -> Column:
     """Second rendering: empty lists skipped, the first element decides
     the list kind, scalar lists as ``Title(k): a, b`` plus a blank line."""
     def piece(e):
@@ -145,6 +148,8 @@ def metadata_text_v2(c) -> Column:
                    .otherwise(scalar_list))
         return F.when(e.type == "list", as_list).otherwise(_scalar_piece(e))
 
+    if entries is not None:
+        return F.concat(F.array_join(F.transform(entries, piece), ""), F.lit("\n\n"))
     c = _c(c)
     text = F.concat(F.array_join(F.transform(json_entries(c), piece), ""), F.lit("\n\n"))
     return F.when(c.isNotNull(), text)

@@ -28,6 +28,7 @@ from docweave.functions.patterns import (
     STATUS_ADD_TO_BATCH,
 )
 from docweave.functions.text import pretokens, sha256_hex, token_count
+from docweave.session import spread
 
 # --- per-text helper (runs inside Python workers) ----------------------------
 
@@ -137,7 +138,7 @@ def chunk_recursive(df: DataFrame, text_col: str, keep: list[str],
             out[chunk_col] = pd.Series(chunks, dtype=object)
             yield out
 
-    return df.select(*keep, text_col).mapInPandas(run, out_schema)
+    return spread(df.select(*keep, text_col)).mapInPandas(run, out_schema)
 
 
 # --- C3 native variant: windows of pre-tokens ------------------------------------
@@ -157,8 +158,8 @@ def chunk_window(df: DataFrame, text_col: str, keep: list[str], size: int = CHUN
                  overlap: int = CHUNK_OVERLAP, index_col: str = "idx",
                  chunk_col: str = "text") -> DataFrame:
     """Native C3 variant: one row per window chunk."""
-    return (df.select(*keep, F.posexplode(window_chunks(F.col(text_col), size, overlap))
-                      .alias(index_col, chunk_col)))
+    return (spread(df.select(*keep, text_col))
+            .select(*keep, F.posexplode(window_chunks(F.col(text_col), size, overlap)).alias(index_col, chunk_col)))
 
 
 # --- C4: chunk rows ---------------------------------------------------------------
@@ -176,18 +177,16 @@ def chunk_records(chunks: DataFrame, content_id_col: str = "content_id",
 
 # --- C6 / C7: embedding rows from content ----------------------------------------------
 
-def decorate_context(chunk: Column, metadata: Column) -> Column:
-    """C6 context: ``Question: q\\nAnswer: `` before the chunk when the
-    metadata has ``question``; ``\\n\\nMetadata:`` and the D1 text after it
-    when the metadata is not empty."""
-    entries = md.json_entries(metadata)
-    question = md.entry(entries, "question")
-    with_question = F.when(md.has_key(entries, "question"),
-                           F.concat(F.lit("Question: "), md.render(question), F.lit("\nAnswer: "), chunk)
-                           ).otherwise(chunk)
-    return F.when(F.size(entries) > 0,
-                  F.concat(with_question, F.lit("\n\nMetadata:"), md.metadata_text_v1(metadata))
-                  ).otherwise(with_question)
+def context_prefix(entries: Column) -> Column:
+    """``Question: q\\nAnswer: `` when the metadata has ``question``."""
+    return F.when(md.has_key(entries, "question"), F.concat(
+        F.lit("Question: "), md.render(md.entry(entries, "question")), F.lit("\nAnswer: "))).otherwise("")
+
+
+def context_suffix(entries: Column) -> Column:
+    """``\\n\\nMetadata:`` and the D1 text when the metadata is not empty."""
+    return F.when(F.size(entries) > 0, F.concat(
+        F.lit("\n\nMetadata:"), md.metadata_text_v1(entries=entries))).otherwise("")
 
 
 def embedding_records(content: DataFrame, as_of: datetime | str,
@@ -195,11 +194,15 @@ def embedding_records(content: DataFrame, as_of: datetime | str,
     """One embedding row per chunk of each content row (content as
     stored, not normalized). ``tokens`` is counted before decoration."""
     ts = F.lit(as_of).cast("timestamp")
-    keep = ["id", "metadata", "type_id", "user_id_id", "application_id_id"]
+    keep = ["id", "metadata", "type_id", "user_id_id", "application_id_id", "_prefix", "_suffix"]
+    # The metadata is parsed and rendered once per content row, not per chunk.
+    parsed = content.withColumn("_m", md.json_entries("metadata"))
+    decorated = parsed.select("*", context_prefix(F.col("_m")).alias("_prefix"),
+                              context_suffix(F.col("_m")).alias("_suffix"))
     split = chunk_recursive if splitter == "recursive" else chunk_window
-    chunks = split(content, "content", keep, index_col="chunk_idx", chunk_col="chunk")
+    chunks = split(decorated, "content", keep, index_col="chunk_idx", chunk_col="chunk")
     return chunks.select(
-        decorate_context(F.col("chunk"), F.col("metadata")).alias("context"),
+        F.concat("_prefix", "chunk", "_suffix").alias("context"),
         token_count("chunk").alias("tokens"),
         F.col("metadata"),
         F.col("id").alias("content_id_id"),

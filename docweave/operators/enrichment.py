@@ -21,16 +21,15 @@ def _python_text(c: Column) -> Column:
     return F.coalesce(c, F.lit("None"))
 
 
-def enriched_context(context: Column, metadata: Column, response: Column) -> Column:
-    """D4 context from the stored context, metadata and model response."""
-    m = md.json_entries(metadata)
-    r = md.json_entries(response)
+def enriched_context(context: Column, metadata: Column, m: Column, r: Column) -> Column:
+    """D4 context from the stored context, metadata and model response
+    (``m``, ``r``: their parsed entries)."""
     question = F.when(md.has_key(m, "question"),
                       F.concat(F.lit("Question: "), md.render(md.entry(m, "question")), F.lit("\n"))
                       ).otherwise("")
     head = F.when(metadata.isNotNull(), F.concat(
         question, _python_text(context), F.lit("\n\n"),
-        F.lit("Metadata:\n"), md.metadata_text_v2(metadata), F.lit("\n\n"))
+        F.lit("Metadata:\n"), md.metadata_text_v2(entries=m), F.lit("\n\n"))
     ).otherwise(F.concat(_python_text(context), F.lit("\n\n")))
     content = F.when(md.has_key(r, "content"), F.concat(
         F.lit("Rephrased Content: "), md.render(md.entry(r, "content")), F.lit("\n"))).otherwise("")
@@ -42,11 +41,10 @@ def enriched_context(context: Column, metadata: Column, response: Column) -> Col
     return F.concat(head, content, questions, keywords)
 
 
-def enriched_metadata(metadata: Column, response: Column) -> Column:
+def enriched_metadata(m: Column, r: Column) -> Column:
     """D4 metadata: stored keys, then ``questions`` and ``keywords`` (D3
-    cleaned) set in place or appended, as JSON text."""
-    m = md.json_entries(metadata)
-    r = md.json_entries(response)
+    cleaned) set in place or appended, as JSON text (``m``, ``r``: parsed
+    entries of the stored metadata and of the response)."""
     new = {}
     for key in ("questions", "keywords"):
         new[key] = F.when(md.has_key(r, key), F.to_json(md.clean_meta_list(md.entry(r, key))))
@@ -75,10 +73,14 @@ def enrich_embeddings(responses: DataFrame, embeddings: DataFrame,
     """
     emb = embeddings.select("id", "content_id_id", "context", "metadata")
     joined = responses.join(emb, responses["embedding_id"] == emb["id"], "inner")
-    enriched = joined.select(
+    # parse each JSON text once; the expressions below reuse the parsed entries
+    parsed = joined.select("id", "content_id_id", "context", "metadata",
+                           md.json_entries("metadata").alias("_m"), md.json_entries("response").alias("_r"))
+    m, r = F.col("_m"), F.col("_r")
+    enriched = parsed.select(
         F.col("id"), F.col("content_id_id"),
-        enriched_context(F.col("context"), F.col("metadata"), F.col("response")).alias("context"),
-        enriched_metadata(F.col("metadata"), F.col("response")).alias("metadata"),
+        enriched_context(F.col("context"), F.col("metadata"), m, r).alias("context"),
+        enriched_metadata(m, r).alias("metadata"),
         F.lit(as_of).cast("timestamp").alias("updated_at"))
     unmatched = responses.join(emb.select(F.col("id").alias("embedding_id")), "embedding_id", "left_anti")
     return enriched, unmatched
@@ -106,6 +108,9 @@ def merge_metadata_by_content(rows: DataFrame, content_col: str = "content_id",
     entries = entries.select("cid", "ord", "pos", F.col("e.key").alias("key"),
                              F.col("e.type").alias("type"), F.col("e.raw").alias("raw"),
                              md.value_json(F.col("e")).alias("json"))
+    # Three aggregations below read the parsed entries: keep them (spilling to
+    # disk if needed) instead of parsing every JSON text three times.
+    entries = entries.persist()
 
     # Where the last run of one type starts: types seen per key are few (<= 7).
     per_type = entries.groupBy("cid", "key", "type").agg(F.max("ord").alias("last_ord"))

@@ -26,6 +26,7 @@ from docweave.operators import chunking, enrichment, lifecycle, tables, tags
 from docweave.plans import duck as D
 from docweave.plans import fixtures as X
 from docweave.plans.jobs import nonempty_content, preprocess_job
+from docweave.session import spread
 from docweave.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,20 +98,20 @@ def q_embedding_ids_by_content(spark, d):
     f"SELECT doc_id, {X.DIRTY_TEXT} AS dirty FROM documents", ["doc_id"], "dirty", D.normalize_steps()
 ))
 def q_normalize_text(spark, d):
-    docs = T(spark, d, "documents").selectExpr("doc_id", f"{X.DIRTY_TEXT} AS dirty")
+    docs = spread(T(spark, d, "documents")).selectExpr("doc_id", f"{X.DIRTY_TEXT} AS dirty")
     return docs.select("doc_id", normalize_text("dirty").alias("s"))
 
 
 @register("html_to_text", D.chain(
     f"SELECT page_id, {X.PAGE_EXTRA} AS h FROM pages", ["page_id"], "h", D.normalize_steps()))
 def q_html_to_text(spark, d):
-    pages = T(spark, d, "pages").selectExpr("page_id", f"{X.PAGE_EXTRA} AS h")
+    pages = spread(T(spark, d, "pages")).selectExpr("page_id", f"{X.PAGE_EXTRA} AS h")
     return pages.select("page_id", normalize_text("h").alias("s"))
 
 
 @register("token_count", f"SELECT doc_id, {D.token_count('text')} AS token_count FROM documents")
 def q_token_count(spark, d):
-    return T(spark, d, "documents").select("doc_id", token_count("text").alias("token_count"))
+    return spread(T(spark, d, "documents")).select("doc_id", token_count("text").alias("token_count"))
 
 
 @register("chunk_window", f"""
@@ -135,7 +136,7 @@ def _duck_chunk_records() -> str:
 
 @register("chunk_records", _duck_chunk_records())
 def q_chunk_records(spark, d):
-    docs = T(spark, d, "documents").selectExpr("doc_id AS content_id", f"{X.DIRTY_TEXT} AS dirty")
+    docs = spread(T(spark, d, "documents")).selectExpr("doc_id AS content_id", f"{X.DIRTY_TEXT} AS dirty")
     clean = docs.select("content_id", normalize_text("dirty").alias("text"))
     return chunking.chunk_records(chunking.chunk_window(clean, "text", ["content_id"]))
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from docweave.functions.patterns import BATCH_SIZE
 from docweave.functions.text import normalize_text
 from docweave.operators import chunking, enrichment, lifecycle, tables, tags
-from docweave.session import ensure_checkpoint_dir
+from docweave.session import ensure_checkpoint_dir, spread
 from docweave.sources import files
 
 
@@ -36,7 +36,7 @@ def stage(df: DataFrame) -> DataFrame:
 
 def preprocess_job(content: DataFrame, splitter: str = "recursive") -> DataFrame:
     """Content -> B1 -> C1 -> C3 -> C4: chunk rows for every non-empty content."""
-    clean = nonempty_content(content).select(
+    clean = spread(nonempty_content(content)).select(
         F.col("id").alias("content_id"), normalize_text("content").alias("text"))
     split = chunking.chunk_recursive if splitter == "recursive" else chunking.chunk_window
     chunks = split(clean, "text", ["content_id"])

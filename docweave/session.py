@@ -63,3 +63,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def default_partitions(spark: SparkSession) -> int:
     """Partition count for explicit range/hash repartitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def spread(df):
+    """Give CPU-heavy per-row work (regex, chunking) at least one task per
+    core. Large inputs already have more splits than cores and are left as
+    they are (no shuffle); a few big files get a round-robin repartition."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores * 2)
+    return df
