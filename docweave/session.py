@@ -69,6 +69,8 @@ def spread(df):
     """Give CPU-heavy per-row work (regex, chunking) at least one task per
     core. Large inputs already have more splits than cores and are left as
     they are (no shuffle); a few big files get a round-robin repartition."""
+    if df.isStreaming:
+        return df
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:

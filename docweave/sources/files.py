@@ -48,8 +48,11 @@ def read_tabular(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     else:
         raise ValueError(f"unsupported tabular format: {fmt}")
     df = df.where(F.col("_metadata.file_size") < MAX_INPUT_BYTES)
+    # pandas names an empty first header "Unnamed: 0"; Spark's CSV reader names it "_c0"
     if DROPPED_COLUMN in df.columns:
         df = df.drop(DROPPED_COLUMN)
+    elif fmt == "csv" and df.columns and df.columns[0] == "_c0":
+        df = df.drop("_c0")
     return df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns])
 
 
