@@ -73,6 +73,28 @@ def _pretoken_pattern() -> str:
 
 PRETOKEN_PATTERN = _pretoken_pattern()
 
+
+def _java_pretoken_pattern() -> str:
+    """The cl100k pre-tokenizer itself, for Java regex (which has lookahead and
+    possessive quantifiers), with ``\\s`` spelled as Unicode White_Space and
+    ``$`` as end of input."""
+    s = f"[{WS_CHARS}]"
+    punct = f"[^{WS_CHARS}\\p{{L}}\\p{{N}}]"
+    return (
+        "'(?i:[sdmt]|ll|ve|re)"
+        "|[^\\r\\n\\p{L}\\p{N}]?+\\p{L}++"
+        "|\\p{N}{1,3}+"
+        f"| ?{punct}++[\\r\\n]*+"
+        f"|{s}++\\z"
+        f"|{s}*[\\r\\n]"
+        f"|{s}+(?!{NON_WS})"
+        f"|{s}"
+    )
+
+
+NON_WS = f"[^{WS_CHARS}]"
+JAVA_PRETOKEN_PATTERN = _java_pretoken_pattern()
+
 # Control characters dropped by normalization: U+0000-001F except TAB, LF, CR.
 CONTROL_CHARS = "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]"
 # Word character as Python's re understands it (letters, digits, underscore).

@@ -18,7 +18,7 @@ from pyspark.sql.types import BooleanType, DataType, StringType
 from docweave.functions.patterns import (
     CONTROL_CHARS,
     HTML_ENTITIES,
-    PRETOKEN_PATTERN,
+    JAVA_PRETOKEN_PATTERN,
     QUOTE_DASH_FROM,
     QUOTE_DASH_TO,
     STRIP_CHARS,
@@ -106,21 +106,11 @@ def normalize_text(c: ColumnOrName, *, html: bool = True, unicode_nfc: bool = Tr
 
 # --- C2: cl100k pre-tokens ----------------------------------------------------
 
-def _pretoken_groups(c: ColumnOrName) -> tuple[Column, Column]:
-    pattern = F.lit(PRETOKEN_PATTERN)
-    return F.regexp_extract_all(_col(c), pattern, 0), F.regexp_extract_all(_col(c), pattern, 1)
-
-
 def pretokens(c: ColumnOrName) -> Column:
-    """cl100k pre-tokenizer pieces of a text, in order; they join back to it."""
-    whole, head = _pretoken_groups(c)
-
-    def split_match(m: Column, g: Column) -> Column:
-        g = F.coalesce(g, F.lit(""))
-        return F.when(g == "", F.array(m)).otherwise(
-            F.array(g, m.substr(F.length(g) + 1, F.length(m))))
-
-    return F.flatten(F.zip_with(whole, head, split_match))
+    """cl100k pre-tokenizer pieces of a text, in order; they join back to it.
+    One pass of the public pre-tokenizer pattern (Java regex runs its
+    lookahead and possessive quantifiers as written)."""
+    return F.regexp_extract_all(_col(c), F.lit(JAVA_PRETOKEN_PATTERN), 0)
 
 
 def token_count(c: ColumnOrName) -> Column:
@@ -130,9 +120,7 @@ def token_count(c: ColumnOrName) -> Column:
     of the exact cl100k count (the vocabulary file is not shipped).
     """
     c = _col(c)
-    head = F.regexp_extract_all(c, F.lit(PRETOKEN_PATTERN), 1)
-    n = F.size(head) + F.size(F.filter(head, lambda x: x != ""))
-    return F.when(c.isNotNull(), n.cast("bigint"))
+    return F.when(c.isNotNull(), F.size(pretokens(c)).cast("bigint"))
 
 
 # --- C5: context string -------------------------------------------------------

@@ -109,12 +109,15 @@ def with_row_index(df: DataFrame, order_by: list[str], index_col: str = "row_ind
     n = num_partitions or default_partitions(df.sparkSession)
     bounds = range_bounds(df, order_by, n)
     ranged = df.withColumn("_range", range_of(df, order_by, bounds))
-    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    position = F.row_number().over(Window.partitionBy("_range").orderBy(*order_by)) - 1
+    positioned = ranged.withColumn("_pos", position)
+    # Range sizes read the numbered rows, so this branch and the main one
+    # share the same shuffle of the input (Spark reuses the exchange).
+    counts = positioned.groupBy("_range").agg((F.max("_pos") + 1).alias("_n"))
     offsets = counts.select("_range", F.coalesce(
         F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_offset"))
-    position = F.row_number().over(Window.partitionBy("_range").orderBy(*order_by)) - 1
-    return (ranged.withColumn("_pos", position)
+    return (positioned
             .join(F.broadcast(offsets), "_range")
             .withColumn(index_col, (F.col("_offset") + F.col("_pos")).cast("bigint"))
             .drop("_range", "_pos", "_offset"))
