@@ -41,7 +41,7 @@ def pretoken_len(text: str) -> int:
     if _pretoken_re is None:
         import regex
         _pretoken_re = regex.compile(CL100K_PAT_STR)
-    return sum(1 for _ in _pretoken_re.finditer(text))
+    return len(_pretoken_re.findall(text))
 
 
 def _pieces(text: str, sep: str) -> list[str]:
@@ -52,14 +52,14 @@ def _pieces(text: str, sep: str) -> list[str]:
     return [p for p in out if p]
 
 
-def _merge(pieces: list[str], size: int, overlap: int, length: Callable[[str], int]) -> list[str]:
-    """Greedy merge of small pieces into chunks of at most ``size``, carrying
-    at most ``overlap`` tokens of trailing pieces into the next chunk."""
+def _merge(pieces: list[tuple[str, int]], size: int, overlap: int) -> list[str]:
+    """Greedy merge of small (piece, length) pairs into chunks of at most
+    ``size``, carrying at most ``overlap`` tokens of trailing pieces into the
+    next chunk."""
     chunks: list[str] = []
     window: list[tuple[str, int]] = []
     total = 0
-    for piece in pieces:
-        n = length(piece)
+    for piece, n in pieces:
         if total + n > size and window:
             chunk = "".join(p for p, _ in window).strip()
             if chunk:
@@ -88,20 +88,21 @@ def split_recursive(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVER
             sep, rest = candidate, separators[i + 1:]
             break
     chunks: list[str] = []
-    small: list[str] = []
+    small: list[tuple[str, int]] = []
     for piece in _pieces(text, sep):
-        if length(piece) < size:
-            small.append(piece)
+        n = length(piece)
+        if n < size:
+            small.append((piece, n))
             continue
         if small:
-            chunks += _merge(small, size, overlap, length)
+            chunks += _merge(small, size, overlap)
             small = []
         if rest:
             chunks += split_recursive(piece, size, overlap, rest, length)
         else:
             chunks.append(piece)
     if small:
-        chunks += _merge(small, size, overlap, length)
+        chunks += _merge(small, size, overlap)
     return chunks
 
 
