@@ -114,8 +114,8 @@ LINE_EMBEDDINGS = [
 EVENT_EMBEDDINGS = [
     "event_id AS id", "user_id AS content_id_id",
     "CASE WHEN event_type = 'error' THEN NULL"
-    " WHEN event_type = 'signup' AND value > 50 THEN 'embedding content'"
-    " WHEN event_type = 'click' AND value > 80 THEN 'embedding content' ELSE 'complete' END AS status",
+    " WHEN event_type = 'signup' AND value > 250 THEN 'embedding content'"
+    " WHEN event_type = 'click' AND value > 200 THEN 'embedding content' ELSE 'complete' END AS status",
     "event_type",
 ]
 

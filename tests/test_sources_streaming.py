@@ -68,3 +68,52 @@ def test_stream_chunks_equals_batch_and_replay_is_safe(spark, tmp_path):
     q2 = stream_chunks(spark, str(src), docs.schema, sink, ckpt)
     q2.awaitTermination()
     assert spark.read.parquet(sink).count() == batch.count()
+
+
+def test_stream_enrichment_and_completion(spark, tmp_path):
+    from docweave.streaming.jobs import stream_completion, stream_enrichment
+
+    emb = spark.createDataFrame(
+        [(1, 100, "c1", '{"a": 1}', "add to batch", None, 7, 3, None, None),
+         (2, 100, "c2", None, "add to batch", None, None, None, None, None)],
+        "id long, content_id_id long, context string, metadata string, status string, batch_id_id long, "
+        "link_id_id long, file_id_id long, product_id_id long, place_id_id long") \
+        .withColumn("embedding", F.lit(None).cast("array<float>")).withColumn("updated_at", F.lit(None).cast("timestamp"))
+    content = spark.createDataFrame([(100, None, False, "active")], "id long, metadata string, is_complete boolean, status string") \
+        .withColumn("updated_at", F.lit(None).cast("timestamp"))
+    tag_table = spark.createDataFrame([], "id long, key string, name string, created_at timestamp, updated_at timestamp")
+    ctags = spark.createDataFrame([], "content_id long, tag_id long")
+    batches = spark.createDataFrame([(5, "e5", "embeddings", False)], "id long, batch_id string, type string, is_complete boolean") \
+        .withColumn("created_at", F.lit(None).cast("timestamp")).withColumn("updated_at", F.lit(None).cast("timestamp"))
+    tables = lambda: {"embeddings": emb, "content": content, "tags": tag_table, "content_tags": ctags,
+                      "batches": batches, "source_batch_ids": spark.createDataFrame([(5,)], "id long")}
+    src = tmp_path / "chat"
+    src.mkdir()
+    line = {"custom_id": "request-1", "response": {"body": {"choices": [{"message": {
+        "content": json.dumps({"keywords": ["k one"]})}}]}}}
+    (src / "part1.jsonl").write_text(json.dumps(line) + "\nnot json\n")
+    out = tmp_path / "out2"
+    q = stream_enrichment(spark, str(src), tables, str(out), str(tmp_path / "ck2"), "2024-01-01 00:00:00")
+    q.awaitTermination()
+    got = spark.read.parquet(str(out / "embeddings"))
+    assert got.where("id = 1").first().context.endswith("Keywords: k one")
+    assert spark.read.parquet(str(out / "bad_lines")).count() == 1
+    assert spark.read.parquet(str(out / "new_tags")).first().key == "k-one"
+
+    vec_src = tmp_path / "vec"
+    vec_src.mkdir()
+    (vec_src / "v.jsonl").write_text("\n".join(json.dumps(
+        {"custom_id": f"request-{i}", "response": {"body": {"data": [{"embedding": [0.5, 0.25]}]}}}) for i in (1, 2)))
+    links = spark.createDataFrame([(7, "pending")], "id long, status string")
+    ftab = spark.createDataFrame([(3, "pending")], "id long, status string")
+    tables3 = lambda: {"embeddings": emb, "batches": batches, "batch_ids": spark.createDataFrame([(5,)], "id long"),
+                       "content": content, "links": links, "files": ftab}
+    out3 = tmp_path / "out3"
+    q3 = stream_completion(spark, str(vec_src), tables3, str(out3), str(tmp_path / "ck3"), "2024-01-01 00:00:00")
+    q3.awaitTermination()
+    assert spark.read.parquet(str(out3 / "content")).first().is_complete is True
+    assert spark.read.parquet(str(out3 / "links")).first().status == "Processed"
+    # replay from the same checkpoint: nothing new, folders unchanged
+    q3b = stream_completion(spark, str(vec_src), tables3, str(out3), str(tmp_path / "ck3"), "2024-01-01 00:00:00")
+    q3b.awaitTermination()
+    assert spark.read.parquet(str(out3 / "embeddings")).count() == 2
