@@ -160,7 +160,8 @@ def chunk_window(df: DataFrame, text_col: str, keep: list[str], size: int = CHUN
                  chunk_col: str = "text") -> DataFrame:
     """Native C3 variant: one row per window chunk."""
     return (spread(df.select(*keep, text_col))
-            .select(*keep, F.posexplode(window_chunks(F.col(text_col), size, overlap)).alias(index_col, chunk_col)))
+            .select(*keep, F.posexplode_outer(window_chunks(F.col(text_col), size, overlap)).alias(index_col, chunk_col))
+            .where(F.col(index_col).isNotNull()))
 
 
 # --- C4: chunk rows ---------------------------------------------------------------

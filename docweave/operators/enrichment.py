@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.functions import metadata as md
+from docweave.session import spread
 
 
 # --- D4 -----------------------------------------------------------------------------
@@ -74,7 +75,7 @@ def enrich_embeddings(responses: DataFrame, embeddings: DataFrame,
     emb = embeddings.select("id", "content_id_id", "context", "metadata")
     joined = responses.join(emb, responses["embedding_id"] == emb["id"], "inner")
     # parse each JSON text once; the expressions below reuse the parsed entries
-    parsed = joined.select("id", "content_id_id", "context", "metadata",
+    parsed = spread(joined).select("id", "content_id_id", "context", "metadata",
                            md.json_entries("metadata").alias("_m"), md.json_entries("response").alias("_r"))
     m, r = F.col("_m"), F.col("_r")
     enriched = parsed.select(
@@ -102,9 +103,9 @@ def merge_metadata_by_content(rows: DataFrame, content_col: str = "content_id",
     values (null too) take the last. Keys keep first-seen order.
     Output: (id, metadata) with metadata as JSON text.
     """
-    entries = rows.select(
+    entries = spread(rows).select(
         F.col(content_col).alias("cid"), F.col(order_col).alias("ord"),
-        F.posexplode(md.json_entries(F.col(metadata_col))).alias("pos", "e"))
+        F.posexplode_outer(md.json_entries(F.col(metadata_col))).alias("pos", "e")).where(F.col("pos").isNotNull())
     entries = entries.select("cid", "ord", "pos", F.col("e.key").alias("key"),
                              F.col("e.type").alias("type"), F.col("e.raw").alias("raw"),
                              md.value_json(F.col("e")).alias("json"))
@@ -130,14 +131,16 @@ def merge_metadata_by_content(rows: DataFrame, content_col: str = "content_id",
         F.first("run_type").alias("run_type"))
 
     list_items = (run.where(F.col("run_type") == "list")
-                  .select("cid", "key", F.explode(_element_jsons(F.col("raw"))).alias("item"))
+                  .select("cid", "key", F.explode_outer(_element_jsons(F.col("raw"))).alias("item"))
+                  .where(F.col("item").isNotNull())
                   .distinct()
                   .groupBy("cid", "key")
                   .agg(F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("item")), ","),
                                 F.lit("]")).alias("union_json")))
 
     dict_pairs = (run.where(F.col("run_type") == "dict")
-                  .select("cid", "key", "ord", F.posexplode(md.json_entries(F.col("raw"))).alias("p2", "e2"))
+                  .select("cid", "key", "ord", F.posexplode_outer(md.json_entries(F.col("raw"))).alias("p2", "e2"))
+                  .where(F.col("p2").isNotNull())
                   .groupBy("cid", "key", F.col("e2.key").alias("k2"))
                   .agg(F.max_by(md.value_json(F.col("e2")), "ord").alias("j2"),
                        F.min(F.struct("ord", "p2")).alias("f2")))

@@ -10,24 +10,38 @@ from pyspark.sql import functions as F
 from docweave.functions import metadata as md
 from docweave.functions.text import slug_key, title_name, type_key
 from docweave.operators.tables import allocate_ids
+from docweave.session import spread
 
 
-def metadata_keywords(metadata) -> "F.Column":
-    """The ``keywords`` list of a metadata JSON text (empty when absent)."""
-    e = md.entry(md.json_entries(metadata), "keywords")
-    return F.coalesce(F.when(e.isNotNull(), md.clean_meta_list(e)), F.array().cast("array<string>"))
+def with_keywords(df: DataFrame, metadata_col: str = "metadata", out: str = "_keywords") -> DataFrame:
+    """Add the ``keywords`` list of the metadata JSON (empty when absent).
+
+    The JSON is parsed once into a column of its own; the list is built from
+    that column in a second projection, so the text is not parsed again for
+    every field the list cleaning reads."""
+    parsed = spread(df).withColumn("_kw_entry", md.entry(md.json_entries(F.col(metadata_col)), "keywords"))
+    e = F.col("_kw_entry")
+    keywords = F.coalesce(F.when(e.isNotNull(), md.clean_meta_list(e)), F.array().cast("array<string>"))
+    return parsed.withColumn(out, keywords).drop("_kw_entry")
 
 
 def explode_keywords(enriched: DataFrame, id_col: str = "id",
                      out_id: str = "embedding_id") -> DataFrame:
-    """One (embedding_id, keyword) row per keyword; none when missing."""
-    return enriched.select(F.col(id_col).alias(out_id),
-                           F.explode(metadata_keywords(F.col("metadata"))).alias("keyword"))
+    """One (embedding_id, keyword) row per keyword; none when missing.
+
+    ``explode_outer`` + a null filter instead of ``explode``: for ``explode``
+    Spark infers a ``size(list) > 0`` filter and pushes it below, where it
+    would parse every JSON text a second time."""
+    rows = with_keywords(enriched.select(F.col(id_col).alias(out_id), "metadata"))
+    return rows.select(out_id, F.explode_outer("_keywords").alias("keyword")).where(F.col("keyword").isNotNull())
 
 
 def _get_or_create(keys: DataFrame, dim: DataFrame, as_of: datetime | str | None) -> tuple[DataFrame, DataFrame]:
     """Shared E3/E4 step. ``keys``: (key, name) candidates, one per key.
     Returns (new dimension rows, key -> id for every requested key)."""
+    # The distinct keys are read by the id allocation (twice) and the final
+    # mapping; their number is the vocabulary size, so keeping them is cheap.
+    keys = keys.persist()
     existing = dim.select("id", "key")
     new = keys.join(existing.select("key"), "key", "left_anti")
     created = allocate_ids(new, dim, ["key"])
@@ -74,8 +88,8 @@ def new_content_tag_pairs(merged: DataFrame, tag_ids: DataFrame,
                           stored_pairs: DataFrame) -> DataFrame:
     """Distinct (content_id, tag_id) from the merged content keywords,
     minus the pairs already stored."""
-    pairs = (merged.select(F.col("id").alias("content_id"),
-                           F.explode(metadata_keywords(F.col("metadata"))).alias("keyword"))
+    pairs = (with_keywords(merged.select(F.col("id").alias("content_id"), "metadata"))
+             .select("content_id", F.explode_outer("_keywords").alias("keyword")).where(F.col("keyword").isNotNull())
              .withColumn("key", slug_key("keyword")).join(tag_ids, "key")
              .select("content_id", "tag_id").distinct())
     return pairs.join(stored_pairs.select("content_id", "tag_id"), ["content_id", "tag_id"], "left_anti")
