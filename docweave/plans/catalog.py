@@ -25,7 +25,7 @@ from docweave.functions.text import (
 from docweave.operators import chunking, enrichment, lifecycle, tables, tags
 from docweave.plans import duck as D
 from docweave.plans import fixtures as X
-from docweave.plans.jobs import nonempty_content, preprocess_job
+from docweave.plans.jobs import nonempty_content, preprocess_job, stage
 from docweave.session import spread
 from docweave.sources import files
 
@@ -395,7 +395,8 @@ def q_assign_batches(spark, d):
 
 
 def _line_embeddings(spark, d):
-    return X.spark_lines(spark, d).selectExpr(*X.LINE_EMBEDDINGS)
+    # a stored table in the pipeline: written once, not renumbered per use
+    return stage(X.spark_lines(spark, d).selectExpr(*X.LINE_EMBEDDINGS))
 
 
 def _order_batches(spark, d):
@@ -425,7 +426,7 @@ JOIN ({DUCK_NEW_BATCHES}) nb ON nb.batch_no = b.batch_no
 """)
 def q_mark_in_batch(spark, d):
     emb = _line_embeddings(spark, d)
-    assigned = tables.assign_batches(emb.select("id", "context"), ["id"], 1000)
+    assigned = stage(tables.assign_batches(emb.select("id"), ["id"], 1000))
     created = lifecycle.create_batches(assigned, _order_batches(spark, d))
     return lifecycle.mark_in_batch(emb, assigned, created).select("id", "batch_id_id", "status")
 
@@ -454,7 +455,7 @@ def _spark_tags(spark, d):
              .select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0)).alias("key"))
              .distinct())
     indexed = tables.with_row_index(words, ["key"], "row")
-    return indexed.select((F.col("row") + 1).alias("id"), "key", F.col("key").alias("name"))
+    return stage(indexed.select((F.col("row") + 1).alias("id"), "key", F.col("key").alias("name")))
 
 
 DUCK_KEYWORDS = ("SELECT conv_id * 100 + turn AS id, conv_id AS content_id, turn, unnest(" + X.DUCK_KEYWORDS

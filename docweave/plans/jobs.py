@@ -82,12 +82,16 @@ def enrich_job(responses: DataFrame, embeddings: DataFrame, content: DataFrame,
     content_new = tables.update_by_key(content, overlay, as_of=as_of)
     content_tags = tags.new_content_tag_pairs(merged, tag_ids, content_tag_table)
 
-    assigned = tables.assign_batches(enriched.select("id", "context"), ["id"], batch_size)
+    # (id, batch_no) is read by batch creation, status updates and request
+    # lines; it is small (two numbers per row), so write it once.
+    assigned = tables.assign_batches(enriched.select("id"), ["id"], batch_size)
+    if materialize:
+        assigned = stage(assigned)
     created = lifecycle.create_batches(assigned, batches, as_of=as_of)
     batches_new = lifecycle.mark_batch_complete(batches, source_batch_ids).unionByName(
         created.select(*batches.columns))
     embeddings_new = lifecycle.mark_in_batch(updated, assigned, created)
-    requests = files.embedding_requests(assigned)
+    requests = files.embedding_requests(assigned.join(enriched.select("id", "context"), "id"))
     quarantine = unmatched.select(F.lit("unmatched").alias("reason"),
                                   F.col("embedding_id").cast("string").alias("detail"))
     return EnrichOutputs(embeddings_new, new_tags, emb_tags, content_new, content_tags,
