@@ -840,3 +840,25 @@ def q_stream_chunks(spark, d):
     q = stream_chunks(spark, staged, schema, f"{root}/chunks", f"{root}/ckpt")
     q.awaitTermination()
     return spark.read.parquet(f"{root}/chunks")
+
+
+# --- A4: tabular files (written from the customer table, read back) -------------------------
+
+@register("read_tabular", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, coalesce(c_name, '') AS c_name,
+       CAST(c_nationkey AS VARCHAR) AS c_nationkey, CAST(c_acctbal AS VARCHAR) AS c_acctbal,
+       coalesce(c_mktsegment, '') AS c_mktsegment
+FROM customer
+""")
+def q_read_tabular(spark, d):
+    """The customer table written as CSV files (with a leading unnamed index
+    column, as pandas writes it), then read by A4."""
+    import uuid
+
+    from docweave.session import ensure_checkpoint_dir
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabular-{uuid.uuid4().hex}"
+    cust = T(spark, d, "customer")
+    (cust.select(F.lit("").alias("Unnamed: 0"), *cust.columns)
+     .write.option("header", True).csv(path))
+    return files.read_tabular(spark, path, "csv")

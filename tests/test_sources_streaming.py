@@ -117,3 +117,9 @@ def test_stream_enrichment_and_completion(spark, tmp_path):
     q3b = stream_completion(spark, str(vec_src), tables3, str(out3), str(tmp_path / "ck3"), "2024-01-01 00:00:00")
     q3b.awaitTermination()
     assert spark.read.parquet(str(out3 / "embeddings")).count() == 2
+
+
+def test_read_tabular_json_records(spark, tmp_path):
+    pd.DataFrame({"a": [1, 2], "b": ["x", None]}).to_json(tmp_path / "t.json", orient="records")
+    df = files.read_tabular(spark, str(tmp_path / "t.json"), "json")
+    assert sorted(tuple(r) for r in df.select("a", "b").collect()) == [("1", "x"), ("2", "")]
