@@ -27,9 +27,19 @@ def nonempty_content(content: DataFrame, col: str = "content") -> DataFrame:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Cut lineage by writing to the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write ``df`` once as a parquet table in the shared
+    checkpoint folder (``spark.checkpoint.dir``) and read it back.
+
+    One write job (``Dataset.checkpoint`` without a cached input computes the
+    plan twice), and later plans start from a file scan with real sizes, so
+    AQE can choose joins from them. A lost executor re-reads the files.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 # --- stage 1 ----------------------------------------------------------------------------
