@@ -11,6 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType
 
 from docweave.session import default_partitions
 
@@ -52,6 +53,7 @@ def delete_by_ids(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
 # --- E1 core: consecutive numbering without a single-partition window ------------------
 
 _SAMPLE_PER_RANGE = 20
+_CASE_TREE_MAX = 127   # most bounds searched by a codegen'd nested CASE
 
 
 def range_bounds(df: DataFrame, order_by: list[str], ranges: int) -> list[tuple]:
@@ -76,7 +78,8 @@ def range_bounds(df: DataFrame, order_by: list[str], ranges: int) -> list[tuple]
 def range_of(df: DataFrame, order_by: list[str], bounds: list[tuple]) -> Column:
     """Range number of a row: how many bounds are <= its key, found by a
     binary search written as nested CASE (log2(len(bounds)) comparisons,
-    codegen'd). Monotone in the key, so ranges are ordered like the keys."""
+    codegen'd). Monotone in the key, so ranges are ordered like the keys.
+    Used for up to 127 bounds (larger trees outgrow generated-code limits)."""
     types = {f.name: f.dataType for f in df.schema.fields}
     key = F.struct(*[F.col(c) for c in order_by])
 
@@ -93,6 +96,31 @@ def range_of(df: DataFrame, order_by: list[str], bounds: list[tuple]) -> Column:
     return search(0, len(bounds))
 
 
+def _with_range(df: DataFrame, order_by: list[str], ranges: int) -> DataFrame:
+    """``df`` plus ``_range``, the key range of each row.
+
+    A single numeric key may use any number of ranges: Spark's ``Bucketizer``
+    does the binary search in the JVM (bucket i holds splits[i] <= x <
+    splits[i+1], i.e. i = number of bounds <= x). Other keys use the CASE
+    search and at most 128 ranges.
+    """
+    numeric = (len(order_by) == 1 and isinstance(
+        df.schema[order_by[0]].dataType, (LongType, IntegerType, ShortType, ByteType, DoubleType, FloatType)))
+    if not numeric:
+        ranges = min(ranges, _CASE_TREE_MAX + 1)
+    bounds = range_bounds(df, order_by, ranges)
+    if numeric and len(bounds) > _CASE_TREE_MAX:
+        from pyspark.ml.feature import Bucketizer
+        splits = sorted({float(b[0]) for b in bounds})
+        # doubles keep long order (non-decreasing), so ranges stay ordered
+        bucketizer = Bucketizer(splits=[float("-inf")] + splits + [float("inf")],
+                                inputCol="_range_key", outputCol="_range_d")
+        keyed = df.withColumn("_range_key", F.col(order_by[0]).cast("double"))
+        return (bucketizer.transform(keyed).withColumn("_range", F.col("_range_d").cast("int"))
+                .drop("_range_key", "_range_d"))
+    return df.withColumn("_range", range_of(df, order_by, bounds))
+
+
 def with_row_index(df: DataFrame, order_by: list[str], index_col: str = "row_index",
                    num_partitions: int | None = None) -> DataFrame:
     """Add a 0-based consecutive index in ``order_by`` order.
@@ -107,8 +135,7 @@ def with_row_index(df: DataFrame, order_by: list[str], index_col: str = "row_ind
     same way.
     """
     n = num_partitions or default_partitions(df.sparkSession)
-    bounds = range_bounds(df, order_by, n)
-    ranged = df.withColumn("_range", range_of(df, order_by, bounds))
+    ranged = _with_range(df, order_by, n)
     position = F.row_number().over(Window.partitionBy("_range").orderBy(*order_by)) - 1
     positioned = ranged.withColumn("_pos", position)
     # Range sizes read the numbered rows, so this branch and the main one

@@ -74,3 +74,13 @@ def test_processed_ids_skip_null_and_zero(spark):
     att = spark.createDataFrame([(None, 1), (0, 2), (5, 2), (5, None)], "file_id long, link_id long")
     assert sorted(r.id for r in lifecycle.processed_ids(att, "file_id").collect()) == [5]
     assert sorted(r.id for r in lifecycle.processed_ids(att, "link_id").collect()) == [1, 2]
+
+
+def test_row_index_many_ranges(spark):
+    # more ranges than the CASE search handles: numeric keys use Bucketizer,
+    # other keys are capped; both must number densely in key order
+    df = spark.range(20000).select(((F.col("id") * 7919) % 20011).alias("k"), (F.col("id") % 4).alias("g"))
+    for keys in (["k"], ["g", "k"]):
+        rows = tables.with_row_index(df, keys, "i", num_partitions=400).collect()
+        ordered = sorted(rows, key=lambda r: tuple(r[k] for k in keys))
+        assert [r.i for r in ordered] == list(range(20000)), keys
