@@ -115,7 +115,7 @@ def q_token_count(spark, d):
 
 
 @register("chunk_window", f"""
-SELECT doc_id, generate_subscripts(chunks, 1) - 1 AS idx, unnest(chunks) AS text
+SELECT doc_id, CAST(generate_subscripts(chunks, 1) - 1 AS INTEGER) AS idx, unnest(chunks) AS text
 FROM (SELECT doc_id, {D.window_chunks()} AS chunks
       FROM ({D.pretokens_select('SELECT doc_id, text FROM documents', ['doc_id'], 'text')}))
 """)
