@@ -78,3 +78,28 @@ def test_entry_smoke(spark):
     assert df.columns == ["context_version_id", "idx", "text", "text_sha256", "token_count"]
     assert df.count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_token_boundaries():
+    def words(n):
+        return "a" + " a" * (n - 1)          # n pre-tokens: "a", " a", ...
+    assert pretoken_len(words(400)) == 400
+    assert split_recursive(words(400)) == [words(400)]
+    two = split_recursive(words(401))
+    assert len(two) == 2 and pretoken_len(two[0]) == 400 and pretoken_len(two[1]) == 201
+    six = split_recursive(words(600))
+    assert len(six) == 2 and pretoken_len(six[1]) == 400       # the last 200 carried over
+    assert split_recursive("word") == ["word"]
+
+
+def test_single_piece_above_size_splits_by_character():
+    text = "1" * 1500                         # no separator; 500 pre-tokens
+    chunks = split_recursive(text)
+    assert all(len(c) <= 400 for c in chunks)
+    assert "".join(c[200:] if i else c for i, c in enumerate(chunks)) == text   # 200-char overlaps
+
+
+def test_special_token_text_and_emoji_are_text():
+    assert pretoken_len("<|endoftext|>") == 3
+    assert pretoken_len("\U0001F600\U0001F600 ok") == 2
+    assert split_recursive("hi <|endoftext|> there \U0001F600") == ["hi <|endoftext|> there \U0001F600"]
