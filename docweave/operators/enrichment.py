@@ -73,9 +73,9 @@ def enrich_embeddings(responses: DataFrame, embeddings: DataFrame,
     ``embeddings``: (id, content_id_id, context, metadata).
     """
     emb = embeddings.select("id", "content_id_id", "context", "metadata")
-    joined = responses.join(emb, responses["embedding_id"] == emb["id"], "inner")
+    joined = spread(responses).join(emb, responses["embedding_id"] == emb["id"], "inner")
     # parse each JSON text once; the expressions below reuse the parsed entries
-    parsed = spread(joined).select("id", "content_id_id", "context", "metadata",
+    parsed = joined.select("id", "content_id_id", "context", "metadata",
                            md.json_entries("metadata").alias("_m"), md.json_entries("response").alias("_r"))
     m, r = F.col("_m"), F.col("_r")
     enriched = parsed.select(

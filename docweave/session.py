@@ -73,6 +73,20 @@ def spread(df):
         return df
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if planned_partitions(df) < cores:
         return df.repartition(cores * 2)
     return df
+
+
+def planned_partitions(df) -> int:
+    """Partition count of ``df`` when it can be read without running
+    anything: a plan without exchanges (scans and narrow steps) gives its
+    RDD's split count. Behind an exchange, building the RDD would run the
+    upstream stages under AQE, so such frames count as large (left alone)."""
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        if "Exchange" in plan or "Subquery" in plan:
+            return 1 << 30
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - planning detail unavailable: leave df as it is
+        return 1 << 30
