@@ -821,27 +821,28 @@ def q_parse_embedding_output_table(spark, d):
 
 @register("stream_chunks")
 def q_stream_chunks(spark, d):
-    """S1 with ``availableNow``: every document file in ``d`` flows through
-    normalize + recursive chunking into a parquet sink in the shared
-    checkpoint folder; the result is that sink's table."""
+    """S1 with ``availableNow``: the documents file flows through normalize +
+    recursive chunking into a parquet sink in the shared checkpoint folder;
+    the result is that sink's table."""
     import uuid
 
     from docweave.session import ensure_checkpoint_dir
     from docweave.streaming.jobs import stream_chunks
 
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream_chunks-{uuid.uuid4().hex}"
-    schema = T(spark, d, "documents").selectExpr("doc_id AS id", "text AS content").schema
-    source = spark.readStream.schema(T(spark, d, "documents").schema).option("pathGlobFilter", "documents.parquet")
-    content = source.parquet(d).selectExpr("doc_id AS id", "text AS content")
-    # stream_chunks reads files of (id, content); stage them as such once
-    staged = f"{root}/content"
-    (content.writeStream.format("parquet").option("path", staged)
-     .option("checkpointLocation", f"{root}/stage_ckpt").trigger(availableNow=True).start().awaitTermination())
-    q = stream_chunks(spark, staged, schema, f"{root}/chunks", f"{root}/ckpt")
+    q = stream_chunks(spark, d, T(spark, d, "documents").schema, f"{root}/chunks", f"{root}/ckpt",
+                      columns=["doc_id AS id", "text AS content"], path_glob="documents.parquet")
     q.awaitTermination()
     return spark.read.parquet(f"{root}/chunks")
 
 
+@register("embedding_records_recursive")
+def q_embedding_records_recursive(spark, d):
+    """C6 with the reference's recursive splitter (the oracle-checked
+    ``embedding_records`` uses the native window splitter)."""
+    return chunking.embedding_records(content(spark, d), AS_OF, splitter="recursive")
+
+
 # --- A4: tabular files (written from the customer table, read back) -------------------------
 
 @register("read_tabular", """

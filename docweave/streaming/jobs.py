@@ -35,12 +35,22 @@ def _trigger(writer, available_now: bool):
 
 def stream_chunks(spark: SparkSession, content_path: str, content_schema: StructType | str,
                   sink_path: str, checkpoint: str, available_now: bool = True,
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Chunk rows for every newly arrived content row."""
+                  max_files_per_trigger: int | None = None, columns: list[str] | None = None,
+                  path_glob: str | None = None) -> StreamingQuery:
+    """Chunk rows for every newly arrived content row.
+
+    ``columns`` maps the files' columns to (id, content) as SQL expressions
+    (default: they are already named so); ``path_glob`` limits which files
+    of the folder are read."""
     reader = spark.readStream.schema(content_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    chunks = preprocess_job(reader.parquet(content_path))
+    if path_glob:
+        reader = reader.option("pathGlobFilter", path_glob)
+    content = reader.parquet(content_path)
+    if columns:
+        content = content.selectExpr(*columns)
+    chunks = preprocess_job(content)
     writer = (chunks.writeStream.format("parquet").option("path", sink_path)
               .option("checkpointLocation", checkpoint).outputMode("append"))
     return _trigger(writer, available_now).start()
@@ -71,7 +81,7 @@ def stream_enrichment(spark: SparkSession, results_path: str, tables: Callable[[
         good, bad = files.parse_enrichment_lines(batch)
         t = tables()
         out = enrich_job(good, t["embeddings"], t["content"], t["tags"], t["content_tags"], t["batches"],
-                         t["source_batch_ids"], as_of, materialize=False)
+                         t["source_batch_ids"], as_of, materialize=True)   # enriched rows written once per epoch
         result = dict(vars(out))
         result["bad_lines"] = bad
         return result

@@ -123,3 +123,12 @@ def test_read_tabular_json_records(spark, tmp_path):
     pd.DataFrame({"a": [1, 2], "b": ["x", None]}).to_json(tmp_path / "t.json", orient="records")
     df = files.read_tabular(spark, str(tmp_path / "t.json"), "json")
     assert sorted(tuple(r) for r in df.select("a", "b").collect()) == [("1", "x"), ("2", "")]
+
+
+def test_write_request_files(spark, tmp_path):
+    df = spark.range(2500).selectExpr("id", "concat('ctx ', id) AS context", "CAST(id DIV 1000 AS BIGINT) AS batch_no")
+    files.write_embedding_requests(df, str(tmp_path / "req"))
+    back = spark.read.text(str(tmp_path / "req"))
+    counts = {r.batch_no: r["count"] for r in back.groupBy("batch_no").count().collect()}
+    assert counts == {0: 1000, 1: 1000, 2: 500}
+    assert json.loads(back.where("batch_no = 2").first().value)["custom_id"].startswith("request-2")
