@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.functions import metadata as md
-from docweave.session import spread
+from docweave.session import keep, spread
 
 
 # --- D4 -----------------------------------------------------------------------------
@@ -111,7 +111,7 @@ def merge_metadata_by_content(rows: DataFrame, content_col: str = "content_id",
                              md.value_json(F.col("e")).alias("json"))
     # Three aggregations below read the parsed entries: keep them (spilling to
     # disk if needed) instead of parsing every JSON text three times.
-    entries = entries.persist()
+    entries = keep(entries)
 
     # Where the last run of one type starts: types seen per key are few (<= 7).
     per_type = entries.groupBy("cid", "key", "type").agg(F.max("ord").alias("last_ord"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docweave.functions import metadata as md
 from docweave.functions.text import slug_key, title_name, type_key
 from docweave.operators.tables import allocate_ids
-from docweave.session import spread
+from docweave.session import keep, spread
 
 
 def with_keywords(df: DataFrame, metadata_col: str = "metadata", out: str = "_keywords") -> DataFrame:
@@ -41,7 +41,7 @@ def _get_or_create(keys: DataFrame, dim: DataFrame, as_of: datetime | str | None
     Returns (new dimension rows, key -> id for every requested key)."""
     # The distinct keys are read by the id allocation (twice) and the final
     # mapping; their number is the vocabulary size, so keeping them is cheap.
-    keys = keys.persist()
+    keys = keep(keys)
     existing = dim.select("id", "key")
     new = keys.join(existing.select("key"), "key", "left_anti")
     created = allocate_ids(new, dim, ["key"])

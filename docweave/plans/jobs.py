@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from docweave.functions.patterns import BATCH_SIZE
 from docweave.functions.text import normalize_text
 from docweave.operators import chunking, enrichment, lifecycle, tables, tags
-from docweave.session import ensure_checkpoint_dir, spread
+from docweave.session import ensure_checkpoint_dir, release_kept, spread
 from docweave.sources import files
 
 
@@ -136,8 +136,11 @@ def complete_job(vectors: DataFrame, embeddings: DataFrame, batches: DataFrame,
 
 def write_outputs(outputs, root: str) -> None:
     """Write each output frame as a parquet table version under ``root``."""
-    for name, df in vars(outputs).items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
+    try:
+        for name, df in vars(outputs).items():
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+    finally:
+        release_kept()
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -90,3 +90,20 @@ def planned_partitions(df) -> int:
         return df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - planning detail unavailable: leave df as it is
         return 1 << 30
+
+
+_kept: list = []
+
+
+def keep(df):
+    """Persist an intermediate that several branches of a plan read, and
+    remember it so ``release_kept`` can drop it once the outputs are written
+    (streams call it after every epoch, so caches do not pile up)."""
+    df = df.persist()
+    _kept.append(df)
+    return df
+
+
+def release_kept() -> None:
+    while _kept:
+        _kept.pop().unpersist()

@@ -26,6 +26,7 @@ from pyspark.sql.types import StructType
 
 from docweave.operators import lifecycle
 from docweave.plans.jobs import complete_job, enrich_job, preprocess_job
+from docweave.session import release_kept
 from docweave.sources import files
 
 
@@ -64,8 +65,11 @@ def _lines_stream(spark: SparkSession, path: str) -> DataFrame:
 
 def _epoch_writer(root: str, write: Callable[[DataFrame, int], dict[str, DataFrame]]):
     def run(batch: DataFrame, epoch: int) -> None:
-        for name, df in write(batch, epoch).items():
-            df.write.mode("overwrite").parquet(f"{root}/{name}/epoch={epoch}")
+        try:
+            for name, df in write(batch, epoch).items():
+                df.write.mode("overwrite").parquet(f"{root}/{name}/epoch={epoch}")
+        finally:
+            release_kept()
     return run
 
 
