@@ -198,7 +198,7 @@ def embedding_records(content: DataFrame, as_of: datetime | str,
     ts = F.lit(as_of).cast("timestamp")
     keep = ["id", "metadata", "type_id", "user_id_id", "application_id_id", "_prefix", "_suffix"]
     # The metadata is parsed and rendered once per content row, not per chunk.
-    parsed = content.withColumn("_m", md.json_entries("metadata"))
+    parsed = spread(content).withColumn("_m", md.json_entries("metadata"))
     decorated = parsed.select("*", context_prefix(F.col("_m")).alias("_prefix"),
                               context_suffix(F.col("_m")).alias("_suffix"))
     split = chunk_recursive if splitter == "recursive" else chunk_window
