@@ -1,0 +1,60 @@
+"""Exact cl100k BPE token counts, when the vocabulary file is available.
+
+The default counter (``text.token_count``) counts cl100k pre-tokens natively
+and needs no vocabulary. With the public ``cl100k_base.tiktoken`` file at a
+path every executor can read, ``bpe_token_count`` counts real BPE tokens in
+an Arrow-batched pandas UDF, and ``bpe_length(path)`` gives the recursive
+splitter the same length function the reference uses. Special-token text is
+encoded as ordinary text.
+"""
+
+from __future__ import annotations
+
+import base64
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
+
+from docweave.functions.patterns import CL100K_PAT_STR, ENCODING_NAME
+
+_encodings: dict = {}
+
+
+def load_encoding(vocab_path: str):
+    """A tiktoken encoding from a ``.tiktoken`` file (base64 token, rank per
+    line) and the public cl100k pre-tokenizer pattern; cached per process."""
+    if vocab_path not in _encodings:
+        import tiktoken
+
+        ranks: dict[bytes, int] = {}
+        with open(vocab_path, "rb") as fh:
+            for line in fh.read().splitlines():
+                if line.strip():
+                    token, rank = line.split()
+                    ranks[base64.b64decode(token)] = int(rank)
+        _encodings[vocab_path] = tiktoken.Encoding(
+            ENCODING_NAME, pat_str=CL100K_PAT_STR, mergeable_ranks=ranks, special_tokens={})
+    return _encodings[vocab_path]
+
+
+def bpe_length(vocab_path: str):
+    """Length function (text -> BPE token count) for ``split_recursive``."""
+    def length(text: str) -> int:
+        return len(load_encoding(vocab_path).encode_ordinary(text))
+    return length
+
+
+def bpe_token_count(c, vocab_path: str) -> Column:
+    """BPE token count per row (``BIGINT``), null for null text."""
+    @F.pandas_udf(LongType())
+    def count(texts: pd.Series) -> pd.Series:
+        enc = load_encoding(vocab_path)
+        values = texts.tolist()
+        counts = enc.encode_ordinary_batch([t for t in values if t is not None])
+        it = iter(counts)
+        return pd.Series([None if t is None else len(next(it)) for t in values], dtype="Int64")
+
+    c = F.col(c) if isinstance(c, str) else c
+    return count(c)

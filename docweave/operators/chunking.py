@@ -110,17 +110,25 @@ def split_recursive(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVER
 
 def chunk_recursive(df: DataFrame, text_col: str, keep: list[str],
                     size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
-                    index_col: str = "idx", chunk_col: str = "text") -> DataFrame:
+                    index_col: str = "idx", chunk_col: str = "text",
+                    vocab_path: str | None = None) -> DataFrame:
     """One row per chunk: ``keep`` columns, chunk index (from 0), chunk text.
 
     Work is per text, so there is no shuffle: each task splits the texts of
-    its own input split. Null texts give no rows.
+    its own input split. Null texts give no rows. Lengths are cl100k
+    pre-token counts, or exact BPE counts when ``vocab_path`` names the
+    cl100k vocabulary file (readable by every executor).
     """
     fields = {f.name: f for f in df.schema.fields}
     out_schema = StructType([fields[k] for k in keep] + [
         StructField(index_col, IntegerType(), False), StructField(chunk_col, StringType(), False)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if vocab_path:
+            from docweave.functions.tokens import bpe_length
+            length = bpe_length(vocab_path)
+        else:
+            length = pretoken_len
         for pdf in batches:
             cols = {k: [] for k in keep}
             idx, chunks = [], []
@@ -129,7 +137,7 @@ def chunk_recursive(df: DataFrame, text_col: str, keep: list[str],
             for row, text in enumerate(texts):
                 if text is None:
                     continue
-                for i, chunk in enumerate(split_recursive(text, size, overlap)):
+                for i, chunk in enumerate(split_recursive(text, size, overlap, length=length)):
                     for k, values in zip(keep, kept):
                         cols[k].append(values[row])
                     idx.append(i)
@@ -167,14 +175,20 @@ def chunk_window(df: DataFrame, text_col: str, keep: list[str], size: int = CHUN
 # --- C4: chunk rows ---------------------------------------------------------------
 
 def chunk_records(chunks: DataFrame, content_id_col: str = "content_id",
-                  index_col: str = "idx", chunk_col: str = "text") -> DataFrame:
+                  index_col: str = "idx", chunk_col: str = "text",
+                  vocab_path: str | None = None) -> DataFrame:
     """C4: (context_version_id, idx, text, text_sha256, token_count)."""
+    if vocab_path:
+        from docweave.functions.tokens import bpe_token_count
+        count = bpe_token_count(chunk_col, vocab_path)
+    else:
+        count = token_count(chunk_col)
     return chunks.select(
         F.col(content_id_col).alias("context_version_id"),
         F.col(index_col).alias("idx"),
         F.col(chunk_col).alias("text"),
         sha256_hex(chunk_col).alias("text_sha256"),
-        token_count(chunk_col).alias("token_count"))
+        count.alias("token_count"))
 
 
 # --- C6 / C7: embedding rows from content ----------------------------------------------

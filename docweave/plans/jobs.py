@@ -44,13 +44,18 @@ def stage(df: DataFrame) -> DataFrame:
 
 # --- stage 1 ----------------------------------------------------------------------------
 
-def preprocess_job(content: DataFrame, splitter: str = "recursive") -> DataFrame:
-    """Content -> B1 -> C1 -> C3 -> C4: chunk rows for every non-empty content."""
+def preprocess_job(content: DataFrame, splitter: str = "recursive",
+                   vocab_path: str | None = None) -> DataFrame:
+    """Content -> B1 -> C1 -> C3 -> C4: chunk rows for every non-empty content.
+    ``vocab_path`` (the cl100k vocabulary file) switches lengths and counts
+    from pre-tokens to exact BPE tokens."""
     clean = spread(nonempty_content(content)).select(
         F.col("id").alias("content_id"), normalize_text("content").alias("text"))
-    split = chunking.chunk_recursive if splitter == "recursive" else chunking.chunk_window
-    chunks = split(clean, "text", ["content_id"])
-    return chunking.chunk_records(chunks)
+    if splitter == "recursive":
+        chunks = chunking.chunk_recursive(clean, "text", ["content_id"], vocab_path=vocab_path)
+    else:
+        chunks = chunking.chunk_window(clean, "text", ["content_id"])
+    return chunking.chunk_records(chunks, vocab_path=vocab_path)
 
 
 # --- stage 2 ----------------------------------------------------------------------------
