@@ -93,3 +93,40 @@ def test_overlay(spark):
     got = [json.loads(r.o) for r in df.select(overlay_json(F.col("cur"), F.col("new")).alias("o")).collect()]
     assert got == [{"a": 1, "b": None, "c": [1]}, {"c": 2}, {"a": 1, "d": {"e": "f"}}]
     assert list(got[0]) == ["a", "b", "c"]
+
+
+def test_enrich_hand_rows(spark):
+    from docweave.operators.enrichment import enrich_embeddings
+    emb = spark.createDataFrame([
+        (1, 10, "c1", None),                                         # no metadata
+        (2, 10, "c2", json.dumps({"question": "Why?", "n": 1})),     # metadata with question
+        (3, 11, "c3", json.dumps({"keywords": ["old"]})),
+        (4, 11, "c4", "{}"),
+    ], "id long, content_id_id long, context string, metadata string")
+    resp = spark.createDataFrame([
+        (1, json.dumps({"questions": ["a?", "b?"], "keywords": "solo"})),   # no content; keywords string
+        (2, json.dumps({"content": "R", "keywords": {"k1": 1, "k2": 2}})),  # no questions; keywords dict
+        (3, json.dumps({"content": "R3", "questions": "x? y?"})),           # no keywords
+        (4, json.dumps({"keywords": ["p", "q"]})),                          # list
+        (9, json.dumps({"content": "lost"})),                               # unknown id
+    ], "embedding_id long, response string")
+    enriched, unmatched = enrich_embeddings(resp, emb, "2024-01-01 00:00:00")
+    e = {r.id: r for r in enriched.collect()}
+    assert e[1].context == "c1\n\nAdditional Sample Questions: a? b?\nKeywords: solo"
+    assert json.loads(e[1].metadata) == {"questions": ["a?", "b?"], "keywords": ["solo"]}
+    assert e[2].context == ("Question: Why?\nc2\n\nMetadata:\nQuestion: Why?; N: 1; \n\n\n\n"
+                            "Rephrased Content: R\nKeywords: k1 k2")
+    assert json.loads(e[2].metadata) == {"question": "Why?", "n": 1, "keywords": ["k1", "k2"]}
+    assert e[3].context == "c3\n\nMetadata:\nKeywords: old\n\n\n\n\n\nRephrased Content: R3\nAdditional Sample Questions: x? y?\n"
+    assert json.loads(e[3].metadata) == {"keywords": ["old"], "questions": ["x?", "y?"]}
+    assert e[4].context == "c4\n\nMetadata:\n\n\n\n\nKeywords: p q"
+    assert [r.embedding_id for r in unmatched.collect()] == [9]
+
+
+def test_new_content_tags_skip_stored_pairs(spark):
+    from docweave.operators.tags import new_content_tag_pairs
+    merged = spark.createDataFrame([(1, json.dumps({"keywords": ["A b", "c", "c"]})), (2, json.dumps({}))],
+                                   "id long, metadata string")
+    ids = spark.createDataFrame([("a-b", 10), ("c", 11)], "key string, tag_id long")
+    stored = spark.createDataFrame([(1, 10)], "content_id long, tag_id long")
+    assert [tuple(r) for r in new_content_tag_pairs(merged, ids, stored).collect()] == [(1, 11)]
