@@ -876,3 +876,66 @@ def q_read_tabular(spark, d):
     (cust.select(F.lit("").alias("Unnamed: 0"), *cust.columns)
      .write.option("header", True).csv(path))
     return files.read_tabular(spark, path, "csv")
+
+
+# --- S2 / S3: the stage-2 and stage-3 streams over result lines built from the tables -----------
+
+def _stream_root(spark, name):
+    import uuid
+
+    from docweave.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("stream_completion")
+def q_stream_completion(spark, d):
+    """S3 with ``availableNow``: one result line per row of ``embeddings``
+    (some errored, some string-encoded) lands as text files; the stream
+    parses them and runs the completion job. Returns the content table it
+    wrote (is_complete per content)."""
+    from docweave.streaming.jobs import stream_completion
+
+    root = _stream_root(spark, "stream_completion")
+    emb = T(spark, d, "embeddings")
+    emb.selectExpr(f"{_embedding_line('spark')} AS value").write.text(f"{root}/lines")
+    target = emb.selectExpr(
+        "vec_id AS id", "CAST(label AS BIGINT) AS content_id_id", "'embedding content' AS status",
+        "CASE WHEN vec_id % 3 = 0 THEN label + 1 END AS link_id_id", "CAST(label AS BIGINT) AS file_id_id",
+        "CAST(NULL AS BIGINT) AS product_id_id", "CAST(NULL AS BIGINT) AS place_id_id",
+        "CAST(NULL AS BIGINT) AS batch_id_id", "CAST(NULL AS ARRAY<FLOAT>) AS embedding",
+        "CAST(NULL AS TIMESTAMP) AS updated_at")
+    batches = _order_batches(spark, d)
+    tables_now = lambda: {
+        "embeddings": target, "batches": batches,
+        "batch_ids": lifecycle.pending_batches(batches, embeddings_only=True).select("id"),
+        "content": content(spark, d).select("id", "is_complete", "status"),
+        "links": T(spark, d, "supplier").selectExpr("s_suppkey AS id", "'pending' AS status"),
+        "files": T(spark, d, "part").selectExpr("p_partkey AS id", "'pending' AS status")}
+    q = stream_completion(spark, f"{root}/lines", tables_now, f"{root}/out", f"{root}/ckpt", AS_OF)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out/content").select("id", "is_complete")
+
+
+@register("stream_enrichment")
+def q_stream_enrichment(spark, d):
+    """S2 with ``availableNow``: chat result lines built from every
+    conversation turn land as text files; the stream parses them and runs the
+    enrichment job. Returns the embedding table it wrote."""
+    from docweave.streaming.jobs import stream_enrichment
+
+    root = _stream_root(spark, "stream_enrichment")
+    T(spark, d, "conversations").selectExpr(f"{_enrichment_line('spark')} AS value").write.text(f"{root}/lines")
+    emb = _spark_conv_embeddings(spark, d).select("id", "content_id_id", "context", "metadata").selectExpr(
+        "*", "'add to batch' AS status", "CAST(NULL AS BIGINT) AS batch_id_id")
+    tag_table = _spark_tags(spark, d).selectExpr("*", "CAST(NULL AS TIMESTAMP) AS created_at",
+                                                 "CAST(NULL AS TIMESTAMP) AS updated_at")
+    batches = _order_batches(spark, d).selectExpr("*", "CAST(NULL AS TIMESTAMP) AS created_at",
+                                                  "CAST(NULL AS TIMESTAMP) AS updated_at")
+    tables_now = lambda: {
+        "embeddings": emb, "content": content(spark, d).select("id", "metadata", "is_complete", "status"),
+        "tags": tag_table, "content_tags": spark.createDataFrame([], "content_id long, tag_id long"),
+        "batches": batches,
+        "source_batch_ids": lifecycle.pending_batches(batches, embeddings_only=True).select("id")}
+    q = stream_enrichment(spark, f"{root}/lines", tables_now, f"{root}/out", f"{root}/ckpt", AS_OF)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out/embeddings").select("id", "content_id_id", "context", "status", "batch_id_id")
