@@ -26,7 +26,8 @@ def lookup(df: DataFrame, ids: DataFrame, columns: list[str] | None = None,
     its measured size) and never duplicates rows.
     """
     id_col = ids.columns[0]
-    matched = df.join(ids.select(F.col(id_col).alias(key)).distinct(), key, "left_semi")
+    # a semi join never repeats a row, so the id side needs no distinct (no extra shuffle)
+    matched = df.join(ids.select(F.col(id_col).alias(key)), key, "left_semi")
     return matched.select(*(columns or df.columns))
 
 
@@ -39,15 +40,14 @@ def child_ids(children: DataFrame, parent_ids: DataFrame, parent_key: str = "con
               child_key: str = "id") -> DataFrame:
     """A3: ids of the children of the given parents, nulls dropped."""
     pid = parent_ids.columns[0]
-    return (children.join(parent_ids.select(F.col(pid).alias(parent_key)).distinct(),
-                          parent_key, "left_semi")
+    return (children.join(parent_ids.select(F.col(pid).alias(parent_key)), parent_key, "left_semi")
             .where(F.col(child_key).isNotNull()).select(child_key))
 
 
 def delete_by_ids(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
     """Rows whose key is not in ``ids``."""
     id_col = ids.columns[0]
-    return df.join(ids.select(F.col(id_col).alias(key)).distinct(), key, "left_anti")
+    return df.join(ids.select(F.col(id_col).alias(key)), key, "left_anti")
 
 
 # --- E1 core: consecutive numbering without a single-partition window ------------------
