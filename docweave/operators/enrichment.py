@@ -109,19 +109,23 @@ def merge_metadata_by_content(rows: DataFrame, content_col: str = "content_id",
     entries = entries.select("cid", "ord", "pos", F.col("e.key").alias("key"),
                              F.col("e.type").alias("type"), F.col("e.raw").alias("raw"),
                              md.value_json(F.col("e")).alias("json"))
-    # Three aggregations below read the parsed entries: keep them (spilling to
-    # disk if needed) instead of parsing every JSON text three times.
+    # Two steps below read the parsed entries: keep them (spilling to disk if
+    # needed) instead of parsing every JSON text twice.
     entries = keep(entries)
 
     # Where the last run of one type starts: types seen per key are few (<= 7).
-    per_type = entries.groupBy("cid", "key", "type").agg(F.max("ord").alias("last_ord"))
+    # The same two aggregations also give each key's first appearance (its
+    # place in the output object).
+    per_type = entries.groupBy("cid", "key", "type").agg(
+        F.max("ord").alias("last_ord"), F.min(F.struct("ord", "pos")).alias("first"))
     runs = per_type.groupBy("cid", "key").agg(
         F.max_by("type", "last_ord").alias("run_type"),
-        F.sort_array(F.collect_list(F.struct("last_ord", "type")), asc=False).alias("seen"))
+        F.sort_array(F.collect_list(F.struct("last_ord", "type")), asc=False).alias("seen"),
+        F.min("first").alias("first"))
+    first_seen = runs.select("cid", "key", "first")
     runs = runs.select("cid", "key", "run_type", F.coalesce(
         F.get(F.filter("seen", lambda s: s.type != F.col("run_type")), 0).last_ord,
         F.lit(None).cast("bigint")).alias("break_ord"))
-    first_seen = entries.groupBy("cid", "key").agg(F.min(F.struct("ord", "pos")).alias("first"))
 
     run = (entries.join(runs, ["cid", "key"])
            .where(F.col("break_ord").isNull() | (F.col("ord") > F.col("break_ord"))))
