@@ -126,9 +126,15 @@ class CompleteOutputs:
 
 def complete_job(vectors: DataFrame, embeddings: DataFrame, batches: DataFrame, batch_ids: DataFrame,
                  content: DataFrame, links: DataFrame, file_table: DataFrame,
-                 as_of: datetime | str, strict: bool = False) -> CompleteOutputs:
-    """A6 output -> G4 -> {G2, F1 -> G5, G6 -> G7}."""
+                 as_of: datetime | str, strict: bool = False, materialize: bool = True) -> CompleteOutputs:
+    """A6 output -> G4 -> {G2, F1 -> G5, G6 -> G7}.
+
+    The new embedding table is read by three outputs (itself, F1, G6); with
+    ``materialize`` it is written once and they read the written copy instead
+    of each repeating the update join over the whole table."""
     embeddings_new = lifecycle.apply_embeddings(embeddings, vectors)
+    if materialize:
+        embeddings_new = stage(embeddings_new)
     ids = vectors.select("id").distinct()
     batches_new = lifecycle.mark_batch_complete(batches, batch_ids)
     done = lifecycle.completed_contents(embeddings_new, ids, strict=strict)
