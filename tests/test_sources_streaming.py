@@ -1,7 +1,6 @@
 """A4 tabular files, A5/A6/A6b result files with bad lines, A7 request lines,
 and S1: a stream equals the batch job and a rerun adds nothing."""
 import json
-import os
 
 import pandas as pd
 from pyspark.sql import functions as F
