@@ -86,8 +86,8 @@ def nfc(c: ColumnOrName) -> Column:
 def html_to_text(c: ColumnOrName) -> Column:
     """Text nodes of an HTML string joined by LF.
 
-    script/style/noscript are removed, a link holding a single string and an
-    href becomes ``text (href)``, an image with alt text becomes
+    script/style/noscript are removed, a link with an href holding a single
+    string (directly or inside one child element) becomes ``text (href)``, an image with alt text becomes
     ``[image: alt]``; each run of tags and comments becomes one LF, and
     entities are decoded last. ``<x>`` is a throwaway tag that keeps the
     replaced pieces on their own lines.
@@ -96,6 +96,9 @@ def html_to_text(c: ColumnOrName) -> Column:
     s = F.regexp_replace(s, r"(?is)<(script|style|noscript)\b[^>]*>.*?</\1\s*>", "<x>")
     s = F.regexp_replace(s, r'(?is)<a\b[^>]*?\bhref="([^"]+)"[^>]*>\s*([^<]+?)\s*</a\s*>',
                          "<x>$2 ($1)<x>")
+    # a link whose only child is one element holding one string
+    s = F.regexp_replace(s, r'(?is)<a\b[^>]*?\bhref="([^"]+)"[^>]*><[a-z][a-z0-9]*\b[^>]*>\s*([^<]+?)\s*'
+                            r'</[a-z][a-z0-9]*\s*></a\s*>', "<x>$2 ($1)<x>")
     s = F.regexp_replace(s, r'(?is)<img\b[^>]*?\balt="([^"]+)"[^>]*>', "<x>[image: $1]<x>")
     s = F.regexp_replace(s, r"(?s)(?:<!--.*?-->|<[/!?a-zA-Z][^>]*>)+", "\n")
     for entity, char in HTML_ENTITIES:

@@ -47,6 +47,8 @@ def html(x: str) -> str:
         s = f"regexp_replace({s}, {q(f'(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>')}, '<x>', 'g')"
     s = (f"regexp_replace({s}, {q('(?is)<a\\b[^>]*?\\bhref=\"([^\"]+)\"[^>]*>\\s*([^<]+?)\\s*</a\\s*>')}, "
          f"'<x>\\2 (\\1)<x>', 'g')")
+    s = (f"regexp_replace({s}, {q('(?is)<a\\b[^>]*?\\bhref=\"([^\"]+)\"[^>]*><[a-z][a-z0-9]*\\b[^>]*>\\s*([^<]+?)\\s*'
+                                  '</[a-z][a-z0-9]*\\s*></a\\s*>')}, '<x>\\2 (\\1)<x>', 'g')")
     s = f"regexp_replace({s}, {q('(?is)<img\\b[^>]*?\\balt=\"([^\"]+)\"[^>]*>')}, '<x>[image: \\1]<x>', 'g')"
     s = f"regexp_replace({s}, {q('(?s)(?:<!--.*?-->|<[/!?a-zA-Z][^>]*>)+')}, {LF}, 'g')"
     for entity, char in HTML_ENTITIES:
