@@ -150,7 +150,7 @@ def with_row_index(df: DataFrame, order_by: list[str], index_col: str = "row_ind
             .drop("_range", "_pos", "_offset"))
 
 
-def assign_batches(df: DataFrame, order_by: list[str | Column], size: int,
+def assign_batches(df: DataFrame, order_by: list[str], size: int,
                    batch_col: str = "batch_no", num_partitions: int | None = None) -> DataFrame:
     """Consecutive groups of at most ``size`` rows in ``order_by`` order."""
     indexed = with_row_index(df, order_by, "_row", num_partitions)
@@ -164,7 +164,7 @@ def next_id_base(target: DataFrame, key: str = "id") -> Column:
     return target.select(F.coalesce(F.max(key), F.lit(0)).cast("bigint")).scalar()
 
 
-def allocate_ids(rows: DataFrame, target: DataFrame, order_by: list[str | Column],
+def allocate_ids(rows: DataFrame, target: DataFrame, order_by: list[str],
                  key: str = "id", num_partitions: int | None = None) -> DataFrame:
     """New ids ``max(target.id) + 1 + rank`` for ``rows`` in ``order_by`` order."""
     indexed = with_row_index(rows, order_by, "_row", num_partitions)
@@ -172,7 +172,7 @@ def allocate_ids(rows: DataFrame, target: DataFrame, order_by: list[str | Column
             .drop("_row"))
 
 
-def append_rows(target: DataFrame, rows: DataFrame, order_by: list[str | Column],
+def append_rows(target: DataFrame, rows: DataFrame, order_by: list[str],
                 as_of: datetime | str | None = None, key: str = "id") -> DataFrame:
     """``target`` with ``rows`` appended under new ids. ``created_at`` and
     ``updated_at`` are set to ``as_of`` when given; missing target columns are
