@@ -130,3 +130,64 @@ def test_new_content_tags_skip_stored_pairs(spark):
     ids = spark.createDataFrame([("a-b", 10), ("c", 11)], "key string, tag_id long")
     stored = spark.createDataFrame([(1, 10)], "content_id long, tag_id long")
     assert [tuple(r) for r in new_content_tag_pairs(merged, ids, stored).collect()] == [(1, 11)]
+
+
+SKIP = ("id", "context")
+
+
+def _keep(k1, v1):
+    return "http" not in str(v1) and v1 is not None and v1 != "" and k1 not in SKIP
+
+
+def _model_v1(m):
+    """First rendering, as the reference's loop reads (nested dicts iterate their own pairs)."""
+    out = ""
+    for k, v in m.items():
+        if type(v) is str:
+            if "http" not in v and v != "" and k not in SKIP:
+                out += f"{k.title()}: {v}; "
+        elif type(v) is list:
+            for x in v:
+                if type(x) is dict:
+                    out += f"{k}:\n" + "".join(f"{k1.title()}: {v1}; " for k1, v1 in x.items() if _keep(k1, v1))
+                else:
+                    out += f"{k.title()}: {x} "
+        elif type(v) is dict:
+            out += "".join(f"{k1.title()}: {v1}; " for k1, v1 in v.items() if _keep(k1, v1))
+        elif v is not None and v != "" and k not in SKIP:
+            out += f"{k.title()}: {v}; "
+    return out + "\n\n"
+
+
+def _model_v2(m):
+    """Second rendering: empty lists skipped, first element decides, scalar lists joined."""
+    out = ""
+    for k, v in m.items():
+        if type(v) is list:
+            if v and type(v[0]) is dict:
+                for x in v:
+                    out += f"{k}:\n" + "".join(f"{k1.title()}: {v1}; " for k1, v1 in x.items() if _keep(k1, v1))
+            elif v:
+                out += f"{k.title()}: {', '.join(v)}\n\n"
+        else:
+            out += _model_v1({k: v})[:-2]
+    return out + "\n\n"
+
+
+def test_renderings_equal_python_model(spark):
+    rnd = random.Random(21)
+    keys = ["id", "context", "title", "n_chars", "url", "lang", "tags", "people", "info", "flag", "note"]
+    scalars = [lambda: rnd.choice(["x", "", "http://h", "Ab c"]), lambda: rnd.randint(0, 9),
+               lambda: rnd.choice([True, False]), lambda: None]
+    values = scalars + [
+        lambda: [rnd.choice(["a", "b c", "http://z"]) for _ in range(rnd.randint(0, 3))],
+        lambda: [{rnd.choice(keys): rnd.choice(scalars)() for _ in range(rnd.randint(1, 3))}
+                 for _ in range(rnd.randint(1, 2))],
+        lambda: {rnd.choice(keys): rnd.choice(scalars)() for _ in range(rnd.randint(1, 3))},
+    ]
+    metas = [{k: rnd.choice(values)() for k in rnd.sample(keys, rnd.randint(1, 6))} for _ in range(400)]
+    df = spark.createDataFrame([(i, json.dumps(m)) for i, m in enumerate(metas)], "i int, m string")
+    got = df.select("i", md.metadata_text_v1("m").alias("a"), md.metadata_text_v2("m").alias("b")).orderBy("i").collect()
+    for m, r in zip(metas, got):
+        assert r.a == _model_v1(m), m
+        assert r.b == _model_v2(m), m
