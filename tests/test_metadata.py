@@ -191,3 +191,65 @@ def test_renderings_equal_python_model(spark):
     for m, r in zip(metas, got):
         assert r.a == _model_v1(m), m
         assert r.b == _model_v2(m), m
+
+
+def _clean(v):
+    """Build decision for list cleaning: always a list of strings."""
+    if isinstance(v, list):
+        return [str(x) for x in v]
+    if isinstance(v, dict):
+        return list(v)
+    if isinstance(v, str):
+        s = v.replace("?,", "?")
+        if "?" in s:
+            return [p.strip() + "?" for p in s.split("?") if p.strip()]
+        return [s]
+    return [str(v)]
+
+
+def _model_enrich(context, metadata, response):
+    r = json.loads(response)
+    ctx, meta = "", {}
+    if metadata is not None:
+        meta = json.loads(metadata)
+        if "question" in meta:
+            ctx += f"Question: {meta['question']}\n"
+        ctx += f"{context}\n\nMetadata:\n{_model_v2(meta)}\n\n"
+    else:
+        ctx += f"{context}\n\n"
+    if "content" in r:
+        ctx += f"Rephrased Content: {r['content']}\n"
+    if "questions" in r:
+        q = r["questions"]
+        ctx += f"Additional Sample Questions: {' '.join(q) if isinstance(q, (list, dict)) else q}\n"
+        meta["questions"] = _clean(q)
+    if "keywords" in r:
+        k = r["keywords"]
+        ctx += f"Keywords: {' '.join(k) if isinstance(k, (dict, list)) else k}"
+        meta["keywords"] = _clean(k)
+    return ctx, meta
+
+
+def test_enrich_equals_python_model(spark):
+    from docweave.operators.enrichment import enrich_embeddings
+    rnd = random.Random(4)
+    rows, resps = [], []
+    for i in range(300):
+        meta = rnd.choice([None, {}, {"lang": "en", "n": i}, {"question": "Q?", "tags": ["a", "b"]},
+                           {"keywords": ["old"], "questions": ["x?"]}])
+        rows.append((i, i // 3, f"ctx {i}", None if meta is None else json.dumps(meta)))
+        r = {}
+        if rnd.random() < 0.7:
+            r["content"] = rnd.choice(["c", "long content", ""])
+        if rnd.random() < 0.7:
+            r["questions"] = rnd.choice([["a?", "b?"], "A? B?, C", "no mark", 7])
+        if rnd.random() < 0.7:
+            r["keywords"] = rnd.choice([["k1", "k 2"], "one two", {"d1": 1, "d2": 2}, []])
+        resps.append((i, json.dumps(r)))
+    emb = spark.createDataFrame(rows, "id long, content_id_id long, context string, metadata string")
+    rsp = spark.createDataFrame(resps, "embedding_id long, response string")
+    got = {r.id: r for r in enrich_embeddings(rsp, emb, "2024-01-01 00:00:00")[0].collect()}
+    for (i, _, ctx, meta), (_, resp) in zip(rows, resps):
+        want_ctx, want_meta = _model_enrich(ctx, meta, resp)
+        assert got[i].context == want_ctx, (meta, resp)
+        assert json.loads(got[i].metadata) == want_meta, (meta, resp)
