@@ -8,7 +8,7 @@ from docweave.plans.jobs import complete_job, enrich_job
 AS_OF = "2024-06-01 00:00:00"
 
 
-def test_enrich_then_complete(spark):
+def test_enrich_then_complete(spark, tmp_path):
     emb = spark.createDataFrame([
         (1, 100, "ctx one", json.dumps({"lang": "en", "question": "Q1?"}), "add to batch", None, None, None),
         (2, 100, "ctx two", None, "add to batch", None, 7, 3),
@@ -67,3 +67,10 @@ def test_enrich_then_complete(spark):
     strict = complete_job(vectors, out.embeddings, out.batches, spark.createDataFrame([(5,)], "id long"),
                           content, links, file_table, AS_OF, strict=True)
     assert {r.id: r.is_complete for r in strict.content.collect()} == {100: True, 200: False}
+
+    # every output can be written as a table version
+    from docweave.plans.jobs import read_table, write_outputs
+    write_outputs(out, str(tmp_path / "enrich"))
+    write_outputs(done, str(tmp_path / "complete"))
+    assert read_table(spark, str(tmp_path / "enrich"), "embeddings").count() == 3
+    assert read_table(spark, str(tmp_path / "complete"), "content").where("is_complete").count() == 1
