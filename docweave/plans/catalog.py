@@ -402,7 +402,7 @@ def stored(spark, d, name, build):
     once per session and folder (staged parquet), then read by every query."""
     key = (id(spark), d, name)
     if key not in _STORED:
-        _STORED[key] = stage(build())
+        _STORED[key] = stage(build(), temporary=False)
     return _STORED[key]
 
 
@@ -437,7 +437,7 @@ JOIN ({DUCK_NEW_BATCHES}) nb ON nb.batch_no = b.batch_no
 """)
 def q_mark_in_batch(spark, d):
     emb = _line_embeddings(spark, d)
-    assigned = stage(tables.assign_batches(emb.select("id"), ["id"], 1000))
+    assigned = stage(tables.assign_batches(emb.select("id"), ["id"], 1000), temporary=False)
     created = lifecycle.create_batches(assigned, _order_batches(spark, d))
     return lifecycle.mark_in_batch(emb, assigned, created).select("id", "batch_id_id", "status")
 

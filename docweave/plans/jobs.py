@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from docweave.functions.patterns import BATCH_SIZE
 from docweave.functions.text import normalize_text
 from docweave.operators import chunking, enrichment, lifecycle, tables, tags
-from docweave.session import ensure_checkpoint_dir, release_kept, spread
+from docweave.session import ensure_checkpoint_dir, register_temporary, release_kept, spread
 from docweave.sources import files
 
 
@@ -26,19 +26,22 @@ def nonempty_content(content: DataFrame, col: str = "content") -> DataFrame:
     return content.where(F.col(col).isNotNull() & (F.col(col) != ""))
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, temporary: bool = True) -> DataFrame:
     """Cut lineage: write ``df`` once as a parquet table in the shared
     checkpoint folder (``spark.checkpoint.dir``) and read it back.
 
     One write job (``Dataset.checkpoint`` without a cached input computes the
     plan twice), and later plans start from a file scan with real sizes, so
     AQE can choose joins from them. A lost executor re-reads the files.
+    ``temporary`` tables are deleted by ``session.drop_temporary``.
     """
     import uuid
 
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if temporary:
+        register_temporary(path)
     return spark.read.parquet(path)
 
 

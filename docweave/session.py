@@ -107,3 +107,23 @@ def keep(df):
 def release_kept() -> None:
     while _kept:
         _kept.pop().unpersist()
+
+
+_temporary_paths: list = []
+
+
+def register_temporary(path: str) -> None:
+    """Remember a staged intermediate table for ``drop_temporary``."""
+    _temporary_paths.append(path)
+
+
+def drop_temporary(spark: SparkSession) -> None:
+    """Delete the staged intermediates registered so far, through the Hadoop
+    FileSystem API (works on the cluster's shared storage). Call it only when
+    no DataFrame built on them will run again; streams call it after every
+    epoch's outputs are written."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _temporary_paths:
+        path = jvm.org.apache.hadoop.fs.Path(_temporary_paths.pop())
+        path.getFileSystem(conf).delete(path, True)

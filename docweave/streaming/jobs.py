@@ -26,7 +26,7 @@ from pyspark.sql.types import StructType
 
 from docweave.operators import lifecycle
 from docweave.plans.jobs import complete_job, enrich_job, preprocess_job
-from docweave.session import release_kept
+from docweave.session import drop_temporary, release_kept
 from docweave.sources import files
 
 
@@ -69,7 +69,9 @@ def _epoch_writer(root: str, write: Callable[[DataFrame, int], dict[str, DataFra
             for name, df in write(batch, epoch).items():
                 df.write.mode("overwrite").parquet(f"{root}/{name}/epoch={epoch}")
         finally:
+            # the epoch's outputs are written: drop its caches and staged tables
             release_kept()
+            drop_temporary(batch.sparkSession)
     return run
 
 
