@@ -14,7 +14,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.functions.patterns import BATCH_SIZE
+from docweave.functions.patterns import BATCH_SIZE, STATUS_EMBEDDING
 from docweave.functions.text import normalize_text
 from docweave.operators import chunking, enrichment, lifecycle, tables, tags
 from docweave.session import ensure_checkpoint_dir, register_temporary, release_kept, spread
@@ -79,7 +79,7 @@ def enrich_job(responses: DataFrame, embeddings: DataFrame, content: DataFrame,
                content_tag_table: DataFrame, batches: DataFrame, source_batch_ids: DataFrame,
                as_of: datetime | str, batch_size: int = BATCH_SIZE,
                materialize: bool = True) -> EnrichOutputs:
-    """A5 output -> D4 -> {A9, E2->E3->E5, D5->D6, E6, E1->A7/G1/G3}.
+    """A5 output -> D4 -> {A9 + G3, E2->E3->E5, D5->D6, E6, E1->A7/G1}.
 
     ``responses``: (embedding_id, response). The source batch is marked
     complete once; new batches stay open.
@@ -88,7 +88,6 @@ def enrich_job(responses: DataFrame, embeddings: DataFrame, content: DataFrame,
     if materialize:
         enriched = stage(enriched)
 
-    updated = tables.update_by_key(embeddings, enriched.select("id", "context", "metadata", "updated_at"))
 
     exploded = tags.explode_keywords(enriched)
     new_tags, tag_ids = tags.tags_get_or_create(exploded, tag_table, as_of)
@@ -108,7 +107,13 @@ def enrich_job(responses: DataFrame, embeddings: DataFrame, content: DataFrame,
     created = lifecycle.create_batches(assigned, batches, as_of=as_of)
     batches_new = lifecycle.mark_batch_complete(batches, source_batch_ids).unionByName(
         created.select(*batches.columns))
-    embeddings_new = lifecycle.mark_in_batch(updated, assigned, created)
+    # One keyed update of the embedding table carries both the enriched fields
+    # (A9) and the batch id and status (G3): one join over the largest table.
+    batch_of = assigned.join(created.select(F.col("id").alias("batch_id_id"), "batch_no"), "batch_no")
+    updates = (enriched.select("id", "context", "metadata", "updated_at")
+               .join(batch_of.select("id", "batch_id_id"), "id")
+               .withColumn("status", F.lit(STATUS_EMBEDDING)))
+    embeddings_new = tables.update_by_key(embeddings, updates)
     requests = files.embedding_requests(assigned.join(enriched.select("id", "context"), "id"))
     quarantine = unmatched.select(F.lit("unmatched").alias("reason"),
                                   F.col("embedding_id").cast("string").alias("detail"))
