@@ -95,6 +95,8 @@ def enrich_job(responses: DataFrame, embeddings: DataFrame, content: DataFrame,
 
     merged = enrichment.merge_metadata_by_content(
         enriched.select(F.col("content_id_id").alias("content_id"), "id", "metadata"))
+    if materialize:
+        merged = stage(merged)      # one row per content, read by two outputs
     overlay = enrichment.overlay_content_metadata(content, merged)
     content_new = tables.update_by_key(content, overlay, as_of=as_of)
     content_tags = tags.new_content_tag_pairs(merged, tag_ids, content_tag_table)
