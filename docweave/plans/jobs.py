@@ -88,7 +88,6 @@ def enrich_job(responses: DataFrame, embeddings: DataFrame, content: DataFrame,
     if materialize:
         enriched = stage(enriched)
 
-
     exploded = tags.explode_keywords(enriched)
     new_tags, tag_ids = tags.tags_get_or_create(exploded, tag_table, as_of)
     emb_tags = tags.embedding_tag_pairs(exploded, tag_ids)
