@@ -132,46 +132,51 @@ def test_new_content_tags_skip_stored_pairs(spark):
     assert [tuple(r) for r in new_content_tag_pairs(merged, ids, stored).collect()] == [(1, 11)]
 
 
-SKIP = ("id", "context")
+SKIP = ("id", "context")   # fixed values: keys never rendered
 
 
-def _keep(k1, v1):
-    return "http" not in str(v1) and v1 is not None and v1 != "" and k1 not in SKIP
+def _shown(key, value):
+    return value is not None and value != "" and "http" not in str(value) and key not in SKIP
+
+
+def _pairs(d):
+    return "".join(f"{k.title()}: {v}; " for k, v in d.items() if _shown(k, v))
+
+
+def _entry_v1(key, value):
+    """SURVEY D1 rules for one entry, by the value's JSON shape."""
+    match value:
+        case None:
+            return ""
+        case str():
+            return f"{key.title()}: {value}; " if _shown(key, value) else ""
+        case dict():
+            return _pairs(value)
+        case list():
+            return "".join(f"{key}:\n{_pairs(x)}" if isinstance(x, dict) else f"{key.title()}: {x} " for x in value)
+        case _:
+            return f"{key.title()}: {value}; " if key not in SKIP else ""
+
+
+def _entry_v2(key, value):
+    """SURVEY D2: empty lists vanish, the first element decides the list kind."""
+    match value:
+        case []:
+            return ""
+        case [dict(), *_]:
+            return "".join(f"{key}:\n{_pairs(x)}" for x in value)
+        case list():
+            return f"{key.title()}: {', '.join(value)}\n\n"
+        case _:
+            return _entry_v1(key, value)
 
 
 def _model_v1(m):
-    """First rendering, as the reference's loop reads (nested dicts iterate their own pairs)."""
-    out = ""
-    for k, v in m.items():
-        if type(v) is str:
-            if "http" not in v and v != "" and k not in SKIP:
-                out += f"{k.title()}: {v}; "
-        elif type(v) is list:
-            for x in v:
-                if type(x) is dict:
-                    out += f"{k}:\n" + "".join(f"{k1.title()}: {v1}; " for k1, v1 in x.items() if _keep(k1, v1))
-                else:
-                    out += f"{k.title()}: {x} "
-        elif type(v) is dict:
-            out += "".join(f"{k1.title()}: {v1}; " for k1, v1 in v.items() if _keep(k1, v1))
-        elif v is not None and v != "" and k not in SKIP:
-            out += f"{k.title()}: {v}; "
-    return out + "\n\n"
+    return "".join(_entry_v1(k, v) for k, v in m.items()) + "\n\n"
 
 
 def _model_v2(m):
-    """Second rendering: empty lists skipped, first element decides, scalar lists joined."""
-    out = ""
-    for k, v in m.items():
-        if type(v) is list:
-            if v and type(v[0]) is dict:
-                for x in v:
-                    out += f"{k}:\n" + "".join(f"{k1.title()}: {v1}; " for k1, v1 in x.items() if _keep(k1, v1))
-            elif v:
-                out += f"{k.title()}: {', '.join(v)}\n\n"
-        else:
-            out += _model_v1({k: v})[:-2]
-    return out + "\n\n"
+    return "".join(_entry_v2(k, v) for k, v in m.items()) + "\n\n"
 
 
 def test_renderings_equal_python_model(spark):
@@ -194,40 +199,38 @@ def test_renderings_equal_python_model(spark):
 
 
 def _clean(v):
-    """Build decision for list cleaning: always a list of strings."""
-    if isinstance(v, list):
-        return [str(x) for x in v]
-    if isinstance(v, dict):
-        return list(v)
-    if isinstance(v, str):
-        s = v.replace("?,", "?")
-        if "?" in s:
-            return [p.strip() + "?" for p in s.split("?") if p.strip()]
-        return [s]
-    return [str(v)]
+    """SURVEY D3 with the build decision: always a list of strings."""
+    match v:
+        case list():
+            return [str(x) for x in v]
+        case dict():
+            return list(v)
+        case str() if "?" in v:
+            return [q.strip() + "?" for q in v.replace("?,", "?").split("?") if q.strip()]
+        case _:
+            return [str(v)]
+
+
+def _joined(v):
+    return " ".join(v) if isinstance(v, (list, dict)) else str(v)
 
 
 def _model_enrich(context, metadata, response):
+    """SURVEY D4: head (question, context, rendered metadata), then one line
+    per response field present; questions and keywords also land, cleaned,
+    in the metadata."""
     r = json.loads(response)
-    ctx, meta = "", {}
+    meta = {} if metadata is None else json.loads(metadata)
+    head = f"{context}\n\n"
     if metadata is not None:
-        meta = json.loads(metadata)
-        if "question" in meta:
-            ctx += f"Question: {meta['question']}\n"
-        ctx += f"{context}\n\nMetadata:\n{_model_v2(meta)}\n\n"
-    else:
-        ctx += f"{context}\n\n"
-    if "content" in r:
-        ctx += f"Rephrased Content: {r['content']}\n"
-    if "questions" in r:
-        q = r["questions"]
-        ctx += f"Additional Sample Questions: {' '.join(q) if isinstance(q, (list, dict)) else q}\n"
-        meta["questions"] = _clean(q)
-    if "keywords" in r:
-        k = r["keywords"]
-        ctx += f"Keywords: {' '.join(k) if isinstance(k, (dict, list)) else k}"
-        meta["keywords"] = _clean(k)
-    return ctx, meta
+        question = f"Question: {meta['question']}\n" if "question" in meta else ""
+        head = f"{question}{context}\n\nMetadata:\n{_model_v2(meta)}\n\n"
+    lines = {"content": ("Rephrased Content: ", str, "\n"),
+             "questions": ("Additional Sample Questions: ", _joined, "\n"),
+             "keywords": ("Keywords: ", _joined, "")}
+    tail = "".join(f"{label}{show(r[key])}{end}" for key, (label, show, end) in lines.items() if key in r)
+    meta.update({key: _clean(r[key]) for key in ("questions", "keywords") if key in r})
+    return head + tail, meta
 
 
 def test_enrich_equals_python_model(spark):
