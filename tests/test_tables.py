@@ -84,3 +84,11 @@ def test_row_index_many_ranges(spark):
         rows = tables.with_row_index(df, keys, "i", num_partitions=400).collect()
         ordered = sorted(rows, key=lambda r: tuple(r[k] for k in keys))
         assert [r.i for r in ordered] == list(range(20000)), keys
+
+
+def test_types_get_or_create(spark):
+    existing = spark.createDataFrame([(3, "web_page", "Web Page")], "id long, key string, name string")
+    names = spark.createDataFrame([("Web Page",), ("web page",), ("PDF File",), ("pdf file",), (None,)], "name string")
+    created, ids = tags.types_get_or_create(names, existing)
+    assert [tuple(r) for r in created.select("id", "key", "name").collect()] == [(4, "pdf_file", "PDF File")]
+    assert sorted(tuple(r) for r in ids.collect()) == [("pdf_file", 4), ("web_page", 3)]
