@@ -92,3 +92,14 @@ def test_types_get_or_create(spark):
     created, ids = tags.types_get_or_create(names, existing)
     assert [tuple(r) for r in created.select("id", "key", "name").collect()] == [(4, "pdf_file", "PDF File")]
     assert sorted(tuple(r) for r in ids.collect()) == [("pdf_file", 4), ("web_page", 3)]
+
+
+def test_numbering_is_deterministic(spark):
+    """Recomputing a numbered frame (as after a lost executor) gives the same
+    numbers, and independent numberings of the same rows agree."""
+    df = spark.range(30000).select(((F.col("id") * 7919) % 30011).alias("k")).repartition(5)
+    a = tables.with_row_index(df, ["k"], "i", num_partitions=9)
+    first = {r.k: r.i for r in a.collect()}
+    again = {r.k: r.i for r in a.collect()}
+    other = {r.k: r.i for r in tables.with_row_index(df, ["k"], "i", num_partitions=4).collect()}
+    assert first == again == other
