@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm import exact_dedup, mixing, packing, simhash
+from docweave.llm import exact_dedup, forest, mixing, packing, quality, simhash, token_counts, toxicity, warc
 from docweave.llm.common import table
 
 LENGTH = 4096
@@ -20,11 +20,45 @@ def word_vocab() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_vocab() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(F.col("id").alias("doc_id"), F.coalesce(toxicity.is_held_out("id"), F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.DECISION).cast("int").alias("predicted"))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.attribute(table(spark, sf_dir, "documents"), *byte_vocab())
+    return counts.select(F.col("id").alias("doc_id"), F.col("section").alias("line"), F.col("start").alias("start_char"),
+                         F.col("end").alias("end_char"), "tokens", "crossing")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, _ = mixing.mix(table(spark, sf_dir, "documents"))
     return documents.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.response_records(table(spark, sf_dir, "pages"))).withColumnRenamed("id", "page_id")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(F.col("id").alias("doc_id"), F.coalesce(toxicity.is_held_out("id"), F.lit(False)).alias("held_out"),
+                         "text_score", "meta_score", "score", "good")
+
+
+def op6_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -41,7 +75,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op3_mixing, op7_simhash, op8_packing, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_mixing, op4_warc, op5_quality, op6_forest, op7_simhash,
+                                     op8_packing, op10_exact_dedup)}
 
 ORACLES: dict[str, str] = {
     "op10_exact_dedup": r"""
