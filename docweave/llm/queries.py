@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm import exact_dedup, forest, mixing, packing, quality, simhash, token_counts, toxicity, warc
+from docweave.llm import exact_dedup, forest, mixing, packing, quality, simhash, suffix_dedup, token_counts, toxicity, warc
 from docweave.llm.common import table
 
 LENGTH = 4096
@@ -70,13 +70,18 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.drop_repeats(table(spark, sf_dir, "documents"), with_text=False)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_mixing, op4_warc, op5_quality, op6_forest, op7_simhash,
-                                     op8_packing, op10_exact_dedup)}
+                                     op8_packing, op9_suffix_dedup, op10_exact_dedup)}
 
 ORACLES: dict[str, str] = {
     "op10_exact_dedup": r"""
