@@ -8,10 +8,11 @@ one row per partition). Pass 2 cuts the global token line into windows of
 (offset + n - 1) // length, and each of these is one boundary record. Only the
 last window can be short, so padding is below one window for the whole corpus.
 
-Tokenizing: the vocabulary file drops white space, and no id spans it, so the
-ids of a text are those of its blank-separated pieces in order. Each worker
-encodes a piece the first time it sees it and keeps the ids (a bounded memo).
-``whole_text=True`` encodes whole texts instead, for other tokenizers.
+Tokenizing: the vocabulary file lower-cases, drops white space, and no id spans
+it, so the ids of a text are those of its lower-case blank-separated pieces in
+order. Each worker encodes a piece the first time it sees it and keeps the ids
+(a bounded memo). ``whole_text=True`` encodes whole texts instead, for other
+tokenizers.
 
 Defined results: null text counts as empty (its only id is the end id); equal
 rows are documents of their own; an empty table gives no rows. Only the id and
@@ -31,11 +32,19 @@ from docweave.llm.common import bounded_batches, stage, worker_cache
 MEMO_PIECES = 400_000
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable
+    Latin-1 stands for itself, the rest follow from U+0100 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(own)]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 def _encoder(vocab_path: str, whole_text: bool):
     """bytes of a text -> bytes of its ids (unsigned 32 bit, little endian)."""
     import os
-
-    import numpy as np
+    import re
+    from array import array
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     cache = worker_cache(f"tokenizer:{vocab_path}")
@@ -44,28 +53,47 @@ def _encoder(vocab_path: str, whole_text: bool):
 
         cache["tokenizer"], cache["memo"] = Tokenizer.from_file(vocab_path), {}
     tokenizer, memo = cache["tokenizer"], cache["memo"]
+    word, letters = re.compile("([a-z\u00e0-\u00f6\u00f8-\u00ff]+)([.,]?)").fullmatch, _byte_letters()
 
-    def ids(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def pack_ids(ids: list[int]) -> bytes:
+        return array("I", ids).tobytes()
 
     def whole(raw: bytes) -> bytes:
-        return ids(raw.decode("utf-8", "replace"))
+        return pack_ids(tokenizer.encode(raw.decode("utf-8", "replace"), add_special_tokens=False).ids)
+
+    if whole_text:
+        return whole
+    model = tokenizer.model
+    ends = {mark: whole(mark.encode()) for mark in ".,"} | {"": b""}
+
+    def piece_ids(p: bytes) -> bytes:
+        """A word of Latin-1 letters, with at most one full stop or comma after
+        it, is one or two pre-tokens that normalisation only lower-cases: the
+        vocabulary's merges are applied at once. Anything else is encoded in full."""
+        text = p.decode("utf-8", "replace")
+        if found := word(text.lower()):
+            name = found[1]
+            spelt = name if name.isascii() else "".join([letters[b] for b in name.encode()])
+            return pack_ids([t.id for t in model.tokenize(spelt)]) + ends[found[2]]
+        return whole(p)
 
     def by_piece(raw: bytes) -> bytes:
-        pieces = raw.split()          # bytes.split() cuts at ASCII white space only
+        if b"<|" in raw:              # strings of special tokens are matched as they are written
+            return whole(raw)
+        pieces = raw.lower().split()  # both touch ASCII only
         try:
             return b"".join([memo[p] for p in pieces])
         except KeyError:
             pass
-        new = list({p for p in pieces if p not in memo})
+        new = {p for p in pieces if p not in memo}
         if len(memo) + len(new) > MEMO_PIECES:
             memo.clear()
-            new = list(set(pieces))
-        for p, e in zip(new, tokenizer.encode_batch([p.decode("utf-8", "replace") for p in new], add_special_tokens=False)):
-            memo[p] = np.array(e.ids, dtype="<u4").tobytes()
+            new = set(pieces)
+        for p in new:
+            memo[p] = piece_ids(p)
         return b"".join([memo[p] for p in pieces])
 
-    return whole if whole_text else by_piece
+    return by_piece
 
 
 def tokenize(docs: DataFrame, vocab_path: str, end_id: int, id_col: str, text_col: str,
@@ -105,7 +133,8 @@ def pack(docs: DataFrame, vocab_path: str, length: int = 4096, end_id: int = 2,
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = rows.groupBy("part").agg(F.sum("n").alias("total"))
     offsets = totals.select("part", (F.sum("total").over(before) - F.col("total")).alias("base"))
-    placed = rows.join(offsets, "part").withColumn("g", F.col("base") + F.col("at"))
+    # one row of 16 bytes per input partition
+    placed = rows.join(F.broadcast(offsets), "part").withColumn("g", F.col("base") + F.col("at"))
     cut = placed.withColumn("sequence_id", F.explode(F.sequence(
         F.floor(F.col("g") / length), F.floor((F.col("g") + F.col("n") - 1) / length))))
     first = F.greatest("g", F.col("sequence_id") * length)
