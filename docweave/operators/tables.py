@@ -11,9 +11,8 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType
 
-from docweave.session import default_partitions
+from docweave.session import stage
 
 
 # --- A1 / A2 / A3 / A11 ---------------------------------------------------------
@@ -52,102 +51,32 @@ def delete_by_ids(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
 
 # --- E1 core: consecutive numbering without a single-partition window ------------------
 
-_SAMPLE_PER_RANGE = 20
-_CASE_TREE_MAX = 127   # most bounds searched by a codegen'd nested CASE
-
-
-def range_bounds(df: DataFrame, order_by: list[str], ranges: int) -> list[tuple]:
-    """Up to ``ranges - 1`` key values cutting ``df`` into ranges of about
-    equal size, from a random sample of the key columns (at most
-    ``20 * ranges`` keys reach the driver, however large ``df`` is). The
-    bounds only balance the ranges; any bounds give the same numbering."""
-    if ranges <= 1:
-        return []
-    # One pass: each task keeps its rows with the smallest random tags and
-    # only those reach the driver (a bounded top-k, not the data).
-    keys = (df.select(*order_by).dropna().withColumn("_r", F.rand(seed=7))
-            .orderBy("_r").limit(_SAMPLE_PER_RANGE * ranges).drop("_r"))
-    sample = sorted(tuple(r) for r in keys.collect())
-    if not sample:
-        return []
-    step = len(sample) / ranges
-    cuts = sorted({sample[min(len(sample) - 1, int(step * i))] for i in range(1, ranges)})
-    return cuts
-
-
-def range_of(df: DataFrame, order_by: list[str], bounds: list[tuple]) -> Column:
-    """Range number of a row: how many bounds are <= its key, found by a
-    binary search written as nested CASE (log2(len(bounds)) comparisons,
-    codegen'd). Monotone in the key, so ranges are ordered like the keys.
-    Used for up to 127 bounds (larger trees outgrow generated-code limits)."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    key = F.struct(*[F.col(c) for c in order_by])
-
-    def literal(bound):
-        return F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order_by, bound)])
-
-    def search(lo: int, hi: int) -> Column:
-        # number of bounds <= key, knowing it lies in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key >= literal(bounds[mid - 1]), search(mid, hi)).otherwise(search(lo, mid - 1))
-
-    return search(0, len(bounds))
-
-
-def _with_range(df: DataFrame, order_by: list[str], ranges: int) -> DataFrame:
-    """``df`` plus ``_range``, the key range of each row.
-
-    A single numeric key may use any number of ranges: Spark's ``Bucketizer``
-    does the binary search in the JVM (bucket i holds splits[i] <= x <
-    splits[i+1], i.e. i = number of bounds <= x). Other keys use the CASE
-    search and at most 128 ranges.
-    """
-    numeric = (len(order_by) == 1 and isinstance(
-        df.schema[order_by[0]].dataType, (LongType, IntegerType, ShortType, ByteType, DoubleType, FloatType)))
-    if not numeric:
-        ranges = min(ranges, _CASE_TREE_MAX + 1)
-    bounds = range_bounds(df, order_by, ranges)
-    if numeric and len(bounds) > _CASE_TREE_MAX:
-        from pyspark.ml.feature import Bucketizer
-        splits = sorted({float(b[0]) for b in bounds})
-        # doubles keep long order (non-decreasing), so ranges stay ordered
-        bucketizer = Bucketizer(splits=[float("-inf")] + splits + [float("inf")],
-                                inputCol="_range_key", outputCol="_range_d")
-        keyed = df.withColumn("_range_key", F.col(order_by[0]).cast("double"))
-        return (bucketizer.transform(keyed).withColumn("_range", F.col("_range_d").cast("int"))
-                .drop("_range_key", "_range_d"))
-    return df.withColumn("_range", range_of(df, order_by, bounds))
-
-
 def with_row_index(df: DataFrame, order_by: list[str], index_col: str = "row_index",
                    num_partitions: int | None = None) -> DataFrame:
     """Add a 0-based consecutive index in ``order_by`` order.
 
-    ``order_by`` must be a unique key (ties would be numbered arbitrarily).
-    Rows are cut into key ranges of about equal size at sampled bounds (so
-    one hot key value cannot overload a task), numbered within their range by
-    a window partitioned by range, and shifted by the size of all earlier
-    ranges. The range sizes come from a partial-aggregated count (one row per
-    range, so their broadcast is bounded by the range count, not the data).
-    Bounds are literals in the plan: a recomputed task numbers its rows the
-    same way.
+    ``order_by`` must be a unique key (ties would be numbered arbitrarily); any
+    orderable types. Spark range-partitions and sorts the rows by the key (its
+    own bounded sample balances the ranges; a hot value of one key column is
+    split by the others). The sorted partitions are written once, each row with
+    its partition and its place in it, so the numbering cannot change when a
+    task is recomputed. A partition's offset is the size of all earlier ones:
+    one row per partition. ``num_partitions`` sets the number of ranges; without
+    it Spark's shuffle partitions and AQE do.
     """
-    n = num_partitions or default_partitions(df.sparkSession)
-    ranged = _with_range(df, order_by, n)
-    position = F.row_number().over(Window.partitionBy("_range").orderBy(*order_by)) - 1
-    positioned = ranged.withColumn("_pos", position)
-    # Range sizes read the numbered rows, so this branch and the main one
-    # share the same shuffle of the input (Spark reuses the exchange).
-    counts = positioned.groupBy("_range").agg((F.max("_pos") + 1).alias("_n"))
-    offsets = counts.select("_range", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_offset"))
-    return (positioned
-            .join(F.broadcast(offsets), "_range")
-            .withColumn(index_col, (F.col("_offset") + F.col("_pos")).cast("bigint"))
-            .drop("_range", "_pos", "_offset"))
+    ranged = (df.repartitionByRange(num_partitions, *order_by) if num_partitions
+              else df.repartitionByRange(*order_by))
+    place = F.monotonically_increasing_id()       # partition << 33 | place in the sorted partition
+    placed = stage(ranged.sortWithinPartitions(*order_by).withColumn("_place", place))
+    part = F.shiftright("_place", 33)
+    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("_part")).agg((F.max(inside) + 1).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = sizes.select("_part", (F.sum("_n").over(before) - F.col("_n")).alias("_offset"))
+    return (placed.withColumn("_part", part)
+            .join(F.broadcast(offsets), "_part")          # one row of two numbers per partition
+            .withColumn(index_col, F.col("_offset") + inside)
+            .drop("_part", "_place", "_offset"))
 
 
 def assign_batches(df: DataFrame, order_by: list[str], size: int,
@@ -189,32 +118,39 @@ def append_rows(target: DataFrame, rows: DataFrame, order_by: list[str],
 
 # --- A9 / A10: keyed partial updates --------------------------------------------------------
 
-def last_update_per_key(updates: DataFrame, key: str, order_col: str | None) -> DataFrame:
-    """One row per key: the values of the latest update (by ``order_col``).
+def last_update_per_key(updates: DataFrame, key: str, order_col: str) -> DataFrame:
+    """One row per key: the values of the latest update by ``order_col`` (any
+    orderable type, structs too). A null order is earlier than any other; equal
+    orders fall back to a hash of the values, so the result is defined.
 
     ``max_by`` is a partial aggregate: each task combines its own rows before
     the shuffle, so a hot key sends one row per task, not all its updates.
     """
     value_cols = [c for c in updates.columns if c not in (key, order_col)]
-    order = F.col(order_col) if order_col else F.monotonically_increasing_id()
+    order = F.struct(F.col(order_col).isNotNull(), F.col(order_col), F.xxhash64(*value_cols))
     packed = updates.select(key, order.alias("_ord"), F.struct(*value_cols).alias("_v"))
     return (packed.groupBy(key).agg(F.max_by("_v", "_ord").alias("_v"))
             .select(key, *[F.col("_v")[c].alias(c) for c in value_cols]))
 
 
 def update_by_key(target: DataFrame, updates: DataFrame, key: str = "id",
-                  order_col: str | None = None, as_of: datetime | str | None = None) -> DataFrame:
+                  order_col: str | None = None, as_of: datetime | str | None = None,
+                  unique: bool = False, changed_only: bool = False) -> DataFrame:
     """Apply partial row updates; repeated keys: the last wins; unknown
     keys do nothing. Only the columns present in ``updates`` change.
     ``updated_at`` is set on matched rows when ``as_of`` is given.
 
-    ``order_col`` orders repeated updates; without it the input order is used.
+    ``order_col`` orders repeated updates and is required, unless the caller
+    knows the keys of ``updates`` to be ``unique`` (then nothing is aggregated).
+    ``changed_only`` returns the matched rows only, for stores that keep changes.
     """
-    latest = last_update_per_key(updates, key, order_col)
+    if order_col is None and not unique:
+        raise ValueError("updates need order_col, or unique=True")
+    latest = updates if unique else last_update_per_key(updates, key, order_col)
     value_cols = [c for c in latest.columns if c != key and c in target.columns]
     renamed = latest.select(key, F.lit(True).alias("_hit"),
                             *[F.col(c).alias(f"_new_{c}") for c in value_cols])
-    joined = target.join(renamed, key, "left")
+    joined = target.join(renamed, key, "inner" if changed_only else "left")
     out = []
     for f in target.schema.fields:
         c = f.name
@@ -228,10 +164,11 @@ def update_by_key(target: DataFrame, updates: DataFrame, key: str = "id",
 
 
 def update_by_content(target: DataFrame, values: DataFrame, content_key: str = "content_id_id",
-                      order_col: str | None = None, as_of: datetime | str | None = None) -> DataFrame:
+                      order_col: str | None = None, as_of: datetime | str | None = None,
+                      unique: bool = False) -> DataFrame:
     """A10: the same values on every row sharing a content id.
 
     The per-content update side has one row per content id; the join keeps
     every target row, so a content with many rows only repeats a lookup.
     """
-    return update_by_key(target, values, key=content_key, order_col=order_col, as_of=as_of)
+    return update_by_key(target, values, key=content_key, order_col=order_col, as_of=as_of, unique=unique)

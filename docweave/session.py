@@ -5,6 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,70 +65,47 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def default_partitions(spark: SparkSession) -> int:
-    """Partition count for explicit range/hash repartitions."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def spread_scan(df):
+    """Deal a plain file scan with fewer splits than cores (a few large files of
+    one row group each) over all cores, for work that is heavy per row. For
+    scans only: it asks the scan for its number of splits. No operator depends
+    on the order of its input rows, so this changes no result."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * 2) if df.rdd.getNumPartitions() < cores else df
 
 
-def spread(df):
-    """Give CPU-heavy per-row work (regex, chunking) at least one task per
-    core. Large inputs already have more splits than cores and are left as
-    they are (no shuffle); a few big files get a round-robin repartition."""
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if planned_partitions(df) < cores:
-        return df.repartition(cores * 2)
-    return df
-
-
-def planned_partitions(df) -> int:
-    """Partition count of ``df`` when it can be read without running
-    anything: a plan without exchanges (scans and narrow steps) gives its
-    RDD's split count. Behind an exchange, building the RDD would run the
-    upstream stages under AQE, so such frames count as large (left alone)."""
-    try:
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        if "Exchange" in plan or "Subquery" in plan:
-            return 1 << 30
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - planning detail unavailable: leave df as it is
-        return 1 << 30
-
-
-_kept: list = []
-
-
-def keep(df):
-    """Persist an intermediate that several branches of a plan read, and
-    remember it so ``release_kept`` can drop it once the outputs are written
-    (streams call it after every epoch, so caches do not pile up)."""
-    df = df.persist()
-    _kept.append(df)
-    return df
+# --- staged tables ---------------------------------------------------------------
 
+_scopes = threading.local()
 
-def release_kept() -> None:
-    while _kept:
-        _kept.pop().unpersist()
 
-
-_temporary_paths: list = []
-
-
-def register_temporary(path: str) -> None:
-    """Remember a staged intermediate table for ``drop_temporary``."""
-    _temporary_paths.append(path)
-
-
-def drop_temporary(spark: SparkSession) -> None:
-    """Delete the staged intermediates registered so far, through the Hadoop
-    FileSystem API (works on the cluster's shared storage). Call it only when
-    no DataFrame built on them will run again; streams call it after every
-    epoch's outputs are written."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _temporary_paths:
-        path = jvm.org.apache.hadoop.fs.Path(_temporary_paths.pop())
-        path.getFileSystem(conf).delete(path, True)
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Tables staged inside this block (by this thread) are deleted when it ends.
+    Jobs and stream epochs each open their own, so none deletes another's. Write
+    or collect all results before the block ends."""
+    stack = _scopes.__dict__.setdefault("stack", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in stack.pop():
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+
+
+def stage(df):
+    """Cut lineage: write ``df`` once as a parquet table in the shared
+    checkpoint folder (``spark.checkpoint.dir``) and read it back.
+
+    One write job, and later plans start from a file scan with real sizes, so
+    AQE can choose joins from them. A lost executor re-reads the files. The
+    table goes with the enclosing ``temporary_tables`` block; without one it
+    stays in the session's checkpoint folder."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if stack := _scopes.__dict__.get("stack"):
+        stack[-1].append(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -103,3 +103,45 @@ def test_numbering_is_deterministic(spark):
     again = {r.k: r.i for r in a.collect()}
     other = {r.k: r.i for r in tables.with_row_index(df, ["k"], "i", num_partitions=4).collect()}
     assert first == again == other
+
+
+def test_null_order_is_the_earliest_and_order_is_required(spark):
+    import pytest
+
+    target = spark.createDataFrame([(1, "old"), (2, "old"), (3, "old")], "id long, v string")
+    updates = spark.createDataFrame([(1, None, "new"), (2, None, "lost"), (2, 0, "new"), (3, 1, None)], "id long, ord int, v string")
+    got = sorted(tuple(r) for r in tables.update_by_key(target, updates, order_col="ord").collect())
+    assert got == [(1, "new"), (2, "new"), (3, None)]
+    with pytest.raises(ValueError):
+        tables.update_by_key(target, updates)
+    changed = tables.update_by_key(target, updates.where("id < 3"), order_col="ord", changed_only=True)
+    assert sorted(tuple(r) for r in changed.collect()) == [(1, "new"), (2, "new")]
+
+
+def test_numbering_over_many_tasks_and_string_keys(spark):
+    """Only one row per range is gathered, whatever the number of input tasks; any key type, any number of ranges."""
+    df = spark.range(0, 4000, 1, 450).select(F.md5(F.col("id").cast("string")).alias("k"))
+    rows = tables.with_row_index(df, ["k"], "i", num_partitions=300).collect()
+    assert [r.i for r in sorted(rows, key=lambda r: r.k)] == list(range(4000))
+
+
+def test_external_batch_ids_do_not_repeat(spark):
+    batches = spark.createDataFrame([(5, "e5", "embeddings", False)], "id long, batch_id string, type string, is_complete boolean")
+    assigned = spark.createDataFrame([(1, 0), (2, 1)], "id long, batch_no long")
+    first = lifecycle.create_batches(assigned, batches).select(*batches.columns)
+    second = lifecycle.create_batches(assigned, batches.unionByName(first)).select(*batches.columns)
+    ids = [r.batch_id for r in first.unionByName(second).collect()]
+    assert len(ids) == len(set(ids)) == 4
+
+
+def test_hot_content_is_spread(spark):
+    """A content with a third of all rows: every task that joins or aggregates its rows gets a part of them."""
+    import json
+
+    from docweave.operators.enrichment import merge_metadata_by_content
+
+    rows = [(i % 3 and i or 0, i, json.dumps({"k": i, "l": [str(i % 5)], "d": {f"x{i % 4}": i}})) for i in range(1, 601)]
+    df = spark.createDataFrame(rows, "content_id long, id long, metadata string").repartition(6)
+    hot = [r for r in merge_metadata_by_content(df).collect() if r.id == 0]
+    last = {f"x{i % 4}": i for i in range(3, 601, 3)}
+    assert json.loads(hot[0].metadata) == {"k": 600, "l": ["0", "1", "2", "3", "4"], "d": last}
