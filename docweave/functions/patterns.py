@@ -13,7 +13,6 @@ CHUNK_OVERLAP = 200                   # tokens shared by neighbouring chunks
 ENCODING_NAME = "cl100k_base"
 SEPARATORS = ["\n\n", "\n", " ", ""]  # recursive splitter, tried in order
 BATCH_SIZE = 1000                     # rows per embedding request file
-MAX_INPUT_BYTES = 200_000_000         # tabular input files at or above are skipped
 DROPPED_COLUMN = "Unnamed: 0"         # pandas index column dropped from tabular input
 METADATA_SKIP_KEYS = ["id", "context"]
 METADATA_SKIP_SUBSTRING = "http"
@@ -35,11 +34,9 @@ CL100K_PAT_STR = (
     r"""'(?i:[sdmt]|ll|ve|re)|[^\r\n\p{L}\p{N}]?+\p{L}++|\p{N}{1,3}+| ?[^\s\p{L}\p{N}]++[\r\n]*+"""
     r"""|\s++$|\s*[\r\n]|\s+(?!\S)|\s"""
 )
-# HTML entities decoded after tag removal; "&amp;" must come last.
-HTML_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
-]
+# Cells that pandas reads as missing.
+NA_CELLS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+            "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 # ---------------------------------------------------------------------------
 
 # Unicode White_Space, spelled out so Java regex and RE2 use the same set.

@@ -17,7 +17,6 @@ from pyspark.sql.types import BooleanType, DataType, StringType
 
 from docweave.functions.patterns import (
     CONTROL_CHARS,
-    HTML_ENTITIES,
     JAVA_PRETOKEN_PATTERN,
     QUOTE_DASH_FROM,
     QUOTE_DASH_TO,
@@ -83,27 +82,49 @@ def nfc(c: ColumnOrName) -> Column:
 
 # --- C1d: HTML to text --------------------------------------------------------
 
+# One character each, dropped by C1b before any HTML is seen: where markup was,
+# and around a link's text.
+_CUT, _OPEN, _SHUT = "\x01", "\x02", "\x03"
+# An attribute's value in its three forms. No pattern below repeats a group, and
+# each stops at the next "<", so the work is linear and needs no deep stack.
+_VALUES = (r'"([^"<>]++)"', r"'([^'<>]++)'", r"([^\s\"'<>=`]++)")
+
+
+@F.pandas_udf(StringType())
+def _unescape_batch(s: pd.Series) -> pd.Series:
+    import html
+
+    return s.map(lambda x: None if x is None else html.unescape(x))
+
+
+def decode_entities(c: ColumnOrName) -> Column:
+    """All named and numeric character references of HTML. Python's table is
+    used, in Arrow batches, for texts that hold one; others stay in the JVM."""
+    c = _col(c)
+    return F.coalesce(_unescape_batch(F.when(c.rlike("&(#[0-9xX]|[a-zA-Z])"), c)), c)
+
+
 def html_to_text(c: ColumnOrName) -> Column:
     """Text nodes of an HTML string joined by LF.
 
-    script/style/noscript are removed, a link with an href holding a single
-    string (directly or inside one child element) becomes ``text (href)``, an image with alt text becomes
-    ``[image: alt]``; each run of tags and comments becomes one LF, and
-    entities are decoded last. ``<x>`` is a throwaway tag that keeps the
-    replaced pieces on their own lines.
+    Comments and script/style/noscript are removed (to the end of the text where
+    they never close), a link with an href holding a single string (directly or
+    inside one child element) becomes ``text (href)``, an image with alt text
+    becomes ``[image: alt]``; each run of tags becomes one LF, and entities are
+    decoded last. Attribute values may be double-quoted, single-quoted or bare;
+    a ``<`` inside a tag ends it.
     """
-    s = _col(c)
-    s = F.regexp_replace(s, r"(?is)<(script|style|noscript)\b[^>]*>.*?</\1\s*>", "<x>")
-    s = F.regexp_replace(s, r'(?is)<a\b[^>]*?\bhref="([^"]+)"[^>]*>\s*([^<]+?)\s*</a\s*>',
-                         "<x>$2 ($1)<x>")
-    # a link whose only child is one element holding one string
-    s = F.regexp_replace(s, r'(?is)<a\b[^>]*?\bhref="([^"]+)"[^>]*><[a-z][a-z0-9]*\b[^>]*>\s*([^<]+?)\s*'
-                            r'</[a-z][a-z0-9]*\s*></a\s*>', "<x>$2 ($1)<x>")
-    s = F.regexp_replace(s, r'(?is)<img\b[^>]*?\balt="([^"]+)"[^>]*>', "<x>[image: $1]<x>")
-    s = F.regexp_replace(s, r"(?s)(?:<!--.*?-->|<[/!?a-zA-Z][^>]*>)+", "\n")
-    for entity, char in HTML_ENTITIES:
-        s = F.replace(s, F.lit(entity), F.lit(char))
-    return s
+    s = F.regexp_replace(_col(c), r"(?s)<!--.*?(?:-->|\z)", _CUT)
+    s = F.regexp_replace(s, r"(?is)<(script|style|noscript)\b[^<>]*+>.*?(?:</\1\s*+>|\z)", _CUT)
+    for value in _VALUES:
+        link = rf"(?i)<a\b[^<>]*?\shref\s*+=\s*+{value}[^<>]*+>"
+        text = f"{_CUT}{_OPEN}$2{_SHUT} ($1){_CUT}"
+        s = F.regexp_replace(s, rf"{link}([^<]++)</a\s*+>", text)
+        s = F.regexp_replace(s, rf"{link}<[a-z][^<>]*+>([^<]++)</[a-z][^<>]*+></a\s*+>", text)
+        s = F.regexp_replace(s, rf"(?i)<img\b[^<>]*?\salt\s*+=\s*+{value}[^<>]*+>", f"{_CUT}[image: $1]{_CUT}")
+    s = F.regexp_replace(s, rf"{_OPEN}\s*+|(?<!\s)\s++{_SHUT}|{_SHUT}", "")
+    s = F.regexp_replace(s, r"<[/!?a-zA-Z][^<>]*+>", _CUT)
+    return decode_entities(F.regexp_replace(s, f"{_CUT}++", "\n"))
 
 
 # --- C1: normalize ------------------------------------------------------------

