@@ -42,16 +42,33 @@ def variant_type(v: Column) -> Column:
             .when(t.startswith("OBJECT"), "dict"))
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` names
+    it: a lambda variable is a value, an expression inside a lambda runs again."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _unique_keys(entries: Column) -> Column:
+    """A repeated key keeps its first place and its last value, as a dict does."""
+    def latest(e):
+        keys = F.transform(e, lambda x: x.key)
+        last = F.transform(F.array_distinct(keys), lambda k: F.element_at(F.filter(e, lambda x: x.key == k), -1))
+        return F.when(F.size(F.array_distinct(keys)) < F.size(keys), last).otherwise(e)
+    return bound(entries, latest)
+
+
 def json_entries(c) -> Column:
-    """Ordered typed entries of a JSON object text (empty for null/invalid)."""
+    """Ordered typed entries of a JSON object text (empty for null/invalid).
+
+    The text is parsed twice in all, once for the values' texts and once for
+    their types; both results list the keys in document order and are zipped
+    by place, so the work is linear in the keys."""
     c = _c(c)
-    smap = F.from_json(c, "map<string,string>")
-    vmap = F.from_json(c, "map<string,variant>")
-    entries = F.transform(F.map_entries(smap), lambda e: F.struct(
-        e.key.alias("key"),
-        variant_type(F.try_element_at(vmap, e.key)).alias("type"),
-        e.value.alias("raw")))
-    return F.coalesce(entries, F.array().cast(ENTRY_TYPE))
+    texts = F.map_entries(F.from_json(c, "map<string,string>"))
+    variants = F.map_entries(F.from_json(c, "map<string,variant>"))
+    entries = F.zip_with(texts, variants, lambda t, v: F.struct(
+        t.key.alias("key"), variant_type(v.value).alias("type"), t.value.alias("raw")))
+    return F.coalesce(_unique_keys(entries), F.array().cast(ENTRY_TYPE))
 
 
 def json_elements(raw: Column) -> Column:

@@ -11,6 +11,7 @@ fully native variant: fixed windows of pre-tokens.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
 from datetime import datetime
 
@@ -28,7 +29,6 @@ from docweave.functions.patterns import (
     STATUS_ADD_TO_BATCH,
 )
 from docweave.functions.text import pretokens, sha256_hex, token_count
-from docweave.session import spread
 
 # --- per-text helper (runs inside Python workers) ----------------------------
 
@@ -57,7 +57,7 @@ def _merge(pieces: list[tuple[str, int]], size: int, overlap: int) -> list[str]:
     ``size``, carrying at most ``overlap`` tokens of trailing pieces into the
     next chunk."""
     chunks: list[str] = []
-    window: list[tuple[str, int]] = []
+    window: deque[tuple[str, int]] = deque()
     total = 0
     for piece, n in pieces:
         if total + n > size and window:
@@ -65,7 +65,7 @@ def _merge(pieces: list[tuple[str, int]], size: int, overlap: int) -> list[str]:
             if chunk:
                 chunks.append(chunk)
             while window and (total > overlap or total + n > size):
-                total -= window.pop(0)[1]
+                total -= window.popleft()[1]
         window.append((piece, n))
         total += n
     chunk = "".join(p for p, _ in window).strip()
@@ -110,25 +110,18 @@ def split_recursive(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVER
 
 def chunk_recursive(df: DataFrame, text_col: str, keep: list[str],
                     size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
-                    index_col: str = "idx", chunk_col: str = "text",
-                    vocab_path: str | None = None) -> DataFrame:
+                    index_col: str = "idx", chunk_col: str = "text") -> DataFrame:
     """One row per chunk: ``keep`` columns, chunk index (from 0), chunk text.
 
     Work is per text, so there is no shuffle: each task splits the texts of
     its own input split. Null texts give no rows. Lengths are cl100k
-    pre-token counts, or exact BPE counts when ``vocab_path`` names the
-    cl100k vocabulary file (readable by every executor).
+    pre-token counts.
     """
     fields = {f.name: f for f in df.schema.fields}
     out_schema = StructType([fields[k] for k in keep] + [
         StructField(index_col, IntegerType(), False), StructField(chunk_col, StringType(), False)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if vocab_path:
-            from docweave.functions.tokens import bpe_length
-            length = bpe_length(vocab_path)
-        else:
-            length = pretoken_len
         for pdf in batches:
             cols = {k: [] for k in keep}
             idx, chunks = [], []
@@ -137,7 +130,7 @@ def chunk_recursive(df: DataFrame, text_col: str, keep: list[str],
             for row, text in enumerate(texts):
                 if text is None:
                     continue
-                for i, chunk in enumerate(split_recursive(text, size, overlap, length=length)):
+                for i, chunk in enumerate(split_recursive(text, size, overlap)):
                     for k, values in zip(keep, kept):
                         cols[k].append(values[row])
                     idx.append(i)
@@ -147,7 +140,7 @@ def chunk_recursive(df: DataFrame, text_col: str, keep: list[str],
             out[chunk_col] = pd.Series(chunks, dtype=object)
             yield out
 
-    return spread(df.select(*keep, text_col)).mapInPandas(run, out_schema)
+    return df.select(*keep, text_col).mapInPandas(run, out_schema)
 
 
 # --- C3 native variant: windows of pre-tokens ------------------------------------
@@ -157,17 +150,20 @@ def window_chunks(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVE
     ``size - overlap`` pre-tokens, the last ending at the text's end; each
     window is joined back verbatim. Empty texts give no chunk."""
     step = size - overlap
-    toks = pretokens(text)
-    starts = F.sequence(F.lit(0), F.greatest(F.size(toks) - 1 - overlap, F.lit(0)), F.lit(step))
-    chunks = F.transform(starts, lambda s: F.array_join(F.slice(toks, s + 1, size), ""))
-    return F.filter(chunks, lambda c: c != "")
+
+    def windows(toks):
+        starts = F.sequence(F.lit(0), F.greatest(F.size(toks) - 1 - overlap, F.lit(0)), F.lit(step))
+        return F.transform(starts, lambda s: F.array_join(F.slice(toks, s + 1, size), ""))
+
+    # the text is tokenized once: inside the lambdas the pieces are a value
+    return F.filter(md.bound(pretokens(text), windows), lambda c: c != "")
 
 
 def chunk_window(df: DataFrame, text_col: str, keep: list[str], size: int = CHUNK_SIZE,
                  overlap: int = CHUNK_OVERLAP, index_col: str = "idx",
                  chunk_col: str = "text") -> DataFrame:
     """Native C3 variant: one row per window chunk."""
-    return (spread(df.select(*keep, text_col))
+    return (df.select(*keep, text_col)
             .select(*keep, F.posexplode_outer(window_chunks(F.col(text_col), size, overlap)).alias(index_col, chunk_col))
             .where(F.col(index_col).isNotNull()))
 
@@ -175,20 +171,14 @@ def chunk_window(df: DataFrame, text_col: str, keep: list[str], size: int = CHUN
 # --- C4: chunk rows ---------------------------------------------------------------
 
 def chunk_records(chunks: DataFrame, content_id_col: str = "content_id",
-                  index_col: str = "idx", chunk_col: str = "text",
-                  vocab_path: str | None = None) -> DataFrame:
+                  index_col: str = "idx", chunk_col: str = "text") -> DataFrame:
     """C4: (context_version_id, idx, text, text_sha256, token_count)."""
-    if vocab_path:
-        from docweave.functions.tokens import bpe_token_count
-        count = bpe_token_count(chunk_col, vocab_path)
-    else:
-        count = token_count(chunk_col)
     return chunks.select(
         F.col(content_id_col).alias("context_version_id"),
         F.col(index_col).alias("idx"),
         F.col(chunk_col).alias("text"),
         sha256_hex(chunk_col).alias("text_sha256"),
-        count.alias("token_count"))
+        token_count(chunk_col).alias("token_count"))
 
 
 # --- C6 / C7: embedding rows from content ----------------------------------------------
@@ -212,7 +202,7 @@ def embedding_records(content: DataFrame, as_of: datetime | str,
     ts = F.lit(as_of).cast("timestamp")
     keep = ["id", "metadata", "type_id", "user_id_id", "application_id_id", "_prefix", "_suffix"]
     # The metadata is parsed and rendered once per content row, not per chunk.
-    parsed = spread(content).withColumn("_m", md.json_entries("metadata"))
+    parsed = content.withColumn("_m", md.json_entries("metadata"))
     decorated = parsed.select("*", context_prefix(F.col("_m")).alias("_prefix"),
                               context_suffix(F.col("_m")).alias("_suffix"))
     split = chunk_recursive if splitter == "recursive" else chunk_window

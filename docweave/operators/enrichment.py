@@ -13,7 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions import metadata as md
-from docweave.session import keep, spread
+from docweave.session import stage
+
+#: tasks over which the rows of one (content, key) are spread
+_SALT = 32
 
 
 # --- D4 -----------------------------------------------------------------------------
@@ -73,7 +76,7 @@ def enrich_embeddings(responses: DataFrame, embeddings: DataFrame,
     ``embeddings``: (id, content_id_id, context, metadata).
     """
     emb = embeddings.select("id", "content_id_id", "context", "metadata")
-    joined = spread(responses).join(emb, responses["embedding_id"] == emb["id"], "inner")
+    joined = responses.join(emb, responses["embedding_id"] == emb["id"], "inner")
     # parse each JSON text once; the expressions below reuse the parsed entries
     parsed = joined.select("id", "content_id_id", "context", "metadata",
                            md.json_entries("metadata").alias("_m"), md.json_entries("response").alias("_r"))
@@ -103,15 +106,14 @@ def merge_metadata_by_content(rows: DataFrame, content_col: str = "content_id",
     values (null too) take the last. Keys keep first-seen order.
     Output: (id, metadata) with metadata as JSON text.
     """
-    entries = spread(rows).select(
+    entries = rows.select(
         F.col(content_col).alias("cid"), F.col(order_col).alias("ord"),
         F.posexplode_outer(md.json_entries(F.col(metadata_col))).alias("pos", "e")).where(F.col("pos").isNotNull())
     entries = entries.select("cid", "ord", "pos", F.col("e.key").alias("key"),
                              F.col("e.type").alias("type"), F.col("e.raw").alias("raw"),
                              md.value_json(F.col("e")).alias("json"))
-    # Two steps below read the parsed entries: keep them (spilling to disk if
-    # needed) instead of parsing every JSON text twice.
-    entries = keep(entries)
+    # Several steps below read the parsed entries: written once.
+    entries = stage(entries)
 
     # Where the last run of one type starts: types seen per key are few (<= 7).
     # The same two aggregations also give each key's first appearance (its
@@ -127,7 +129,12 @@ def merge_metadata_by_content(rows: DataFrame, content_col: str = "content_id",
         F.get(F.filter("seen", lambda s: s.type != F.col("run_type")), 0).last_ord,
         F.lit(None).cast("bigint")).alias("break_ord"))
 
-    run = (entries.join(runs, ["cid", "key"])
+    # The join is salted: a content that holds a large part of all rows is spread
+    # over _SALT tasks here, and the aggregations below combine its rows before
+    # they shuffle them.
+    salted = runs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALT - 1))))
+    run = (entries.withColumn("_salt", F.expr(f"cast(pmod(xxhash64(ord), {_SALT}) as int)"))
+           .join(salted, ["cid", "key", "_salt"]).drop("_salt")
            .where(F.col("break_ord").isNull() | (F.col("ord") > F.col("break_ord"))))
 
     scalar = run.groupBy("cid", "key").agg(
@@ -174,13 +181,13 @@ def merge_metadata_by_content(rows: DataFrame, content_col: str = "content_id",
 def overlay_json(current: Column, new: Column) -> Column:
     """``{**current, **new}`` on JSON texts: current keys keep their place
     (value from ``new`` when it has the key, null included), new keys follow."""
-    cur = md.json_entries(current)
-    nxt = md.json_entries(new)
-    kept = F.transform(cur, lambda e: F.struct(e.key.alias("key"), F.coalesce(
-        md.value_json(F.get(F.filter(nxt, lambda x: x.key == e.key), 0)), md.value_json(e)).alias("json")))
-    added = F.transform(F.filter(nxt, lambda x: ~F.exists(cur, lambda y: y.key == x.key)),
-                        lambda x: F.struct(x.key.alias("key"), md.value_json(x).alias("json")))
-    return md.entries_to_json(F.concat(kept, added))
+    def json_by_key(text):
+        return F.map_from_entries(F.transform(md.json_entries(text), lambda e: F.struct(e.key, md.value_json(e))))
+
+    # the zip lists the first map's keys in order, then the second's new ones; a
+    # JSON null is the text 'null' here, so a missing key is the only null
+    both = F.map_zip_with(json_by_key(current), json_by_key(new), lambda k, cur, nxt: F.coalesce(nxt, cur))
+    return md.entries_to_json(F.transform(F.map_entries(both), lambda e: F.struct(e.key.alias("key"), e.value.alias("json"))))
 
 
 def overlay_content_metadata(content: DataFrame, merged: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docweave.functions import metadata as md
 from docweave.functions.text import slug_key, title_name, type_key
 from docweave.operators.tables import allocate_ids
-from docweave.session import keep, spread
+from docweave.session import stage
 
 
 def with_keywords(df: DataFrame, metadata_col: str = "metadata", out: str = "_keywords") -> DataFrame:
@@ -19,7 +19,7 @@ def with_keywords(df: DataFrame, metadata_col: str = "metadata", out: str = "_ke
     The JSON is parsed once into a column of its own; the list is built from
     that column in a second projection, so the text is not parsed again for
     every field the list cleaning reads."""
-    parsed = spread(df).withColumn("_kw_entry", md.entry(md.json_entries(F.col(metadata_col)), "keywords"))
+    parsed = df.withColumn("_kw_entry", md.entry(md.json_entries(F.col(metadata_col)), "keywords"))
     e = F.col("_kw_entry")
     keywords = F.coalesce(F.when(e.isNotNull(), md.clean_meta_list(e)), F.array().cast("array<string>"))
     return parsed.withColumn(out, keywords).drop("_kw_entry")
@@ -39,9 +39,9 @@ def explode_keywords(enriched: DataFrame, id_col: str = "id",
 def _get_or_create(keys: DataFrame, dim: DataFrame, as_of: datetime | str | None) -> tuple[DataFrame, DataFrame]:
     """Shared E3/E4 step. ``keys``: (key, name) candidates, one per key.
     Returns (new dimension rows, key -> id for every requested key)."""
-    # The distinct keys are read by the id allocation (twice) and the final
-    # mapping; their number is the vocabulary size, so keeping them is cheap.
-    keys = keep(keys)
+    # The distinct keys are read by the id allocation and the final mapping:
+    # written once (as many rows as the vocabulary has words).
+    keys = stage(keys)
     existing = dim.select("id", "key")
     new = keys.join(existing.select("key"), "key", "left_anti")
     created = allocate_ids(new, dim, ["key"])

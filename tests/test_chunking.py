@@ -111,19 +111,3 @@ def _tiny_vocab(path):
     tokens = [bytes([b]) for b in range(256)] + [b"ab", b" a"]
     path.write_text("\n".join(f"{base64.b64encode(t).decode()} {i}" for i, t in enumerate(tokens)))
     return str(path)
-
-
-def test_bpe_counts_with_vocabulary(spark, tmp_path):
-    from docweave.functions.tokens import bpe_length, bpe_token_count
-    vocab = _tiny_vocab(tmp_path / "tiny.tiktoken")
-    length = bpe_length(vocab)
-    assert length("abab") == 2            # one pre-token, merges to ab|ab
-    assert length("ab ab") == 3           # "ab" + " ab" -> ab | " " ab (ab ranks before " a")
-    assert length("é") == 2               # two UTF-8 bytes
-    df = spark.createDataFrame([("abab",), ("ab ab",), (None,)], "t string")
-    assert [r.n for r in df.select(bpe_token_count("t", vocab).alias("n")).collect()] == [2, 3, None]
-    text = " ".join(["ab"] * 900)
-    docs = spark.createDataFrame([(1, text)], "id long, text string")
-    got = [r.text for r in chunk_recursive(docs, "text", ["id"], vocab_path=vocab).orderBy("idx").collect()]
-    assert got == split_recursive(text, length=length)
-    assert all(length(c) <= 400 for c in got) and len(got) > 1
