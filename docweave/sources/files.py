@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.functions.patterns import (
+    BATCH_SIZE,
     DROPPED_COLUMN,
-    MAX_INPUT_BYTES,
+    NA_CELLS,
     REQUEST_ID_PREFIX,
     REQUEST_METHOD,
     REQUEST_MODEL,
@@ -37,38 +38,62 @@ EMBEDDING_LINE = (
 
 # --- A4 ---------------------------------------------------------------------------------
 
-def read_tabular(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    """A4: csv (header) or json (records) files below 200,000,000 bytes;
-    the pandas index column is dropped and nulls read as ''. Every column is
-    text, as the reference's fillna('') makes mixed columns."""
+def read_tabular(spark: SparkSession, path: str, fmt: str, multi_line: bool = True) -> DataFrame:
+    """A4: csv (header) or json (records) files of any size; the pandas index
+    column is dropped, and nulls and the cells pandas reads as missing become ''.
+    Every column is text, as filling nulls with '' makes mixed columns.
+
+    ``multi_line`` (default): quoted cells may hold line breaks and a json file
+    may be one array; a file is then one task. Without it a file is split, and
+    every record must be on one line."""
     if fmt == "csv":
-        df = spark.read.option("header", True).option("multiLine", True).csv(path)
+        df = (spark.read.option("header", True).option("multiLine", multi_line)
+              .option("quote", '"').option("escape", '"').csv(path))
     elif fmt == "json":
-        df = spark.read.option("multiLine", True).json(path)
+        df = spark.read.option("multiLine", multi_line).json(path)
     else:
         raise ValueError(f"unsupported tabular format: {fmt}")
-    df = df.where(F.col("_metadata.file_size") < MAX_INPUT_BYTES)
     # pandas names an empty first header "Unnamed: 0"; Spark's CSV reader names it "_c0"
     if DROPPED_COLUMN in df.columns:
         df = df.drop(DROPPED_COLUMN)
     elif fmt == "csv" and df.columns and df.columns[0] == "_c0":
         df = df.drop("_c0")
-    return df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns])
+
+    def cell(name):
+        text = F.col(f"`{name}`").cast("string")
+        known = F.when(~text.isin(NA_CELLS), text) if fmt == "csv" else text
+        return F.coalesce(known, F.lit("")).alias(name)
+
+    return df.select(*[cell(c) for c in df.columns])
 
 
 # --- shared line reading -------------------------------------------------------------------
 
+def text_lines(text: DataFrame) -> DataFrame:
+    """(line, file_path, file_block) of a text source, batch or stream."""
+    return text.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file_path"),
+                       F.col("_metadata.file_block_start").alias("file_block"))
+
+
+def with_line_order(lines: DataFrame) -> DataFrame:
+    """(line, file_path, line_order) without empty lines. ``line_order`` orders
+    lines by file name, then by their place in the file: the start of the file
+    block and a counter that grows inside it. For batch frames (in a stream:
+    inside the micro-batch)."""
+    order = F.struct(F.col("file_path").alias("file"), F.col("file_block").alias("block"), F.monotonically_increasing_id().alias("line"))
+    return lines.select("line", "file_path", order.alias("line_order")).where(F.col("line") != "")
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.text(path)
-            .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file_path"))
-            .where(F.col("line") != ""))
+    return with_line_order(text_lines(spark.read.text(path)))
 
 
 def request_id(custom_id: Column, piece: int = -1) -> Column:
     """Numeric id inside ``request-<id>``: the last ``-`` piece by default,
-    the second (index 1) for the table variant; non-numeric gives null."""
+    the second (index 1) for the table variant; anything else than a number that
+    fits a BIGINT gives null."""
     text = F.substring_index(custom_id, "-", -1) if piece == -1 else F.get(F.split(custom_id, "-"), piece)
-    return F.when(text.rlike(r"^[0-9]+$"), text.cast("bigint"))
+    return F.when(text.rlike(r"^[0-9]+$"), text.try_cast("bigint"))
 
 
 def _split_good_bad(parsed: DataFrame, ok: Column, good_cols: list[Column]) -> tuple[DataFrame, DataFrame]:
@@ -80,16 +105,16 @@ def _split_good_bad(parsed: DataFrame, ok: Column, good_cols: list[Column]) -> t
 # --- A5 -------------------------------------------------------------------------------------
 
 def parse_enrichment_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A5 on a (line, file_path) frame: (embedding_id, response) where
-    ``response`` is the JSON text in the first choice's message, plus the
-    lines that could not be used."""
-    p = lines.select("file_path", "line", F.from_json("line", ENRICHMENT_LINE).alias("j"))
+    """A5 on a (line, file_path, line_order) frame: (embedding_id, response,
+    line_order) where ``response`` is the JSON text in the first choice's
+    message, plus the lines that could not be used."""
+    p = lines.select("file_path", "line", "line_order", F.from_json("line", ENRICHMENT_LINE).alias("j"))
     content = F.get(p["j.response.body.choices"], 0)["message"]["content"]
-    p = p.select("file_path", "line", request_id(F.col("j.custom_id")).alias("embedding_id"),
+    p = p.select("file_path", "line", "line_order", request_id(F.col("j.custom_id")).alias("embedding_id"),
                  content.alias("response"))
     ok = (F.col("embedding_id").isNotNull() & F.col("response").isNotNull()
           & F.from_json("response", "map<string,string>").isNotNull())
-    return _split_good_bad(p, ok, [F.col("embedding_id"), F.col("response")])
+    return _split_good_bad(p, ok, [F.col("embedding_id"), F.col("response"), F.col("line_order")])
 
 
 def read_enrichment_output(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -104,14 +129,14 @@ def _vector(p: DataFrame) -> Column:
 
 
 def parse_embedding_lines(lines: DataFrame, as_of: datetime | str) -> tuple[DataFrame, DataFrame]:
-    """(id, embedding, status 'complete', updated_at) per result line."""
-    p = lines.select("file_path", "line", F.from_json("line", EMBEDDING_LINE).alias("j"))
-    p = p.select("file_path", "line", request_id(F.col("j.custom_id")).alias("id"),
+    """(id, embedding, status 'complete', updated_at, line_order) per result line."""
+    p = lines.select("file_path", "line", "line_order", F.from_json("line", EMBEDDING_LINE).alias("j"))
+    p = p.select("file_path", "line", "line_order", request_id(F.col("j.custom_id")).alias("id"),
                  _vector(p).alias("embedding"))
     ok = F.col("id").isNotNull() & F.col("embedding").isNotNull()
     return _split_good_bad(p, ok, [F.col("id"), F.col("embedding"),
                                    F.lit(STATUS_COMPLETE).alias("status"),
-                                   F.lit(as_of).cast("timestamp").alias("updated_at")])
+                                   F.lit(as_of).cast("timestamp").alias("updated_at"), F.col("line_order")])
 
 
 def read_embedding_output(spark: SparkSession, path: str,
@@ -122,11 +147,11 @@ def read_embedding_output(spark: SparkSession, path: str,
 def parse_embedding_lines_table(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Table variant: id from the second ``-`` piece, vector possibly a
     JSON string, ``is_complete = true``."""
-    p = lines.select("file_path", "line", F.from_json("line", EMBEDDING_LINE).alias("j"))
-    p = p.select("file_path", "line", request_id(F.col("j.custom_id"), 1).alias("id"),
+    p = lines.select("file_path", "line", "line_order", F.from_json("line", EMBEDDING_LINE).alias("j"))
+    p = p.select("file_path", "line", "line_order", request_id(F.col("j.custom_id"), 1).alias("id"),
                  _vector(p).alias("embedding"))
     ok = F.col("id").isNotNull() & F.col("embedding").isNotNull()
-    return _split_good_bad(p, ok, [F.col("id"), F.col("embedding"), F.lit(True).alias("is_complete")])
+    return _split_good_bad(p, ok, [F.col("id"), F.col("embedding"), F.lit(True).alias("is_complete"), F.col("line_order")])
 
 
 def read_embedding_output_table(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -149,9 +174,14 @@ def embedding_requests(batched: DataFrame) -> DataFrame:
     return batched.select("batch_no", "id", request_line(F.col("id"), F.col("context")).alias("line"))
 
 
-def write_embedding_requests(batched: DataFrame, path: str) -> None:
-    """A7 sink: one folder of JSONL text per batch number. Each batch's rows
-    are brought together by a shuffle on batch_no, so a file holds at most
-    one batch (1,000 lines)."""
-    (embedding_requests(batched).repartition("batch_no").sortWithinPartitions("batch_no", "id")
-     .select("batch_no", "line").write.mode("overwrite").partitionBy("batch_no").text(path))
+def write_embedding_requests(batched: DataFrame, path: str, batch_size: int = BATCH_SIZE) -> None:
+    """A7 sink: JSONL text files of one batch each, 1,000 batches to a folder.
+
+    A shuffle brings each batch to one task, which writes its batches in order
+    and starts a new file every ``batch_size`` lines; all batches but the very
+    last are full, so files and batches coincide. The number of folders and of
+    open files stays small however many batches there are."""
+    (embedding_requests(batched).withColumn("batch_group", F.floor(F.col("batch_no") / 1000))
+     .repartition("batch_no").sortWithinPartitions("batch_group", "batch_no", "id")
+     .select("batch_group", "line").write.mode("overwrite").option("maxRecordsPerFile", batch_size)
+     .partitionBy("batch_group").text(path))
