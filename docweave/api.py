@@ -21,7 +21,6 @@ from docweave.functions.text import (  # noqa: F401
     token_count,                # C2
     type_key,                   # C9
 )
-from docweave.functions.tokens import bpe_token_count  # noqa: F401  (C2, exact with a vocabulary)
 from docweave.operators.chunking import (  # noqa: F401
     chunk_records,              # C4
     chunk_recursive,            # C3

@@ -25,8 +25,8 @@ from docweave.functions.text import (
 from docweave.operators import chunking, enrichment, lifecycle, tables, tags
 from docweave.plans import duck as D
 from docweave.plans import fixtures as X
-from docweave.plans.jobs import nonempty_content, preprocess_job, stage
-from docweave.session import spread
+from docweave.plans.jobs import complete_job, nonempty_content, preprocess_job
+from docweave.session import spread_scan, stage
 from docweave.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,8 +46,13 @@ def T(spark, d, name):
     return X.table(spark, d, name)
 
 
+def TS(spark, d, name):
+    """A table dealt over all cores, for work that is heavy per row."""
+    return spread_scan(T(spark, d, name))
+
+
 def content(spark, d):
-    return X.spark_fixture(spark, d, "documents", X.CONTENT + ["lang", "source", "n_chars"])
+    return TS(spark, d, "documents").selectExpr(*X.CONTENT, "lang", "source", "n_chars")
 
 
 DUCK_CONTENT = X.duck_fixture("documents", X.CONTENT + ["lang", "source", "n_chars"])
@@ -98,20 +103,20 @@ def q_embedding_ids_by_content(spark, d):
     f"SELECT doc_id, {X.DIRTY_TEXT} AS dirty FROM documents", ["doc_id"], "dirty", D.normalize_steps()
 ))
 def q_normalize_text(spark, d):
-    docs = spread(T(spark, d, "documents")).selectExpr("doc_id", f"{X.DIRTY_TEXT} AS dirty")
+    docs = TS(spark, d, "documents").selectExpr("doc_id", f"{X.DIRTY_TEXT} AS dirty")
     return docs.select("doc_id", normalize_text("dirty").alias("s"))
 
 
 @register("html_to_text", D.chain(
     f"SELECT page_id, {X.PAGE_EXTRA} AS h FROM pages", ["page_id"], "h", D.normalize_steps()))
 def q_html_to_text(spark, d):
-    pages = spread(T(spark, d, "pages")).selectExpr("page_id", f"{X.PAGE_EXTRA} AS h")
+    pages = TS(spark, d, "pages").selectExpr("page_id", f"{X.PAGE_EXTRA} AS h")
     return pages.select("page_id", normalize_text("h").alias("s"))
 
 
 @register("token_count", f"SELECT doc_id, {D.token_count('text')} AS token_count FROM documents")
 def q_token_count(spark, d):
-    return spread(T(spark, d, "documents")).select("doc_id", token_count("text").alias("token_count"))
+    return TS(spark, d, "documents").select("doc_id", token_count("text").alias("token_count"))
 
 
 @register("chunk_window", f"""
@@ -120,7 +125,7 @@ FROM (SELECT doc_id, {D.window_chunks()} AS chunks
       FROM ({D.pretokens_select('SELECT doc_id, text FROM documents', ['doc_id'], 'text')}))
 """)
 def q_chunk_window(spark, d):
-    return chunking.chunk_window(T(spark, d, "documents"), "text", ["doc_id"])
+    return chunking.chunk_window(TS(spark, d, "documents"), "text", ["doc_id"])
 
 
 def _duck_chunk_records() -> str:
@@ -136,7 +141,7 @@ def _duck_chunk_records() -> str:
 
 @register("chunk_records", _duck_chunk_records())
 def q_chunk_records(spark, d):
-    docs = spread(T(spark, d, "documents")).selectExpr("doc_id AS content_id", f"{X.DIRTY_TEXT} AS dirty")
+    docs = TS(spark, d, "documents").selectExpr("doc_id AS content_id", f"{X.DIRTY_TEXT} AS dirty")
     clean = docs.select("content_id", normalize_text("dirty").alias("text"))
     return chunking.chunk_records(chunking.chunk_window(clean, "text", ["content_id"]))
 
@@ -144,7 +149,7 @@ def q_chunk_records(spark, d):
 @register("chunk_recursive")
 def q_chunk_recursive(spark, d):
     """C1 -> C3 (recursive splitter) -> C4 over every document: the stage-1 job."""
-    c = T(spark, d, "documents").selectExpr("doc_id AS id", f"{X.DIRTY_TEXT} AS content")
+    c = TS(spark, d, "documents").selectExpr("doc_id AS id", f"{X.DIRTY_TEXT} AS content")
     return preprocess_job(c)
 
 
@@ -252,17 +257,16 @@ def q_clean_questions(spark, d):
 # --- D4 / D5 / D6 --------------------------------------------------------------------------------------
 
 def _spark_conv_responses(spark, d):
-    conv = T(spark, d, "conversations")
+    conv = TS(spark, d, "conversations")
     return conv.selectExpr("conv_id * 100 + turn AS embedding_id",
                            X.CONV_RESPONSE.replace("{words}", X.SPARK_WORDS) + " AS response")
 
 
 def _spark_conv_embeddings(spark, d):
-    # turn 6 rows are missing from the table: their responses are unmatched
-    return X.spark_fixture(spark, d, "conversations", X.CONV_EMBEDDINGS).where("turn <> 6")
+    return X.spark_fixture(spark, d, "conversations", X.CONV_EMBEDDINGS)
 
 
-DUCK_CONV_EMB = X.duck_fixture("conversations", X.CONV_EMBEDDINGS) + " WHERE turn <> 6"
+DUCK_CONV_EMB = X.duck_fixture("conversations", X.CONV_EMBEDDINGS)
 DUCK_CONV_RESP = ("SELECT conv_id * 100 + turn AS embedding_id, "
                   + X.CONV_RESPONSE.replace("{words}", X.DUCK_WORDS) + " AS response FROM conversations")
 
@@ -303,15 +307,16 @@ def q_enrich_embeddings(spark, d):
 
 
 @register("unmatched_responses", f"""
-SELECT embedding_id FROM ({DUCK_CONV_RESP}) WHERE embedding_id NOT IN (SELECT id FROM ({DUCK_CONV_EMB}))
+SELECT embedding_id FROM ({DUCK_CONV_RESP}) WHERE embedding_id NOT IN (SELECT id FROM ({DUCK_CONV_EMB}) WHERE turn <> 6)
 """)
 def q_unmatched_responses(spark, d):
-    _, unmatched = enrichment.enrich_embeddings(_spark_conv_responses(spark, d), _spark_conv_embeddings(spark, d), AS_OF)
+    # turn 6 rows are missing from the table: their responses are unmatched
+    _, unmatched = enrichment.enrich_embeddings(_spark_conv_responses(spark, d), _spark_conv_embeddings(spark, d).where("turn <> 6"), AS_OF)
     return unmatched.select("embedding_id")
 
 
 def _spark_merge_rows(spark, d):
-    return T(spark, d, "conversations").selectExpr(
+    return TS(spark, d, "conversations").selectExpr(
         "conv_id AS content_id", "conv_id * 100 + turn AS id",
         X.CONV_MERGE_METADATA.replace("{words}", X.SPARK_WORDS) + " AS metadata")
 
@@ -373,12 +378,12 @@ def _duck_overlay() -> str:
     meta = (f"'{{' || array_to_string(list_transform(list_concat({kept}, {added}), lambda p: "
             f"to_json(p.key)::VARCHAR || ':' || p.json), ',') || '}}'")
     return (f"SELECT n.id, {meta} AS metadata FROM (SELECT conv_id AS id, {OVERLAY_NEW} AS new FROM conversations "
-            f"WHERE turn = 0) n LEFT JOIN (SELECT id, metadata AS cur FROM ({DUCK_CONTENT})) c ON c.id = n.id")
+            f") n LEFT JOIN (SELECT id, metadata AS cur FROM ({DUCK_CONTENT})) c ON c.id = n.id")
 
 
 @register("overlay_metadata", _duck_overlay())
 def q_overlay_metadata(spark, d):
-    new = T(spark, d, "conversations").where("turn = 0").selectExpr("conv_id AS id", f"{OVERLAY_NEW} AS metadata")
+    new = T(spark, d, "conversations").selectExpr("conv_id AS id", f"{OVERLAY_NEW} AS metadata")
     return enrichment.overlay_content_metadata(content(spark, d), new)
 
 
@@ -394,20 +399,8 @@ def q_assign_batches(spark, d):
     return tables.assign_batches(li, X.LINE_KEY, 1000).select("l_orderkey", "l_linenumber", "batch_no")
 
 
-_STORED: dict = {}
-
-
-def stored(spark, d, name, build):
-    """A derived table the pipeline would keep as a stored table: written
-    once per session and folder (staged parquet), then read by every query."""
-    key = (id(spark), d, name)
-    if key not in _STORED:
-        _STORED[key] = stage(build(), temporary=False)
-    return _STORED[key]
-
-
 def _line_embeddings(spark, d):
-    return stored(spark, d, "line_embeddings", lambda: X.spark_lines(spark, d).selectExpr(*X.LINE_EMBEDDINGS))
+    return X.spark_lines(spark, d).selectExpr(*X.LINE_EMBEDDINGS)
 
 
 def _order_batches(spark, d):
@@ -419,7 +412,8 @@ DUCK_BATCHED_LINES = (
     f"FROM ({X.duck_fixture(X.DUCK_LINES, X.LINE_EMBEDDINGS)})")
 DUCK_NEW_BATCHES = (
     "SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY batch_no) AS id, batch_no, "
-    "'batch-' || batch_no AS batch_id, 'embeddings' AS type, false AS is_complete "
+    "'batch-' || ((SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY batch_no)) AS batch_id, "
+    "'embeddings' AS type, false AS is_complete "
     f"FROM (SELECT DISTINCT batch_no FROM ({DUCK_BATCHED_LINES}))")
 
 
@@ -437,7 +431,7 @@ JOIN ({DUCK_NEW_BATCHES}) nb ON nb.batch_no = b.batch_no
 """)
 def q_mark_in_batch(spark, d):
     emb = _line_embeddings(spark, d)
-    assigned = stage(tables.assign_batches(emb.select("id"), ["id"], 1000), temporary=False)
+    assigned = stage(tables.assign_batches(emb.select("id"), ["id"], 1000))
     created = lifecycle.create_batches(assigned, _order_batches(spark, d))
     return lifecycle.mark_in_batch(emb, assigned, created).select("id", "batch_id_id", "status")
 
@@ -456,19 +450,17 @@ def q_embedding_requests(spark, d):
 # --- E2 / E3 / E5 / E6 / E4 ---------------------------------------------------------------------
 
 def _spark_keyword_rows(spark, d):
-    return T(spark, d, "conversations").selectExpr(
+    return TS(spark, d, "conversations").selectExpr(
         "conv_id * 100 + turn AS id", "conv_id AS content_id_id", "turn",
         "'{\"keywords\": ' || " + X.SPARK_KEYWORDS + " || '}' AS metadata")
 
 
 def _spark_tags(spark, d):
-    def build():
-        words = (T(spark, d, "benchmark")
-                 .select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0)).alias("key"))
-                 .distinct())
-        indexed = tables.with_row_index(words, ["key"], "row")
-        return indexed.select((F.col("row") + 1).alias("id"), "key", F.col("key").alias("name"))
-    return stored(spark, d, "tags", build)
+    words = (T(spark, d, "benchmark")
+             .select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0)).alias("key"))
+             .distinct())
+    indexed = tables.with_row_index(words, ["key"], "row")
+    return indexed.select((F.col("row") + 1).alias("id"), "key", F.col("key").alias("name"))
 
 
 DUCK_KEYWORDS = ("SELECT conv_id * 100 + turn AS id, conv_id AS content_id, turn, unnest(" + X.DUCK_KEYWORDS
@@ -481,15 +473,15 @@ DUCK_NEW_TAGS = (f"SELECT (SELECT max(id) FROM ({DUCK_TAGS})) + row_number() OVE
                  f"FROM ({DUCK_KEYWORDS}) WHERE replace(lower(keyword), ' ', '-') NOT IN (SELECT key FROM ({DUCK_TAGS})))")
 DUCK_ALL_TAGS = f"SELECT id, key, name FROM ({DUCK_TAGS}) UNION ALL SELECT id, key, name FROM ({DUCK_NEW_TAGS})"
 DUCK_STORED_PAIRS = (f"SELECT DISTINCT k.content_id, t.id AS tag_id FROM ({DUCK_KEYWORDS}) k "
-                     f"JOIN ({DUCK_TAGS}) t ON t.key = replace(lower(k.keyword), ' ', '-') WHERE k.turn = 0")
+                     f"JOIN ({DUCK_TAGS}) t ON t.key = replace(lower(k.keyword), ' ', '-') WHERE (k.content_id + t.id) % 3 = 0")
 
 
 def _spark_stored_pairs(spark, d, tag_ids):
-    rows = _spark_keyword_rows(spark, d).where("turn = 0")
+    rows = _spark_keyword_rows(spark, d)
     exploded = tags.explode_keywords(rows, id_col="content_id_id", out_id="content_id")
     existing = _spark_tags(spark, d).select("key", F.col("id").alias("tag_id"))
     return tags.embedding_tag_pairs(exploded.withColumnRenamed("content_id", "embedding_id"), existing) \
-        .select(F.col("embedding_id").alias("content_id"), "tag_id").distinct()
+        .select(F.col("embedding_id").alias("content_id"), "tag_id").where("(content_id + tag_id) % 3 = 0").distinct()
 
 
 @register("explode_keywords", f"SELECT id AS embedding_id, keyword FROM ({DUCK_KEYWORDS})")
@@ -597,7 +589,7 @@ FROM ({X.duck_fixture(X.DUCK_LINES, X.LINE_EMBEDDINGS)}) e LEFT JOIN orders o ON
 """)
 def q_update_by_content(spark, d):
     values = T(spark, d, "orders").selectExpr("o_orderkey AS content_id_id", "'batch ' || o_orderstatus AS status")
-    return tables.update_by_content(_line_embeddings(spark, d), values).select("id", "content_id_id", "status")
+    return tables.update_by_content(_line_embeddings(spark, d), values, unique=True).select("id", "content_id_id", "status")
 
 
 @register("delete_by_ids", f"""
@@ -725,9 +717,13 @@ def q_content_status(spark, d):
     return lifecycle.set_content_status(content(spark, d), ids).select("id", "status")
 
 
-def _vector_summary(df, vec="embedding"):
-    return df.select("id", "status", F.size(vec).cast("bigint").alias("dims"),
-                     F.floor(F.get(vec, 0).cast("double") * 1000000).cast("bigint").alias("first_e6"))
+def _vector_text(vec="embedding"):
+    """Every component of a vector, in millionths, as one text."""
+    return F.array_join(F.transform(vec, lambda x: F.floor(x.cast("double") * 1000000).cast("string")), ",").alias("vector")
+
+
+def _duck_vector(vec: str) -> str:
+    return f"array_to_string(list_transform({vec}, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1000000) AS BIGINT)), ',') AS vector"
 
 
 @register("apply_embeddings", f"""
@@ -735,7 +731,7 @@ WITH v AS (SELECT vec_id AS id, embedding, 0 AS ord FROM embeddings
            UNION ALL SELECT vec_id, list_reverse(embedding), 1 FROM embeddings WHERE label = 0),
 l AS (SELECT id, arg_max(embedding, ord) AS embedding FROM v GROUP BY id)
 SELECT e.vec_id AS id, CASE WHEN l.id IS NOT NULL THEN 'complete' ELSE 'embedding content' END AS status,
-  CAST(len(l.embedding) AS BIGINT) AS dims, CAST(floor(CAST(l.embedding[1] AS DOUBLE) * 1000000) AS BIGINT) AS first_e6
+  {_duck_vector("l.embedding")}
 FROM embeddings e LEFT JOIN l ON l.id = e.vec_id
 """)
 def q_apply_embeddings(spark, d):
@@ -747,7 +743,7 @@ def q_apply_embeddings(spark, d):
                .unionByName(emb.where("label = 0").select(F.col("vec_id").alias("id"),
                                                           F.reverse("embedding").alias("embedding"), F.lit(1).alias("ord")))
                .withColumn("status", F.lit("complete")).withColumn("updated_at", ts))
-    return _vector_summary(lifecycle.apply_embeddings(target, vectors, order_col="ord"))
+    return lifecycle.apply_embeddings(target, vectors, order_col="ord").select("id", "status", _vector_text())
 
 
 # --- A5 / A6 / A6b: result lines (built from the tables, parsed as files would be) ----------------------------
@@ -780,9 +776,24 @@ SELECT CAST(tail AS BIGINT) AS embedding_id, content AS response FROM (
 WHERE regexp_matches(tail, '^[0-9]+$') AND content IS NOT NULL AND json_valid(content) AND json_type(content) = 'OBJECT'
 """)
 def q_parse_enrichment_output(spark, d):
-    lines = T(spark, d, "conversations").selectExpr(f"{_enrichment_line('spark')} AS line", "'conversations' AS file_path")
+    lines = T(spark, d, "conversations").selectExpr(f"{_enrichment_line('spark')} AS line", "'conversations' AS file_path", "conv_id * 100 + turn AS line_order")
     good, _ = files.parse_enrichment_lines(lines.where("line <> ''"))
-    return good
+    return good.drop("line_order")
+
+
+@register("enrichment_bad_lines", f"""
+SELECT id, line FROM (
+  SELECT id, line, CASE WHEN json_valid(line) THEN regexp_extract(json_extract_string(line, '$.custom_id'), '[^-]*$') END AS tail,
+         CASE WHEN json_valid(line) THEN json_extract_string(line, '$.response.body.choices[0].message.content') END AS content
+  FROM (SELECT conv_id * 100 + turn AS id, {_enrichment_line('duck')} AS line FROM conversations) WHERE line <> '')
+WHERE coalesce(NOT (regexp_matches(tail, '^[0-9]+$') AND json_valid(content) AND json_type(content) = 'OBJECT'), true)
+""")
+def q_enrichment_bad_lines(spark, d):
+    """A5's quarantine: every line that gives no response."""
+    lines = T(spark, d, "conversations").selectExpr(
+        f"{_enrichment_line('spark')} AS line", "CAST(conv_id * 100 + turn AS STRING) AS file_path", "conv_id * 100 + turn AS line_order")
+    _, bad = files.parse_enrichment_lines(lines.where("line <> ''"))
+    return bad.select(F.col("file_path").cast("bigint").alias("id"), "line")
 
 
 def _embedding_line(dialect: str) -> str:
@@ -808,26 +819,23 @@ WHERE regexp_matches(tail, '^[0-9]+$') AND v IS NOT NULL
 
 
 @register("parse_embedding_output", f"""
-SELECT id, 'complete' AS status, CAST(len(embedding) AS BIGINT) AS dims,
-       CAST(floor(CAST(embedding[1] AS DOUBLE) * 1000000) AS BIGINT) AS first_e6
+SELECT id, 'complete' AS status, {_duck_vector("embedding")}
 FROM ({_duck_vectors("regexp_extract(json_extract_string(line, '$.custom_id'), '[^-]*$')")})
 """)
 def q_parse_embedding_output(spark, d):
-    lines = T(spark, d, "embeddings").selectExpr(f"{_embedding_line('spark')} AS line", "'embeddings' AS file_path")
+    lines = T(spark, d, "embeddings").selectExpr(f"{_embedding_line('spark')} AS line", "'embeddings' AS file_path", "vec_id AS line_order")
     good, _ = files.parse_embedding_lines(lines, AS_OF)
-    return _vector_summary(good)
+    return good.select("id", "status", _vector_text())
 
 
 @register("parse_embedding_output_table", f"""
-SELECT id, true AS is_complete, CAST(len(embedding) AS BIGINT) AS dims,
-       CAST(floor(CAST(embedding[1] AS DOUBLE) * 1000000) AS BIGINT) AS first_e6
+SELECT id, true AS is_complete, {_duck_vector("embedding")}
 FROM ({_duck_vectors("string_split(json_extract_string(line, '$.custom_id'), '-')[2]")})
 """)
 def q_parse_embedding_output_table(spark, d):
-    lines = T(spark, d, "embeddings").selectExpr(f"{_embedding_line('spark')} AS line", "'embeddings' AS file_path")
+    lines = T(spark, d, "embeddings").selectExpr(f"{_embedding_line('spark')} AS line", "'embeddings' AS file_path", "vec_id AS line_order")
     good, _ = files.parse_embedding_lines_table(lines)
-    return good.select("id", "is_complete", F.size("embedding").cast("bigint").alias("dims"),
-                       F.floor(F.get("embedding", 0).cast("double") * 1000000).cast("bigint").alias("first_e6"))
+    return good.select("id", "is_complete", _vector_text())
 
 
 # --- S1: the stage-1 stream over the documents table ---------------------------------------------
@@ -856,86 +864,202 @@ def q_embedding_records_recursive(spark, d):
     return chunking.embedding_records(content(spark, d), AS_OF, splitter="recursive")
 
 
-# --- A4: tabular files (written from the customer table, read back) -------------------------
+# --- A4: tabular files (written from the tables, read back) -------------------------
 
-@register("read_tabular", """
-SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, coalesce(c_name, '') AS c_name,
-       CAST(c_nationkey AS VARCHAR) AS c_nationkey, CAST(c_acctbal AS VARCHAR) AS c_acctbal,
-       coalesce(c_mktsegment, '') AS c_mktsegment
-FROM customer
-""")
-def q_read_tabular(spark, d):
-    """The customer table written as CSV files (with a leading unnamed index
-    column, as pandas writes it), then read by A4."""
+def _scratch(spark, name):
     import uuid
 
     from docweave.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabular-{uuid.uuid4().hex}"
-    cust = T(spark, d, "customer")
-    (cust.select(F.lit("").alias("Unnamed: 0"), *cust.columns)
-     .write.option("header", True).csv(path))
-    return files.read_tabular(spark, path, "csv")
 
+# cells with quotes, commas, line breaks and the marks pandas reads as missing
+_CELL = ("CASE c_custkey % 5 WHEN 0 THEN 'say \"hi\", ' || c_name WHEN 1 THEN c_name || chr(10) || 'second line' "
+         "WHEN 2 THEN 'NA' WHEN 3 THEN '' ELSE c_name END")
 
-# --- S2 / S3: the stage-2 and stage-3 streams over result lines built from the tables -----------
 
-def _stream_root(spark, name):
-    import uuid
+@register("read_tabular", f"""
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, coalesce(c_name, '') AS c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(c_acctbal AS VARCHAR) AS c_acctbal, coalesce(c_mktsegment, '') AS c_mktsegment,
+       CASE c_custkey % 5 WHEN 2 THEN '' ELSE {_CELL} END AS note
+FROM customer
+""")
+def q_read_tabular(spark, d):
+    """The customer table written as CSV files (with a leading unnamed index
+    column, quoted as pandas quotes), then read by A4."""
+    path = _scratch(spark, "tabular")
+    cust = T(spark, d, "customer").selectExpr("'' AS `Unnamed: 0`", "*", f"{_CELL} AS note")
+    cust.write.option("header", True).option("escape", '"').csv(path)
+    return files.read_tabular(spark, path, "csv")
 
-    from docweave.session import ensure_checkpoint_dir
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+@register("read_tabular_json", f"""
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, coalesce(CASE c_custkey % 5 WHEN 3 THEN NULL ELSE {_CELL} END, '') AS note FROM customer
+""")
+def q_read_tabular_json(spark, d):
+    """The same from JSON records, one to a line (files are split)."""
+    path = _scratch(spark, "tabular")
+    cust = T(spark, d, "customer").selectExpr("c_custkey", f"CASE c_custkey % 5 WHEN 3 THEN NULL ELSE {_CELL} END AS note")
+    cust.write.json(path)
+    return files.read_tabular(spark, path, "json", multi_line=False)
 
 
-@register("stream_completion")
-def q_stream_completion(spark, d):
-    """S3 with ``availableNow``: one result line per row of ``embeddings``
-    (some errored, some string-encoded) lands as text files; the stream
-    parses them and runs the completion job. Returns the content table it
-    wrote (is_complete per content)."""
-    from docweave.streaming.jobs import stream_completion
+# --- last line wins, through files of unequal size and the job's own path -----------------------
 
-    root = _stream_root(spark, "stream_completion")
+@register("last_line_wins", f"""
+SELECT vec_id AS id, 'complete' AS status, {_duck_vector("CASE WHEN vec_id % 3 = 0 THEN list_reverse(embedding) ELSE embedding END")} FROM embeddings
+""")
+def q_last_line_wins(spark, d):
+    """A line for every vector in a first file, a second line for every third in
+    a later, smaller one, read by A6 and applied by the completion job."""
+    path = _scratch(spark, "lines")
     emb = T(spark, d, "embeddings")
-    emb.selectExpr(f"{_embedding_line('spark')} AS value").write.text(f"{root}/lines")
-    target = emb.selectExpr(
+    line = ("'{{\"custom_id\": \"request-' || vec_id || '\", \"response\": {{\"body\": {{\"data\": [{{\"embedding\": ' || to_json({v}) || '}}]}}}}}}' AS value")
+    emb.selectExpr(line.format(v="embedding")).coalesce(1).write.text(f"{path}/run=1")
+    emb.where("vec_id % 3 = 0").selectExpr(line.format(v="reverse(embedding)")).coalesce(1).write.text(f"{path}/run=2")
+    vectors, _ = files.read_embedding_output(spark, path, AS_OF)
+    out = complete_job(vectors, *_completion_tables(spark, d), AS_OF)
+    return out.embeddings.select("id", "status", _vector_text())
+
+
+# --- S2 / S3: the stage-2 and stage-3 streams over result lines built from the tables -----------
+
+def _completion_tables(spark, d):
+    """(embeddings, batches, batch_ids, content, links, files) for the completion job."""
+    target = T(spark, d, "embeddings").selectExpr(
         "vec_id AS id", "CAST(label AS BIGINT) AS content_id_id", "'embedding content' AS status",
-        "CASE WHEN vec_id % 3 = 0 THEN label + 1 END AS link_id_id", "CAST(label AS BIGINT) AS file_id_id",
+        "CASE WHEN vec_id % 3 = 0 THEN CAST(label + 1 AS BIGINT) END AS link_id_id", "CAST(label AS BIGINT) AS file_id_id",
         "CAST(NULL AS BIGINT) AS product_id_id", "CAST(NULL AS BIGINT) AS place_id_id",
         "CAST(NULL AS BIGINT) AS batch_id_id", "CAST(NULL AS ARRAY<FLOAT>) AS embedding",
         "CAST(NULL AS TIMESTAMP) AS updated_at")
     batches = _order_batches(spark, d)
-    tables_now = lambda: {
-        "embeddings": target, "batches": batches,
-        "batch_ids": lifecycle.pending_batches(batches, embeddings_only=True).select("id"),
-        "content": content(spark, d).select("id", "is_complete", "status"),
-        "links": T(spark, d, "supplier").selectExpr("s_suppkey AS id", "'pending' AS status"),
-        "files": T(spark, d, "part").selectExpr("p_partkey AS id", "'pending' AS status")}
-    q = stream_completion(spark, f"{root}/lines", tables_now, f"{root}/out", f"{root}/ckpt", AS_OF)
+    return (target, batches, lifecycle.pending_batches(batches, embeddings_only=True).select("id"),
+            content(spark, d).select("id", "is_complete", "status"),
+            T(spark, d, "supplier").selectExpr("s_suppkey AS id", "'pending' AS status"),
+            T(spark, d, "part").selectExpr("p_partkey AS id", "'pending' AS status"))
+
+
+# result lines without the odd ids of label 7 (a line for another row)
+_STREAM_LINE = {e: _embedding_line(e).replace("WHEN label = 7 ", "WHEN label = -7 ") for e in ("spark", "duck")}
+
+
+@register("stream_completion", f"""
+WITH v AS (SELECT vec_id, label, embedding FROM embeddings WHERE label <> 9),
+out AS (
+  SELECT 'embeddings' AS tbl, e.vec_id AS id, CASE WHEN v.vec_id IS NULL THEN 'embedding content' ELSE 'complete ' || vector END AS value
+  FROM embeddings e LEFT JOIN (SELECT vec_id, {_duck_vector("embedding")} FROM v) v ON v.vec_id = e.vec_id
+  UNION ALL SELECT 'batches', id, CASE WHEN type = 'embeddings' THEN 'true' ELSE CAST(is_complete AS VARCHAR) END FROM ({DUCK_ORDER_BATCHES})
+  UNION ALL SELECT 'content', doc_id, CASE WHEN doc_id IN (SELECT label FROM v) THEN 'true' ELSE 'false' END FROM documents
+  UNION ALL SELECT 'links', s_suppkey, CASE WHEN s_suppkey IN (SELECT label + 1 FROM v WHERE vec_id % 3 = 0) THEN 'Processed' ELSE 'pending' END FROM supplier
+  UNION ALL SELECT 'files', p_partkey, CASE WHEN p_partkey IN (SELECT label FROM v WHERE label <> 0) THEN 'Processed' ELSE 'pending' END FROM part
+  UNION ALL SELECT 'bad_lines', vec_id, {_STREAM_LINE['duck']} FROM embeddings WHERE label = 9)
+SELECT tbl, CAST(id AS BIGINT) AS id, value FROM out
+""")
+def q_stream_completion(spark, d):
+    """S3 in three epochs: one result line per row of ``embeddings`` (some
+    errored, some string-encoded) lands in three files. Returns all tables as
+    the last epoch left them, and the lines that could not be used."""
+    from docweave.streaming import jobs
+    from docweave.streaming.store import EpochTables
+
+    root = _scratch(spark, "stream_completion")
+    lines = T(spark, d, "embeddings").selectExpr(f"{_STREAM_LINE['spark']} AS value", "vec_id % 3 AS part")
+    for k in range(3):
+        lines.where(F.col("part") == k).select("value").coalesce(1).write.mode("append").text(f"{root}/lines")
+    target, batches, _, contents, links, file_table = _completion_tables(spark, d)
+    store = EpochTables(spark, f"{root}/tables", jobs.COMPLETION_TABLES)
+    for name, rows in {"embeddings": target, "batches": batches, "content": contents, "links": links, "files": file_table}.items():
+        store.create(name, rows)
+    q = jobs.stream_completion(spark, f"{root}/lines", store, lambda t: lifecycle.pending_batches(t["batches"], embeddings_only=True).select("id"),
+                               f"{root}/ckpt", AS_OF, max_files_per_trigger=1)
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/out/content").select("id", "is_complete")
+    value = {"embeddings": F.concat_ws(" ", "status", F.when(F.col("embedding").isNotNull(), _vector_text())), "batches": F.col("is_complete").cast("string"),
+             "content": F.col("is_complete").cast("string"), "links": F.col("status"), "files": F.col("status")}
+    bad = spark.read.parquet(f"{root}/tables/bad_lines")
+    out = bad.select(F.lit("bad_lines").alias("tbl"), F.regexp_extract("line", "request-([0-9]+)", 1).cast("bigint").alias("id"), F.col("line").alias("value"))
+    for name, v in value.items():
+        out = out.unionByName(store.read(name).select(F.lit(name).alias("tbl"), F.col("id").cast("bigint").alias("id"), v.alias("value")))
+    return out
+
+
+# one response per turn, with list keywords: every output of the job has a short SQL form
+_S2_RESPONSE = "'{\"content\": \"' || role || '\", \"keywords\": [\"' || upper(role) || '\", \"K ' || turn || '\"]}'"
+
 
+def _s2_line(dialect: str) -> str:
+    return ("CASE WHEN turn = 3 THEN 'not json ' || (conv_id * 100 + turn) ELSE '{\"custom_id\": \"request-' || (conv_id * 100 + turn) || "
+            "'\", \"response\": {\"body\": {\"choices\": [{\"message\": {\"content\": ' || " + _json_str(_S2_RESPONSE, dialect) + " || '}}]}}}' END")
 
-@register("stream_enrichment")
+
+def _duck_stream_enrichment() -> str:
+    e = f"({DUCK_CONV_EMB})"
+    base_id = "(SELECT max(o_orderkey) FROM orders)"
+    head = (f"CASE WHEN metadata IS NOT NULL THEN CASE WHEN role = 'system' THEN 'Question: Who is ' || role || '?' || chr(10) ELSE '' END "
+            f"|| context || chr(10) || chr(10) || 'Metadata:' || chr(10) || {D.metadata_text_v2('metadata')} || chr(10) || chr(10) "
+            "ELSE context || chr(10) || chr(10) END")
+    meta = ("CASE WHEN metadata IS NULL THEN '{' ELSE replace(left(metadata, length(metadata) - 1), '\": ', '\":') || ',' END "
+            "|| '\"keywords\":[\"' || upper(role) || '\",\"K ' || turn || '\"]}'")
+    return f"""
+WITH r AS (SELECT *, {head} || 'Rephrased Content: ' || role || chr(10) || 'Keywords: ' || upper(role) || ' K ' || turn AS ctx,
+                  replace({meta}, ', \"', ',\"') AS meta, CAST((row_number() OVER (ORDER BY id) - 1) // 1000 AS BIGINT) AS batch_no
+           FROM {e} WHERE turn <> 3),
+kw AS (SELECT id, content_id_id, replace(lower(k), ' ', '-') AS key FROM (SELECT id, content_id_id, unnest([upper(role), 'K ' || turn]) AS k FROM r)),
+tag AS ({DUCK_TAGS}),
+fresh AS (SELECT (SELECT max(id) FROM tag) + row_number() OVER (ORDER BY key) AS id, key, {_TAG_NAME} AS name
+          FROM (SELECT DISTINCT key FROM kw WHERE key NOT IN (SELECT key FROM tag))),
+allt AS (SELECT id, key FROM tag UNION ALL SELECT id, key FROM fresh),
+out AS (
+  SELECT 'embeddings' AS tbl, e.id, CASE WHEN r.id IS NULL THEN e.context || '|add to batch' ELSE r.ctx || '|' || r.meta || '|embedding content|' || ({base_id} + 1 + r.batch_no) END AS value
+  FROM {e} e LEFT JOIN r ON r.id = e.id
+  UNION ALL SELECT 'tags', id, key || '|' || name FROM fresh
+  UNION ALL SELECT 'embedding_tags', kw.id, CAST(allt.id AS VARCHAR) FROM kw JOIN allt USING (key)
+  UNION ALL SELECT DISTINCT 'content_tags', kw.content_id_id, CAST(allt.id AS VARCHAR) FROM kw JOIN allt USING (key)
+  UNION ALL SELECT 'batches', id, CASE WHEN type = 'embeddings' THEN 'true' ELSE CAST(is_complete AS VARCHAR) END FROM ({DUCK_ORDER_BATCHES})
+  UNION ALL SELECT DISTINCT 'batches', {base_id} + 1 + batch_no, 'false' FROM r
+  UNION ALL SELECT 'requests', id, json_object('custom_id', 'request-' || id, 'method', 'POST', 'url', '/v1/embeddings',
+              'body', json_object('model', 'text-embedding-3-small', 'input', ctx))::VARCHAR FROM r
+  UNION ALL SELECT 'bad_lines', conv_id * 100 + turn, 'not json ' || (conv_id * 100 + turn) FROM conversations WHERE turn = 3)
+SELECT tbl, CAST(id AS BIGINT) AS id, value FROM out
+"""
+
+
+@register("stream_enrichment", _duck_stream_enrichment())
 def q_stream_enrichment(spark, d):
-    """S2 with ``availableNow``: chat result lines built from every
-    conversation turn land as text files; the stream parses them and runs the
-    enrichment job. Returns the embedding table it wrote."""
-    from docweave.streaming.jobs import stream_enrichment
-
-    root = _stream_root(spark, "stream_enrichment")
-    T(spark, d, "conversations").selectExpr(f"{_enrichment_line('spark')} AS value").write.text(f"{root}/lines")
-    emb = _spark_conv_embeddings(spark, d).select("id", "content_id_id", "context", "metadata").selectExpr(
-        "*", "'add to batch' AS status", "CAST(NULL AS BIGINT) AS batch_id_id")
-    tag_table = _spark_tags(spark, d).selectExpr("*", "CAST(NULL AS TIMESTAMP) AS created_at",
-                                                 "CAST(NULL AS TIMESTAMP) AS updated_at")
-    batches = _order_batches(spark, d).selectExpr("*", "CAST(NULL AS TIMESTAMP) AS created_at",
-                                                  "CAST(NULL AS TIMESTAMP) AS updated_at")
-    tables_now = lambda: {
-        "embeddings": emb, "content": content(spark, d).select("id", "metadata", "is_complete", "status"),
-        "tags": tag_table, "content_tags": spark.createDataFrame([], "content_id long, tag_id long"),
-        "batches": batches,
-        "source_batch_ids": lifecycle.pending_batches(batches, embeddings_only=True).select("id")}
-    q = stream_enrichment(spark, f"{root}/lines", tables_now, f"{root}/out", f"{root}/ckpt", AS_OF)
+    """S2 with ``availableNow``: chat result lines built from every conversation
+    turn land as text files; the stream parses them and runs the enrichment job
+    on the stored tables. Returns every table and output it wrote."""
+    from docweave.streaming import jobs
+    from docweave.streaming.store import EpochTables
+
+    root = _scratch(spark, "stream_enrichment")
+    T(spark, d, "conversations").selectExpr(f"{_s2_line('spark')} AS value").write.text(f"{root}/lines")
+    ts = ["CAST(NULL AS TIMESTAMP) AS created_at", "CAST(NULL AS TIMESTAMP) AS updated_at"]
+    store = EpochTables(spark, f"{root}/tables", jobs.ENRICHMENT_TABLES)
+    store.create("embeddings", _spark_conv_embeddings(spark, d).selectExpr(
+        "id", "content_id_id", "context", "metadata", "'add to batch' AS status", "CAST(NULL AS BIGINT) AS batch_id_id", ts[1]))
+    store.create("content", content(spark, d).select("id", "metadata", "is_complete", "status"))
+    store.create("tags", _spark_tags(spark, d).selectExpr("*", *ts))
+    store.create("content_tags", spark.createDataFrame([], "content_id long, tag_id long"))
+    store.create("batches", _order_batches(spark, d).selectExpr("*", *ts))
+    q = jobs.stream_enrichment(spark, f"{root}/lines", store, lambda t: lifecycle.pending_batches(t["batches"], embeddings_only=True).select("id"),
+                               f"{root}/ckpt", AS_OF)
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/out/embeddings").select("id", "content_id_id", "context", "status", "batch_id_id")
+
+    def written(name):
+        return spark.read.parquet(f"{root}/tables/{name}/epoch=0")
+
+    done = F.col("status") == "embedding content"
+    parts = {
+        "embeddings": store.read("embeddings").select("id", F.when(done, F.concat_ws("|", "context", "metadata", "status", F.col("batch_id_id").cast("string")))
+                                                      .otherwise(F.concat_ws("|", "context", "status")).alias("value")),
+        "tags": written("tags").select("id", F.concat_ws("|", "key", "name").alias("value")),
+        "embedding_tags": written("embedding_tags").select(F.col("embedding_id").alias("id"), F.col("tag_id").cast("string").alias("value")),
+        "content_tags": store.read("content_tags").select(F.col("content_id").alias("id"), F.col("tag_id").cast("string").alias("value")),
+        "batches": store.read("batches").select("id", F.col("is_complete").cast("string").alias("value")),
+        "requests": written("requests").select("id", F.col("line").alias("value")),
+        "bad_lines": written("bad_lines").select(F.regexp_extract("line", "[0-9]+", 0).cast("bigint").alias("id"), F.col("line").alias("value"))}
+    out = None
+    for name, rows in parts.items():
+        one = rows.select(F.lit(name).alias("tbl"), F.col("id").cast("bigint").alias("id"), "value")
+        out = one if out is None else out.unionByName(one)
+    return out

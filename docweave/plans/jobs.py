@@ -1,9 +1,10 @@
 """The three pipeline stages as whole-table jobs.
 
 Each job takes DataFrames and returns the new table versions as
-DataFrames; ``write_outputs`` materializes them. Outputs that several
-writes share are written once (``stage``) so they are not recomputed, and
-so a lost executor recomputes from the written copy, not from the source.
+DataFrames; ``write_outputs`` materializes them. Frames that several outputs
+read are written once (``session.stage``) so they are not recomputed, and so a
+lost executor recomputes from the written copy, not from the source. Run a job
+and its writes in one ``session.temporary_tables`` block to drop them after.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from docweave.functions.patterns import BATCH_SIZE, STATUS_EMBEDDING
 from docweave.functions.text import normalize_text
 from docweave.operators import chunking, enrichment, lifecycle, tables, tags
-from docweave.session import ensure_checkpoint_dir, register_temporary, release_kept, spread
+from docweave.session import stage
 from docweave.sources import files
 
 
@@ -26,39 +27,17 @@ def nonempty_content(content: DataFrame, col: str = "content") -> DataFrame:
     return content.where(F.col(col).isNotNull() & (F.col(col) != ""))
 
 
-def stage(df: DataFrame, temporary: bool = True) -> DataFrame:
-    """Cut lineage: write ``df`` once as a parquet table in the shared
-    checkpoint folder (``spark.checkpoint.dir``) and read it back.
-
-    One write job (``Dataset.checkpoint`` without a cached input computes the
-    plan twice), and later plans start from a file scan with real sizes, so
-    AQE can choose joins from them. A lost executor re-reads the files.
-    ``temporary`` tables are deleted by ``session.drop_temporary``.
-    """
-    import uuid
-
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if temporary:
-        register_temporary(path)
-    return spark.read.parquet(path)
-
-
 # --- stage 1 ----------------------------------------------------------------------------
 
-def preprocess_job(content: DataFrame, splitter: str = "recursive",
-                   vocab_path: str | None = None) -> DataFrame:
-    """Content -> B1 -> C1 -> C3 -> C4: chunk rows for every non-empty content.
-    ``vocab_path`` (the cl100k vocabulary file) switches lengths and counts
-    from pre-tokens to exact BPE tokens."""
-    clean = spread(nonempty_content(content)).select(
+def preprocess_job(content: DataFrame, splitter: str = "recursive") -> DataFrame:
+    """Content -> B1 -> C1 -> C3 -> C4: chunk rows for every non-empty content."""
+    clean = nonempty_content(content).select(
         F.col("id").alias("content_id"), normalize_text("content").alias("text"))
     if splitter == "recursive":
-        chunks = chunking.chunk_recursive(clean, "text", ["content_id"], vocab_path=vocab_path)
+        chunks = chunking.chunk_recursive(clean, "text", ["content_id"])
     else:
         chunks = chunking.chunk_window(clean, "text", ["content_id"])
-    return chunking.chunk_records(chunks, vocab_path=vocab_path)
+    return chunking.chunk_records(chunks)
 
 
 # --- stage 2 ----------------------------------------------------------------------------
@@ -77,16 +56,20 @@ class EnrichOutputs:
 
 def enrich_job(responses: DataFrame, embeddings: DataFrame, content: DataFrame, tag_table: DataFrame,
                content_tag_table: DataFrame, batches: DataFrame, source_batch_ids: DataFrame,
-               as_of: datetime | str, batch_size: int = BATCH_SIZE,
-               materialize: bool = True) -> EnrichOutputs:
+               as_of: datetime | str, batch_size: int = BATCH_SIZE, changed_only: bool = False) -> EnrichOutputs:
     """A5 output -> D4 -> {A9 + G3, E2->E3->E5, D5->D6, E6, E1->A7/G1}.
 
-    ``responses``: (embedding_id, response). The source batch is marked
-    complete once; new batches stay open.
+    ``responses``: (embedding_id, response, line_order); of several lines for
+    one embedding the last counts, everywhere in the job. The source batch is
+    marked complete once; new batches stay open. With ``changed_only`` the
+    embedding, content and batch outputs hold only changed and new rows.
+
+    Intermediates that several outputs read are staged; write the outputs
+    inside the same ``session.temporary_tables`` block, if any.
     """
-    enriched, unmatched = enrichment.enrich_embeddings(responses, embeddings, as_of)
-    if materialize:
-        enriched = stage(enriched)
+    latest = tables.last_update_per_key(responses, "embedding_id", "line_order")
+    enriched, unmatched = enrichment.enrich_embeddings(latest, embeddings, as_of)
+    enriched = stage(enriched)
 
     exploded = tags.explode_keywords(enriched)
     new_tags, tag_ids = tags.tags_get_or_create(exploded, tag_table, as_of)
@@ -94,19 +77,18 @@ def enrich_job(responses: DataFrame, embeddings: DataFrame, content: DataFrame,
 
     merged = enrichment.merge_metadata_by_content(
         enriched.select(F.col("content_id_id").alias("content_id"), "id", "metadata"))
-    if materialize:
-        merged = stage(merged)      # one row per content, read by two outputs
+    merged = stage(merged)      # one row per content, read by two outputs
     overlay = enrichment.overlay_content_metadata(content, merged)
-    content_new = tables.update_by_key(content, overlay, as_of=as_of)
+    content_new = tables.update_by_key(content, overlay, as_of=as_of, unique=True, changed_only=changed_only)
     content_tags = tags.new_content_tag_pairs(merged, tag_ids, content_tag_table)
 
     # (id, batch_no) is read by batch creation, status updates and request
     # lines; it is small (two numbers per row), so write it once.
     assigned = tables.assign_batches(enriched.select("id"), ["id"], batch_size)
-    if materialize:
-        assigned = stage(assigned)
+    assigned = stage(assigned)
     created = lifecycle.create_batches(assigned, batches, as_of=as_of)
-    batches_new = lifecycle.mark_batch_complete(batches, source_batch_ids).unionByName(
+    created = stage(created)    # ids allocated once, read by two outputs
+    batches_new = lifecycle.mark_batch_complete(batches, source_batch_ids, changed_only=changed_only).unionByName(
         created.select(*batches.columns))
     # One keyed update of the embedding table carries both the enriched fields
     # (A9) and the batch id and status (G3): one join over the largest table.
@@ -114,7 +96,7 @@ def enrich_job(responses: DataFrame, embeddings: DataFrame, content: DataFrame,
     updates = (enriched.select("id", "context", "metadata", "updated_at")
                .join(batch_of.select("id", "batch_id_id"), "id")
                .withColumn("status", F.lit(STATUS_EMBEDDING)))
-    embeddings_new = tables.update_by_key(embeddings, updates)
+    embeddings_new = tables.update_by_key(embeddings, updates, unique=True, changed_only=changed_only)
     requests = files.embedding_requests(assigned.join(enriched.select("id", "context"), "id"))
     quarantine = unmatched.select(F.lit("unmatched").alias("reason"),
                                   F.col("embedding_id").cast("string").alias("detail"))
@@ -135,32 +117,31 @@ class CompleteOutputs:
 
 def complete_job(vectors: DataFrame, embeddings: DataFrame, batches: DataFrame, batch_ids: DataFrame,
                  content: DataFrame, links: DataFrame, file_table: DataFrame,
-                 as_of: datetime | str, strict: bool = False, materialize: bool = True) -> CompleteOutputs:
+                 as_of: datetime | str, strict: bool = False, changed_only: bool = False) -> CompleteOutputs:
     """A6 output -> G4 -> {G2, F1 -> G5, G6 -> G7}.
 
-    The new embedding table is read by three outputs (itself, F1, G6); with
-    ``materialize`` it is written once and they read the written copy instead
-    of each repeating the update join over the whole table."""
-    embeddings_new = lifecycle.apply_embeddings(embeddings, vectors)
-    if materialize:
-        embeddings_new = stage(embeddings_new)
-    ids = vectors.select("id").distinct()
-    batches_new = lifecycle.mark_batch_complete(batches, batch_ids)
-    done = lifecycle.completed_contents(embeddings_new, ids, strict=strict)
-    content_new = lifecycle.mark_content_complete(content, done)
-    attached = lifecycle.attachments(embeddings_new, ids)
-    links_new = lifecycle.mark_processed(links, attached, "link_id")
-    files_new = lifecycle.mark_processed(file_table, attached, "file_id")
-    return CompleteOutputs(embeddings_new, batches_new, content_new, links_new, files_new)
+    ``vectors``: (id, embedding, status, updated_at, line_order); the last line
+    of an id counts. The updated rows are read by three outputs, so they are
+    staged. With ``changed_only`` every output holds only changed rows."""
+    changed = stage(lifecycle.apply_embeddings(embeddings, vectors, changed_only=True))
+    ids = changed.select("id")
+    others = embeddings.join(ids, "id", "left_anti")
+    # default F1 and G6 look at the updated rows only; strict F1 at all rows of their contents
+    done = lifecycle.completed_contents(others.unionByName(changed) if strict else changed, ids, strict=strict)
+    attached = lifecycle.attachments(changed, ids)
+    keep = {"changed_only": changed_only}
+    return CompleteOutputs(
+        embeddings=changed if changed_only else others.unionByName(changed),
+        batches=lifecycle.mark_batch_complete(batches, batch_ids, **keep),
+        content=lifecycle.mark_content_complete(content, done, **keep),
+        links=lifecycle.mark_processed(links, attached, "link_id", **keep),
+        files=lifecycle.mark_processed(file_table, attached, "file_id", **keep))
 
 
 def write_outputs(outputs, root: str) -> None:
     """Write each output frame as a parquet table version under ``root``."""
-    try:
-        for name, df in vars(outputs).items():
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
-    finally:
-        release_kept()
+    for name, df in vars(outputs).items():
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:

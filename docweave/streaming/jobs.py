@@ -6,9 +6,9 @@ Structured Streaming query over newly arrived files:
 * S1 ``stream_chunks``: new content files -> B1 -> C1 -> C3 -> C4, appended
   to a parquet table (stateless; the file sink commits through its log).
 * S2 ``stream_enrichment`` / S3 ``stream_completion``: new result-line files
-  -> ``foreachBatch`` running the batch job on the micro-batch. Outputs are
-  written under ``epoch=<id>`` folders, so a replayed epoch overwrites its
-  own folder instead of appending twice.
+  -> ``foreachBatch`` running the batch job on the micro-batch and on the
+  tables as all earlier epochs left them (``streaming.store``). Only changed
+  rows are written; a replayed epoch reads and writes what it did before.
 
 All queries take a checkpoint location; pass a folder in the cluster's
 shared storage.
@@ -24,10 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from docweave.functions.patterns import BATCH_SIZE
 from docweave.operators import lifecycle
 from docweave.plans.jobs import complete_job, enrich_job, preprocess_job
-from docweave.session import drop_temporary, release_kept
+from docweave.session import stage, temporary_tables
 from docweave.sources import files
+from docweave.streaming.store import EpochTables
 
 
 def _trigger(writer, available_now: bool):
@@ -57,61 +59,62 @@ def stream_chunks(spark: SparkSession, content_path: str, content_schema: Struct
     return _trigger(writer, available_now).start()
 
 
-def _lines_stream(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.readStream.format("text").load(path)
-            .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file_path"))
-            .where(F.col("line") != ""))
+#: the stored tables of the two streams and their keys (None: only grows)
+ENRICHMENT_TABLES = {"embeddings": "id", "content": "id", "batches": "id", "tags": None, "content_tags": None}
+COMPLETION_TABLES = {"embeddings": "id", "content": "id", "batches": "id", "links": "id", "files": "id"}
 
 
-def _epoch_writer(root: str, write: Callable[[DataFrame, int], dict[str, DataFrame]]):
-    def run(batch: DataFrame, epoch: int) -> None:
-        try:
-            for name, df in write(batch, epoch).items():
-                df.write.mode("overwrite").parquet(f"{root}/{name}/epoch={epoch}")
-        finally:
-            # the epoch's outputs are written: drop its caches and staged tables
-            release_kept()
-            drop_temporary(batch.sparkSession)
-    return run
+def _lines_stream(spark: SparkSession, path: str, max_files: int | None) -> DataFrame:
+    reader = spark.readStream.format("text")
+    return files.text_lines((reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(path))
 
 
-def stream_enrichment(spark: SparkSession, results_path: str, tables: Callable[[], dict[str, DataFrame]],
-                      out_root: str, checkpoint: str, as_of: datetime | str,
-                      available_now: bool = True) -> StreamingQuery:
+def _epoch_writer(store: EpochTables, run: Callable[[DataFrame, dict[str, DataFrame]], dict[str, DataFrame]]):
+    def epoch_done(batch: DataFrame, epoch: int) -> None:
+        with temporary_tables(batch.sparkSession):      # this epoch's staged tables only
+            state = {name: store.read(name, before=epoch) for name in store.keys}
+            store.write(epoch, run(stage(files.with_line_order(batch)), state))
+    return epoch_done
+
+
+def stream_enrichment(spark: SparkSession, results_path: str, store: EpochTables,
+                      source_batch_ids: Callable[[dict[str, DataFrame]], DataFrame], checkpoint: str,
+                      as_of: datetime | str, available_now: bool = True, max_files_per_trigger: int | None = None,
+                      batch_size: int = BATCH_SIZE) -> StreamingQuery:
     """New chat-result files -> A5 -> enrichment job per micro-batch.
 
-    ``tables()`` returns the current embedding/content/tag/content_tag/batch
-    tables and ``source_batch_ids`` (read fresh for every micro-batch).
-    """
-    def write(batch: DataFrame, epoch: int) -> dict[str, DataFrame]:
+    ``store`` holds ENRICHMENT_TABLES; each epoch runs on their state before it
+    and adds its changes. The epoch's ``embedding_tags``, ``requests``,
+    ``quarantine`` and ``bad_lines`` are written beside them.
+    ``source_batch_ids`` names, from the tables' state, the batches whose
+    results arrive."""
+    def run(batch: DataFrame, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
         good, bad = files.parse_enrichment_lines(batch)
-        t = tables()
         out = enrich_job(good, t["embeddings"], t["content"], t["tags"], t["content_tags"], t["batches"],
-                         t["source_batch_ids"], as_of, materialize=True)   # enriched rows written once per epoch
-        result = dict(vars(out))
-        result["bad_lines"] = bad
-        return result
+                         source_batch_ids(t), as_of, batch_size, changed_only=True)
+        rows = dict(vars(out))
+        rows["tags"] = rows.pop("new_tags")
+        return rows | {"bad_lines": bad}
 
-    writer = (_lines_stream(spark, results_path).writeStream
-              .foreachBatch(_epoch_writer(out_root, write)).option("checkpointLocation", checkpoint))
+    writer = (_lines_stream(spark, results_path, max_files_per_trigger).writeStream
+              .foreachBatch(_epoch_writer(store, run)).option("checkpointLocation", checkpoint))
     return _trigger(writer, available_now).start()
 
 
-def stream_completion(spark: SparkSession, results_path: str, tables: Callable[[], dict[str, DataFrame]],
-                      out_root: str, checkpoint: str, as_of: datetime | str,
-                      available_now: bool = True) -> StreamingQuery:
-    """S3: new embedding-result files -> A6 -> completion job per micro-batch."""
-    def write(batch: DataFrame, epoch: int) -> dict[str, DataFrame]:
+def stream_completion(spark: SparkSession, results_path: str, store: EpochTables,
+                      batch_ids: Callable[[dict[str, DataFrame]], DataFrame], checkpoint: str,
+                      as_of: datetime | str, available_now: bool = True,
+                      max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """S3: new embedding-result files -> A6 -> completion job per micro-batch.
+    ``store`` holds COMPLETION_TABLES; ``bad_lines`` are written beside them."""
+    def run(batch: DataFrame, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
         vectors, bad = files.parse_embedding_lines(batch, as_of)
-        t = tables()
-        out = complete_job(vectors, t["embeddings"], t["batches"], t["batch_ids"], t["content"],
-                           t["links"], t["files"], as_of)
-        result = dict(vars(out))
-        result["bad_lines"] = bad
-        return result
-
-    writer = (_lines_stream(spark, results_path).writeStream
-              .foreachBatch(_epoch_writer(out_root, write)).option("checkpointLocation", checkpoint))
+        out = complete_job(vectors, t["embeddings"], t["batches"], batch_ids(t), t["content"], t["links"], t["files"],
+                           as_of, changed_only=True)
+        return dict(vars(out)) | {"bad_lines": bad}
+
+    writer = (_lines_stream(spark, results_path, max_files_per_trigger).writeStream
+              .foreachBatch(_epoch_writer(store, run)).option("checkpointLocation", checkpoint))
     return _trigger(writer, available_now).start()
 
 

@@ -31,7 +31,8 @@ def test_enrich_then_complete(spark, tmp_path):
         (1, json.dumps({"content": "R1", "questions": "A? B?", "keywords": ["Big Data", "new one"]})),
         (2, json.dumps({"keywords": {"Dict Key": 1}})),
         (9, json.dumps({"content": "unknown id"})),
-    ], "embedding_id long, response string")
+        (1, json.dumps({"content": "an earlier line for the same id"})),
+    ], "embedding_id long, response string").withColumn("line_order", F.expr("CASE WHEN response LIKE '%earlier%' THEN 0 ELSE embedding_id END"))
     out = enrich_job(responses, emb, content, tag_table, content_tags, batches,
                      spark.createDataFrame([(5,)], "id long"), AS_OF, batch_size=1)
 
@@ -55,13 +56,15 @@ def test_enrich_then_complete(spark, tmp_path):
     assert [r.detail for r in out.quarantine.collect()] == ["9"]
 
     # stage 3: vectors for embeddings 1 and 2 arrive
-    vectors = spark.createDataFrame([(1, [0.1, 0.2]), (2, [0.3, 0.4])], "id long, embedding array<float>") \
+    vectors = spark.createDataFrame([(1, [0.1, 0.2], 3), (2, [0.3, 0.4], 2), (1, [9.0, 9.0], 1), (1, [8.0, 8.0], None)],
+                                    "id long, embedding array<float>, line_order int") \
         .withColumn("status", F.lit("complete")).withColumn("updated_at", F.lit(AS_OF).cast("timestamp"))
     links = spark.createDataFrame([(7, "pending"), (8, "pending")], "id long, status string")
     file_table = spark.createDataFrame([(3, "pending")], "id long, status string")
     done = complete_job(vectors, out.embeddings, out.batches, spark.createDataFrame([(5,)], "id long"),
                         content, links, file_table, AS_OF)
     assert {r.id: r.is_complete for r in done.content.collect()} == {100: True, 200: False}
+    assert {r.id: r.embedding and [round(x, 1) for x in r.embedding] for r in done.embeddings.collect()} == {1: [0.1, 0.2], 2: [0.3, 0.4], 3: None}
     assert {r.id: r.status for r in done.links.collect()} == {7: "Processed", 8: "pending"}
     assert {r.id: r.status for r in done.files.collect()} == {3: "Processed"}
     strict = complete_job(vectors, out.embeddings, out.batches, spark.createDataFrame([(5,)], "id long"),

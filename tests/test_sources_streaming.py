@@ -69,53 +69,130 @@ def test_stream_chunks_equals_batch_and_replay_is_safe(spark, tmp_path):
     assert spark.read.parquet(sink).count() == batch.count()
 
 
-def test_stream_enrichment_and_completion(spark, tmp_path):
-    from docweave.streaming.jobs import stream_completion, stream_enrichment
-
-    emb = spark.createDataFrame(
-        [(1, 100, "c1", '{"a": 1}', "add to batch", None, 7, 3, None, None),
-         (2, 100, "c2", None, "add to batch", None, None, None, None, None)],
-        "id long, content_id_id long, context string, metadata string, status string, batch_id_id long, "
-        "link_id_id long, file_id_id long, product_id_id long, place_id_id long") \
-        .withColumn("embedding", F.lit(None).cast("array<float>")).withColumn("updated_at", F.lit(None).cast("timestamp"))
-    content = spark.createDataFrame([(100, None, False, "active")], "id long, metadata string, is_complete boolean, status string") \
-        .withColumn("updated_at", F.lit(None).cast("timestamp"))
-    tag_table = spark.createDataFrame([], "id long, key string, name string, created_at timestamp, updated_at timestamp")
-    ctags = spark.createDataFrame([], "content_id long, tag_id long")
-    batches = spark.createDataFrame([(5, "e5", "embeddings", False)], "id long, batch_id string, type string, is_complete boolean") \
-        .withColumn("created_at", F.lit(None).cast("timestamp")).withColumn("updated_at", F.lit(None).cast("timestamp"))
-    tables = lambda: {"embeddings": emb, "content": content, "tags": tag_table, "content_tags": ctags,
-                      "batches": batches, "source_batch_ids": spark.createDataFrame([(5,)], "id long")}
-    src = tmp_path / "chat"
-    src.mkdir()
-    line = {"custom_id": "request-1", "response": {"body": {"choices": [{"message": {
-        "content": json.dumps({"keywords": ["k one"]})}}]}}}
-    (src / "part1.jsonl").write_text(json.dumps(line) + "\nnot json\n")
-    out = tmp_path / "out2"
-    q = stream_enrichment(spark, str(src), tables, str(out), str(tmp_path / "ck2"), "2024-01-01 00:00:00")
-    q.awaitTermination()
-    got = spark.read.parquet(str(out / "embeddings"))
-    assert got.where("id = 1").first().context.endswith("Keywords: k one")
-    assert spark.read.parquet(str(out / "bad_lines")).count() == 1
-    assert spark.read.parquet(str(out / "new_tags")).first().key == "k-one"
-
-    vec_src = tmp_path / "vec"
-    vec_src.mkdir()
-    (vec_src / "v.jsonl").write_text("\n".join(json.dumps(
-        {"custom_id": f"request-{i}", "response": {"body": {"data": [{"embedding": [0.5, 0.25]}]}}}) for i in (1, 2)))
-    links = spark.createDataFrame([(7, "pending")], "id long, status string")
-    ftab = spark.createDataFrame([(3, "pending")], "id long, status string")
-    tables3 = lambda: {"embeddings": emb, "batches": batches, "batch_ids": spark.createDataFrame([(5,)], "id long"),
-                       "content": content, "links": links, "files": ftab}
-    out3 = tmp_path / "out3"
-    q3 = stream_completion(spark, str(vec_src), tables3, str(out3), str(tmp_path / "ck3"), "2024-01-01 00:00:00")
+def _state(spark):
+    none = F.lit(None)
+    emb = (spark.range(1, 7).selectExpr("id", "100 + id % 2 AS content_id_id", "concat('c', id) AS context", "'{\"a\": 1}' AS metadata",
+                                        "'add to batch' AS status", "CAST(NULL AS BIGINT) AS batch_id_id", "6 + id AS link_id_id", "3L AS file_id_id",
+                                        "CAST(NULL AS BIGINT) AS product_id_id", "CAST(NULL AS BIGINT) AS place_id_id")
+           .withColumn("embedding", none.cast("array<float>")).withColumn("updated_at", none.cast("timestamp")))
+    content = spark.createDataFrame([(100, None, False, "active"), (101, '{"src": 1}', False, "active")],
+                                    "id long, metadata string, is_complete boolean, status string").withColumn("updated_at", none.cast("timestamp"))
+    return {"embeddings": emb, "content": content,
+            "tags": spark.createDataFrame([], "id long, key string, name string, created_at timestamp, updated_at timestamp"),
+            "content_tags": spark.createDataFrame([], "content_id long, tag_id long"),
+            "batches": spark.createDataFrame([(5, "e5", "embeddings", False, None, None)],
+                                             "id long, batch_id string, type string, is_complete boolean, created_at timestamp, updated_at timestamp"),
+            "links": spark.createDataFrame([(i, "pending") for i in range(7, 14)], "id long, status string"),
+            "files": spark.createDataFrame([(3, "pending")], "id long, status string")}
+
+
+def _chat(i, **content):
+    return json.dumps({"custom_id": f"request-{i}", "response": {"body": {"choices": [{"message": {"content": json.dumps(content)}}]}}})
+
+
+def _vector(i, *v):
+    return json.dumps({"custom_id": f"request-{i}", "response": {"body": {"data": [{"embedding": list(v)}]}}})
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_streams_carry_state_and_replay(spark, tmp_path):
+    """Three epochs of each stream, in one session, equal the batch job over all
+    files; a replay of the middle epoch changes nothing."""
+    import shutil
+    import time
+
+    from docweave.plans.jobs import complete_job, enrich_job
+    from docweave.streaming import jobs
+    from docweave.streaming.store import EpochTables
+
+    as_of, none = "2024-01-01 00:00:00", spark.createDataFrame([], "id long")
+    tables = _state(spark)
+    chat, vec = tmp_path / "chat", tmp_path / "vec"
+    for folder, files_ in ((chat, [[_chat(1, keywords=["k one", "x"]), "not json"], [_chat(2, keywords=["x"]), _chat(3, content="R")],
+                                   [_chat(4, keywords=["new"]), _chat(1, content="second time")]]),
+                           (vec, [[_vector(1, 1, 2), _vector(2, 3, 4)], [_vector(3, 5, 6), _vector(4, 7, 8), "{}"], [_vector(6, 9, 9), _vector(2, 0.5, 0.5)]])):
+        folder.mkdir()
+        for i, lines in enumerate(files_):
+            (folder / f"{i}.jsonl").write_text("\n".join(lines))
+            time.sleep(1.1)      # the file source takes files in order of time
+    s2 = EpochTables(spark, str(tmp_path / "s2"), jobs.ENRICHMENT_TABLES)
+    s3 = EpochTables(spark, str(tmp_path / "s3"), jobs.COMPLETION_TABLES)
+    for store in (s2, s3):
+        for name in store.keys:
+            store.create(name, tables[name])
+    q2 = jobs.stream_enrichment(spark, str(chat), s2, lambda t: t["batches"].where("id = 5").select("id"), str(tmp_path / "c2"), as_of, max_files_per_trigger=1)
+    q3 = jobs.stream_completion(spark, str(vec), s3, lambda t: none, str(tmp_path / "c3"), as_of, max_files_per_trigger=1)
+    q2.awaitTermination()
     q3.awaitTermination()
-    assert spark.read.parquet(str(out3 / "content")).first().is_complete is True
-    assert spark.read.parquet(str(out3 / "links")).first().status == "Processed"
-    # replay from the same checkpoint: nothing new, folders unchanged
-    q3b = stream_completion(spark, str(vec_src), tables3, str(out3), str(tmp_path / "ck3"), "2024-01-01 00:00:00")
-    q3b.awaitTermination()
-    assert spark.read.parquet(str(out3 / "embeddings")).count() == 2
+    assert s2.next_epoch() == s3.next_epoch() == 3
+
+    vectors, bad = files.read_embedding_output(spark, str(vec), as_of)
+    want = complete_job(vectors, tables["embeddings"], tables["batches"], none, tables["content"], tables["links"], tables["files"], as_of)
+    for name in jobs.COMPLETION_TABLES:
+        if name != "content":
+            assert _rows(s3.read(name).select(*tables[name].columns)) == _rows(getattr(want, name).select(*tables[name].columns)), name
+    # an epoch completes a content when the embeddings that arrived in it are complete (default F1)
+    assert {r.id: r.is_complete for r in s3.read("content").collect()} == {r.id: r.is_complete for r in want.content.collect()}
+    assert spark.read.parquet(str(tmp_path / "s3/bad_lines/epoch=1")).count() == bad.count() == 1
+    assert spark.read.parquet(str(tmp_path / "s3/embeddings/epoch=1")).count() == 2       # changed rows only
+
+    emb = {r.id: r for r in s2.read("embeddings").collect()}
+    assert len(emb) == 6 and emb[1].context.startswith("c1\n\nMetadata:") and "Rephrased Content: second time" in emb[1].context
+    assert emb[5].context == "c5" and emb[5].status == "add to batch"
+    assert sorted(r.key for r in s2.read("tags").collect()) == ["k-one", "new", "x"]
+    batches = s2.read("batches").collect()
+    assert len({r.id for r in batches}) == len({r.batch_id for r in batches}) == len(batches) == 4 and [r.id for r in batches if r.is_complete] == [5]
+    assert len({(r.content_id, r.tag_id) for r in s2.read("content_tags").collect()}) == s2.read("content_tags").count() == 4
+    first = spark.read.parquet(str(tmp_path / "s2/embedding_tags/epoch=0"))
+    assert first.count() == 2
+
+    # replay of epoch 1: it reads what epoch 0 left, though epochs 1 and 2 are there
+    before = {name: _rows(s2.read(name)) for name in s2.keys}
+    good, _ = files.read_enrichment_output(spark, str(chat / "1.jsonl"))
+    state = {name: s2.read(name, before=1) for name in s2.keys}
+    again = enrich_job(good, state["embeddings"], state["content"], state["tags"], state["content_tags"], state["batches"],
+                       state["batches"].where("id = 5").select("id"), as_of, changed_only=True)
+    rows = dict(vars(again))
+    rows["tags"] = rows.pop("new_tags")
+    s2.write(1, rows)
+    assert {name: _rows(s2.read(name)) for name in s2.keys} == before
+    # a new base reads the same; an unfinished base does not count
+    for name in s2.keys:
+        s2.compact(name)
+    assert {name: _rows(s2.read(name)) for name in s2.keys} == before
+    shutil.copytree(tmp_path / "s2/embeddings/base=0", tmp_path / "s2/embeddings/base=9", ignore=shutil.ignore_patterns("_SUCCESS"))
+    assert _rows(s2.read("embeddings")) == before["embeddings"]
+
+
+def test_last_line_wins_whatever_the_file_sizes(spark, tmp_path):
+    from docweave.operators.lifecycle import apply_embeddings
+
+    target = spark.createDataFrame([(1, None, "x"), (2, None, "x")], "id long, embedding array<float>, status string")
+    for sizes in ((1, 400), (400, 1)):
+        folder = tmp_path / str(sizes[0])
+        folder.mkdir()
+        for name, n, v in (("a", sizes[0], 1.0), ("b", sizes[1], 2.0)):
+            (folder / f"{name}.jsonl").write_text("\n".join([_vector(1, 0.0)] * n + [_vector(1, v)]))
+        vectors, _ = files.read_embedding_output(spark, str(folder), "2024-01-01 00:00:00")
+        got = {r.id: r.embedding for r in apply_embeddings(target, vectors).collect()}
+        assert got == {1: [2.0], 2: None}
+
+
+def test_bad_ids_go_to_quarantine(spark, tmp_path):
+    (tmp_path / "v.jsonl").write_text("\n".join([_vector("99999999999999999999", 1), _vector("", 1), _vector(3, 1)]))
+    good, bad = files.read_embedding_output(spark, str(tmp_path), "2024-01-01 00:00:00")
+    assert [r.id for r in good.collect()] == [3] and bad.count() == 2
+
+
+def test_read_tabular_quotes_breaks_and_missing_cells(spark, tmp_path):
+    frame = pd.DataFrame({"a": ['say "hi", ok', "line\nbreak", "NA", "null", ""], "b": ["x", "y,z", "n/a", "None", "NaN"]})
+    frame.to_csv(tmp_path / "q.csv")
+    want = pd.read_csv(tmp_path / "q.csv").fillna("").astype(str)
+    got = files.read_tabular(spark, str(tmp_path / "q.csv"), "csv")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want[["a", "b"]].to_numpy()))
 
 
 def test_read_tabular_json_records(spark, tmp_path):
@@ -127,7 +204,7 @@ def test_read_tabular_json_records(spark, tmp_path):
 def test_write_request_files(spark, tmp_path):
     df = spark.range(2500).selectExpr("id", "concat('ctx ', id) AS context", "CAST(id DIV 1000 AS BIGINT) AS batch_no")
     files.write_embedding_requests(df, str(tmp_path / "req"))
-    back = spark.read.text(str(tmp_path / "req"))
-    counts = {r.batch_no: r["count"] for r in back.groupBy("batch_no").count().collect()}
-    assert counts == {0: 1000, 1: 1000, 2: 500}
-    assert json.loads(back.where("batch_no = 2").first().value)["custom_id"].startswith("request-2")
+    parts = [p.read_text().splitlines() for p in sorted((tmp_path / "req").glob("batch_group=0/part-*"))]
+    assert sorted(map(len, parts)) == [500, 1000, 1000]
+    ids = [sorted(int(json.loads(line)["custom_id"].split("-")[1]) for line in p) for p in parts]
+    assert sorted(ids) == [list(range(0, 1000)), list(range(1000, 2000)), list(range(2000, 2500))]
