@@ -146,7 +146,13 @@ def q_chunk_records(spark, d):
     return chunking.chunk_records(chunking.chunk_window(clean, "text", ["content_id"]))
 
 
-@register("chunk_recursive")
+def _duck_recursive_records(text: str) -> str:
+    norm = D.chain(f"SELECT doc_id AS id, {text} AS raw FROM documents", ["id"], "raw", D.normalize_steps())
+    return (f"SELECT id AS context_version_id, idx, chunk AS text, sha256(chunk) AS text_sha256, {D.token_count('chunk')} AS token_count "
+            f"FROM ({D.recursive_chunks(f'SELECT id, s AS t FROM ({norm})')})")
+
+
+@register("chunk_recursive", _duck_recursive_records(X.DIRTY_TEXT))
 def q_chunk_recursive(spark, d):
     """C1 -> C3 (recursive splitter) -> C4 over every document: the stage-1 job."""
     c = TS(spark, d, "documents").selectExpr("doc_id AS id", f"{X.DIRTY_TEXT} AS content")
@@ -165,12 +171,15 @@ def q_build_context(spark, d):
     return part.select("p_partkey", build_context(part, ["p_name", "p_brand", "p_type", "p_size"]).alias("context"))
 
 
-def _duck_embedding_records() -> str:
+def _duck_embedding_records(recursive: bool = False) -> str:
     toks = D.pretokens_select(DUCK_CONTENT, ["id", "metadata", "type_id", "user_id_id", "application_id_id"], "content")
     chunks = (f"SELECT id, metadata, type_id, user_id_id, application_id_id, {D.window_chunks()} AS chunks "
               f"FROM ({toks})")
     rows = (f"SELECT id, metadata, type_id, user_id_id, application_id_id, "
             f"generate_subscripts(chunks, 1) - 1 AS chunk_idx, unnest(chunks) AS chunk FROM ({chunks})")
+    if recursive:
+        rows = (f"SELECT d.id, metadata, type_id, user_id_id, application_id_id, idx AS chunk_idx, chunk FROM ({DUCK_CONTENT}) d "
+                f"JOIN ({D.recursive_chunks('SELECT doc_id AS id, text AS t FROM documents')}) k ON k.id = d.id")
     ents = D.entries("metadata")
     with_q = (f"CASE WHEN {D.has_key(ents, 'question')} THEN 'Question: ' || "
               f"{D.render(D.entry(ents, 'question'))} || chr(10) || 'Answer: ' || chunk ELSE chunk END")
@@ -840,7 +849,7 @@ def q_parse_embedding_output_table(spark, d):
 
 # --- S1: the stage-1 stream over the documents table ---------------------------------------------
 
-@register("stream_chunks")
+@register("stream_chunks", _duck_recursive_records("text"))
 def q_stream_chunks(spark, d):
     """S1 with ``availableNow``: the documents file flows through normalize +
     recursive chunking into a parquet sink in the shared checkpoint folder;
@@ -857,7 +866,7 @@ def q_stream_chunks(spark, d):
     return spark.read.parquet(f"{root}/chunks")
 
 
-@register("embedding_records_recursive")
+@register("embedding_records_recursive", _duck_embedding_records(recursive=True))
 def q_embedding_records_recursive(spark, d):
     """C6 with the reference's recursive splitter (the oracle-checked
     ``embedding_records`` uses the native window splitter)."""

@@ -102,6 +102,48 @@ def window_chunks(toks: str = "toks", size: int = CHUNK_SIZE, overlap: int = CHU
             f"lambda st: array_to_string({toks}[st + 1:st + {size}], '')), lambda c: c <> '')")
 
 
+def recursive_chunks(source: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> str:
+    """(id, idx, chunk) of the recursive splitter for a ``source`` of (id, t).
+
+    ``nodes`` are the texts that get split: the whole text, then every piece of
+    ``size`` tokens or more, by the next separator it holds. Smaller pieces in a
+    row form a group; ``windows`` walks a group chunk by chunk over its running
+    token sums: a window reaches to the last sum within ``size`` of its start, and
+    the next one starts where the carried rest is within ``overlap`` and the piece
+    after it still fits."""
+    lf2 = f"({LF} || {LF})"
+    which = (f"CASE WHEN start <= 1 AND contains(t, {lf2}) THEN 1 WHEN start <= 2 AND contains(t, {LF}) THEN 2 "
+             "WHEN start <= 3 AND contains(t, ' ') THEN 3 ELSE 4 END")
+    sep = f"[{lf2}, {LF}, ' '][j]"
+    cut = ("list_filter(CASE WHEN j = 4 THEN regexp_extract_all(t, '(?s).') ELSE list_transform(string_split(t, "
+           f"{sep}), lambda x, i: CASE WHEN i = 1 THEN x ELSE {sep} || x END) END, lambda x: x <> '')")
+
+    def pieces(nodes: str) -> str:
+        rows = f"SELECT id, path, j, {cut} AS ps FROM (SELECT *, {which} AS j FROM {nodes})"
+        return (f"SELECT *, {token_count('p')} AS n FROM (SELECT id, path, j, unnest(ps) AS p, "
+                f"generate_subscripts(ps, 1) AS ord FROM ({rows}))")
+
+    reach = f"len(list_filter(c, lambda x: x <= (CASE WHEN s = 1 THEN 0 ELSE c[s - 1] END) + {size}))"
+    after = f"2 + len(list_filter(c, lambda x: x < greatest(c[e] - {overlap}, c[e + 1] - {size})))"
+    return f"""
+WITH RECURSIVE nodes AS (
+  SELECT id, [0::BIGINT] AS path, t, 1 AS start FROM ({source})
+  UNION ALL
+  SELECT id, list_append(path, ord), p, j + 1 FROM ({pieces('nodes')}) WHERE n >= {size} AND j < 4),
+runs AS (SELECT *, sum((n >= {size})::INT) OVER (PARTITION BY id, path ORDER BY ord) AS run FROM ({pieces('nodes')})),
+sums AS (SELECT *, sum(n) OVER (PARTITION BY id, path, run ORDER BY ord) AS c FROM runs WHERE n < {size}),
+groups AS MATERIALIZED (
+  SELECT row_number() OVER () AS g, * FROM (
+    SELECT id, list_append(path, min(ord)) AS place, list(p ORDER BY ord) AS ps, list(c ORDER BY ord) AS c FROM sums GROUP BY id, path, run)),
+windows AS (
+  SELECT g, s, {reach} AS e FROM (SELECT *, 1 AS s FROM groups)
+  UNION ALL
+  SELECT g, s, {reach} AS e FROM (SELECT g, c, {after} AS s FROM windows JOIN groups USING (g) WHERE e < len(c))),
+texts AS (SELECT id, place, s, {strip("array_to_string(ps[s:e], '')")} AS chunk FROM windows JOIN groups USING (g))
+SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY place, s) - 1 AS INTEGER) AS idx, chunk FROM texts WHERE chunk <> ''
+"""
+
+
 def title(x: str) -> str:
     return (f"array_to_string(list_transform(regexp_extract_all({x}, '\\p{{L}}+|\\P{{L}}+'), lambda w: "
             f"CASE WHEN regexp_matches(w, '^\\p{{L}}') THEN CASE WHEN substr(w, 1, 1) = chr(223) THEN 'Ss' ELSE upper(substr(w, 1, 1)) END || lower(substr(w, 2)) "
