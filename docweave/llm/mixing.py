@@ -23,6 +23,8 @@ single task. Other columns are never read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,8 +33,6 @@ from docweave.llm.common import ASCII_WORD, prefix_sums, stage, text_hash
 #: words of a block at most; a mix has about ``SLOTS`` blocks at least, so small corpora get small blocks
 BLOCK_WORDS = 4096
 SLOTS = 65536
-#: rows of one (source, bucket) run and slots of one (source, chunk) run
-RUN_ROWS = 20_000
 #: cells that turn "point in interval" into an equality join
 CELLS = 4096
 
@@ -75,7 +75,7 @@ def schedule(spark, parts: DataFrame, slots: int) -> DataFrame:
     drawn = (spark.range(slots).withColumnRenamed("id", "slot").withColumn("x", point)
              .withColumn("cell", F.floor(F.col("x") * CELLS))
              .join(cell, "cell").where("x >= lo and x < hi")
-             .select("slot", "src_no", F.floor(F.col("slot") / RUN_ROWS).alias("chunk"), F.lit(1).cast("long").alias("one")))
+             .select("slot", "src_no", F.floor(F.col("slot") / (math.isqrt(slots) + 1)).alias("chunk"), F.lit(1).cast("long").alias("one")))
     return prefix_sums(drawn, ["src_no"], "chunk", ["slot"], "one", "rank").select("slot", "src_no", "rank")
 
 
@@ -94,7 +94,7 @@ def mix(docs: DataFrame, weights: tuple = (1, 2, 3), cap: int = 3, block_words:
     block = max(1, min(block_words, words // least_slots))
     slots = schedule(spark, parts, -(-words // block))
 
-    buckets = n // RUN_ROWS + 1
+    buckets = math.isqrt(n) + 1      # prefix sums inside a bucket and over the buckets are then equally long
     shuffled = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
     layout = (rows.join(parts.select(F.col("source").alias("s"), "src_no", "source_size", "target"),
                         F.col("source").eqNullSafe(F.col("s"))).drop("s")

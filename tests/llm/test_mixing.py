@@ -63,8 +63,7 @@ def test_targets_and_taken(spark):
     assert all(abs(share.get(i, 0) - want[s] / sum(want.values())) < 0.005 for i, s in enumerate(order))
 
 
-def test_edge_rows_and_hot_buckets(docs, monkeypatch):
-    monkeypatch.setattr(mixing, "RUN_ROWS", 3)
+def test_edge_rows(docs):
     documents, pieces = mixing.mix(docs)
     check(ROWS, documents)
     assert pieces.where("length <= 0").count() == 0
