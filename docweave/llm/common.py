@@ -29,16 +29,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession, mb: int = 16) -> None:
-    """Cap the bytes of an Arrow batch so very long texts cannot fill a Python
-    worker; a smaller limit already set by the session stays."""
-    key, most = "spark.sql.execution.arrow.maxBytesPerBatch", mb << 20
-    try:
-        now = int(spark.conf.get(key))
-    except Exception:  # noqa: BLE001 - written with a unit, or unknown to this version
-        now = -1
-    if now <= 0 or now > most:
-        spark.conf.set(key, str(most))
+def bounded_batches(spark: SparkSession, mb: int = 4, rows: int = 2000) -> None:
+    """Cap the bytes and rows of an Arrow batch so that long texts cannot fill a
+    Python worker; smaller limits already set by the session stay."""
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", mb << 20), ("spark.sql.execution.arrow.maxRecordsPerBatch", rows)):
+        try:
+            now = int(spark.conf.get(key))
+        except Exception:  # noqa: BLE001 - written with a unit, or unknown to this version
+            now = -1
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
 
 
 def worker_cache(name: str) -> dict:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from docweave.llm.common import bounded_batches, stage, worker_cache
 
 #: pieces a worker keeps in its memo before it starts anew
-MEMO_PIECES = 400_000
+MEMO_PIECES = 200_000
 
 
 def _byte_letters() -> dict[int, str]:

@@ -146,7 +146,7 @@ def derive(responses: DataFrame, made: str = "2024-01-02T00:00:00Z") -> DataFram
             yield pa.RecordBatch.from_arrays([*[batch.column(n).take(twice) for n in names], pa.array(list(kinds) * batch.num_rows, pa.string()),
                                               pa.array(blocks, pa.string())], names=[*names, "record_type", "block"])
 
-    bounded_batches(responses.sparkSession, 8)
+    bounded_batches(responses.sparkSession)
     own = responses.select("id", F.col("record_id").alias("refers_to"), "target_uri", F.col("date").alias("refers_to_date"), "http_headers",
                            "payload_digest", "payload")
     kind = own.schema["id"].dataType.simpleString()
