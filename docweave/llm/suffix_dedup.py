@@ -18,9 +18,12 @@ neighbours. Three steps keep the sort small, exact and spread:
    Neighbours whose common extension reaches ``length`` are compared byte by
    byte; if a hash ever collided, the block is sorted by its bytes instead.
 
-An anchor with more than ``GROUP`` distinct contexts would be a large group in
-one task. Its windows become rows (SHA-256 of the window) that are counted by
-aggregation: the same answer without the sort, spread over all tasks.
+An anchor with more than ``GROUP`` distinct contexts (the edges of a passage in
+very many texts) would be a large group in one task. Its contexts are cut into
+shorter runs of windows, and the bytes that all windows of a run share join the
+anchor, so the group falls apart by content; in steps of 16, 4 and 1 windows. A
+run of one window is all anchor: its group holds equal windows only, which
+collapse to one context. The result is the same.
 
 Defined results: texts are UTF-8 bytes, null is empty; matches never cross
 documents; overlapping matches count; strings are judged on the input. Texts
@@ -40,8 +43,8 @@ from pyspark.sql import functions as F
 from docweave.llm.common import bounded_batches, stage, text_hash, worker_cache
 
 GRAM = 40
-#: distinct contexts of an anchor that are sorted in one task; larger ones are counted by aggregation
-GROUP = 1024
+#: distinct contexts of an anchor that are sorted in one task; larger groups are cut by runs of so many windows
+GROUP, STEPS = 1024, (16, 4, 1)
 #: bytes of contexts sorted at once, and bytes of a text hashed at once
 BLOCK, CHUNK = 1 << 20, 1 << 20
 BASE = 0x9E3779B97F4A7C15          # odd: invertible mod 2**64
@@ -244,7 +247,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, group:
     end) of bytes to remove, overlapping, for documents with any."""
     import pyarrow as pa
 
-    bounded_batches(docs.sparkSession, 4)
+    bounded_batches(docs.sparkSession)
     text = F.col(f"`{text_col}`").cast("string")
     own = docs.select(F.col(f"`{id_col}`").alias("id"), text_hash(text).alias("raw"), F.encode(F.coalesce(text, F.lit("")), "utf-8").alias("text"))
     kind = own.schema["id"].dataType.simpleString()
@@ -275,13 +278,48 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, group:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()),
                                               pa.array(out[3], pa.int64()), pa.array(out[4], pa.binary())], names=["id", "raw", "g", "lead", "at", "ctx"])
 
-    contexts = (rows.mapInArrow(find_contexts, f"id {kind}, raw bigint, g bigint, lead int, at bigint, ctx binary")
-                .withColumn("h", F.xxhash64("ctx")).withColumn("n", F.octet_length("ctx")))
-    contexts = stage(contexts, "contexts")
-    key = ["g", "lead", "h", "n"]
-    distinct = stage(contexts.groupBy(*key, "ctx").agg(F.count(F.lit(1)).cast("int").alias("c")), "distinct")
-    sizes = distinct.groupBy("g").agg(F.count(F.lit(1)).alias("k"))
-    large = stage(sizes.where(F.col("k") > group).select("g"), "large")
+    contexts = rows.mapInArrow(find_contexts, f"id {kind}, raw bigint, g bigint, lead int, at bigint, ctx binary")
+    spans = None
+    for step in (*STEPS, None):
+        contexts = stage(contexts.withColumn("h", F.xxhash64("ctx")).withColumn("n", F.octet_length("ctx")), "contexts")
+        distinct = stage(contexts.groupBy(*KEY, "ctx").agg(F.count(F.lit(1)).cast("int").alias("c")), "distinct")
+        large = stage(distinct.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > group).select("g"), "large")
+        last = step is None or large.isEmpty()
+        small = distinct if last else distinct.join(large, "g", "left_anti").select(*distinct.columns)
+        hits = sorted_windows(small, length)
+        found = (contexts.select("id", "raw", "at", *KEY).join(hits, KEY)
+                 .select("id", "raw", (F.col("at") + F.col("w0")).alias("start"), (F.col("at") + F.col("w1") + length).alias("end")))
+        spans = found if spans is None else spans.unionByName(found)
+        if last:
+            break
+        contexts = split_contexts(contexts.join(large, "g"), step, length)
+    return rows, stage(spans, "spans")
+
+
+KEY = ["g", "lead", "h", "n"]
+
+
+def split_contexts(contexts: DataFrame, step: int, length: int) -> DataFrame:
+    """Cuts contexts into runs of windows whose offsets from the anchor lie in
+    one block of ``step``. All windows of a block share the bytes between the
+    last start and the first end, so these bytes become part of the anchor:
+    equal windows still meet, and contexts that differ there part."""
+    first, least = F.col("lead"), F.col("lead") - (F.col("n") - length)
+    out = contexts.withColumn("b", F.explode(F.sequence(F.floor(least / step), F.floor(first / step))))
+    top = F.least(F.col("b") * step + (step - 1), first)               # offset of the piece's first window
+    end = F.greatest(F.col("b") * step, least)                         # and of its last
+    out = out.withColumn("w0", (first - top).cast("int")).withColumn("w1", (first - end).cast("int"))
+    shared = F.substring("ctx", (first - F.col("b") * step + 1).cast("int"), F.lit(length - step + 1))
+    return out.select("id", "raw", F.xxhash64("g", "b", shared).alias("g"), top.cast("int").alias("lead"), (F.col("at") + F.col("w0")).alias("at"),
+                      F.substring("ctx", F.col("w0") + 1, F.col("w1") - F.col("w0") + length).alias("ctx"))
+
+
+def sorted_windows(distinct: DataFrame, length: int) -> DataFrame:
+    """(g, lead, h, n, w0, w1): runs of repeated windows of distinct contexts,
+    from a suffix sort of each anchor's contexts."""
+    import pyarrow as pa
+
+    names = KEY
 
     def sort_block(batches: Iterator) -> Iterator:
         """Rows come sorted by anchor; whole anchors are sorted together."""
@@ -294,11 +332,11 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, group:
                     for o, v in zip(out, (g[k], lead[k], h[k], n[k], a, b)):
                         o.append(v)
             return pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))],
-                                              names=[*key, "w0", "w1"])
+                                              names=[*names, "w0", "w1"])
 
         held, size = [], 0
         for batch in batches:
-            for row in zip(*(batch.column(x).to_pylist() for x in (*key, "ctx", "c"))):
+            for row in zip(*(batch.column(x).to_pylist() for x in (*names, "ctx", "c"))):
                 if size > BLOCK and held[-1][0] != row[0]:
                     yield done(held)
                     held, size = [], 0
@@ -307,20 +345,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, group:
         if held:
             yield done(held)
 
-    kinds = "g bigint, lead int, h bigint, n int, w0 int, w1 int"
-    small = distinct.join(large, "g", "left_anti").select(*key, "ctx", "c")
-    sorted_ = small.repartition("g").sortWithinPartitions("g").mapInArrow(sort_block, kinds)
-
-    # large anchors: a row per window, counted by aggregation
-    window = (distinct.join(large, "g").withColumn("w", F.explode(F.sequence(F.lit(0), F.col("n") - length)))
-              .select(*key, "w", "c", (F.col("lead") - F.col("w")).alias("offset"), F.sha2(F.expr(f"substring(ctx, w + 1, {length})"), 256).alias("s")))
-    twice = window.groupBy("g", "offset", "s").agg(F.sum("c").alias("m")).where("m > 1").select("g", "offset", "s")
-    counted = window.join(twice, ["g", "offset", "s"]).select(*key, F.col("w").alias("w0"), F.col("w").alias("w1"))
-
-    hits = sorted_.unionByName(counted)
-    spans = (contexts.select("id", "raw", "at", *key).join(hits, key)
-             .select("id", "raw", (F.col("at") + F.col("w0")).alias("start"), (F.col("at") + F.col("w1") + length).alias("end")))
-    return rows, stage(spans, "spans")
+    rows = distinct.select(*KEY, "ctx", "c").repartition("g").sortWithinPartitions("g")
+    return rows.mapInArrow(sort_block, "g bigint, lead int, h bigint, n int, w0 int, w1 int")
 
 
 def remove(text: bytes, spans: list) -> tuple[bytes, int, int]:
