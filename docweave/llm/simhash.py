@@ -98,7 +98,8 @@ def variants(fps: DataFrame) -> DataFrame:
 def links(fps: DataFrame, max_bits: int = 2, bucket_cap: int = BUCKET_CAP) -> DataFrame:
     """(a, b) over distinct fingerprints ``fps``: edges whose components are
     those of all pairs at most ``max_bits`` (0 to 2) apart; each edge is such a pair."""
-    index = variants(fps)
+    # 64 rows come of each: spread first, by a number of partitions that AQE leaves alone
+    index = variants(fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp"))
     large = stage(index.groupBy("key").count().where(F.col("count") > bucket_cap).select("key"), "large")
     small = index.join(large, "key", "left_anti")
     apart = F.col("x.fp").bitwiseXOR(F.col("y.fp"))
