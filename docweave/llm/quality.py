@@ -17,8 +17,14 @@ Bounds of what reaches the driver: ``SAMPLE`` labelled rows of each class and
 ``POOL`` unlabelled rows, as feature vectors (not texts). Counts and scores
 cover whole texts and all rows.
 
-A document is rejected when its score is below a threshold set so that at most
-``LOSS`` of the good calibration rows fall below it.
+A document is rejected when its score is below a threshold. The threshold is
+chosen from a histogram, by class, of the scores of all labelled rows that no
+fit saw (counted in Spark; at least a fifth of each class, and all rows past
+``SAMPLE``): the cut with the best balanced accuracy among those that lose at
+most ``LOSS`` of the good rows. Flipped labels are no losses: the share of rows
+labelled good among the scores that poor rows have is taken as label noise, up
+to ``NOISE``, and subtracted (see ``best_cut``). The views' vectors are computed
+once, in the shared folder.
 
 Defined results: null text is empty text; null language, source or length are
 values of their own; rows of held-out ids (crc32(id) mod 4 = 2) and null labels
@@ -36,13 +42,16 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.common import bounded_batches
+from docweave.llm.common import bounded_batches, stage
 from docweave.llm.toxicity import FUNCTION_WORDS, is_held_out
 
 #: bounds of the sample: labelled rows of each class, unlabelled rows
 SAMPLE, POOL = 4000, 6000
 ROUNDS, HANDED, SURE = 5, 300, 0.97
-LOSS = 0.002
+#: good rows the threshold may lose, and most rows labelled good that may count as flipped (5 % and the error of that count)
+LOSS, NOISE = 0.002, 0.1
+#: score histogram: bins of the joint logit from -REACH to REACH
+BINS, REACH = 4000, 20.0
 SHAPES, PAIRS, META = 20, 256, 72
 
 
@@ -166,14 +175,47 @@ class Model:
     threshold: float
 
     def scores(self, views: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        cal = [p.logit(v.logit(x)[:, None]) for v, p, x in zip(self.views, self.platt, views)]
+        cal = self.calibrated(views)
         return (*[_sigmoid(c) for c in cal], _sigmoid(self.joint.logit(np.stack(cal, 1))))
 
+    def calibrated(self, views: list[np.ndarray]) -> list[np.ndarray]:
+        return [p.logit(v.logit(x)[:, None]) for v, p, x in zip(self.views, self.platt, views)]
+
+    def bins(self, views: list[np.ndarray]) -> np.ndarray:
+        return bins_of(self.joint.logit(np.stack(self.calibrated(views), 1)))
+
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def bins_of(logit: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor((logit + REACH) * (BINS / (2 * REACH))), 0, BINS - 1).astype(np.int32)
+
+
+def best_cut(poor: np.ndarray, good: np.ndarray) -> float:
+    """The score threshold from the rows of either label per bin. With flipped
+    labels, rows labelled good also have the scores of poor rows: a constant
+    share of those at every cut. The least such share over cuts that reject half
+    of the poor rows, each raised by three standard errors of its count, bounds
+    it (at most ``NOISE``); what a cut rejects beyond it is loss. Of cuts that
+    lose at most ``LOSS`` and reject no score over 0.5, the one with the best
+    balanced accuracy, which flipped labels do not move; the middle one of equal
+    cuts."""
+    if not poor.sum() or not good.sum():
+        return 0.0
+    b, g = (np.concatenate([[0], np.cumsum(c)]) / c.sum() for c in (poor, good))      # rejected by a cut at each edge
+    half = b >= 0.5
+    noise = min(NOISE, float(((np.sqrt(g[half] * good.sum()) + 1.5) ** 2 / b[half]).min() / good.sum()))
+    edge = np.linspace(-REACH, REACH, BINS + 1)
+    allowed = (g - noise * b <= LOSS) & (edge <= 0)
+    gain = np.where(allowed, b - g, -1.0)
+    first = int(gain.argmax())
+    other = np.flatnonzero(gain[first:] < gain[first] - 1e-12)
+    last = first + int(other[0] if len(other) else len(gain) - first) - 1
+    return float(_sigmoid(edge[(first + last) // 2]))
+
+
 def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS, handed: int = HANDED) -> Model:
     """views, pool: [text rows, metadata rows]. Every fifth labelled row only calibrates."""
     held = np.arange(len(y)) % 5 == 0
@@ -202,32 +244,65 @@ def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rou
     platt = [fit_logistic(a[:, None], y[rows], 1e-2) for a in z]
     cal = np.stack([p.logit(a[:, None]) for p, a in zip(platt, z)], 1)
     joint = fit_logistic(cal, y[rows], 5.0)
-    good = np.sort(_sigmoid(joint.logit(cal))[y[rows] > 0.5])
-    return Model(models, platt, joint, min(0.25, float(good[int(LOSS * len(good))])))
+    bins = bins_of(joint.logit(cal))
+    return Model(models, platt, joint, best_cut(*[np.bincount(bins[(y[rows] > 0.5) == t], minlength=BINS) for t in (False, True)]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality",
         cols: tuple = ("doc_id", "text", "lang", "source", "n_chars")) -> Model | None:
-    """Train on the bounded sample: rows of the smallest id hashes."""
+    """Train on the bounded sample: rows of the smallest id hashes, at most four
+    fifths of a class. All other labelled rows choose the threshold."""
     one = (labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("y")).where("__id is not null and y in (0, 1)")
            .groupBy("__id").agg(F.max("y").alias("y")).where(~is_held_out("__id")))
+    one = stage(one, "labelled")
     first = [F.xxhash64("__id"), F.col("__id")]
-    picked = one.where("y = 1").orderBy(*first).limit(SAMPLE).unionByName(one.where("y = 0").orderBy(*first).limit(SAMPLE))
-    ids = docs.select(F.col(f"`{cols[0]}`").alias("__id")).where("__id is not null and crc32(cast(cast(__id as string) as binary)) % 4 <> 2")
-    pool = ids.join(one, "__id", "left_anti").distinct().orderBy(*first).limit(POOL).select("__id", F.lit(-1).alias("y"))
-    named = picked.unionByName(pool).select(F.col("__id").alias("__sample"), F.col("y").alias("__y"))
-    rows = docs.join(F.broadcast(named), F.col(f"`{cols[0]}`") == F.col("__sample")).dropDuplicates(["__sample"])
-    got = features(rows, cols, ("__y",)).toArrow()
+    count = {r.y: r.n for r in one.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(count) < 2:
+        return None
+    part = {y: one.where(F.col("y") == y).orderBy(*first).limit(min(SAMPLE, n - n // 5)) for y, n in count.items()}
+    picked = part[1].unionByName(part[0])
+    views = stage(features(docs.where(~is_held_out(cols[0])), cols), "views")
+    pool = views.select(F.col("id").alias("__id")).join(one, "__id", "left_anti").distinct().orderBy(*first).limit(POOL).select("__id", F.lit(-1).alias("y"))
+    named = stage(picked.unionByName(pool).select(F.col("__id").alias("__sample"), F.col("y").alias("__y")), "sample")
+    got = views.join(F.broadcast(named), F.col("id") == F.col("__sample")).dropDuplicates(["__sample"]).drop("__sample").toArrow()
     if not got.num_rows:
         return None
     order = np.argsort(got["id"].to_numpy(zero_copy_only=False), kind="stable")
-    views = [np.frombuffer(b"".join(got[c].to_pylist()), np.float32).reshape(got.num_rows, -1)[order].astype(float)
-             for c in ("text_view", "meta_view")]
+    vectors = [vectors_of(got[c], n)[order] for c, n in (("text_view", SHAPES + PAIRS), ("meta_view", META))]
     y = got["__y"].to_numpy()[order].astype(float)
     known = y >= 0
     if len({*y[known]}) < 2:
         return None
-    return co_train([v[known] for v in views], y[known], [v[~known] for v in views])
+    model = co_train([v[known] for v in vectors], y[known], [v[~known] for v in vectors])
+    unseen = one.join(F.broadcast(named.where("__y >= 0")), F.col("__id") == F.col("__sample"), "left_anti")
+    poor, good = score_histogram(views, unseen, model)
+    if poor.any() and good.any():
+        model.threshold = best_cut(poor, good)
+    return model
+
+
+def score_histogram(views: DataFrame, labelled: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of either label per score bin; an id that occurs in several rows counts once, by its lowest."""
+    import pyarrow as pa
+
+    shared = views.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator) -> Iterator:
+        for batch in batches:
+            x = [vectors_of(batch.column(i), n) for i, n in ((1, SHAPES + PAIRS), (2, META))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.bins(x))], names=["id", "bin"])
+
+    kind = views.schema["id"].dataType.simpleString()
+    bins = views.select("id", "text_view", "meta_view").mapInArrow(run, f"id {kind}, bin int").groupBy("id").agg(F.min("bin").alias("bin"))
+    rows = bins.join(labelled, F.col("id") == F.col("__id")).groupBy("y", "bin").agg(F.count(F.lit(1)).alias("n")).collect()
+    out = np.zeros((2, BINS), np.int64)
+    for r in rows:
+        out[r.y, r.bin] = r.n
+    return out[0], out[1]
+
+
+def vectors_of(column, n: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, n).astype(float)
 
 
 def score(docs: DataFrame, model: Model | None, cols: tuple = ("doc_id", "text", "lang", "source", "n_chars"),

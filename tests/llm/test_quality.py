@@ -52,3 +52,48 @@ def test_edge_rows(spark, docs, empty):
     assert quality.score(empty, model).count() == 0
     assert quality.fit(empty, labels) is None and quality.drop_poor_documents(empty, labels).count() == 0
     assert quality.fit(docs, labels.where(F.lit(False))) is None
+
+
+def flipped_views(noise, seed, n=8000):
+    """Two views that part the classes almost perfectly, and labels of which a share is flipped."""
+    rng = np.random.default_rng(seed)
+    true = rng.integers(0, 2, n).astype(float)
+    views = [true[:, None] * 4 + rng.normal(scale=0.8, size=(n, 4)) for _ in range(2)]
+    return views, true, np.where(rng.random(n) < noise, 1 - true, true)
+
+
+def test_threshold_with_flipped_labels():
+    for noise in (0.0, 0.01, 0.05):
+        for seed in range(5):
+            views, true, y = flipped_views(noise, seed)
+            m = quality.co_train([v[:6500] for v in views], y[:6500], [v[:0] for v in views])
+            bins = m.bins([v[6500:] for v in views])
+            m.threshold = quality.best_cut(*[np.bincount(bins[y[6500:] == t], minlength=quality.BINS) for t in (0, 1)])
+            for cut in (m.threshold, quality.co_train(views, y, [v[:0] for v in views]).threshold):
+                kept = m.scores(views)[2] >= cut
+                assert kept[true == 1].mean() > 0.99 and kept[true == 0].mean() < 0.02, (noise, seed, cut)
+
+
+def test_threshold_loses_few_good_rows_where_scores_overlap():
+    poor, good = np.zeros((2, quality.BINS), np.int64)
+    poor[1000:1900], good[1850:2900] = 10, 10                    # 5 % of the good rows among the highest poor ones
+    cut = quality.best_cut(poor, good)
+    edge = np.log(cut / (1 - cut)) / quality.REACH * quality.BINS / 2 + quality.BINS / 2
+    assert 1840 <= edge <= 1853
+    assert quality.best_cut(poor, good * 0) == quality.best_cut(poor * 0, good) == 0.0
+
+
+def test_threshold_is_chosen_from_all_labelled_rows(spark, monkeypatch):
+    """One in twenty labels is flipped; the threshold sees every labelled row past the sample."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    flip = F.xxhash64("doc_id", F.lit("flip")) % 20 == 0
+    noisy = labels.withColumn("quality", F.when(flip, 1 - F.col("quality")).otherwise(F.col("quality")))
+    seen, inner = [], quality.score_histogram
+    monkeypatch.setattr(quality, "SAMPLE", 600)
+    monkeypatch.setattr(quality, "score_histogram", lambda *a: seen.append(inner(*a)) or seen[-1])
+    model = quality.fit(docs, noisy)
+    usable = noisy.where("crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2 and quality in (0, 1)").groupBy("quality").count().collect()
+    past = {r["quality"]: max(r["count"] - 600, r["count"] // 5) for r in usable}
+    assert past == {0: seen[0][0].sum(), 1: seen[0][1].sum()}
+    rows = quality.score(docs, model).join(labels.withColumnRenamed("doc_id", "id"), "id").select("good", "quality").toPandas()
+    assert rows.good[rows.quality == 1].mean() > 0.98 and rows.good[rows.quality == 0].mean() < 0.1
