@@ -17,8 +17,9 @@ Digests are "sha256:" with lowercase hex.
 Defined results: null html is an empty payload, its text empty and its metadata
 without page fields; a null url leaves WARC-Target-URI out; a null id counts as
 the text "null" in the response id; equal (id, url, html) rows give equal
-records; markup that never closes is read as far as it goes; an empty table
-gives no rows. Other columns are not read.
+records; markup that never closes is read as far as it goes; a noscript or
+template that never closes hides nothing, while script, style and title follow
+HTML's raw-text rule (they hold all that follows); an empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ CRLF = "\r\n"
 VERSION = "WARC/1.1"
 #: text inside these is no page text
 HIDDEN = {"script", "style", "noscript", "template", "title"}
+#: of these, text is struck out when the tag closes: where it never does, the text stays
+HELD = {"noscript", "template"}
 #: these start a new line of text
 BLOCK = {"address", "article", "aside", "blockquote", "body", "br", "dd", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form",
          "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "li", "main", "nav", "ol", "option", "p", "pre", "section", "table",
@@ -69,13 +72,15 @@ def record_id(text: Column) -> Column:
 class _Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.out, self.title, self.links, self.lang, self.charset, self.hidden = [], [], [], "", "", []
+        self.out, self.title, self.links, self.lang, self.charset = [], [], [], "", ""
+        self.hidden, self.marks = [], []           # open hidden tags, and where in ``out`` each opened
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
             self.out.append("\n")
         if tag in HIDDEN:
             self.hidden.append(tag)
+            self.marks.append(len(self.out))
         attrs = dict(attrs)
         if tag == "html" and attrs.get("lang"):
             self.lang = attrs["lang"]
@@ -87,18 +92,21 @@ class _Page(HTMLParser):
             self.links.append((attrs["src"], f"{tag}/@src"))
 
     def handle_startendtag(self, tag, attrs):
-        hidden = list(self.hidden)
+        depth = len(self.hidden)
         self.handle_starttag(tag, attrs)
-        self.hidden = hidden
+        del self.hidden[depth:], self.marks[depth:]
 
     def handle_endtag(self, tag):
         if tag in BLOCK:
             self.out.append("\n")
         if tag in self.hidden:
-            del self.hidden[len(self.hidden) - 1 - self.hidden[::-1].index(tag):]
+            k = len(self.hidden) - 1 - self.hidden[::-1].index(tag)
+            held = self.out[self.marks[k]:]
+            self.out[self.marks[k]:] = ["\n"] if "\n" in held else []
+            del self.hidden[k:], self.marks[k:]
 
     def handle_data(self, data):
-        if not self.hidden:
+        if all(tag in HELD for tag in self.hidden):
             self.out.append(data)
         elif self.hidden[-1] == "title":
             self.title.append(data)

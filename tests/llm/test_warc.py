@@ -81,3 +81,12 @@ def test_files_round_trip(spark, tmp_path):
 
 def test_empty_table(spark):
     assert derived(spark, []).count() == 0
+
+
+def test_noscript_and_template_that_never_close():
+    text = lambda page: warc.page_parts(page)[4]
+    assert text("<p>a</p><noscript><p>b</p><p>c") == text("<p>a</p><template>b<br>c") == "a\nb\nc"
+    assert text("<noscript>a<noscript>b</noscript>c<template>d") == "acd"
+    assert text("a<noscript>b<template>c</noscript>d") == text("a<template><noscript>b<i>c</template>d") == "ad"
+    assert text("a<noscript>b<script>c</script>d<style>e</style><title>f</title>g") == "abdg"
+    assert text("<div>" * 3 + "<template>" * 20_000 + "<br>x" * 20_000 + "</template>" * 20_000 + "y") == "y"
