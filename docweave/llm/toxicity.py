@@ -111,27 +111,29 @@ def language_of(counts: np.ndarray) -> np.ndarray:
 
 def _sample(docs: DataFrame, labels: DataFrame, label: str, held_out: bool, sizes: dict[int, int],
             id_col: str, text_col: str) -> tuple[list[bytes], np.ndarray]:
-    """The bounded labelled sample: smallest id hashes per class, whole texts,
-    as many as fit the byte bound. Held-out rows have crc32(id) mod 4 = 2."""
+    """The bounded labelled sample: smallest id hashes per class, one whole text
+    of each, as many as fit the byte bound. Held-out rows have crc32(id) mod 4 = 2."""
     one = (labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("y")).where("__id is not null and y in (0, 1)")
            .groupBy("__id").agg(F.max("y").alias("y")).where(is_held_out("__id") == F.lit(held_out)))
     picked = None
     for y, n in sizes.items():
         part = one.where(F.col("y") == y).orderBy(F.xxhash64("__id"), "__id").limit(n)
         picked = part if picked is None else picked.unionByName(part)
-    rows = (docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-            .join(F.broadcast(picked), "__id").where(F.octet_length("text") <= SAMPLE_BYTES)
-            .select("__id", "y", F.xxhash64("__id").alias("h"), F.octet_length("text").alias("n")))
+    # an id that occurs in many rows gives one: the text of its smallest hash
+    own = (docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+           .select("__id", "text", F.xxhash64("text").alias("t"), F.octet_length("text").alias("n")))
+    rows = (own.join(F.broadcast(picked), "__id").where(F.col("n") <= SAMPLE_BYTES).groupBy("__id").agg(F.min(F.struct("t", "n")).alias("one"))
+            .select("__id", F.xxhash64("__id").alias("h"), "one.t", "one.n"))
     ends, kept = 0, []
     for r in sorted(rows.collect(), key=lambda r: (r.h, r["__id"])):
         if ends + r.n <= SAMPLE_BYTES:
             ends += r.n
-            kept.append(r["__id"])
+            kept.append((r["__id"], r.t, r.n))
     if not kept:
         return [], np.zeros(0)
-    ids = docs.sparkSession.createDataFrame([(i,) for i in dict.fromkeys(kept)], f"__id {picked.schema['__id'].dataType.simpleString()}")
-    got = (docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-           .join(F.broadcast(ids), "__id").join(F.broadcast(picked), "__id").select("__id", "y", "text").toArrow())
+    ids = docs.sparkSession.createDataFrame(kept, f"__id {picked.schema['__id'].dataType.simpleString()}, t bigint, n int")
+    got = (own.join(F.broadcast(ids), ["__id", "t", "n"]).dropDuplicates(["__id"])
+           .join(F.broadcast(picked), "__id").select("__id", "y", "text").toArrow())
     order = sorted(range(got.num_rows), key=lambda i: (got["__id"][i].as_py(), got["text"][i].as_py() or ""))
     texts = [(got["text"][i].as_py() or "").encode() for i in order]
     return texts, np.array([got["y"][i].as_py() for i in order], dtype=float)

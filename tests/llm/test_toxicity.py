@@ -49,3 +49,17 @@ def test_edge_rows(spark, docs, empty):
     assert toxicity.score(empty, model).count() == 0
     assert toxicity.fit(docs, labels.where("toxic is null")) is None
     assert {r.score for r in toxicity.score(docs, None).collect()} == {0.0}
+
+
+def test_an_id_in_many_rows_gives_one_text(spark, monkeypatch):
+    rows = [(1, f"text {i} " + "x" * 100) for i in range(300)] + [(1, "text 7 " + "x" * 100)] * 50 + [(2, "other"), (3, None), (3, "third"), (4, None)]
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(1, 5)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 1000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    held = {i: __import__("zlib").crc32(str(i).encode()) % 4 == 2 for i in range(1, 5)}
+    found = [toxicity._sample(docs, labels, "toxic", h, {1: 10, 0: 10}, "doc_id", "text") for h in (False, True)]
+    texts = [t for part, _ in found for t in part]
+    assert sum(t.startswith(b"text ") for t in texts) == 1 and sum(map(len, texts)) <= 1000
+    assert sorted(t for t in texts if not t.startswith(b"text ")) == [b"other", b"third"]
+    for h, (part, y) in zip((False, True), found):
+        assert len(part) == len(y) == sum(held[i] == h for i in (1, 2, 3))
