@@ -8,7 +8,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm import exact_dedup, forest, mixing, packing, quality, simhash, suffix_dedup, token_counts, toxicity, warc
+from docweave.llm import (
+    decontaminate,
+    exact_dedup,
+    forest,
+    mixing,
+    packing,
+    periodic_runs,
+    prefix_trie,
+    quality,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    warc,
+)
 from docweave.llm.common import table
 
 LENGTH = 4096
@@ -80,8 +94,26 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = prefix_trie.turn_lists(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.shared_starts(lists))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    planted = docs.withColumn("text", periodic_runs.planted_text(F.col("text"), F.col("doc_id")))
+    return periodic_runs.periodic_runs(planted).withColumnRenamed("id", "doc_id")
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hits.select(F.col("id").alias("doc_id"), "n_words", decontaminate.hit_words().alias("n_hit"),
+                       F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                       (F.size("spans") > 0).alias("contaminated"))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_mixing, op4_warc, op5_quality, op6_forest, op7_simhash,
-                                     op8_packing, op9_suffix_dedup, op10_exact_dedup)}
+                                     op8_packing, op9_suffix_dedup, op10_exact_dedup, op11_prefix_trie, op12_periodic_runs, op13_decontaminate)}
 
 ORACLES: dict[str, str] = {
     "op10_exact_dedup": r"""
@@ -116,5 +148,57 @@ SELECT doc_id, size, source_size, target,
        CASE WHEN size = 0 THEN 0 ELSE (reads // source_size) * size
          + greatest(0, least(size, reads % source_size - pos)) END::BIGINT AS taken
 FROM l
+""",
+    # crc32 by its bits: every byte of the decimal id is xored in, then eight shifts
+    "op11_prefix_trie": r"""
+WITH RECURSIVE x AS (
+  SELECT conv_id, turn, strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS mark,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT conv_id, turn, words, sha256(mark)[1:32] AS mark FROM x),
+own AS (SELECT conv_id, list({'m': mark, 'w': words} ORDER BY turn NULLS FIRST, mark) AS turns FROM t GROUP BY conv_id),
+crc AS (
+  SELECT conv_id, turns, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda d: [ord(d)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, b: xor(xor(c, b) >> 1, 3988292384::BIGINT * (xor(c, b) & 1))), 4294967295::BIGINT) % 4 AS h
+  FROM own),
+p AS (SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+      FROM crc c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
+m AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM p),
+k AS (SELECT conv_id, depth, array_to_string(list_transform(turns[1:depth], lambda e: e.m), '/') AS path,
+             CASE WHEN depth > 0 THEN array_to_string(list_transform(turns[1:depth - 1], lambda e: e.m), '/') END AS up,
+             CASE WHEN depth > 0 THEN turns[depth].w ELSE 0 END AS words, len(turns) = depth AS ended FROM m),
+n AS (SELECT path, any_value(depth) AS depth, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs,
+             (count(*) - 1) * any_value(words) AS saved,
+             sha256(coalesce(string_agg(CASE WHEN ended THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+      FROM k GROUP BY path),
+c AS (SELECT up, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY up),
+s AS (SELECT n.path, n.up, n.depth, n.saved, CASE WHEN c.n_children IS NULL THEN 1 ELSE 0 END AS leaf FROM n LEFT JOIN c ON c.up = n.path),
+r AS (SELECT path AS top, up, saved, leaf FROM s
+      UNION ALL SELECT s.path, s.up, r.saved, r.leaf FROM r JOIN s ON s.path = r.up),
+g AS (SELECT top, sum(saved) AS saved_tokens, sum(leaf) AS n_leaves FROM r GROUP BY top)
+SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(c.n_children, 0)::BIGINT AS n_children, g.n_leaves::BIGINT AS n_leaves, g.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN g ON g.top = n.path LEFT JOIN c ON c.up = n.path LEFT JOIN n u ON u.path = n.up
+""",
+    "op13_decontaminate": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+i AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+v AS (SELECT item, least(10, len(w)) AS n, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS a FROM i WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, n, array_to_string(w[a:a + n - 1], ' ') AS gram FROM v),
+sizes AS (SELECT DISTINCT n FROM win),
+q AS (SELECT k, n, w, unnest(range(1, len(w) - n + 2)) AS a FROM d, sizes WHERE len(w) >= n),
+hit AS (SELECT q.k, q.a, q.n, win.item FROM (SELECT k, n, a, array_to_string(w[a:a + n - 1], ' ') AS gram FROM q) q JOIN win ON win.n = q.n AND win.gram = q.gram),
+words AS (SELECT k, count(DISTINCT place) AS n_hit FROM (SELECT k, unnest(range(a, a + n)) AS place FROM (SELECT DISTINCT k, a, n FROM hit)) GROUP BY k),
+items AS (SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT k, item FROM hit) GROUP BY k)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (k) LEFT JOIN items USING (k)
 """,
 }
