@@ -98,14 +98,20 @@ def _unescape_batch(s: pd.Series) -> pd.Series:
 
 
 def decode_entities(c: ColumnOrName) -> Column:
-    """All named and numeric character references of HTML. Python's table is
-    used, in Arrow batches, for texts that hold one; others stay in the JVM."""
+    """All named and numeric character references of HTML, by Python's table in
+    Arrow batches. Spark evaluates the argument of a Python step for every row
+    before any CASE around it: pass null for texts that need none of this."""
+    return _unescape_batch(_col(c))
+
+
+def has_markup(c: ColumnOrName) -> Column:
     c = _col(c)
-    return F.coalesce(_unescape_batch(F.when(c.rlike("&(#[0-9xX]|[a-zA-Z])"), c)), c)
+    return c.contains("<") & c.contains(">")
 
 
 def html_to_text(c: ColumnOrName) -> Column:
-    """Text nodes of an HTML string joined by LF.
+    """Text nodes of an HTML string joined by LF; a text without both ``<`` and
+    ``>`` stays as it is.
 
     Comments and script/style/noscript are removed (to the end of the text where
     they never close), a link with an href holding a single string (directly or
@@ -114,7 +120,8 @@ def html_to_text(c: ColumnOrName) -> Column:
     decoded last. Attribute values may be double-quoted, single-quoted or bare;
     a ``<`` inside a tag ends it.
     """
-    s = F.regexp_replace(_col(c), r"(?s)<!--.*?(?:-->|\z)", _CUT)
+    c = _col(c)
+    s = F.regexp_replace(c, r"(?s)<!--.*?(?:-->|\z)", _CUT)
     s = F.regexp_replace(s, r"(?is)<(script|style|noscript)\b[^<>]*+>.*?(?:</\1\s*+>|\z)", _CUT)
     for value in _VALUES:
         link = rf"(?i)<a\b[^<>]*?\shref\s*+=\s*+{value}[^<>]*+>"
@@ -124,7 +131,10 @@ def html_to_text(c: ColumnOrName) -> Column:
         s = F.regexp_replace(s, rf"(?i)<img\b[^<>]*?\salt\s*+=\s*+{value}[^<>]*+>", f"{_CUT}[image: $1]{_CUT}")
     s = F.regexp_replace(s, rf"{_OPEN}\s*+|(?<!\s)\s++{_SHUT}|{_SHUT}", "")
     s = F.regexp_replace(s, r"<[/!?a-zA-Z][^<>]*+>", _CUT)
-    return decode_entities(F.regexp_replace(s, f"{_CUT}++", "\n"))
+    # the guard is inside the Python step's argument, and the chain is named there only: it is
+    # planned once and runs for markup only; other texts cross to Python as nulls
+    text = decode_entities(F.when(has_markup(c), F.regexp_replace(s, f"{_CUT}++", "\n")))
+    return F.coalesce(text, c)
 
 
 # --- C1: normalize ------------------------------------------------------------
@@ -151,7 +161,7 @@ def normalize_text(c: ColumnOrName, *, html: bool = True, unicode_nfc: bool = Tr
     s = F.regexp_replace(s, CONTROL_CHARS, "")
     s = F.regexp_replace(s, "\r\n?", "\n")
     if html:
-        s = F.when(s.contains("<") & s.contains(">"), html_to_text(s)).otherwise(s)
+        s = html_to_text(s)
     s = F.regexp_replace(s, f"({WORD_CHAR})-\n({WORD_CHAR})", "$1$2")
     s = F.translate(s, QUOTE_DASH_FROM, QUOTE_DASH_TO)
     s = F.regexp_replace(s, "[ \t]+", " ")

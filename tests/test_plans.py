@@ -30,3 +30,14 @@ def test_filter_pushdown_and_pruning(spark):
     assert "ReadSchema: struct<doc_id:bigint,lang:string,source:string,n_chars:bigint>" in plan
     plan = _plan(entry.queries()["token_count"](spark, SF0001))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+def test_html_chain_is_planned_once_and_guarded(spark):
+    """The chain is the argument of one Python step, under the test for markup."""
+    from docweave.functions.text import normalize_text
+
+    df = spark.createDataFrame([("a",)], "t string").select(normalize_text("t").alias("n"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("script|style|noscript") == 1
+    step = plan[plan.rindex("ArrowEvalPython", 0, plan.index("script|style|noscript")):]
+    assert re.match(r"ArrowEvalPython \[_unescape_batch\(CASE WHEN \(Contains\(.*?, <\) AND Contains\(.*?, >\)\) THEN regexp_replace\(", step, re.S)
