@@ -82,8 +82,11 @@ from docweave.sources.files import (  # noqa: F401
     read_tabular,               # A4
     write_embedding_requests,   # A7 sink
 )
+from docweave.streaming.completion import (  # noqa: F401
+    completion_tables,          # S3: G2, G4, G5, G7 on the tables
+    stream_completion,          # S3
+)
 from docweave.streaming.jobs import (  # noqa: F401
     stream_chunks,              # S1
-    stream_completion,          # S3
     stream_enrichment,          # S2
 )

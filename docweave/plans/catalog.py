@@ -924,8 +924,8 @@ def q_last_line_wins(spark, d):
     path = _scratch(spark, "lines")
     emb = T(spark, d, "embeddings")
     line = ("'{{\"custom_id\": \"request-' || vec_id || '\", \"response\": {{\"body\": {{\"data\": [{{\"embedding\": ' || to_json({v}) || '}}]}}}}}}' AS value")
-    emb.selectExpr(line.format(v="embedding")).coalesce(1).write.text(f"{path}/run=1")
-    emb.where("vec_id % 3 = 0").selectExpr(line.format(v="reverse(embedding)")).coalesce(1).write.text(f"{path}/run=2")
+    emb.selectExpr(line.format(v="embedding")).write.text(f"{path}/run=1")
+    emb.where("vec_id % 3 = 0").selectExpr(line.format(v="reverse(embedding)")).write.text(f"{path}/run=2")
     vectors, _ = files.read_embedding_output(spark, path, AS_OF)
     out = complete_job(vectors, *_completion_tables(spark, d), AS_OF)
     return out.embeddings.select("id", "status", _vector_text())
@@ -966,28 +966,24 @@ SELECT tbl, CAST(id AS BIGINT) AS id, value FROM out
 """)
 def q_stream_completion(spark, d):
     """S3 in three epochs: one result line per row of ``embeddings`` (some
-    errored, some string-encoded) lands in three files. Returns all tables as
-    the last epoch left them, and the lines that could not be used."""
-    from docweave.streaming import jobs
-    from docweave.streaming.store import EpochTables
+    errored, some string-encoded) lands in three folders of files. Returns all
+    tables with the stream's changes, and the lines that could not be used. A
+    content (label) is finished by its last vector."""
+    from docweave.streaming import completion
 
     root = _scratch(spark, "stream_completion")
     lines = T(spark, d, "embeddings").selectExpr(f"{_STREAM_LINE['spark']} AS value", "vec_id % 3 AS part")
+    lines.write.partitionBy("part").text(f"{root}/lines")
+    target, batches, batch_ids, contents, links, file_table = _completion_tables(spark, d)
     for k in range(3):
-        lines.where(F.col("part") == k).select("value").coalesce(1).write.mode("append").text(f"{root}/lines")
-    target, batches, _, contents, links, file_table = _completion_tables(spark, d)
-    store = EpochTables(spark, f"{root}/tables", jobs.COMPLETION_TABLES)
-    for name, rows in {"embeddings": target, "batches": batches, "content": contents, "links": links, "files": file_table}.items():
-        store.create(name, rows)
-    q = jobs.stream_completion(spark, f"{root}/lines", store, lambda t: lifecycle.pending_batches(t["batches"], embeddings_only=True).select("id"),
-                               f"{root}/ckpt", AS_OF, max_files_per_trigger=1)
-    q.awaitTermination()
+        completion.stream_completion(spark, f"{root}/lines/part=[0-{k}]", target, f"{root}/out", f"{root}/ckpt", AS_OF)[1].awaitTermination()
+    tables_now = completion.completion_tables(spark, f"{root}/out", target, batches, batch_ids, contents, links, file_table)
     value = {"embeddings": F.concat_ws(" ", "status", F.when(F.col("embedding").isNotNull(), _vector_text())), "batches": F.col("is_complete").cast("string"),
              "content": F.col("is_complete").cast("string"), "links": F.col("status"), "files": F.col("status")}
-    bad = spark.read.parquet(f"{root}/tables/bad_lines")
+    bad = completion.bad_lines(spark, f"{root}/out")
     out = bad.select(F.lit("bad_lines").alias("tbl"), F.regexp_extract("line", "request-([0-9]+)", 1).cast("bigint").alias("id"), F.col("line").alias("value"))
     for name, v in value.items():
-        out = out.unionByName(store.read(name).select(F.lit(name).alias("tbl"), F.col("id").cast("bigint").alias("id"), v.alias("value")))
+        out = out.unionByName(vars(tables_now)[name].select(F.lit(name).alias("tbl"), F.col("id").cast("bigint").alias("id"), v.alias("value")))
     return out
 
 

@@ -1,14 +1,15 @@
-"""Streaming forms of the three stages.
+"""Streaming forms of the first two stages (S1, S2; S3 is in ``completion``).
 
 The reference reacts to one event at a time; here each stage is a
 Structured Streaming query over newly arrived files:
 
 * S1 ``stream_chunks``: new content files -> B1 -> C1 -> C3 -> C4, appended
-  to a parquet table (stateless; the file sink commits through its log).
-* S2 ``stream_enrichment`` / S3 ``stream_completion``: new result-line files
-  -> ``foreachBatch`` running the batch job on the micro-batch and on the
-  tables as all earlier epochs left them (``streaming.store``). Only changed
-  rows are written; a replayed epoch reads and writes what it did before.
+  to a parquet table (the file sink commits through its log). Content delivered
+  again, under whatever file name, is chunked once.
+* S2 ``stream_enrichment``: new result-line files -> ``foreachBatch`` running
+  the batch job on the micro-batch and on the tables as all earlier epochs left
+  them (``streaming.store``). Only changed rows are written; a replayed epoch
+  reads and writes what it did before.
 
 All queries take a checkpoint location; pass a folder in the cluster's
 shared storage.
@@ -25,8 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from docweave.functions.patterns import BATCH_SIZE
-from docweave.operators import lifecycle
-from docweave.plans.jobs import complete_job, enrich_job, preprocess_job
+from docweave.plans.jobs import enrich_job, preprocess_job
 from docweave.session import stage, temporary_tables
 from docweave.sources import files
 from docweave.streaming.store import EpochTables
@@ -39,9 +39,13 @@ def _trigger(writer, available_now: bool):
 def stream_chunks(spark: SparkSession, content_path: str, content_schema: StructType | str,
                   sink_path: str, checkpoint: str, available_now: bool = True,
                   max_files_per_trigger: int | None = None, columns: list[str] | None = None,
-                  path_glob: str | None = None) -> StreamingQuery:
+                  path_glob: str | None = None, redelivery: str | None = "30 days") -> StreamingQuery:
     """Chunk rows for every newly arrived content row.
 
+    A row whose id and text arrived before, less than ``redelivery`` ago by the
+    times of the files, is dropped; its id and a 128-bit hash are the state, which
+    the watermark on file times bounds (None keeps no state and drops nothing).
+
     ``columns`` maps the files' columns to (id, content) as SQL expressions
     (default: they are already named so); ``path_glob`` limits which files
     of the folder are read."""
@@ -52,16 +56,19 @@ def stream_chunks(spark: SparkSession, content_path: str, content_schema: Struct
         reader = reader.option("pathGlobFilter", path_glob)
     content = reader.parquet(content_path)
     if columns:
-        content = content.selectExpr(*columns)
+        content = content.selectExpr(*columns, "_metadata")
+    if redelivery:
+        content = (content.select("id", "content", F.col("_metadata.file_modification_time").alias("_at"))
+                   .withColumn("_text", F.concat_ws("-", F.xxhash64("content"), F.md5("content")))
+                   .withWatermark("_at", redelivery).dropDuplicatesWithinWatermark(["id", "_text"]))
     chunks = preprocess_job(content)
     writer = (chunks.writeStream.format("parquet").option("path", sink_path)
               .option("checkpointLocation", checkpoint).outputMode("append"))
     return _trigger(writer, available_now).start()
 
 
-#: the stored tables of the two streams and their keys (None: only grows)
+#: the stored tables of the stream and their keys (None: only grows)
 ENRICHMENT_TABLES = {"embeddings": "id", "content": "id", "batches": "id", "tags": None, "content_tags": None}
-COMPLETION_TABLES = {"embeddings": "id", "content": "id", "batches": "id", "links": "id", "files": "id"}
 
 
 def _lines_stream(spark: SparkSession, path: str, max_files: int | None) -> DataFrame:
@@ -99,25 +106,3 @@ def stream_enrichment(spark: SparkSession, results_path: str, store: EpochTables
     writer = (_lines_stream(spark, results_path, max_files_per_trigger).writeStream
               .foreachBatch(_epoch_writer(store, run)).option("checkpointLocation", checkpoint))
     return _trigger(writer, available_now).start()
-
-
-def stream_completion(spark: SparkSession, results_path: str, store: EpochTables,
-                      batch_ids: Callable[[dict[str, DataFrame]], DataFrame], checkpoint: str,
-                      as_of: datetime | str, available_now: bool = True,
-                      max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """S3: new embedding-result files -> A6 -> completion job per micro-batch.
-    ``store`` holds COMPLETION_TABLES; ``bad_lines`` are written beside them."""
-    def run(batch: DataFrame, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        vectors, bad = files.parse_embedding_lines(batch, as_of)
-        out = complete_job(vectors, t["embeddings"], t["batches"], batch_ids(t), t["content"], t["links"], t["files"],
-                           as_of, changed_only=True)
-        return dict(vars(out)) | {"bad_lines": bad}
-
-    writer = (_lines_stream(spark, results_path, max_files_per_trigger).writeStream
-              .foreachBatch(_epoch_writer(store, run)).option("checkpointLocation", checkpoint))
-    return _trigger(writer, available_now).start()
-
-
-def completed_from_stream(batch: DataFrame, embeddings: DataFrame) -> DataFrame:
-    """F1 on one micro-batch of vectors (helper for custom sinks)."""
-    return lifecycle.completed_contents(embeddings, batch.select("id"))

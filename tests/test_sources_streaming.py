@@ -67,6 +67,13 @@ def test_stream_chunks_equals_batch_and_replay_is_safe(spark, tmp_path):
     q2 = stream_chunks(spark, str(src), docs.schema, sink, ckpt)
     q2.awaitTermination()
     assert spark.read.parquet(sink).count() == batch.count()
+    # the same rows under another file name, and one of them with a new text
+    import shutil
+    shutil.copy(next(src.glob("*.parquet")), src / "again.parquet")
+    docs.limit(1).selectExpr("id", "'a new text' AS content").coalesce(1).write.parquet(str(tmp_path / "new"))
+    shutil.copy(next((tmp_path / "new").glob("*.parquet")), src / "new.parquet")
+    stream_chunks(spark, str(src), docs.schema, sink, ckpt).awaitTermination()
+    assert spark.read.parquet(sink).count() == batch.count() + 1
 
 
 def _state(spark):
@@ -99,12 +106,13 @@ def _rows(df):
 
 
 def test_streams_carry_state_and_replay(spark, tmp_path):
-    """Three epochs of each stream, in one session, equal the batch job over all
-    files; a replay of the middle epoch changes nothing."""
+    """Three epochs of S2 and S3, in one session, equal the batch job over all
+    files; a replay of the middle epoch of S2 changes nothing, nor does a restart of S3."""
     import shutil
     import time
 
     from docweave.plans.jobs import complete_job, enrich_job
+    from docweave.streaming import completion
     from docweave.streaming import jobs
     from docweave.streaming.store import EpochTables
 
@@ -119,25 +127,35 @@ def test_streams_carry_state_and_replay(spark, tmp_path):
             (folder / f"{i}.jsonl").write_text("\n".join(lines))
             time.sleep(1.1)      # the file source takes files in order of time
     s2 = EpochTables(spark, str(tmp_path / "s2"), jobs.ENRICHMENT_TABLES)
-    s3 = EpochTables(spark, str(tmp_path / "s3"), jobs.COMPLETION_TABLES)
-    for store in (s2, s3):
-        for name in store.keys:
-            store.create(name, tables[name])
+    for name in s2.keys:
+        s2.create(name, tables[name])
     q2 = jobs.stream_enrichment(spark, str(chat), s2, lambda t: t["batches"].where("id = 5").select("id"), str(tmp_path / "c2"), as_of, max_files_per_trigger=1)
-    q3 = jobs.stream_completion(spark, str(vec), s3, lambda t: none, str(tmp_path / "c3"), as_of, max_files_per_trigger=1)
     q2.awaitTermination()
-    q3.awaitTermination()
-    assert s2.next_epoch() == s3.next_epoch() == 3
+    assert s2.next_epoch() == 3
 
     vectors, bad = files.read_embedding_output(spark, str(vec), as_of)
-    want = complete_job(vectors, tables["embeddings"], tables["batches"], none, tables["content"], tables["links"], tables["files"], as_of)
-    for name in jobs.COMPLETION_TABLES:
-        if name != "content":
-            assert _rows(s3.read(name).select(*tables[name].columns)) == _rows(getattr(want, name).select(*tables[name].columns)), name
-    # an epoch completes a content when the embeddings that arrived in it are complete (default F1)
-    assert {r.id: r.is_complete for r in s3.read("content").collect()} == {r.id: r.is_complete for r in want.content.collect()}
-    assert spark.read.parquet(str(tmp_path / "s3/bad_lines/epoch=1")).count() == bad.count() == 1
-    assert spark.read.parquet(str(tmp_path / "s3/embeddings/epoch=1")).count() == 2       # changed rows only
+    base = [tables[n] for n in ("embeddings", "batches")] + [none] + [tables[n] for n in ("content", "links", "files")]
+    want = complete_job(vectors, *base, as_of)
+    for strict in (False, True):
+        root = str(tmp_path / f"s3-{strict}")
+        for _ in range(2):                # the second start finds nothing new
+            queries = completion.stream_completion(spark, str(vec), tables["embeddings"], f"{root}/out", f"{root}/ckpt", as_of, strict,
+                                                   max_files_per_trigger=1)
+            queries[1].awaitTermination()
+        got = completion.completion_tables(spark, f"{root}/out", *base)
+        for name in ("embeddings", "batches", "links", "files"):
+            assert _rows(vars(got)[name].select(*tables[name].columns)) == _rows(vars(want)[name].select(*tables[name].columns)), name
+        # a vector arrived for both contents (default F1); 5, the last embedding of content 101, is still open (strict)
+        assert {r.id: r.is_complete for r in got.content.collect()} == {100: True, 101: not strict}
+        assert completion.bad_lines(spark, f"{root}/out").count() == bad.count() == 1
+        assert sorted((r.id, r.version) for r in completion.changes(spark, f"{root}/out").collect()) == [(1, 1), (2, 1), (2, 2), (3, 1), (4, 1), (6, 1)]
+    # the missing vector arrives: content 101 is finished, once, and no other row changes
+    (vec / "9.jsonl").write_text("\n".join([_vector(5, 1, 1), _vector(77, 1, 1), _vector(5, 2, 2)]))
+    for _ in range(2):
+        completion.stream_completion(spark, str(vec), tables["embeddings"].limit(0), f"{root}/out", f"{root}/ckpt", as_of)[1].awaitTermination()
+    got = completion.completion_tables(spark, f"{root}/out", *base)
+    assert sorted(r.id for r in spark.read.parquet(f"{root}/out/contents").collect()) == [100, 101]
+    assert {r.id: r.embedding for r in got.embeddings.collect()}[5] == [2.0, 2.0] and completion.changes(spark, f"{root}/out").count() == 7
 
     emb = {r.id: r for r in s2.read("embeddings").collect()}
     assert len(emb) == 6 and emb[1].context.startswith("c1\n\nMetadata:") and "Rephrased Content: second time" in emb[1].context
