@@ -23,6 +23,7 @@ from docweave.functions.patterns import (
     REQUEST_URL,
     STATUS_COMPLETE,
 )
+from docweave.sources import records
 
 ENRICHMENT_LINE = (
     "custom_id string, response struct<status_code:int, body:struct<choices:"
@@ -38,17 +39,22 @@ EMBEDDING_LINE = (
 
 # --- A4 ---------------------------------------------------------------------------------
 
-def read_tabular(spark: SparkSession, path: str, fmt: str, multi_line: bool = True) -> DataFrame:
+def read_tabular(spark: SparkSession, path: str, fmt: str, multi_line: bool = True, split: bool = True) -> DataFrame:
     """A4: csv (header) or json (records) files of any size; the pandas index
     column is dropped, and nulls and the cells pandas reads as missing become ''.
     Every column is text, as filling nulls with '' makes mixed columns.
 
     ``multi_line`` (default): quoted cells may hold line breaks and a json file
-    may be one array; a file is then one task. Without it a file is split, and
-    every record must be on one line."""
-    if fmt == "csv":
+    may be one array; a file is still read by many tasks (``sources.records``),
+    unless ``split`` is off, for csv files with stray quotes. Without
+    ``multi_line`` every record must be on one line."""
+    if fmt == "csv" and multi_line and split:
+        df = records.read_csv(spark, path)
+    elif fmt == "csv":
         df = (spark.read.option("header", True).option("multiLine", multi_line)
               .option("quote", '"').option("escape", '"').csv(path))
+    elif fmt == "json" and multi_line and split:
+        df = records.read_json(spark, path)
     elif fmt == "json":
         df = spark.read.option("multiLine", multi_line).json(path)
     else:
