@@ -110,12 +110,14 @@ def split_recursive(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVER
 
 def chunk_recursive(df: DataFrame, text_col: str, keep: list[str],
                     size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
-                    index_col: str = "idx", chunk_col: str = "text") -> DataFrame:
+                    index_col: str = "idx", chunk_col: str = "text",
+                    length: Callable[[str], int] = pretoken_len) -> DataFrame:
     """One row per chunk: ``keep`` columns, chunk index (from 0), chunk text.
 
     Work is per text, so there is no shuffle: each task splits the texts of
     its own input split. Null texts give no rows. Lengths are cl100k
-    pre-token counts.
+    pre-token counts; ``operators.tokens.token_length`` counts the tokens of a
+    vocabulary instead.
     """
     fields = {f.name: f for f in df.schema.fields}
     out_schema = StructType([fields[k] for k in keep] + [
@@ -130,7 +132,7 @@ def chunk_recursive(df: DataFrame, text_col: str, keep: list[str],
             for row, text in enumerate(texts):
                 if text is None:
                     continue
-                for i, chunk in enumerate(split_recursive(text, size, overlap)):
+                for i, chunk in enumerate(split_recursive(text, size, overlap, length=length)):
                     for k, values in zip(keep, kept):
                         cols[k].append(values[row])
                     idx.append(i)

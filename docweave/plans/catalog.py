@@ -22,7 +22,7 @@ from docweave.functions.text import (
     token_count,
     type_key,
 )
-from docweave.operators import chunking, enrichment, lifecycle, tables, tags
+from docweave.operators import chunking, enrichment, lifecycle, tables, tags, tokens
 from docweave.plans import duck as D
 from docweave.plans import fixtures as X
 from docweave.plans.jobs import complete_job, nonempty_content, preprocess_job
@@ -119,6 +119,15 @@ def q_token_count(spark, d):
     return TS(spark, d, "documents").select("doc_id", token_count("text").alias("token_count"))
 
 
+@register("token_count_exact", None)
+def q_token_count_exact(spark, d):
+    """C2 with the 50k byte-level vocabulary of the public tokenizer files."""
+    import public_tokenizers
+
+    return tokens.exact_token_counts(TS(spark, d, "documents"), "text", ["doc_id"], public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                     public_tokenizers.PATTERN)
+
+
 @register("chunk_window", f"""
 SELECT doc_id, CAST(generate_subscripts(chunks, 1) - 1 AS INTEGER) AS idx, unnest(chunks) AS text
 FROM (SELECT doc_id, {D.window_chunks()} AS chunks
