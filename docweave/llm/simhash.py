@@ -23,7 +23,8 @@ Defined results: null and empty texts, and texts without words, have
 fingerprint zero and link like any other; texts of fewer words than a shingle
 are one shingle. component_id is the smallest id reachable (null ids are never
 it, unless there is no other). Repeated rows are rows of their own. An empty
-table gives no rows. Other columns are never read.
+table gives no rows. Other columns are never read. A very long text is read whole
+by its row's task, its hashes counted in steps of 8,192 shingles.
 """
 
 from __future__ import annotations
@@ -98,8 +99,9 @@ def variants(fps: DataFrame) -> DataFrame:
 def links(fps: DataFrame, max_bits: int = 2, bucket_cap: int = BUCKET_CAP) -> DataFrame:
     """(a, b) over distinct fingerprints ``fps``: edges whose components are
     those of all pairs at most ``max_bits`` (0 to 2) apart; each edge is such a pair."""
-    # 64 rows come of each: spread first, by a number of partitions that AQE leaves alone
-    index = variants(fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp"))
+    # 64 rows come of each: spread first, in a number of partitions that AQE leaves alone, and by
+    # an expression of the fingerprint, as rows already partitioned by "fp" itself would stay put
+    index = variants(fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp", F.lit(1))))
     large = stage(index.groupBy("key").count().where(F.col("count") > bucket_cap).select("key"), "large")
     small = index.join(large, "key", "left_anti")
     apart = F.col("x.fp").bitwiseXOR(F.col("y.fp"))
