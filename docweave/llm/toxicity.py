@@ -110,11 +110,12 @@ def language_of(counts: np.ndarray) -> np.ndarray:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, label: str, held_out: bool, sizes: dict[int, int],
-            id_col: str, text_col: str) -> tuple[list[bytes], np.ndarray]:
-    """The bounded labelled sample: smallest id hashes per class, one whole text
+            id_col: str, text_col: str) -> tuple[list[bytes], np.ndarray, dict[int, int]]:
+    """(texts, labels, labelled rows of each class in the table): the bounded sample, smallest id hashes per class, one whole text
     of each, as many as fit the byte bound. Held-out rows have crc32(id) mod 4 = 2."""
     one = (labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("y")).where("__id is not null and y in (0, 1)")
            .groupBy("__id").agg(F.max("y").alias("y")).where(is_held_out("__id") == F.lit(held_out)))
+    count = {r.y: r.n for r in one.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = None
     for y, n in sizes.items():
         part = one.where(F.col("y") == y).orderBy(F.xxhash64("__id"), "__id").limit(n)
@@ -130,13 +131,13 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, held_out: bool, size
             ends += r.n
             kept.append((r["__id"], r.t, r.n))
     if not kept:
-        return [], np.zeros(0)
+        return [], np.zeros(0), count
     ids = docs.sparkSession.createDataFrame(kept, f"__id {picked.schema['__id'].dataType.simpleString()}, t bigint, n int")
     got = (own.join(F.broadcast(ids), ["__id", "t", "n"]).dropDuplicates(["__id"])
            .join(F.broadcast(picked), "__id").select("__id", "y", "text").toArrow())
     order = sorted(range(got.num_rows), key=lambda i: (got["__id"][i].as_py(), got["text"][i].as_py() or ""))
     texts = [(got["text"][i].as_py() or "").encode() for i in order]
-    return texts, np.array([got["y"][i].as_py() for i in order], dtype=float)
+    return texts, np.array([got["y"][i].as_py() for i in order], dtype=float), count
 
 
 def is_held_out(id_col: str):
@@ -144,9 +145,11 @@ def is_held_out(id_col: str):
 
 
 def train(texts: list[bytes], y: np.ndarray, epochs: tuple[int, int] = (6, 20), steps: int = 2000, batch: int = 32,
-          rate: float = 0.1, seed: int = 7) -> Model:
+          rate: float = 0.1, seed: int = 7, count: dict[int, int] | None = None) -> Model:
     """One in five rows only calibrates; the others train, in as many passes as
-    make ``steps`` batches, within the bounds ``epochs``."""
+    make ``steps`` batches, within the bounds ``epochs``. ``count``: rows of each
+    class that the sample stands for; calibration weighs its rows accordingly, so
+    thresholds do not depend on the sample's bounds."""
     import re
 
     rng = np.random.default_rng(seed)
@@ -230,31 +233,35 @@ def train(texts: list[bytes], y: np.ndarray, epochs: tuple[int, int] = (6, 20),
     rows = np.flatnonzero(calibrates) if calibrates.any() else np.arange(len(docs))
     logit = np.array([float(model.logit(model.pooled(model.responses(words[docs[i]])))) for i in rows])
     counts = np.array([np.bincount(lang_of_word[docs[i]][lang_of_word[docs[i]] >= 0], minlength=len(FUNCTION_WORDS)) for i in rows])
-    calibrate(model, logit, y[rows], language_of(counts.reshape(len(rows), -1)))
+    weight = np.ones(len(rows))
+    for c, n in (count or {}).items():
+        own = y[rows] == c
+        weight[own] = n / max(1, own.sum())
+    calibrate(model, logit, y[rows], language_of(counts.reshape(len(rows), -1)), weight / weight.mean())
     return model
 
 
-def best_threshold(logit: np.ndarray, y: np.ndarray) -> float:
-    """Middle of the best F1 cut."""
-    order = np.argsort(logit)
-    z, t = logit[order], y[order]
-    right = np.concatenate([np.cumsum(t[::-1])[::-1], [0]])
-    f1 = 2 * right[:-1] / (t.sum() + np.arange(len(t), 0, -1))
+def best_threshold(logit: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """Middle of the best F1 cut, of rows that weigh ``weight``."""
+    order = np.argsort(logit, kind="stable")
+    z, w = logit[order], weight[order]
+    caught = np.append(np.cumsum((w * y[order])[::-1])[::-1], 0)
+    f1 = 2 * caught[:-1] / (caught[0] + np.cumsum(w[::-1])[::-1])
     k = int(f1.argmax())
     return float(z[k] - 0.5 * (z[k] - z[k - 1]) if k else z[k] - 0.5)
 
 
-def calibrate(model: Model, logit: np.ndarray, y: np.ndarray, lang: np.ndarray, least: int = 40) -> None:
+def calibrate(model: Model, logit: np.ndarray, y: np.ndarray, lang: np.ndarray, weight: np.ndarray, least: int = 40) -> None:
     """The threshold of a language is drawn to the one over all rows as far as
     its rarer class has few rows: weight n / (n + ``least``)."""
     if not y.any() or y.all():
         return
-    model.thresholds[:] = best_threshold(logit, y)
+    model.thresholds[:] = best_threshold(logit, y, weight)
     for k in range(len(LANGS)):
         own = lang == k
         n = min(y[own].sum(), (1 - y[own]).sum())
         if n:
-            model.thresholds[k] += n / (n + least) * (best_threshold(logit[own], y[own]) - model.thresholds[k])
+            model.thresholds[k] += n / (n + least) * (best_threshold(logit[own], y[own], weight[own]) - model.thresholds[k])
     gap = np.median(logit[y == 1]) - np.median(logit[y == 0])
     model.slope = float(np.clip(8 / max(gap, 1e-6), 0.05, 20))
 
@@ -320,5 +327,5 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Model | None:
-    texts, y = _sample(docs, labels, label, False, {1: SAMPLE_TOXIC, 0: SAMPLE_CLEAN}, id_col, text_col)
-    return train(texts, y) if len(y) else None
+    texts, y, count = _sample(docs, labels, label, False, {1: SAMPLE_TOXIC, 0: SAMPLE_CLEAN}, id_col, text_col)
+    return train(texts, y, count=count) if len(y) else None
