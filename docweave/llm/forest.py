@@ -160,7 +160,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
         take = classes.where(F.col("dim") == dim).select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(SAMPLE).toArrow()
         x = _unit(_vectors(take["embedding"]))
         depth = int(max(0, min(np.ceil(np.log2(max(1, total) / leaf_aim)), np.floor(np.log2(max(1, len(x)) / SAMPLE_LEAF)))))
-        forests[dim] = [grow(x, depth, seed + 1000 * dim + t) for t in range(trees)]
+        # a table that fits one leaf is compared in it once: more trees without a split would repeat that
+        forests[dim] = [grow(x, depth, seed + 1000 * dim + t) for t in range(trees if depth else 1)]
         margins[dim] = 0.75 * np.sqrt(2 * (1 - threshold) / dim)
     shared = spark.sparkContext.broadcast((forests, margins))
 
