@@ -6,16 +6,23 @@ function words) and hashed byte-pair frequencies. The metadata view sees only
 the page's columns: language, source and stored length. Both are logistic
 models trained in numpy on the driver.
 
-Rounds: each view is fitted on its own labelled set, scores a pool of unlabelled
-rows, and hands its most confident rows of either class, as pseudo-labels, to
-the other view; rows handed over leave the pool. After the last round each
-view is calibrated (Platt) on labelled rows that no fit saw, and a last
+Rounds: each view is fitted on the labelled rows and the pseudo-labels it was
+given, scores *all* unlabelled rows, and hands its most confident rows of either
+class to the other view: the ``HANDED`` share of all unlabelled rows, cut at a
+quantile of a score histogram of each class's end, if their probability is beyond
+``SURE``. Rows handed over leave the pool. Which rows those are follows from the
+models and cuts of the rounds so far, so workers find it again from a row's
+vectors; no list of rows is kept. A fit is Newton's method: the sums over
+pseudo-labelled rows (gradient, curvature, counts by class) are added up in Spark,
+partition sums by partition sums, however many rows there are. After the last
+round each view is calibrated (Platt) on labelled rows that no fit saw, and a last
 logistic layer over the two calibrated views, fitted on the same rows, gives
 the score of every document.
 
-Bounds of what reaches the driver: ``SAMPLE`` labelled rows of each class and
-``POOL`` unlabelled rows, as feature vectors (not texts). Counts and scores
-cover whole texts and all rows.
+Bounds of what reaches the driver: ``SAMPLE`` labelled rows of each class as
+feature vectors (not texts), and ``FEW`` rows of sums. Pseudo-labels, counts and
+scores cover whole texts and all rows. Of several rows with a labelled id the one
+with the smallest hash of its text is learnt from.
 
 A document is rejected when its score is below a threshold. The threshold is
 chosen from a histogram, by class, of the scores of all labelled rows that no
@@ -24,7 +31,7 @@ fit saw (counted in Spark; at least a fifth of each class, and all rows past
 most ``LOSS`` of the good rows. Flipped labels are no losses: the share of rows
 labelled good among the scores that poor rows have is taken as label noise, up
 to ``NOISE``, and subtracted (see ``best_cut``). The views' vectors are computed
-once, in the shared folder.
+once, in the shared folder. Very long texts are read whole, in their row's task.
 
 Defined results: null text is empty text; null language, source or length are
 values of their own; rows of held-out ids (crc32(id) mod 4 = 2) and null labels
@@ -42,12 +49,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.common import bounded_batches, stage
+from docweave.llm.common import bounded_batches, stage, text_hash
 from docweave.llm.toxicity import FUNCTION_WORDS, is_held_out
 
-#: bounds of the sample: labelled rows of each class, unlabelled rows
-SAMPLE, POOL = 4000, 6000
-ROUNDS, HANDED, SURE = 5, 300, 0.97
+#: bound of the sample: labelled rows of each class
+SAMPLE = 4000
+#: rounds, share of the unlabelled rows that a view hands over in each, and the least probability of those
+ROUNDS, HANDED, SURE = 4, 0.05, 0.97
+#: Newton steps of a refit; partition sums that reach the driver at most, and that one task adds up
+STEPS, FEW, FAN_IN = 3, 8, 64
 #: good rows the threshold may lose, and most rows labelled good that may count as flipped (5 % and the error of that count)
 LOSS, NOISE = 0.002, 0.1
 #: score histogram: bins of the joint logit from -REACH to REACH
@@ -112,30 +122,32 @@ def meta_features(lang: str | None, source: str | None, n_chars: int | None) ->
     return out
 
 
-def features(docs: DataFrame, cols: tuple, keep: tuple = ()) -> DataFrame:
-    """(id, *keep, text_view, meta_view): float32 vectors as bytes."""
+def features(docs: DataFrame, cols: tuple, carry: bool = False) -> DataFrame:
+    """(id, t, text_view, meta_view) per row, and with ``carry`` all columns of
+    ``docs`` as c0, c1, ...: float32 vectors as bytes, t a hash of the text."""
     import pyarrow as pa
 
+    own = _columns(docs, cols, [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)] if carry else [])
+    names = [c for c in own.columns if c[0] == "c"]
+
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
             texts = batch.column(1).cast(pa.large_binary()).to_pylist()
             meta = zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[batch.column(5 + i) for i in range(len(keep))],
-                 pa.array([text_features(t).tobytes() for t in texts], pa.binary()),
-                 pa.array([meta_features(*m).tobytes() for m in meta], pa.binary())],
-                names=["id", *keep, "text_view", "meta_view"])
+                [batch.column(0), batch.column(5), pa.array([text_features(t).tobytes() for t in texts], pa.binary()),
+                 pa.array([meta_features(*m).tobytes() for m in meta], pa.binary()), *[batch.column(6 + k) for k in range(len(names))]],
+                names=["id", "t", "text_view", "meta_view", *names])
 
     bounded_batches(docs.sparkSession)
-    own = _columns(docs, cols, keep)
-    kinds = ", ".join(f"`{c}` {own.schema[c].dataType.simpleString()}" for c in ("id", *keep))
-    return own.mapInArrow(run, f"{kinds}, text_view binary, meta_view binary")
+    kinds = "".join(f", {c} {own.schema[c].dataType.simpleString()}" for c in names)
+    return own.mapInArrow(run, f"id {own.schema['id'].dataType.simpleString()}, t bigint, text_view binary, meta_view binary{kinds}")
 
 
-def _columns(docs: DataFrame, cols: tuple, keep: tuple = ()) -> DataFrame:
+def _columns(docs: DataFrame, cols: tuple, more: list = ()) -> DataFrame:
     i, t, lang, source, n = (F.col(f"`{c}`") for c in cols)
     return docs.select(i.alias("id"), t.cast("string").alias("text"), lang.cast("string").alias("lang"),
-                       source.cast("string").alias("source"), n.cast("long").alias("n_chars"), *keep)
+                       source.cast("string").alias("source"), n.cast("long").alias("n_chars"), text_hash(t.cast("string")).alias("t"), *more)
 
 
 @dataclass
@@ -216,29 +228,99 @@ def best_cut(poor: np.ndarray, good: np.ndarray) -> float:
     return float(_sigmoid(edge[(first + last) // 2]))
 
 
-def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS, handed: int = HANDED) -> Model:
-    """views, pool: [text rows, metadata rows]. Every fifth labelled row only calibrates."""
+# --- co-training ---------------------------------------------------------------------
+
+#: a round so far: the two views' models, and for each view the logits at most (poor) and at least (good) which its rows are handed over
+Handing = tuple[list[Logistic], list[tuple[float, float]]]
+
+
+def given_labels(views: list[np.ndarray], history: list[Handing]) -> tuple[list[np.ndarray], np.ndarray]:
+    """([labels that the text view, the metadata view was given: 0, 1 or -1], rows still free)."""
+    free = np.ones(len(views[0]), bool)
+    given = [np.full(len(free), -1, np.int8) for _ in views]
+    for models, cuts in history:
+        for k, (m, (low, high)) in enumerate(zip(models, cuts)):
+            z = m.logit(views[k])
+            good, poor = free & (z >= high), free & (z <= low)
+            given[1 - k][good], given[1 - k][poor] = 1, 0
+            free &= ~(good | poor)
+    return given, free
+
+
+def newton_sums(x: np.ndarray, y: np.ndarray, m: Logistic) -> np.ndarray:
+    """For each class: its rows, gradient and upper curvature at ``m``, in one line."""
+    z = np.concatenate([np.clip((x - m.mean) / m.scale, -8, 8), np.ones((len(x), 1))], axis=1)
+    p, upper = _sigmoid(m.logit(x)), np.triu_indices(z.shape[1])
+    out = []
+    for c in (0, 1):
+        own = y == c
+        a, q = z[own], p[own]
+        out += [[own.sum()], a.T @ (q - c), ((a * np.maximum(q * (1 - q), 1e-4)[:, None]).T @ a)[upper]]
+    return np.concatenate(out)
+
+
+def newton_step(m: Logistic, sums: np.ndarray, ridge: float = 1.0) -> Logistic:
+    """One step from the sums of all rows; classes weigh the same."""
+    d = len(m.w) + 1
+    size, upper = 1 + d + d * (d + 1) // 2, np.triu_indices(d)
+    w, penalty = np.append(m.w, m.b), np.full(d, ridge)
+    penalty[-1] = 1e-6
+    parts = sums.reshape(2, size)
+    total, grad, curve = parts[:, 0].sum(), penalty * w, np.diag(penalty)
+    for part in parts:
+        share = total * 0.5 / max(1.0, part[0])
+        half = np.zeros((d, d))
+        half[upper] = part[1 + d:]
+        grad = grad + share * part[1:1 + d]
+        curve = curve + share * (half + half.T - np.diag(np.diag(half)))
+    move = np.linalg.solve(curve, grad)
+    w = w - move * min(1.0, 5.0 / max(1e-9, np.abs(move).max()))
+    return Logistic(m.mean, m.scale, w[:-1], float(w[-1]))
+
+
+def pool_sums(views: list[np.ndarray], history: list[Handing], models: list[Logistic], task: str) -> np.ndarray:
+    """What a part of the unlabelled rows adds: "rows" the histogram of both
+    views' logits over free rows, "sums" the Newton sums of both views."""
+    given, free = given_labels(views, history)
+    if task == "rows":
+        return np.concatenate([np.bincount(bins_of(m.logit(x[free])), minlength=BINS) for m, x in zip(models, views)]).astype(float)
+    return np.concatenate([newton_sums(x[g >= 0], g[g >= 0], m) for x, g, m in zip(views, given, models)])
+
+
+def handing_cuts(rows: np.ndarray, share: float, handed: float) -> list[tuple[float, float]]:
+    """For each view the cuts that hand over ``handed`` of all rows, ``share`` of
+    those as good: whole bins from either end, as far as they are sure."""
+    edge, sure = np.linspace(-REACH, REACH, BINS + 1), np.log(SURE / (1 - SURE))
+    cuts = []
+    for counts in rows.reshape(2, BINS):
+        low = int(np.searchsorted(np.cumsum(counts), max(1.0, handed * (1 - share)))) + 1
+        high = BINS - 1 - int(np.searchsorted(np.cumsum(counts[::-1]), max(1.0, handed * share)))
+        cuts.append((min(-sure, edge[min(low, BINS)]), max(sure, edge[max(high, 0)])))
+    return cuts
+
+
+def co_train(views: list[np.ndarray], y: np.ndarray, pool, rounds: int = ROUNDS, handed: float = HANDED) -> Model:
+    """views: [text rows, metadata rows] of the labelled sample, of which every
+    fifth row only calibrates. pool(history, models, task): ``pool_sums`` over all
+    unlabelled rows; or the rows themselves."""
+    rows_of = pool if callable(pool) else lambda history, models, task: pool_sums(pool, history, models, task)
     held = np.arange(len(y)) % 5 == 0
     if len({*y[held]}) < 2 or len({*y[~held]}) < 2:
         held[:] = False
-    fit_x, fit_y = [v[~held] for v in views], [y[~held], y[~held]]
-    free = np.ones(len(pool[0]), bool)
-    share = y[~held].mean()
+    fit_x, fit_y, share = [v[~held] for v in views], y[~held], y[~held].mean()
+    models, history, total = [fit_logistic(x, fit_y) for x in fit_x], [], None
     for _ in range(rounds):
-        models = [fit_logistic(x, t) for x, t in zip(fit_x, fit_y)]
-        for k, m in enumerate(models):
-            rows = np.flatnonzero(free)
-            if not len(rows):
-                break
-            p = _sigmoid(m.logit(pool[k][rows]))
-            order = np.argsort(p)
-            good = [i for i in order[::-1][: max(1, round(handed * share))] if p[i] >= SURE]
-            bad = [i for i in order[: max(1, round(handed * (1 - share)))] if p[i] <= 1 - SURE]
-            given, other = rows[np.array(good + bad, dtype=int)], 1 - k
-            fit_x[other] = np.concatenate([fit_x[other], pool[other][given]])
-            fit_y[other] = np.concatenate([fit_y[other], [1.0] * len(good) + [0.0] * len(bad)])
-            free[given] = False
-    models = [fit_logistic(x, t) for x, t in zip(fit_x, fit_y)]
+        counts = rows_of(history, models, "rows")
+        total = counts[:BINS].sum() if total is None else total
+        if not counts.any():
+            break
+        history.append((models, handing_cuts(counts, share, handed * total)))
+        # from zero, where Newton's method neither stalls nor overshoots
+        models = [Logistic(m.mean, m.scale, np.zeros(len(m.w)), 0.0) for m in models]
+        for _ in range(STEPS):
+            sums = rows_of(history, models, "sums")
+            stop = len(newton_sums(fit_x[0][:0], fit_y[:0], models[0]))
+            models = [newton_step(m, newton_sums(x, fit_y, m) + part) for m, x, part in zip(models, fit_x, (sums[:stop], sums[stop:]))]
     rows = held if held.any() else np.ones(len(y), bool)
     z = [m.logit(v[rows]) for m, v in zip(models, views)]
     platt = [fit_logistic(a[:, None], y[rows], 1e-2) for a in z]
@@ -248,10 +330,50 @@ def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rou
     return Model(models, platt, joint, best_cut(*[np.bincount(bins[(y[rows] > 0.5) == t], minlength=BINS) for t in (False, True)]))
 
 
+def spark_pool(views: DataFrame):
+    """``pool_sums`` over all rows of ``views``. Every task gives one row of sums;
+    tasks of the next level add up ``FAN_IN`` of those each, one after the other,
+    until ``FEW`` are left for the driver."""
+    import pyarrow as pa
+
+    parts = max(1, views.rdd.getNumPartitions())
+
+    def added(rows: Iterator[np.ndarray], number: int) -> Iterator:
+        total = None
+        for x in rows:
+            total = x if total is None else total + x
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+
+    def sums(history: list[Handing], models: list[Logistic], task: str) -> np.ndarray:
+        def first(batches: Iterator) -> Iterator:
+            from pyspark import TaskContext
+
+            yield from added((pool_sums([vectors_of(b.column(k), n) for k, n in ((0, SHAPES + PAIRS), (1, META))], history, models, task)
+                              for b in batches if b.num_rows), TaskContext.get().partitionId())
+
+        def more(batches: Iterator) -> Iterator:
+            from pyspark import TaskContext
+
+            yield from added((np.frombuffer(v, float) for b in batches for v in b.column(1).to_pylist()), TaskContext.get().partitionId())
+
+        rows, left = views.select("text_view", "meta_view").mapInArrow(first, "part int, sums binary"), parts
+        while left > FEW:
+            left = max(1, left // FAN_IN)
+            rows = rows.repartition(left, "part").sortWithinPartitions("part").mapInArrow(more, "part int, sums binary")
+        got = sorted(rows.collect(), key=lambda r: r.part)
+        if not got:
+            return pool_sums([np.zeros((0, SHAPES + PAIRS)), np.zeros((0, META))], history, models, task)
+        return np.sum([np.frombuffer(r.sums, float) for r in got], axis=0)
+
+    return sums
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality",
-        cols: tuple = ("doc_id", "text", "lang", "source", "n_chars")) -> Model | None:
-    """Train on the bounded sample: rows of the smallest id hashes, at most four
-    fifths of a class. All other labelled rows choose the threshold."""
+        cols: tuple = ("doc_id", "text", "lang", "source", "n_chars"), views: DataFrame | None = None) -> Model | None:
+    """Train on the bounded labelled sample (rows of the smallest id hashes, at
+    most four fifths of a class) and all unlabelled rows. All other labelled rows
+    choose the threshold. ``views``: the staged ``features`` of ``docs``, if known."""
     one = (labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("y")).where("__id is not null and y in (0, 1)")
            .groupBy("__id").agg(F.max("y").alias("y")).where(~is_held_out("__id")))
     one = stage(one, "labelled")
@@ -261,20 +383,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality",
         return None
     part = {y: one.where(F.col("y") == y).orderBy(*first).limit(min(SAMPLE, n - n // 5)) for y, n in count.items()}
     picked = part[1].unionByName(part[0])
-    views = stage(features(docs.where(~is_held_out(cols[0])), cols), "views")
-    pool = views.select(F.col("id").alias("__id")).join(one, "__id", "left_anti").distinct().orderBy(*first).limit(POOL).select("__id", F.lit(-1).alias("y"))
-    named = stage(picked.unionByName(pool).select(F.col("__id").alias("__sample"), F.col("y").alias("__y")), "sample")
-    got = views.join(F.broadcast(named), F.col("id") == F.col("__sample")).dropDuplicates(["__sample"]).drop("__sample").toArrow()
+    if views is None:
+        views = stage(features(docs, cols), "views")
+    views = views.where(~is_held_out("id")).select("id", "t", "text_view", "meta_view")
+    named = stage(picked.select(F.col("__id").alias("__sample"), F.col("y").alias("__y")), "sample")
+    got = (views.join(F.broadcast(named), F.col("id") == F.col("__sample")).groupBy("id")
+           .agg(F.min("__y").alias("__y"), F.min(F.struct("t", "meta_view", "text_view")).alias("v")).select("id", "__y", "v.*").toArrow())
     if not got.num_rows:
         return None
     order = np.argsort(got["id"].to_numpy(zero_copy_only=False), kind="stable")
     vectors = [vectors_of(got[c], n)[order] for c, n in (("text_view", SHAPES + PAIRS), ("meta_view", META))]
     y = got["__y"].to_numpy()[order].astype(float)
-    known = y >= 0
-    if len({*y[known]}) < 2:
+    if len({*y}) < 2:
         return None
-    model = co_train([v[known] for v in vectors], y[known], [v[~known] for v in vectors])
-    unseen = one.join(F.broadcast(named.where("__y >= 0")), F.col("__id") == F.col("__sample"), "left_anti")
+    pool = stage(views.join(one, F.col("id") == F.col("__id"), "left_anti").select("text_view", "meta_view"), "pool")
+    model = co_train(vectors, y, spark_pool(pool))
+    unseen = one.join(F.broadcast(named), F.col("__id") == F.col("__sample"), "left_anti")
     poor, good = score_histogram(views, unseen, model)
     if poor.any() and good.any():
         model.threshold = best_cut(poor, good)
@@ -285,12 +409,10 @@ def score_histogram(views: DataFrame, labelled: DataFrame, model: Model) -> tupl
     """Rows of either label per score bin; an id that occurs in several rows counts once, by its lowest."""
     import pyarrow as pa
 
-    shared = views.sparkSession.sparkContext.broadcast(model)
-
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
             x = [vectors_of(batch.column(i), n) for i, n in ((1, SHAPES + PAIRS), (2, META))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.bins(x))], names=["id", "bin"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.bins(x))], names=["id", "bin"])
 
     kind = views.schema["id"].dataType.simpleString()
     bins = views.select("id", "text_view", "meta_view").mapInArrow(run, f"id {kind}, bin int").groupBy("id").agg(F.min("bin").alias("bin"))
@@ -306,46 +428,46 @@ def vectors_of(column, n: int) -> np.ndarray:
 
 
 def score(docs: DataFrame, model: Model | None, cols: tuple = ("doc_id", "text", "lang", "source", "n_chars"),
-          keep_columns: bool = False) -> DataFrame:
-    """(id, text_score, meta_score, score, good) per row; with ``keep_columns``
-    the rows of ``docs`` that are good, all columns unchanged."""
+          views: DataFrame | None = None) -> DataFrame:
+    """(id, text_score, meta_score, score, good) per row; ``views``: the staged
+    ``features`` of ``docs``, if known."""
     import pyarrow as pa
 
-    spark = docs.sparkSession
     if model is None:
         one = F.lit(1.0)
-        return docs if keep_columns else docs.select(F.col(f"`{cols[0]}`").alias("id"), one.alias("text_score"),
-                                                     one.alias("meta_score"), one.alias("score"), F.lit(True).alias("good"))
-    shared = spark.sparkContext.broadcast(model)
-
-    def judged(batch, at: list[int]):
-        columns = [batch.column(i).to_pylist() for i in at[1:]]
-        texts = batch.column(at[0]).cast(pa.large_binary()).to_pylist()
-        text = np.array([text_features(t) for t in texts], dtype=float).reshape(len(texts), -1)
-        meta = np.array([meta_features(*m) for m in zip(*columns)], dtype=float).reshape(len(texts), -1)
-        return shared.value.scores([text, meta])
-
-    bounded_batches(spark)
-    if keep_columns:
-        at = [docs.columns.index(c) for c in cols[1:]]
-
-        def keep(batches: Iterator) -> Iterator:
-            for batch in batches:
-                if batch.num_rows:
-                    yield batch.filter(pa.array(judged(batch, at)[2] >= shared.value.threshold))
-
-        plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-        return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)
-
+        return docs.select(F.col(f"`{cols[0]}`").alias("id"), one.alias("text_score"), one.alias("meta_score"), one.alias("score"),
+                           F.lit(True).alias("good"))
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
-            s = judged(batch, [1, 2, 3, 4]) if batch.num_rows else [np.zeros(0)] * 3
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, pa.float64()) for x in s], pa.array(s[2] >= shared.value.threshold)],
+            s = model.scores([vectors_of(batch.column(k), n) for k, n in ((1, SHAPES + PAIRS), (2, META))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, pa.float64()) for x in s], pa.array(s[2] >= model.threshold)],
                                              names=["id", "text_score", "meta_score", "score", "good"])
 
-    own = _columns(docs, cols)
+    own = (features(docs, cols) if views is None else views).select("id", "text_view", "meta_view")
     return own.mapInArrow(run, f"id {own.schema['id'].dataType.simpleString()}, text_score double, meta_score double, score double, good boolean")
 
 
+def fit_and_score(docs: DataFrame, labels: DataFrame, cols: tuple = ("doc_id", "text", "lang", "source", "n_chars")) -> DataFrame:
+    """``score`` by the model ``fit`` to the same rows; texts are read once."""
+    views = stage(features(docs, cols), "views")
+    return score(docs, fit(docs, labels, cols=cols, views=views), cols, views)
+
+
 def drop_poor_documents(docs: DataFrame, labels: DataFrame, cols: tuple = ("doc_id", "text", "lang", "source", "n_chars")) -> DataFrame:
-    return score(docs, fit(docs, labels, cols=cols), cols, keep_columns=True)
+    """The rows of ``docs`` that are good, all columns unchanged; texts are read once."""
+    import pyarrow as pa
+
+    views = stage(features(docs, cols, carry=True), "views")
+    model = fit(docs, labels, cols=cols, views=views)
+    if model is None:
+        return docs
+    kept = views.select(*[f"c{k}" for k in range(len(docs.columns))], "text_view", "meta_view")
+
+    def keep(batches: Iterator) -> Iterator:
+        for batch in batches:
+            last = batch.num_columns - 2
+            x = [vectors_of(batch.column(last + k), n) for k, n in ((0, SHAPES + PAIRS), (1, META))]
+            yield batch.select(list(range(last))).filter(pa.array(model.scores(x)[2] >= model.threshold))
+
+    own = kept.drop("text_view", "meta_view").schema
+    return kept.mapInArrow(keep, own).toDF(*docs.columns)

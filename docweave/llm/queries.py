@@ -64,7 +64,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    scored = quality.fit_and_score(docs, table(spark, sf_dir, "labels"))
     return scored.select(F.col("id").alias("doc_id"), F.coalesce(toxicity.is_held_out("id"), F.lit(False)).alias("held_out"),
                          "text_score", "meta_score", "score", "good")
 
