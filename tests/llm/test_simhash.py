@@ -3,6 +3,7 @@ import random
 import pytest
 import xxhash
 from conftest import ROWS, SF0001
+from pyspark.sql import functions as F
 
 from docweave.llm import simhash
 
@@ -88,3 +89,10 @@ def test_one_of_each_component_stays(docs, empty):
     assert {r.doc_id for r in kept.collect()} == {c for _, c in want} and kept.count() == len({c for _, c in want})
     assert simhash.near_duplicates(empty).count() == 0
     assert simhash.drop_near_duplicates(empty).count() == 0
+
+
+def test_fingerprints_are_dealt_out_before_their_variants(spark):
+    """The exchange survives planning though the rows are already grouped by fingerprint."""
+    fps = spark.range(1000).select((F.col("id") * 7919).alias("fp")).groupBy("fp").agg(F.count(F.lit(1)).alias("n")).select("fp")
+    plan = simhash.links(fps)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(xxhash64(fp" in plan

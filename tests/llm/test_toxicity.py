@@ -58,8 +58,47 @@ def test_an_id_in_many_rows_gives_one_text(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     held = {i: __import__("zlib").crc32(str(i).encode()) % 4 == 2 for i in range(1, 5)}
     found = [toxicity._sample(docs, labels, "toxic", h, {1: 10, 0: 10}, "doc_id", "text") for h in (False, True)]
-    texts = [t for part, _ in found for t in part]
+    texts = [t for part, _, _ in found for t in part]
     assert sum(t.startswith(b"text ") for t in texts) == 1 and sum(map(len, texts)) <= 1000
     assert sorted(t for t in texts if not t.startswith(b"text ")) == [b"other", b"third"]
-    for h, (part, y) in zip((False, True), found):
+    for h, (part, y, _) in zip((False, True), found):
         assert len(part) == len(y) == sum(held[i] == h for i in (1, 2, 3))
+
+
+def test_thresholds_do_not_depend_on_the_sample_ratio():
+    """Scores of either class overlap; calibration on the table's 1:9 and on a sample forced to 1:2 agree."""
+    rng = np.random.default_rng(8)
+    logit = np.concatenate([rng.normal(3, 1, 4000), rng.normal(0, 1, 36_000)])
+    y = np.repeat([1.0, 0.0], [4000, 36_000])
+    pick = np.concatenate([np.arange(4000), 4000 + rng.choice(36_000, 8000, replace=False)])
+    weight = np.where(y[pick] == 1, 4000 / 4000, 36_000 / 8000)
+    whole = toxicity.best_threshold(logit, y, np.ones(len(y)))
+    assert abs(toxicity.best_threshold(logit[pick], y[pick], weight) - whole) < 0.15
+    assert toxicity.best_threshold(logit[pick], y[pick], np.ones(len(pick))) < whole - 0.3
+    m = [toxicity.Model(np.zeros((1, 1)), [], np.zeros(1), np.zeros(1), 0.0) for _ in range(2)]
+    toxicity.calibrate(m[0], logit, y, np.zeros(len(y), int), np.ones(len(y)))
+    toxicity.calibrate(m[1], logit[pick], y[pick], np.zeros(len(pick), int), weight)
+    assert np.abs(m[0].thresholds - m[1].thresholds).max() < 0.15
+
+
+def test_scores_equal_a_plain_loop(spark, docs):
+    """Every row of the edge table, scored one by one: sums over all places, then the greatest."""
+    table, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    m = toxicity.fit(table.limit(2000), labels)
+    speech = toxicity._function_words()
+    want = []
+    for r in docs.select("doc_id", "text").collect():
+        words = __import__("re").findall(toxicity.WORD, (r.text or "").encode().lower())
+        x = np.concatenate([m.table[list(toxicity.bucket_ids(w))].sum(0)[None] for w in words] + [np.zeros((2, toxicity.DIM))])
+        out = []
+        for f in m.filters:
+            places = np.stack([sum(x[t + j] @ f[j] for j in range(len(f))) for t in range(len(words))]) if words else None
+            out.append(np.zeros(toxicity.FILTERS) if places is None else places.max(0))
+        pooled = np.maximum(np.concatenate(out) + m.bias, 0) if words else np.zeros(len(m.bias))
+        counts = np.bincount([speech[w] for w in words if w in speech], minlength=len(toxicity.FUNCTION_WORDS))
+        lang = int(counts.argmax()) if counts.max() else len(toxicity.FUNCTION_WORDS)
+        z = m.slope * (pooled @ m.weights + m.offset - m.thresholds[lang]) + np.log(0.3 / 0.7)
+        want.append((str(r.doc_id), 1 / (1 + np.exp(-np.clip(z, -40, 40)))))
+    got = sorted((str(r.id), r.score) for r in toxicity.score(docs, m).collect())
+    assert [a for a, _ in got] == [a for a, _ in sorted(want)]
+    assert np.allclose([b for _, b in got], [b for _, b in sorted(want)], atol=1e-3)
