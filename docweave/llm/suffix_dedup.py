@@ -29,7 +29,8 @@ Defined results: texts are UTF-8 bytes, null is empty; matches never cross
 documents; overlapping matches count; strings are judged on the input. Texts
 shorter than ``length`` lose nothing. Repeated rows repeat each other, so both
 lose all bytes (from ``length`` on). An empty table gives no rows. Only id and
-text are read.
+text are read. A very long text is read in pieces of ``CHUNK`` bytes by one task;
+in text of a short period equal neighbouring contexts are one row.
 """
 
 from __future__ import annotations
@@ -113,8 +114,11 @@ def text_anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, n
 
 
 def text_contexts(raw: np.ndarray, repeated: np.ndarray, length: int, gram: int):
-    """(anchor hash, lead, start, end) of each run of windows on one repeated
-    anchor position; lead: from the run's start to the anchor."""
+    """(anchor hash, lead, start, end, times, shift) of each run of windows on one
+    repeated anchor position; lead: from the run's start to the anchor. In text of
+    a short period the runs that follow each other cover equal bytes, ``shift``
+    apart: they are one row that stands for ``times`` of them."""
+    data = raw.tobytes()
     repeated = np.sort(repeated)
     for base, part in _chunks(raw, length):
         h, least, at = anchors(part, length, gram)
@@ -129,8 +133,14 @@ def text_contexts(raw: np.ndarray, repeated: np.ndarray, length: int, gram: int)
         spot = at[order][first]                       # the leftmost anchor of each window
         cut = np.flatnonzero((np.diff(starts) != 1) | (np.diff(spot) != 0)) + 1
         lo, hi = np.concatenate([[0], cut]), np.concatenate([cut, [len(starts)]]) - 1
-        yield from zip(least[starts[lo]].view(np.int64).tolist(), (spot[lo] - starts[lo]).tolist(),
-                       (base + starts[lo]).tolist(), (base + starts[hi] + length).tolist())
+        g, lead, a, b = least[starts[lo]].view(np.int64), spot[lo] - starts[lo], base + starts[lo], base + starts[hi] + length
+        # a run that starts where the one before it ends, with its anchor, lead and size: equal if the bytes are
+        like = np.concatenate([[False], (g[1:] == g[:-1]) & (lead[1:] == lead[:-1]) & (b[1:] - a[1:] == b[:-1] - a[:-1]) & (a[1:] == b[:-1] - length + 1)])
+        for k in np.flatnonzero(like).tolist():
+            like[k] = data[a[k]:b[k]] == data[a[k - 1]:b[k - 1]]
+        head = np.flatnonzero(~like)
+        times = np.diff(np.append(head, len(a)))
+        yield from zip(*(x.tolist() for x in (g[head], lead[head], a[head], b[head], times, (b - a)[head] - length + 1)))
 
 
 class Suffixes:
@@ -268,27 +278,39 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, group:
     rows = stage(own.join(lists, F.col("id").eqNullSafe(F.col("__id")) & (F.col("raw") == F.col("__raw"))).select("id", "raw", "text", "gs"), "sharing")
 
     def find_contexts(batches: Iterator) -> Iterator:
+        """Batches of at most some ``BLOCK`` bytes of contexts, however long a text is."""
+        def frame(batch, out: list) -> pa.RecordBatch:
+            at = pa.array(out[0], pa.int64())
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int32())
+            return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *[pa.array(o, k) for o, k in zip(out[1:], kinds)]],
+                                              names=["id", "raw", "g", "lead", "at", "ctx", "times", "shift"])
+
         for batch in batches:
-            out = [[] for _ in range(5)]
+            out, held = [[] for _ in range(7)], 0
             for r, (t, gs) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                for g, lead, a, b in text_contexts(np.frombuffer(t, np.uint8), np.array(gs, np.int64).view(np.uint64), length, gram):
-                    for o, v in zip(out, (r, g, lead, a, t[a:b])):
+                for g, lead, a, b, times, shift in text_contexts(np.frombuffer(t, np.uint8), np.array(gs, np.int64).view(np.uint64), length, gram):
+                    for o, v in zip(out, (r, g, lead, a, t[a:b], times, shift)):
                         o.append(v)
-            at = pa.array(out[0], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()),
-                                              pa.array(out[3], pa.int64()), pa.array(out[4], pa.binary())], names=["id", "raw", "g", "lead", "at", "ctx"])
-
-    contexts = rows.mapInArrow(find_contexts, f"id {kind}, raw bigint, g bigint, lead int, at bigint, ctx binary")
+                    held += b - a
+                    if held > 4 * BLOCK:
+                        yield frame(batch, out)
+                        out, held = [[] for _ in range(7)], 0
+            if out[0]:
+                yield frame(batch, out)
+
+    contexts = rows.mapInArrow(find_contexts, f"id {kind}, raw bigint, g bigint, lead int, at bigint, ctx binary, times bigint, shift int")
     spans = None
     for step in (*STEPS, None):
-        contexts = stage(contexts.withColumn("h", F.xxhash64("ctx")).withColumn("n", F.octet_length("ctx")), "contexts")
-        distinct = stage(contexts.groupBy(*KEY, "ctx").agg(F.count(F.lit(1)).cast("int").alias("c")), "distinct")
+        contexts = stage(contexts.withColumn("h", F.xxhash64("ctx")).withColumn("h2", F.hash("ctx")).withColumn("n", F.octet_length("ctx")), "contexts")
+        distinct = stage(contexts.groupBy(*KEY, "ctx").agg(F.sum("times").alias("c")), "distinct")
         large = stage(distinct.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > group).select("g"), "large")
         last = step is None or large.isEmpty()
         small = distinct if last else distinct.join(large, "g", "left_anti").select(*distinct.columns)
         hits = sorted_windows(small, length)
-        found = (contexts.select("id", "raw", "at", *KEY).join(hits, KEY)
-                 .select("id", "raw", (F.col("at") + F.col("w0")).alias("start"), (F.col("at") + F.col("w1") + length).alias("end")))
+        # of a context that stands for several all windows are repeated; a shift is shorter than a window, so one span holds them
+        end = F.col("at") + F.col("w1") + length + (F.col("times") - 1) * F.col("shift")
+        found = (contexts.select("id", "raw", "at", "times", "shift", *KEY).join(hits, KEY)
+                 .select("id", "raw", (F.col("at") + F.col("w0")).alias("start"), end.alias("end")))
         spans = found if spans is None else spans.unionByName(found)
         if last:
             break
@@ -296,7 +318,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, group:
     return rows, stage(spans, "spans")
 
 
-KEY = ["g", "lead", "h", "n"]
+#: a context's anchor, lead, two independent hashes and length
+KEY = ["g", "lead", "h", "h2", "n"]
 
 
 def split_contexts(contexts: DataFrame, step: int, length: int) -> DataFrame:
@@ -311,11 +334,11 @@ def split_contexts(contexts: DataFrame, step: int, length: int) -> DataFrame:
     out = out.withColumn("w0", (first - top).cast("int")).withColumn("w1", (first - end).cast("int"))
     shared = F.substring("ctx", (first - F.col("b") * step + 1).cast("int"), F.lit(length - step + 1))
     return out.select("id", "raw", F.xxhash64("g", "b", shared).alias("g"), top.cast("int").alias("lead"), (F.col("at") + F.col("w0")).alias("at"),
-                      F.substring("ctx", F.col("w0") + 1, F.col("w1") - F.col("w0") + length).alias("ctx"))
+                      F.substring("ctx", F.col("w0") + 1, F.col("w1") - F.col("w0") + length).alias("ctx"), "times", "shift")
 
 
 def sorted_windows(distinct: DataFrame, length: int) -> DataFrame:
-    """(g, lead, h, n, w0, w1): runs of repeated windows of distinct contexts,
+    """(*KEY, w0, w1): runs of repeated windows of distinct contexts,
     from a suffix sort of each anchor's contexts."""
     import pyarrow as pa
 
@@ -324,14 +347,14 @@ def sorted_windows(distinct: DataFrame, length: int) -> DataFrame:
     def sort_block(batches: Iterator) -> Iterator:
         """Rows come sorted by anchor; whole anchors are sorted together."""
         def done(held: list) -> pa.RecordBatch:
-            g, lead, h, n, texts, c = zip(*held)
-            out = [[] for _ in range(6)]
+            g, lead, h, h2, n, texts, c = zip(*held)
+            out = [[] for _ in range(7)]
             masks = repeated_windows(np.array(g, np.int64), np.array(lead, np.int64), np.array(c, np.int64), list(texts), length)
             for k, mask in enumerate(masks):
                 for a, b in _runs(mask):
-                    for o, v in zip(out, (g[k], lead[k], h[k], n[k], a, b)):
+                    for o, v in zip(out, (g[k], lead[k], h[k], h2[k], n[k], a, b)):
                         o.append(v)
-            return pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))],
+            return pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()))],
                                               names=[*names, "w0", "w1"])
 
         held, size = [], 0
@@ -341,12 +364,12 @@ def sorted_windows(distinct: DataFrame, length: int) -> DataFrame:
                     yield done(held)
                     held, size = [], 0
                 held.append(row)
-                size += row[3]
+                size += row[4]
         if held:
             yield done(held)
 
     rows = distinct.select(*KEY, "ctx", "c").repartition("g").sortWithinPartitions("g")
-    return rows.mapInArrow(sort_block, "g bigint, lead int, h bigint, n int, w0 int, w1 int")
+    return rows.mapInArrow(sort_block, "g bigint, lead int, h bigint, h2 int, n int, w0 int, w1 int")
 
 
 def remove(text: bytes, spans: list) -> tuple[bytes, int, int]:
