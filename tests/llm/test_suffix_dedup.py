@@ -71,9 +71,9 @@ def test_long_texts_in_pieces(monkeypatch):
     raw = np.frombuffer("".join(rng.choice("abc") for _ in range(1000)).encode(), np.uint8)
     names, _ = S.text_anchors(raw, 20, 6)
     found = list(S.text_contexts(raw, names, 20, 6))
-    windows = sorted(i for _, _, a, b in found for i in range(a, b - 20 + 1))
+    windows = sorted(i for _, _, a, b, times, shift in found for i in range(a, b - 20 + 1 + (times - 1) * shift))
     assert windows == list(range(1000 - 20 + 1))
-    for g, lead, a, _ in found:
+    for g, lead, a, *_ in found:
         p = S.prefix_hashes(raw[a + lead:a + lead + 6])
         assert int(S._mix(p[6:7]).view(np.int64)[0]) == g
 
@@ -97,3 +97,31 @@ def test_hash_collisions_are_caught(monkeypatch):
     texts = [b"0123456789abcdefghij", b"0123456789abcdefghiX", b"0123456789abcdefghij", b"zzzz456789abcdefghij"]
     masks = S.repeated_windows(np.zeros(4, np.int64), np.array([5, 5, 5, 5]), np.ones(4, np.int64), texts, 12)
     assert [m.tolist() for m in masks] == [[True] * 9, [True] * 8 + [False], [True] * 9, [False] * 4 + [True] * 5]
+
+
+@pytest.mark.parametrize("piece,n", [("a", 3_000_000), ("=-", 1_000_000), ("ab c", 400_000)])
+def test_long_periodic_text(spark, piece, n):
+    """Some MB of a short period between unique bytes: all of it goes, and the worker
+    holds a few contexts, not one per period."""
+    rng = random.Random(n)
+    head, tail = ("".join(rng.choice("uvwxyz") for _ in range(700)) for _ in range(2))
+    text = head + piece * n + tail
+    found = list(S.text_contexts(np.frombuffer(text.encode(), np.uint8), S.text_anchors(np.frombuffer(text.encode(), np.uint8), 200, S.GRAM)[0], 200, S.GRAM))
+    assert sum(b - a for _, _, a, b, _, _ in found) < 50_000 and sum(times for *_, times, _ in found) > n // 4
+    df = spark.createDataFrame([(1, text), (2, "other " + head[:150])], "doc_id long, text string")
+    rest = hashlib.sha256((head + tail).encode()).hexdigest()
+    assert got(S.drop_repeats(df))[0] == ("1", len(text), len(piece) * n, 1, rest)
+
+
+@pytest.mark.parametrize("group", [1, 1024])
+def test_periodic_texts_meet_their_copies(spark, group):
+    """Periodic passages that other documents share in part, some shorter than two windows."""
+    rng = random.Random(group)
+    texts = []
+    for _ in range(40):
+        p = rng.choice(["a", "ab", "xyz", "=-=="])
+        body = (p * 80)[rng.randrange(4):rng.randrange(15, 90)]
+        texts.append("".join(rng.choice("mnopq") for _ in range(rng.randrange(30))) + body + rng.choice(["", "!", "tail of it"]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = brute([t.encode() for t in texts], 20)
+    assert got(S.drop_repeats(df, 20, 6, group)) == sorted((str(i), *w) for i, w in enumerate(want))
