@@ -61,3 +61,57 @@ def test_empty_and_unusable_tables(spark):
     assert forest.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     only = spark.createDataFrame([(1, None, 0), (1, [0.0], 0)], SCHEMA)
     assert got(forest.near_duplicates(only)) == [(1, 0, 1), (1, 0, 1)]
+
+
+def unit(x):
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def planted(n, hot, pairs, dim=64, seed=1):
+    """Unit vectors: n random ones, ``hot`` of them in one tight group, and
+    ``pairs`` partners just over the threshold of the last ones."""
+    rng = np.random.default_rng(seed)
+    x = unit(rng.normal(size=(n, dim)))
+    x[:hot] = unit(unit(rng.normal(size=(1, dim))) + 0.01 * rng.normal(size=(hot, dim)))
+    a, cos = x[-pairs:], rng.uniform(0.9505, 0.97, pairs)[:, None]
+    o = rng.normal(size=a.shape)
+    o = unit(o - a * (o * a).sum(1)[:, None])
+    return np.concatenate([x, cos * a + np.sqrt(1 - cos ** 2) * o])
+
+
+@pytest.mark.parametrize("n, hot, most_copies", [(2_000, 0, 10), (20_000, 0, 16), (20_000, 7_000, 16), (60_000, 0, 20)])
+def test_pair_work_and_recall_with_the_production_trees(n, hot, most_copies):
+    pairs = 500
+    x = planted(n, hot, pairs)
+    sample = x[np.random.default_rng(2).permutation(len(x))[:forest.SAMPLE]]
+    trees, margin = forest.plant(sample, len(x), 0.95, forest.TREES, forest.LEAF_AIM, 11)
+    copies, work, met = 0, 0, np.zeros(pairs, bool)
+    for tree in trees:
+        assert (tree.child > 0).sum() >= 2 ** 4 - 1
+        row, leaf = tree.leaves(x, margin)
+        copies, work = copies + len(row), work + (np.bincount(leaf).astype(float) ** 2).sum() / 2
+        at = [set() for _ in x[-2 * pairs:]]
+        for r, k in zip(row.tolist(), leaf.tolist()):
+            if r >= len(x) - 2 * pairs:
+                at[r - len(x) + 2 * pairs].add(k)
+        met |= [bool(a & b) for a, b in zip(at[:pairs], at[pairs:])]
+    assert copies <= most_copies * len(x)
+    assert work < len(x) ** 2 / 2
+    assert met.mean() >= 0.99
+
+
+def test_a_hot_group_equals_brute_force_in_split_trees(spark):
+    x = planted(2_400, 800, 200).astype(np.float32)
+    rows = [(i, v, 0) for i, v in enumerate(x.tolist())]
+    have = got(forest.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(6), leaf_rows=500))
+    y = unit(x.astype(float))
+    near = y @ y.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert sum(r[1] for r in have) >= 0.99 * near.sum()
+    assert all(r[1] <= near[r[0]].sum() for r in have)
+    assert [r[1:] for r in have[:800]] == [(int(near[i].sum()), 0) for i in range(800)]
+
+
+def test_many_vector_lengths_need_no_tree_each(spark):
+    rows = [(i, [1.0] * (1 + i // 2), 0) for i in range(120)] + [(500 + i, [float(i)] + [1.0] * 70, 0) for i in range(3)]
+    assert got(forest.near_duplicates(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
