@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docweave.operators.skew import join_unique
 from docweave.session import stage
 
 
@@ -135,7 +136,7 @@ def last_update_per_key(updates: DataFrame, key: str, order_col: str) -> DataFra
 
 def update_by_key(target: DataFrame, updates: DataFrame, key: str = "id",
                   order_col: str | None = None, as_of: datetime | str | None = None,
-                  unique: bool = False, changed_only: bool = False) -> DataFrame:
+                  unique: bool = False, changed_only: bool = False, spread: list[str] | None = None) -> DataFrame:
     """Apply partial row updates; repeated keys: the last wins; unknown
     keys do nothing. Only the columns present in ``updates`` change.
     ``updated_at`` is set on matched rows when ``as_of`` is given.
@@ -143,6 +144,8 @@ def update_by_key(target: DataFrame, updates: DataFrame, key: str = "id",
     ``order_col`` orders repeated updates and is required, unless the caller
     knows the keys of ``updates`` to be ``unique`` (then nothing is aggregated).
     ``changed_only`` returns the matched rows only, for stores that keep changes.
+    ``spread`` names target columns by which the rows of a hot key are dealt
+    over many tasks; not needed where the key is unique in the target.
     """
     if order_col is None and not unique:
         raise ValueError("updates need order_col, or unique=True")
@@ -150,7 +153,8 @@ def update_by_key(target: DataFrame, updates: DataFrame, key: str = "id",
     value_cols = [c for c in latest.columns if c != key and c in target.columns]
     renamed = latest.select(key, F.lit(True).alias("_hit"),
                             *[F.col(c).alias(f"_new_{c}") for c in value_cols])
-    joined = target.join(renamed, key, "inner" if changed_only else "left")
+    how = "inner" if changed_only else "left"
+    joined = join_unique(target, renamed, key, spread, how) if spread else target.join(renamed, key, how)
     out = []
     for f in target.schema.fields:
         c = f.name
@@ -168,7 +172,10 @@ def update_by_content(target: DataFrame, values: DataFrame, content_key: str = "
                       unique: bool = False) -> DataFrame:
     """A10: the same values on every row sharing a content id.
 
-    The per-content update side has one row per content id; the join keeps
-    every target row, so a content with many rows only repeats a lookup.
+    The per-content update side has one row per content id; target rows of a
+    content that holds much of the table are dealt over many tasks by their id
+    (``skew.join_unique``).
     """
-    return update_by_key(target, values, key=content_key, order_col=order_col, as_of=as_of, unique=unique)
+    spread = ["id"] if "id" in target.columns else [c for c in target.columns if c != content_key]
+    return update_by_key(target, values, key=content_key, order_col=order_col, as_of=as_of, unique=unique,
+                         spread=spread or None)

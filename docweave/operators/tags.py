@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docweave.functions import metadata as md
 from docweave.functions.text import slug_key, title_name, type_key
+from docweave.operators.skew import join_unique
 from docweave.operators.tables import allocate_ids
 from docweave.session import stage
 
@@ -77,19 +78,23 @@ def types_get_or_create(names: DataFrame, types: DataFrame,
 def embedding_tag_pairs(exploded: DataFrame, tag_ids: DataFrame) -> DataFrame:
     """E5: (embedding_id, tag_id) for every exploded keyword (not deduplicated).
 
-    ``tag_ids`` has one row per distinct keyword; AQE broadcasts it when its
-    measured size is small and shuffles otherwise.
+    ``tag_ids`` has one row per distinct keyword. Rows of a keyword that holds
+    much of the table are dealt over many tasks (``skew.join_unique``, which
+    counts keywords first: stage ``exploded`` when it still parses JSON).
     """
-    return (exploded.withColumn("key", slug_key("keyword")).join(tag_ids, "key")
-            .select("embedding_id", "tag_id"))
+    keyed = exploded.select("embedding_id", slug_key("keyword").alias("key"))
+    return join_unique(keyed, tag_ids, "key", spread=["embedding_id"]).select("embedding_id", "tag_id")
 
 
 def new_content_tag_pairs(merged: DataFrame, tag_ids: DataFrame,
                           stored_pairs: DataFrame) -> DataFrame:
     """Distinct (content_id, tag_id) from the merged content keywords,
-    minus the pairs already stored."""
-    pairs = (with_keywords(merged.select(F.col("id").alias("content_id"), "metadata"))
-             .select("content_id", F.explode_outer("_keywords").alias("keyword")).where(F.col("keyword").isNotNull())
-             .withColumn("key", slug_key("keyword")).join(tag_ids, "key")
-             .select("content_id", "tag_id").distinct())
+    minus the pairs already stored.
+
+    The keywords are parsed once and staged: the count of heavy keywords and
+    the join read the staged rows."""
+    rows = (with_keywords(merged.select(F.col("id").alias("content_id"), "metadata"))
+            .select("content_id", F.explode_outer("_keywords").alias("keyword")).where(F.col("keyword").isNotNull()))
+    keyed = stage(rows.select("content_id", slug_key("keyword").alias("key")))
+    pairs = join_unique(keyed, tag_ids, "key", spread=["content_id"]).select("content_id", "tag_id").distinct()
     return pairs.join(stored_pairs.select("content_id", "tag_id"), ["content_id", "tag_id"], "left_anti")

@@ -519,7 +519,7 @@ SELECT k.id AS embedding_id, t.id AS tag_id FROM ({DUCK_KEYWORDS}) k
 JOIN ({DUCK_ALL_TAGS}) t ON t.key = replace(lower(k.keyword), ' ', '-')
 """)
 def q_embedding_tags(spark, d):
-    exploded = tags.explode_keywords(_spark_keyword_rows(spark, d))
+    exploded = stage(tags.explode_keywords(_spark_keyword_rows(spark, d)))
     _, tag_ids = tags.tags_get_or_create(exploded, _spark_tags(spark, d))
     return tags.embedding_tag_pairs(exploded, tag_ids)
 

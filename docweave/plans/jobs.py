@@ -71,7 +71,7 @@ def enrich_job(responses: DataFrame, embeddings: DataFrame, content: DataFrame,
     enriched, unmatched = enrichment.enrich_embeddings(latest, embeddings, as_of)
     enriched = stage(enriched)
 
-    exploded = tags.explode_keywords(enriched)
+    exploded = stage(tags.explode_keywords(enriched))      # parsed once, read by tags and pairs
     new_tags, tag_ids = tags.tags_get_or_create(exploded, tag_table, as_of)
     emb_tags = tags.embedding_tag_pairs(exploded, tag_ids)
 
