@@ -74,6 +74,7 @@ from docweave.plans.jobs import (  # noqa: F401
     preprocess_job,             # stage 1
     write_outputs,
 )
+from docweave.sources.bucketed import write_bucketed  # noqa: F401  (targets of A9, A11, G*)
 from docweave.sources.files import (  # noqa: F401
     embedding_requests,         # A7 lines
     read_embedding_output,      # A6
