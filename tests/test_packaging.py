@@ -29,3 +29,9 @@ def test_workers_need_no_installed_package():
     done = subprocess.run([sys.executable, "-c", SCRIPT], cwd=cwd, env=env, capture_output=True,
                           text=True, timeout=600)
     assert done.returncode == 0 and "OK" in done.stdout, done.stderr[-2000:]
+
+
+def test_imports_need_no_session():
+    script = f"import sys; sys.path.insert(0, {REPO!r}); import docweave.api, __spark_entry__; assert __spark_entry__.queries()"
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]
