@@ -496,7 +496,7 @@ DUCK_STORED_PAIRS = (f"SELECT DISTINCT k.content_id, t.id AS tag_id FROM ({DUCK_
 
 def _spark_stored_pairs(spark, d, tag_ids):
     rows = _spark_keyword_rows(spark, d)
-    exploded = tags.explode_keywords(rows, id_col="content_id_id", out_id="content_id")
+    exploded = stage(tags.explode_keywords(rows, id_col="content_id_id", out_id="content_id"))
     existing = _spark_tags(spark, d).select("key", F.col("id").alias("tag_id"))
     return tags.embedding_tag_pairs(exploded.withColumnRenamed("content_id", "embedding_id"), existing) \
         .select(F.col("embedding_id").alias("content_id"), "tag_id").where("(content_id + tag_id) % 3 = 0").distinct()
