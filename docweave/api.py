@@ -24,6 +24,7 @@ from docweave.functions.text import (  # noqa: F401
 from docweave.operators.chunking import (  # noqa: F401
     chunk_records,              # C4
     chunk_recursive,            # C3
+    chunk_recursive_native,     # C3
     chunk_window,               # C3, native variant
     embedding_records,          # C6
     embedding_update_records,   # C7

@@ -29,6 +29,7 @@ from docweave.functions.patterns import (
     STATUS_ADD_TO_BATCH,
 )
 from docweave.functions.text import pretokens, sha256_hex, token_count
+from docweave.operators.splitting import split_chunks
 
 # --- per-text helper (runs inside Python workers) ----------------------------
 
@@ -145,6 +146,20 @@ def chunk_recursive(df: DataFrame, text_col: str, keep: list[str],
     return df.select(*keep, text_col).mapInPandas(run, out_schema)
 
 
+def chunk_recursive_native(df: DataFrame, text_col: str, keep: list[str],
+                           size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
+                           index_col: str = "idx", chunk_col: str = "text") -> DataFrame:
+    """``chunk_recursive`` with pre-token lengths, in the JVM alone: no Python
+    worker and no Arrow copy of the texts, but some 1.4 times the run time."""
+    return _chunk_rows(df, text_col, keep, split_chunks(F.col(text_col), size, overlap), index_col, chunk_col)
+
+
+def _chunk_rows(df: DataFrame, text_col: str, keep: list[str], chunks: Column, index_col: str, chunk_col: str) -> DataFrame:
+    return (df.select(*keep, text_col)
+            .select(*keep, F.posexplode_outer(chunks).alias(index_col, chunk_col))
+            .where(F.col(index_col).isNotNull()))
+
+
 # --- C3 native variant: windows of pre-tokens ------------------------------------
 
 def window_chunks(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
@@ -165,9 +180,7 @@ def chunk_window(df: DataFrame, text_col: str, keep: list[str], size: int = CHUN
                  overlap: int = CHUNK_OVERLAP, index_col: str = "idx",
                  chunk_col: str = "text") -> DataFrame:
     """Native C3 variant: one row per window chunk."""
-    return (df.select(*keep, text_col)
-            .select(*keep, F.posexplode_outer(window_chunks(F.col(text_col), size, overlap)).alias(index_col, chunk_col))
-            .where(F.col(index_col).isNotNull()))
+    return _chunk_rows(df, text_col, keep, window_chunks(F.col(text_col), size, overlap), index_col, chunk_col)
 
 
 # --- C4: chunk rows ---------------------------------------------------------------

@@ -168,6 +168,13 @@ def q_chunk_recursive(spark, d):
     return preprocess_job(c)
 
 
+@register("chunk_recursive_native", _duck_recursive_records(X.DIRTY_TEXT))
+def q_chunk_recursive_native(spark, d):
+    """The rows of ``chunk_recursive``, split by column expressions."""
+    c = TS(spark, d, "documents").selectExpr("doc_id AS id", f"{X.DIRTY_TEXT} AS content")
+    return preprocess_job(c, splitter="native")
+
+
 # --- C5 / C6 / C7 / C8 / C9 -------------------------------------------------------------------
 
 @register("build_context", """

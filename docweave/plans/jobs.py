@@ -30,14 +30,12 @@ def nonempty_content(content: DataFrame, col: str = "content") -> DataFrame:
 # --- stage 1 ----------------------------------------------------------------------------
 
 def preprocess_job(content: DataFrame, splitter: str = "recursive") -> DataFrame:
-    """Content -> B1 -> C1 -> C3 -> C4: chunk rows for every non-empty content."""
+    """Content -> B1 -> C1 -> C3 -> C4: chunk rows for every non-empty content.
+    ``splitter``: recursive, native (the same rows without Python) or window."""
     clean = nonempty_content(content).select(
         F.col("id").alias("content_id"), normalize_text("content").alias("text"))
-    if splitter == "recursive":
-        chunks = chunking.chunk_recursive(clean, "text", ["content_id"])
-    else:
-        chunks = chunking.chunk_window(clean, "text", ["content_id"])
-    return chunking.chunk_records(chunks)
+    split = {"recursive": chunking.chunk_recursive, "native": chunking.chunk_recursive_native, "window": chunking.chunk_window}
+    return chunking.chunk_records(split[splitter](clean, "text", ["content_id"]))
 
 
 # --- stage 2 ----------------------------------------------------------------------------
