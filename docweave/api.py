@@ -31,9 +31,13 @@ from docweave.operators.chunking import (  # noqa: F401
     split_recursive,            # C3 for one text
 )
 from docweave.operators.enrichment import (  # noqa: F401
+    combine_summaries,          # D5, stored summaries
     enrich_embeddings,          # D4
+    extend_summaries,           # D5, stored summaries
     merge_metadata_by_content,  # D5
     overlay_content_metadata,   # D6
+    summarize_metadata,         # D5, stored summaries
+    summarized_metadata,        # D5, stored summaries
 )
 from docweave.operators.lifecycle import (  # noqa: F401
     apply_embeddings,           # G4

@@ -388,6 +388,21 @@ def q_merge_metadata(spark, d):
     return enrichment.merge_metadata_by_content(_spark_merge_rows(spark, d))
 
 
+@register("merge_metadata_incremental", _duck_merge())
+def q_merge_metadata_incremental(spark, d):
+    """D5 over rows that arrive in three parts, each folded into the stored
+    summaries: first turns 2 and 3, then the later ones, then the first two, which
+    come late, so their contents are folded again."""
+    rows = _spark_merge_rows(spark, d).withColumn("turn", F.expr("id - content_id * 100"))
+    parts = [rows.where(c) for c in ("turn IN (2, 3)", "turn >= 4", "turn < 2")]
+    seen, stored = parts[0], enrichment.summarize_metadata(parts[0])
+    for part in parts[1:]:
+        seen, stored = seen.unionByName(part), stage(stored)
+        fresh = stage(enrichment.extend_summaries(stored, part, seen))
+        stored = stored.join(fresh, "cid", "left_anti").unionByName(fresh)
+    return enrichment.summarized_metadata(stored)
+
+
 OVERLAY_NEW = (
     "'{\"lang\": \"' || role || '\", \"source\": null, \"turn\": ' || turn || ', \"extra\": [\"' || role || '\"]}'"
 )
