@@ -882,19 +882,20 @@ def q_parse_embedding_output_table(spark, d):
 
 @register("stream_chunks", _duck_recursive_records("text"))
 def q_stream_chunks(spark, d):
-    """S1 with ``availableNow``: the documents file flows through normalize +
-    recursive chunking into a parquet sink in the shared checkpoint folder;
-    the result is that sink's table."""
+    """S1 with ``availableNow``: the documents table (one file, or a folder of
+    them) flows through normalize + recursive chunking into a parquet sink in the
+    shared checkpoint folder; the result is that sink's table."""
     import uuid
 
     from docweave.session import ensure_checkpoint_dir
     from docweave.streaming.jobs import stream_chunks
 
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream_chunks-{uuid.uuid4().hex}"
-    q = stream_chunks(spark, d, T(spark, d, "documents").schema, f"{root}/chunks", f"{root}/ckpt",
-                      columns=["doc_id AS id", "text AS content"], path_glob="documents.parquet")
+    docs, columns = T(spark, d, "documents"), ["doc_id AS id", "text AS content"]
+    # a stream takes a single file by a glob only; this one matches the file or the folder
+    q = stream_chunks(spark, f"{d}/documents.parque[t]", docs.schema, f"{root}/chunks", f"{root}/ckpt", columns=columns)
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/chunks")
+    return spark.read.schema(preprocess_job(docs.selectExpr(*columns)).schema).parquet(f"{root}/chunks")
 
 
 @register("embedding_records_recursive", _duck_embedding_records(recursive=True))

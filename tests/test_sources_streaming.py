@@ -76,6 +76,20 @@ def test_stream_chunks_equals_batch_and_replay_is_safe(spark, tmp_path):
     assert spark.read.parquet(sink).count() == batch.count() + 1
 
 
+def test_stream_chunks_query_reads_a_table_of_several_files(spark, tmp_path):
+    from docweave.plans.catalog import QUERIES
+
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    want = preprocess_job(docs.selectExpr("doc_id AS id", "text AS content"))
+    docs.repartition(3).write.parquet(str(tmp_path / "many" / "documents.parquet"))
+    docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    for folder in (SF0001, str(tmp_path / "many")):
+        got = QUERIES["stream_chunks"](spark, folder)
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    none = QUERIES["stream_chunks"](spark, str(tmp_path / "none"))
+    assert none.dtypes == want.dtypes and none.count() == 0
+
+
 def _state(spark):
     none = F.lit(None)
     emb = (spark.range(1, 7).selectExpr("id", "100 + id % 2 AS content_id_id", "concat('c', id) AS context", "'{\"a\": 1}' AS metadata",
