@@ -2,15 +2,18 @@
 pre-token pieces and counts, context strings, slugs and titles.
 
 All of these are built-in Spark expressions (JVM, whole-stage codegen)
-except Unicode NFC composition, which has no built-in and runs in an
-Arrow-batched pandas UDF only for rows that can change under it.
+except Unicode NFC composition and character references, which have no
+built-in and run in Arrow UDFs: NFC for the pieces of a text that can change
+under it, references for texts with markup. A worker turns a few of a batch's
+texts at a time into Python strings.
 """
 
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, StringType
@@ -33,9 +36,28 @@ def _col(c: ColumnOrName) -> Column:
 
 # --- C1a: NFC ---------------------------------------------------------------
 
-@F.pandas_udf(StringType())
-def _nfc_batch(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
+#: texts of an Arrow batch that are Python strings at a time
+_SLICE = 64
+
+
+def _map_slices(texts: pa.Array, use: Callable[[str], str], mark: str = "") -> pa.Array:
+    """``use`` of every text that is not null; beside the batch and its result, a
+    worker holds the Python strings of one slice only. ``use`` changes no text
+    without ``mark``: a slice of such texts stays as it is."""
+    import pyarrow.compute as pc
+
+    parts, changed = [], False
+    for at in range(0, len(texts), _SLICE):
+        part = texts.slice(at, _SLICE)
+        if pc.any(pc.match_substring(part, mark)).as_py():
+            part, changed = pa.array([None if t is None else use(t) for t in part.to_pylist()], texts.type), True
+        parts.append(part)
+    return pa.chunked_array(parts, texts.type).combine_chunks() if changed else texts
+
+
+@F.arrow_udf(StringType())
+def _nfc_batch(s: pa.Array) -> pa.Array:
+    return _map_slices(s, lambda x: unicodedata.normalize("NFC", x))
 
 
 _nfc_points: str | None = None
@@ -73,11 +95,21 @@ def may_change_under_nfc(c: ColumnOrName) -> Column:
     return c.rlike("[\\x{0300}-\\x{10FFFF}]") & exact
 
 
+# A run of characters from U+0300 on with the character before it. Characters below
+# U+0300 neither change under NFC nor join what stands before them, so a text's NFC
+# is that of its runs put back in their places.
+_NFC_RUN = r"[^\n]?[\x{0300}-\x{10FFFF}]++"
+
+
 def nfc(c: ColumnOrName) -> Column:
-    """Unicode NFC. Only texts holding an NFC-sensitive code point go to
-    Python; the others are passed as null and kept as they are."""
+    """Unicode NFC. Only texts holding an NFC-sensitive code point go to Python,
+    and of them only the runs of characters from U+0300 on, one to a line (no run
+    holds an LF); the others are passed as null and kept as they are."""
     c = _col(c)
-    return F.coalesce(_nfc_batch(F.when(may_change_under_nfc(c), c)), c)
+    runs = _nfc_batch(F.when(may_change_under_nfc(c), F.array_join(F.regexp_extract_all(c, F.lit(_NFC_RUN), 0), "\n")))
+    pieces = F.zip_with(F.split(c, _NFC_RUN, -1), F.concat(F.split(runs, "\n", -1), F.array(F.lit(""))),
+                        lambda kept, run: F.concat(kept, run))
+    return F.when(runs.isNotNull(), F.array_join(pieces, "")).otherwise(c)
 
 
 # --- C1d: HTML to text --------------------------------------------------------
@@ -90,11 +122,11 @@ _CUT, _OPEN, _SHUT = "\x01", "\x02", "\x03"
 _VALUES = (r'"([^"<>]++)"', r"'([^'<>]++)'", r"([^\s\"'<>=`]++)")
 
 
-@F.pandas_udf(StringType())
-def _unescape_batch(s: pd.Series) -> pd.Series:
+@F.arrow_udf(StringType())
+def _unescape_batch(s: pa.Array) -> pa.Array:
     import html
 
-    return s.map(lambda x: None if x is None else html.unescape(x))
+    return _map_slices(s, html.unescape, "&")
 
 
 def decode_entities(c: ColumnOrName) -> Column:
