@@ -4,9 +4,9 @@ from them (C3, C4, C6, C7).
 ``chunk_recursive`` follows the recursive separator splitter used by the
 reference (blank line, LF, space, character; pieces keep their separator at
 the start; small pieces are merged greedily with overlap). It is a
-sequential greedy algorithm per text, so it runs in ``mapInPandas`` over
-Arrow batches; Spark spreads the texts over tasks. ``chunk_window`` is the
-fully native variant: fixed windows of pre-tokens.
+sequential greedy algorithm per text, so it runs in ``mapInArrow``, a few
+texts of a batch at a time; Spark spreads the texts over tasks.
+``chunk_window`` is the fully native variant: fixed windows of pre-tokens.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections import deque
 from collections.abc import Callable, Iterator
 from datetime import datetime
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -109,6 +109,10 @@ def split_recursive(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVER
 
 # --- C3: recursive chunking as a Spark operator ---------------------------------
 
+#: texts of an Arrow batch that are split at a time
+_SLICE = 32
+
+
 def chunk_recursive(df: DataFrame, text_col: str, keep: list[str],
                     size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
                     index_col: str = "idx", chunk_col: str = "text",
@@ -116,7 +120,8 @@ def chunk_recursive(df: DataFrame, text_col: str, keep: list[str],
     """One row per chunk: ``keep`` columns, chunk index (from 0), chunk text.
 
     Work is per text, so there is no shuffle: each task splits the texts of
-    its own input split. Null texts give no rows. Lengths are cl100k
+    its own input split. A worker holds the chunks of a few texts: a batch is
+    read, and its rows are given back, in slices. Null texts give no rows. Lengths are cl100k
     pre-token counts; ``operators.tokens.token_length`` counts the tokens of a
     vocabulary instead.
     """
@@ -124,26 +129,24 @@ def chunk_recursive(df: DataFrame, text_col: str, keep: list[str],
     out_schema = StructType([fields[k] for k in keep] + [
         StructField(index_col, IntegerType(), False), StructField(chunk_col, StringType(), False)])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            cols = {k: [] for k in keep}
-            idx, chunks = [], []
-            texts = pdf[text_col].tolist()
-            kept = [pdf[k].tolist() for k in keep]
-            for row, text in enumerate(texts):
-                if text is None:
-                    continue
-                for i, chunk in enumerate(split_recursive(text, size, overlap, length=length)):
-                    for k, values in zip(keep, kept):
-                        cols[k].append(values[row])
-                    idx.append(i)
-                    chunks.append(chunk)
-            out = pd.DataFrame(cols)
-            out[index_col] = pd.Series(idx, dtype="int32")
-            out[chunk_col] = pd.Series(chunks, dtype=object)
-            yield out
-
-    return df.select(*keep, text_col).mapInPandas(run, out_schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _SLICE):
+                texts = batch.slice(at, _SLICE)
+                rows, idx, chunks = [], [], []
+                for row, text in enumerate(texts.column(len(keep)).to_pylist()):
+                    if text is None:
+                        continue
+                    for i, chunk in enumerate(split_recursive(text, size, overlap, length=length)):
+                        rows.append(row)
+                        idx.append(i)
+                        chunks.append(chunk)
+                at_row = pa.array(rows, pa.int64())
+                kept = [column.take(at_row) for column in texts.columns[:len(keep)]]
+                yield pa.RecordBatch.from_arrays(
+                    kept + [pa.array(idx, pa.int32()), pa.array(chunks, pa.string())], out_schema.names)
+
+    return df.select(*keep, text_col).mapInArrow(run, out_schema)
 
 
 def chunk_recursive_native(df: DataFrame, text_col: str, keep: list[str],

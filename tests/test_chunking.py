@@ -111,3 +111,29 @@ def _tiny_vocab(path):
     tokens = [bytes([b]) for b in range(256)] + [b"ab", b" a"]
     path.write_text("\n".join(f"{base64.b64encode(t).decode()} {i}" for i, t in enumerate(tokens)))
     return str(path)
+
+
+def test_a_worker_splits_few_texts_at_a_time():
+    """The first rows of a batch are given back before most of its texts are split."""
+    import pyarrow as pa
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    class Frame:
+        """Hands out the function that Spark would run."""
+        schema = StructType([StructField("id", LongType()), StructField("text", StringType())])
+
+        def select(self, *cols):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    seen = []
+    run = chunk_recursive(Frame(), "text", ["id"], size=3, overlap=1, length=lambda t: seen.append(t) or pretoken_len(t))
+    texts = [None if i % 10 == 0 else f"a{i} b c d e f" for i in range(1000)]
+    rows = run(iter([pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(texts)], ["id", "text"])]))
+    first = next(rows).to_pylist()
+    assert len({t for t in seen if t.startswith("a")}) <= 32
+    rest = [r for b in rows for r in b.to_pylist()]
+    assert [(r["id"], r["idx"], r["text"]) for r in first + rest] == [
+        (i, k, c) for i, t in enumerate(texts) if t is not None for k, c in enumerate(split_recursive(t, 3, 1))]
