@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from docweave.operators.chunking import chunk_recursive, chunk_window, pretoken_len, split_recursive
+from docweave.operators.chunking import chunk_recursive, chunk_window, embedding_records, pretoken_len, split_recursive
 from docweave.plans.jobs import preprocess_job
 
 from conftest import SF0001
@@ -137,3 +137,13 @@ def test_a_worker_splits_few_texts_at_a_time():
     rest = [r for b in rows for r in b.to_pylist()]
     assert [(r["id"], r["idx"], r["text"]) for r in first + rest] == [
         (i, k, c) for i, t in enumerate(texts) if t is not None for k, c in enumerate(split_recursive(t, 3, 1))]
+
+
+def test_recursive_records_keep_the_columns_beside_null(spark):
+    """Keys beyond 2^53 in a batch that also holds nulls."""
+    big = 2 ** 53 + 1
+    rows = [(big, "a b", None, big, None, 1), (2, "c", '{"question": "q"}', None, big, None), (3, None, None, 1, 1, 1)]
+    content = spark.createDataFrame(rows, "id long, content string, metadata string, type_id long, user_id_id long, application_id_id long").coalesce(1)
+    got = embedding_records(content, "2024-01-01 00:00:00", splitter="recursive").collect()
+    assert sorted((r.content_id_id, r.chunk_idx, r.type_id_id, r.user_id_id, r.application_id_id) for r in got) == [
+        (2, 0, None, big, None), (big, 0, big, None, 1)]
