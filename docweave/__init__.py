@@ -10,8 +10,8 @@ import sys as _sys
 
 __version__ = "0.1.0"
 
-# Python code that runs in Spark's Python workers (the NFC pandas UDF, the
-# recursive splitter in mapInPandas) is pickled by value, so executors do
+# Python code that runs in Spark's Python workers (the NFC Arrow UDF, the
+# recursive splitter in mapInArrow) is pickled by value, so executors do
 # not need this package installed or on their path.
 try:
     from pyspark import cloudpickle as _cloudpickle

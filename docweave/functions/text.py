@@ -46,13 +46,16 @@ def _map_slices(texts: pa.Array, use: Callable[[str], str], mark: str = "") -> p
     without ``mark``: a slice of such texts stays as it is."""
     import pyarrow.compute as pc
 
-    parts, changed = [], False
+    part, parts, changed = None, [], False
     for at in range(0, len(texts), _SLICE):
         part = texts.slice(at, _SLICE)
         if pc.any(pc.match_substring(part, mark)).as_py():
             part, changed = pa.array([None if t is None else use(t) for t in part.to_pylist()], texts.type), True
         parts.append(part)
-    return pa.chunked_array(parts, texts.type).combine_chunks() if changed else texts
+    out = pa.chunked_array(parts, texts.type).combine_chunks() if changed else texts
+    del part, parts
+    pa.default_memory_pool().release_unused()   # else a worker keeps what each of its batches took
+    return out
 
 
 @F.arrow_udf(StringType())

@@ -121,9 +121,9 @@ def chunk_recursive(df: DataFrame, text_col: str, keep: list[str],
 
     Work is per text, so there is no shuffle: each task splits the texts of
     its own input split. A worker holds the chunks of a few texts: a batch is
-    read, and its rows are given back, in slices. Null texts give no rows. Lengths are cl100k
-    pre-token counts; ``operators.tokens.token_length`` counts the tokens of a
-    vocabulary instead.
+    read, and its rows are given back, in slices. Null texts give no rows.
+    Lengths are cl100k pre-token counts; ``operators.tokens.token_length``
+    counts the tokens of a vocabulary instead.
     """
     fields = {f.name: f for f in df.schema.fields}
     out_schema = StructType([fields[k] for k in keep] + [
@@ -145,6 +145,7 @@ def chunk_recursive(df: DataFrame, text_col: str, keep: list[str],
                 kept = [column.take(at_row) for column in texts.columns[:len(keep)]]
                 yield pa.RecordBatch.from_arrays(
                     kept + [pa.array(idx, pa.int32()), pa.array(chunks, pa.string())], out_schema.names)
+            pa.default_memory_pool().release_unused()   # else a worker keeps what each of its batches took
 
     return df.select(*keep, text_col).mapInArrow(run, out_schema)
 
