@@ -31,7 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.llm.common import bounded_batches, components, keep_rows, stage, text_hash
@@ -103,16 +103,18 @@ def links(fps: DataFrame, max_bits: int = 2, bucket_cap: int = BUCKET_CAP) -> Da
     # an expression of the fingerprint, as rows already partitioned by "fp" itself would stay put
     index = variants(fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp", F.lit(1))))
     large = stage(index.groupBy("key").count().where(F.col("count") > bucket_cap).select("key"), "large")
+    # Spark sizes rows after an explode as those before it, 64 and more times too low, and would
+    # broadcast them: here only the staged keys can be, and the exploded rows meet in a sorted merge
     small = index.join(large, "key", "left_anti")
     apart = F.col("x.fp").bitwiseXOR(F.col("y.fp"))
     slot = F.shiftright(F.col("x.key"), 32).cast("int")
     in_segment = _segment(apart, F.shiftright(slot, 5))
     home = (in_segment == F.expr("shiftleft(1L, cast(shiftright(x.key, 32) as int) % 32)")) | ((in_segment == 0) & (slot % 32 == 0))
-    near = (small.alias("x").join(small.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp"))
-                                  & (F.bit_count(apart) <= max_bits) & home)
+    near = (small.alias("x").hint("merge").join(small.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp"))
+                                                & (F.bit_count(apart) <= max_bits) & home)
             .select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")))
 
-    inside = index.join(large, "key").withColumn("slot", F.shiftright("key", 32).cast("int"))
+    inside = index.join(large, "key", "left_semi").withColumn("slot", F.shiftright("key", 32).cast("int"))
     own = _segment(F.col("fp"), F.shiftright("slot", 5))
     other = _segment(F.col("fp"), 1 - F.shiftright("slot", 5))
     def masks(n: int) -> list[int]:
@@ -126,9 +128,9 @@ def links(fps: DataFrame, max_bits: int = 2, bucket_cap: int = BUCKET_CAP) -> Da
     one_off = (inside.withColumn("mask", F.explode(F.array(*[F.lit(m) for m in masks(max_bits - 1)]).cast("array<bigint>")))
                .select((F.col("slot") + 64).alias("slot"), cleared.alias("seg"), "mask",
                        other.bitwiseAND(F.col("mask")).alias("rest"), "fp"))
-    group = ["slot", "seg", "mask", "rest"]
-    members = same.unionByName(one_off)
-    stars = (members.join(members.groupBy(*group).agg(F.min("fp").alias("least")), group)
+    # at most four distinct fingerprints agree in all of these
+    group = Window.partitionBy("slot", "seg", "mask", "rest")
+    stars = (same.unionByName(one_off).withColumn("least", F.min("fp").over(group))
              .where("fp <> least").select(F.col("least").alias("a"), F.col("fp").alias("b")).distinct())
     return near.unionByName(stars)
 
@@ -143,7 +145,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, seed: in
              .select("fp", "first", F.coalesce("root", "fp").alias("root")))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     of_fp = named.join(least, "root").select(F.col("fp").alias("__fp"), "component_id")
-    return rows.join(of_fp, F.col("fp") == F.col("__fp")).drop("__fp")
+    # a row for every document: copies make its files small, but not the rows
+    return rows.hint("merge").join(of_fp, F.col("fp") == F.col("__fp")).drop("__fp")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
