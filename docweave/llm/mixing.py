@@ -108,10 +108,11 @@ def mix(docs: DataFrame, weights: tuple = (1, 2, 3), cap: int = 3, block_words:
             .withColumn("start", start).withColumn("end", start + F.col("size"))
             .withColumn("rank", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("end") - 1) / block)))))
     overlap = F.least("end", (F.col("rank") + 1) * block) - F.greatest("start", F.col("rank") * block)
-    read = read.withColumn("length", overlap).join(slots, ["src_no", "rank"])
+    # sized as before the two explodes, these rows would be broadcast: a merge, and so where every document is a row
+    read = read.withColumn("length", overlap).hint("merge").join(slots, ["src_no", "rank"])
     pieces = read.select("slot", "src_no", "id", (F.greatest("start", F.col("rank") * block) - F.col("start")).alias("start"), "length")
     taken = read.groupBy("src_no", F.col("at").alias("spot")).agg(F.sum("length").alias("taken"))
-    documents = (layout.withColumn("spot", F.when(F.col("size") > 0, F.col("at")))
+    documents = (layout.withColumn("spot", F.when(F.col("size") > 0, F.col("at"))).hint("merge")
                  .join(taken, ["src_no", "spot"], "left")
                  .select("id", "raw", "source", "size", "source_size", "target",
                          F.coalesce("taken", F.lit(0).cast("long")).alias("taken")))

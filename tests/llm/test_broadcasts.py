@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from docweave.llm import simhash
+from docweave.llm import mixing, simhash
 
 
 @pytest.fixture(autouse=True)
@@ -46,3 +46,15 @@ def test_variants_of_fingerprints_are_not_broadcast(spark, cap):
     want = {(i, j) for j in range(300) for i in range(j) if (i ^ j).bit_count() <= 2}
     assert rows <= want and (cap == 2 or rows == want)
     assert broadcast_explodes(edges) == set()
+
+
+def test_blocks_read_of_documents_are_not_broadcast(spark):
+    """Only the 4,096 cells of the schedule may be."""
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), F.col("id").cast("int")).alias("text"),
+                                   F.concat(F.lit("s"), F.col("id") % 4).alias("source"))
+    documents, pieces = mixing.mix(docs, block_words=16)
+    for df in (documents, pieces, documents.where("taken > 0")):
+        assert broadcast_explodes(df) <= {"cell"}
+        df.collect()
+        assert broadcast_explodes(df) <= {"cell"}
+    assert pieces.agg(F.sum("length")).first()[0] == documents.agg(F.sum("taken")).first()[0]
